@@ -37,3 +37,31 @@ def shuffle_width(spark: SparkSession) -> int:
 def power_at_least(base: int, n: int) -> int:
     """The smallest power of base that is n or more."""
     return base ** max(0, math.ceil(math.log(max(1, n), base) - 1e-9))
+
+
+def text_slices(batches, column: int = 1, limit: int = 4_000_000):
+    """Cuts Arrow record batches so that a slice has about `limit` bytes in the given string column; a longer text makes a slice alone."""
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    for batch in batches:
+        size = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column).cast(pa.large_string())), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        at = 0
+        while at < batch.num_rows:
+            end = max(at + 1, int(np.searchsorted(size, (size[at - 1] if at else 0) + limit, "right")))
+            yield batch.slice(at, end - at)
+            at = end
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Like cut(), but as a compressed Parquet table in the same folder."""
+    import uuid
+
+    spark = df.sparkSession
+    context = spark.sparkContext
+    if context._jsc.sc().getCheckpointDir().isEmpty():
+        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="ledgerloom-checkpoint-"))
+    path = f"{context._jsc.sc().getCheckpointDir().get()}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

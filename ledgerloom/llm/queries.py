@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import chat_format as chat
-from ledgerloom.llm import exact_dedup
+from ledgerloom.llm import bpe, exact_dedup, langid, packing, quality, secret_scan
 from ledgerloom.llm import fingerprint as fp
 
 
@@ -56,6 +56,48 @@ FROM e GROUP BY conv_id
 """
 
 
+def vocabulary() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(_table(spark, sf_dir, "documents"), vocabulary())
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "sequence_tokens")
+
+
+def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = bpe.encode(_table(spark, sf_dir, "documents"), vocabulary(), decoded=True)
+    return got.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def trusted_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents labelled as good and not toxic."""
+    return _table(spark, sf_dir, "labels").filter("quality = 1 AND coalesce(toxic, 0) = 0").select("doc_id")
+
+
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(_table(spark, sf_dir, "documents"), trusted_ids(spark, sf_dir))
+
+
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    model = langid.train(docs.filter(~held_out))
+    # held_out is a function of doc_id alone, so it is added after the prediction
+    return langid.predict(docs, model).withColumn("held_out", held_out).select("doc_id", "held_out", "lang_pred", "score", "ambiguous")
+
+
+def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    found = secret_scan.scan(docs, secret_scan.learn(docs))
+    base = F.filter("spans", lambda s: s["kind"].isin(*secret_scan.KINDS))
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    shown = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    return found.select("doc_id", *map(count, secret_scan.KINDS), F.sha2(shown(base), 256).alias("base_sha256"), shown(F.col("spans")).alias("spans"))
+
+
 def op10_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     rows = fp.with_next(docs, "doc_id", ["text", "sketch"], lambda d: d.withColumn("sketch", fp.sketch(F.col("text"))))
@@ -71,6 +113,11 @@ def op10_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_chat_format": op2_chat_format,
+    "op4_packing": op4_packing,
+    "op5_bpe": op5_bpe,
+    "op7_quality": op7_quality,
+    "op8_language": op8_language,
+    "op9_secrets": op9_secrets,
     "op10_fingerprint": op10_fingerprint,
 }
 ORACLES: dict[str, str] = {"op1_exact_dedup": OP1_SQL, "op2_chat_format": OP2_SQL}
