@@ -7,7 +7,8 @@ in a join on the n-gram, and the answers go back to the block, where every docum
 neither the model nor the documents are broadcast, texts move once, and what is asked for is a small share of the text.
 
 A document is rejected if the logarithm of its perplexity exceeds its language's limit: a quantile over the trusted
-documents of that language, times 1 + slack. Languages without enough trusted documents use the quantile over all.
+documents of that language, times 1 + slack, plus allowance / sqrt(characters), since the mean over a short text
+strays further. Languages without enough trusted documents use the quantile over all.
 """
 
 from __future__ import annotations
@@ -200,7 +201,7 @@ def kneser_ney(counts: DataFrame) -> tuple[DataFrame, float]:
 
 
 def perplexities(df: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep_cols: tuple[str, ...] = ()) -> DataFrame:
-    """One row for each row of df: id, log_perplexity (null without text), is_trusted, and keep_cols.
+    """One row for each row of df: id, log_perplexity (null without text), n_chars, is_trusted, and keep_cols.
 
     trusted: identifiers (first column; repeats and nulls don't matter) of the rows of df that train the model. Mean log probability is over the
     characters of the whole text. Without any trusted text every character is equally unlikely.
@@ -224,15 +225,16 @@ def perplexities(df: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text
         label = answers.column("label").to_numpy()
         good = set(answers.filter(pa.array(label)).column("id").to_pylist())
         scorer = _Scorer(answers.filter(pa.array(~label)), unknown)
-        values = []
+        values, sizes = [], []
         for batch in text_slices(docs.select(["id", "text"]).to_batches(), limit=1_000_000):
             texts = [t or "" for t in batch.column(1).to_pylist()]
             sums = scorer.add_up([t for t in texts if t])
             values += iter_values(texts, sums)
+            sizes += map(len, texts)
         ids = docs.column("id")
-        return pa.table({"id": ids, "log_perplexity": pa.array(values, pa.float64()), "is_trusted": pa.array([i in good for i in ids.to_pylist()], pa.bool_())} | {k: docs.column(k) for k in kept})
+        return pa.table({"id": ids, "log_perplexity": pa.array(values, pa.float64()), "n_chars": pa.array(sizes, pa.int64()), "is_trusted": pa.array([i in good for i in ids.to_pylist()], pa.bool_())} | {k: docs.column(k) for k in kept})
 
-    out = docs.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(score, f"id {dict(df.dtypes)[id_col]}, log_perplexity double, is_trusted boolean" + (", " + fields if fields else ""))
+    out = docs.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(score, f"id {dict(df.dtypes)[id_col]}, log_perplexity double, n_chars bigint, is_trusted boolean" + (", " + fields if fields else ""))
     for c, k in zip(keep_cols, kept, strict=True):
         out = out.withColumnRenamed(k, c)
     return out
@@ -244,7 +246,7 @@ def iter_values(texts: list[str], sums: np.ndarray) -> list[float | None]:
     return [-next(rest) / len(t) if t else None for t in texts]
 
 
-def classify(df: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", quantile: float = 0.99, slack: float = 0.1, least: int = 50, keep_cols: tuple[str, ...] = ()) -> DataFrame:
+def classify(df: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", quantile: float = 0.99, slack: float = 0.1, allowance: float = 2.0, least: int = 50, keep_cols: tuple[str, ...] = ()) -> DataFrame:
     """One row for each row of df: id_col, lang_col, log_perplexity, limit, kept, and keep_cols.
 
     A document without text has no perplexity and is kept; so is everything where no trusted document has text. A null
@@ -259,6 +261,6 @@ def classify(df: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col
     if limits.limit(LANGUAGES + 1).count() <= LANGUAGES:
         limits = F.broadcast(limits)
     joined = scored.join(limits, scored[f"`{lang_col}`"].eqNullSafe(limits["__lang"]), "left")
-    out = joined.withColumn("limit", F.coalesce(F.col("l"), F.lit(overall).cast("double")) * (1 + slack))
+    out = joined.withColumn("limit", F.coalesce(F.col("l"), F.lit(overall).cast("double")) * (1 + slack) + allowance / F.sqrt("n_chars"))
     out = out.withColumn("kept", F.coalesce(F.col("log_perplexity") <= F.col("limit"), F.lit(True)))
     return out.select(F.col("id").alias(id_col), *[f"`{c}`" for c in names if c != id_col], "log_perplexity", "limit", "kept")
