@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import chat_format as chat
-from ledgerloom.llm import bpe, exact_dedup, langid, packing, quality, secret_scan
+from ledgerloom.llm import bpe, exact_dedup, langid, line_dedup, packing, quality, secret_scan
 from ledgerloom.llm import fingerprint as fp
 
 
@@ -72,6 +72,10 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(_table(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_removed", "text")
+
+
 def trusted_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents labelled as good and not toxic."""
     return _table(spark, sf_dir, "labels").filter("quality = 1 AND coalesce(toxic, 0) = 0").select("doc_id")
@@ -115,6 +119,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_chat_format": op2_chat_format,
     "op4_packing": op4_packing,
     "op5_bpe": op5_bpe,
+    "op6_line_dedup": op6_line_dedup,
     "op7_quality": op7_quality,
     "op8_language": op8_language,
     "op9_secrets": op9_secrets,
