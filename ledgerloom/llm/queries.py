@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import chat_format as chat
-from ledgerloom.llm import bpe, exact_dedup, langid, line_dedup, packing, quality, secret_scan
+from ledgerloom.llm import bpe, exact_dedup, jaccard_join, langid, line_dedup, packing, quality, secret_scan
 from ledgerloom.llm import fingerprint as fp
 
 
@@ -56,6 +56,10 @@ FROM e GROUP BY conv_id
 """
 
 
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.link_components(_table(spark, sf_dir, "documents"))
+
+
 def vocabulary() -> str:
     import public_tokenizers
 
@@ -117,6 +121,7 @@ def op10_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_chat_format": op2_chat_format,
+    "op3_jaccard_join": op3_jaccard_join,
     "op4_packing": op4_packing,
     "op5_bpe": op5_bpe,
     "op6_line_dedup": op6_line_dedup,
