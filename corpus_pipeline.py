@@ -15,8 +15,7 @@ from ledgerloom.llm.queries import trusted_ids, vocabulary
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier rejects go."""
-    rest = tuple(c for c in docs.columns if c != "doc_id")
-    return quality.classify(docs, trusted_ids(spark, sf_dir), keep_cols=rest).filter("kept").select(*docs.columns)
+    return quality.accepted(docs, trusted_ids(spark, sf_dir))
 
 
 def drop_exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -201,7 +201,7 @@ def kneser_ney(counts: DataFrame) -> tuple[DataFrame, float]:
 
 
 def perplexities(df: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep_cols: tuple[str, ...] = ()) -> DataFrame:
-    """One row for each row of df: id, log_perplexity (null without text), n_chars, is_trusted, and keep_cols.
+    """One row for each row of df: id, log_perplexity (null without text), n_chars, is_trusted, and keep_cols as keep_0, keep_1 and so on.
 
     trusted: identifiers (first column; repeats and nulls don't matter) of the rows of df that train the model. Mean log probability is over the
     characters of the whole text. Without any trusted text every character is equally unlikely.
@@ -235,8 +235,6 @@ def perplexities(df: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text
         return pa.table({"id": ids, "log_perplexity": pa.array(values, pa.float64()), "n_chars": pa.array(sizes, pa.int64()), "is_trusted": pa.array([i in good for i in ids.to_pylist()], pa.bool_())} | {k: docs.column(k) for k in kept})
 
     out = docs.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(score, f"id {dict(df.dtypes)[id_col]}, log_perplexity double, n_chars bigint, is_trusted boolean" + (", " + fields if fields else ""))
-    for c, k in zip(keep_cols, kept, strict=True):
-        out = out.withColumnRenamed(k, c)
     return out
 
 
@@ -246,21 +244,33 @@ def iter_values(texts: list[str], sums: np.ndarray) -> list[float | None]:
     return [-next(rest) / len(t) if t else None for t in texts]
 
 
-def classify(df: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", quantile: float = 0.99, slack: float = 0.1, allowance: float = 2.0, least: int = 50, keep_cols: tuple[str, ...] = ()) -> DataFrame:
-    """One row for each row of df: id_col, lang_col, log_perplexity, limit, kept, and keep_cols.
-
-    A document without text has no perplexity and is kept; so is everything where no trusted document has text. A null
-    language is a language of its own. Repeated rows are scored alike. Other columns of df are ignored.
-    """
-    names = tuple(dict.fromkeys([lang_col, *keep_cols]))
-    scored = written(perplexities(df, trusted, id_col, text_col, names), "scored")
+def _judged(df: DataFrame, trusted: DataFrame, id_col: str, text_col: str, lang_col: str, keep_cols: tuple[str, ...], quantile: float, slack: float, allowance: float, least: int) -> DataFrame:
+    """id, keep_0 (the language), keep_1 ..., log_perplexity, limit, kept."""
+    scored = written(perplexities(df, trusted, id_col, text_col, (lang_col, *keep_cols)), "scored")
     own = scored.filter("is_trusted AND log_perplexity IS NOT NULL")
     at = F.percentile_approx("log_perplexity", quantile, 10_000)
-    limits = own.groupBy(F.col(f"`{lang_col}`").alias("__lang")).agg(at.alias("l"), F.count(F.lit(1)).alias("n")).filter(F.col("n") >= least).select("__lang", "l")
+    limits = own.groupBy(F.col("keep_0").alias("lang")).agg(at.alias("l"), F.count(F.lit(1)).alias("n")).filter(F.col("n") >= least).select("lang", "l")
     overall = own.agg(at.alias("l")).first()["l"]
     if limits.limit(LANGUAGES + 1).count() <= LANGUAGES:
         limits = F.broadcast(limits)
-    joined = scored.join(limits, scored[f"`{lang_col}`"].eqNullSafe(limits["__lang"]), "left")
+    joined = scored.join(limits, F.expr("keep_0 <=> lang"), "left")
     out = joined.withColumn("limit", F.coalesce(F.col("l"), F.lit(overall).cast("double")) * (1 + slack) + allowance / F.sqrt("n_chars"))
-    out = out.withColumn("kept", F.coalesce(F.col("log_perplexity") <= F.col("limit"), F.lit(True)))
-    return out.select(F.col("id").alias(id_col), *[f"`{c}`" for c in names if c != id_col], "log_perplexity", "limit", "kept")
+    return out.withColumn("kept", F.coalesce(F.col("log_perplexity") <= F.col("limit"), F.lit(True)))
+
+
+def classify(df: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", quantile: float = 0.99, slack: float = 0.1, allowance: float = 2.0, least: int = 50) -> DataFrame:
+    """One row for each row of df: id_col, lang_col, log_perplexity, limit, kept.
+
+    A document without text has no perplexity and is kept; so is everything where no trusted document has text. A null
+    language is a language of its own. Repeated rows are scored alike. Other columns of df are ignored.
+    """
+    out = _judged(df, trusted, id_col, text_col, lang_col, (), quantile, slack, allowance, least)
+    return out.select(F.col("id").alias(id_col), F.col("keep_0").alias(lang_col), "log_perplexity", "limit", "kept")
+
+
+def accepted(df: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", quantile: float = 0.99, slack: float = 0.1, allowance: float = 2.0, least: int = 50) -> DataFrame:
+    """The rows of df that classify keeps, with all columns of df, whatever their names."""
+    rest = tuple(c for c in df.columns if c not in (id_col, lang_col))
+    out = _judged(df, trusted, id_col, text_col, lang_col, rest, quantile, slack, allowance, least).filter("kept")
+    names = {id_col: "id", lang_col: "keep_0"} | {c: f"keep_{i + 1}" for i, c in enumerate(rest)}
+    return out.select(*[F.col(names[c]).alias(c) for c in df.columns])
