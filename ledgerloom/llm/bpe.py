@@ -183,19 +183,24 @@ class PieceCache:
             self.slot[piece] = n
             self.starts[n + 1] = self.used
 
-    def encode(self, text: str | None) -> np.ndarray:
-        if not text:
-            return np.zeros(0, np.uint32)
-        pieces = [p for p in _SPACE.split(text) if p] if _EXTRA_SPACE.search(text) else text.split()
+    def encode(self, texts: list[str | None]) -> list[np.ndarray]:
+        """The ids of each text; null has none."""
         if len(self.slot) > CACHE:
             self.clear()
+        pieces, ends = [], []
+        for t in texts:
+            if t:
+                pieces += [p for p in _SPACE.split(t) if p] if _EXTRA_SPACE.search(t) else t.split()
+            ends.append(len(pieces))
         new = set(pieces).difference(self.slot)
         if new:
-            self._learn(sorted(new))
+            self._learn(list(new))
         slots = np.fromiter(map(self.slot.__getitem__, pieces), np.int64, len(pieces))
-        start, length = self.starts[slots], self.starts[slots + 1] - self.starts[slots]
-        ends = np.cumsum(length)
-        return self.flat[np.repeat(start - ends + length, length) + np.arange(ends[-1] if len(ends) else 0)]
+        start = self.starts[slots]
+        length = self.starts[slots + 1] - start
+        total = np.concatenate([np.zeros(1, np.int64), np.cumsum(length)])
+        flat = self.flat[np.repeat(start - total[:-1], length) + np.arange(total[-1])]
+        return np.split(flat, total[ends[:-1]]) if texts else []
 
 
 _LOADED: dict = {}
@@ -207,6 +212,9 @@ def loaded(name: str, spec: str) -> tuple:
     if key not in _LOADED:
         _LOADED.clear()
         if name == "library":
+            import os
+
+            os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core; idle threads of a pool would only spin
             from tokenizers import Tokenizer
 
             own = Tokenizer.from_str(spec)
@@ -238,7 +246,7 @@ def encode(df: DataFrame, vocab_path: str, id_col: str = "doc_id", text_col: str
     def run(batches):
         bpe, cache = loaded("backtracking", shared.value)
         for batch in text_slices(batches, limit=1_000_000):
-            ids = [cache.encode(t) for t in batch.column(1).to_pylist()]
+            ids = cache.encode(batch.column(1).to_pylist())
             columns = [batch.column(0), pa.array(map(len, ids), pa.int64()), pa.array((x.astype("<u4").tobytes() for x in ids), pa.binary())]
             if decoded:
                 columns.append(pa.array(map(bpe.decode, ids), pa.string()))

@@ -164,8 +164,9 @@ def pack(df: DataFrame, vocab_path: str, id_col: str = "doc_id", text_col: str =
 
         for batch in text_slices(batches, limit=1_000_000):
             out_type = batch.column(0).type
-            for doc, text, first in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-                ids = np.append(cache.encode(text), np.uint32(end_id))
+            encoded = cache.encode(batch.column(1).to_pylist())
+            for doc, ids, first in zip(batch.column(0).to_pylist(), encoded, batch.column(2).to_pylist(), strict=True):
+                ids = np.append(ids, np.uint32(end_id))
                 packer.add((doc, 0, ids, None if first is None else np.arange(len(ids)) >= first, len(ids)))
             if packer.done:
                 yield rows()
