@@ -1,11 +1,501 @@
-"""The registered queries over the ledger and their DuckDB SQL."""
+"""The registered queries over the ledger and the SQL that must give the same rows."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-FLAGSHIP = ""
+from ledgerloom.functions import text as fx
+from ledgerloom.operators import crosswalk, query, reconcile, structure, trace, verify
+from ledgerloom.schema import AMOUNTS, CPI
+from ledgerloom.sources.ledger import LEDGER_SQL, deflators, ledger, table
+
+FLAGSHIP = "compare_by_year"
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+
+
+def _amounts():
+    return tuple(map(F.col, AMOUNTS))
+
+
+def register(name: str, sql: str | None = None, on_ledger: bool = True):
+    def add(f):
+        QUERIES[name] = f
+        if sql:
+            ORACLES[name] = (LEDGER_SQL + sql) if on_ledger else sql
+        return f
+
+    return add
+
+
+def _full(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return query.with_defaults(ledger(spark, sf_dir))
+
+
+def _values(spark: SparkSession, rows: list[str]) -> DataFrame:
+    return spark.createDataFrame([(i, r) for i, r in enumerate(rows)], "id int, v string")
+
+
+def _values_sql(rows: list[str]) -> str:
+    return "WITH d(id, v) AS (VALUES " + ", ".join(f"({i}, '" + r.replace("'", "''") + "')" for i, r in enumerate(rows)) + ") "
+
+
+# ---- filters, dedupe, flows -----------------------------------------------------------------------------------------
+
+
+@register("filter_line_items", """
+SELECT report_id, row_ord, fiscal_year, account, line_item_text, committee_recommendation FROM ledger
+WHERE NOT is_subtotal AND chamber = 'senate' AND fiscal_year >= 1994 AND fiscal_year <= 1996
+ AND contains(lower(concat_ws(' ', account, line_item_text)), 'anvil')""")
+def filter_line_items(spark, sf_dir):
+    rows = query.filter_items(_full(spark, sf_dir), chamber="SENATE", fiscal_year_min=1994, fiscal_year_max=1996, account="Anvil")
+    return rows.select("report_id", "row_ord", "fiscal_year", "account", "line_item_text", "committee_recommendation")
+
+
+@register("list_page", """
+SELECT report_id, row_ord, line_item_text, count(*) OVER () AS total FROM ledger WHERE NOT is_subtotal ORDER BY report_id, row_ord LIMIT 100 OFFSET 50""")
+def list_page(spark, sf_dir):
+    return query.page(query.filter_items(_full(spark, sf_dir)).select("report_id", "row_ord", "line_item_text"), 100, 50)
+
+
+_COMPARE = "SELECT fiscal_year, CAST(sum(committee_recommendation) AS BIGINT) AS amount, count(*) AS n_rows, false AS factor_missing FROM ledger WHERE NOT is_subtotal AND committee_recommendation IS NOT NULL AND contains(lower(concat_ws(' ', account, line_item_text)), 'gear') GROUP BY fiscal_year"
+
+
+@register("compare_by_year", _COMPARE)
+def compare_by_year(spark, sf_dir):
+    return query.compare(_full(spark, sf_dir), account="gear")
+
+
+_CPI_SQL = ", ".join(f"({y}, {v})" for y, v in CPI.items())
+
+
+@register("compare_real", f"""
+, f AS (SELECT y, CAST(round_even({CPI[2024]}::DOUBLE / v::DOUBLE, 4) AS DOUBLE) AS factor FROM (VALUES {_CPI_SQL}) AS t(y, v))
+SELECT l.fiscal_year + 22 AS fiscal_year, CAST(sum(CASE WHEN factor IS NULL THEN committee_recommendation ELSE CAST(round_even(committee_recommendation * factor, 0) AS BIGINT) END) AS BIGINT) AS amount,
+ count(*) AS n_rows, bool_or(factor IS NULL) AS factor_missing
+FROM ledger l LEFT JOIN f ON y = l.fiscal_year + 22 WHERE NOT is_subtotal AND committee_recommendation IS NOT NULL AND contains(lower(concat_ws(' ', account, line_item_text)), 'bolt') GROUP BY ALL""")
+def compare_real(spark, sf_dir):
+    """The ledger's years moved into the price series."""
+    rows = _full(spark, sf_dir).withColumn("fiscal_year", F.col("fiscal_year") + 22)
+    return query.compare(rows, account="bolt", factors=deflators(spark))
+
+
+@register("inflation_factors", f"SELECT y AS fiscal_year, CAST(round_even({CPI[2024]}::DOUBLE / v::DOUBLE, 4) AS DOUBLE) AS real_factor FROM (VALUES {_CPI_SQL}) AS t(y, v)", on_ledger=False)
+def inflation_factors(spark, sf_dir):
+    return deflators(spark).select("fiscal_year", "real_factor")
+
+
+_GRAIN = """
+, g AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY report_id, account ORDER BY abs(committee_recommendation) DESC, row_ord) AS rk
+ FROM ledger WHERE committee_recommendation IS NOT NULL AND account IS NOT NULL AND NOT is_subtotal) WHERE rk = 1)"""
+
+
+@register("account_grain_dedupe", _GRAIN + " SELECT report_id, account, row_ord, committee_recommendation FROM g")
+def account_grain_dedupe(spark, sf_dir):
+    return query.account_grain(_full(spark, sf_dir)).select("report_id", "account", "row_ord", "committee_recommendation")
+
+
+@register("account_tiers", "SELECT 'named' AS account_tier, count(*) AS n_rows FROM ledger WHERE committee_recommendation IS NOT NULL AND NOT is_subtotal")
+def account_tiers(spark, sf_dir):
+    return query.grain_coverage(_full(spark, sf_dir))
+
+
+_FLOW = _GRAIN + """
+, r AS (SELECT report_id, row_ord, committee_recommendation AS amount, subcommittee, agency, account FROM g)
+, s AS (SELECT 'subcommittee' AS level, subcommittee AS name, sum(abs(amount)) AS size FROM r GROUP BY 2 UNION ALL SELECT 'agency', agency, sum(abs(amount)) FROM r GROUP BY 2 UNION ALL SELECT 'account', account, sum(abs(amount)) FROM r GROUP BY 2)
+, k AS (SELECT level, name FROM (SELECT *, row_number() OVER (PARTITION BY level ORDER BY size DESC, name) AS rk FROM s) WHERE rk <= 12)
+, n AS (SELECT r.*, coalesce(a.name, '(other)') AS s1, coalesce(b.name, '(other)') AS s2, coalesce(c.name, '(other)') AS s3 FROM r
+ LEFT JOIN k a ON a.level = 'subcommittee' AND a.name = subcommittee LEFT JOIN k b ON b.level = 'agency' AND b.name = agency LEFT JOIN k c ON c.level = 'account' AND c.name = account)"""
+
+
+def _flow(spark, sf_dir):
+    return query.flow(_full(spark, sf_dir), levels=("subcommittee", "agency", "account"))
+
+
+@register("flow_nodes", _FLOW + """
+SELECT 'subcommittee' AS level, s1 AS name, CAST(sum(amount) AS BIGINT) AS total FROM n GROUP BY s1 UNION ALL SELECT 'agency', s2, CAST(sum(amount) AS BIGINT) FROM n GROUP BY s2 UNION ALL SELECT 'account', s3, CAST(sum(amount) AS BIGINT) FROM n GROUP BY s3""")
+def flow_nodes(spark, sf_dir):
+    return _flow(spark, sf_dir)[0]
+
+
+@register("flow_links", _FLOW + """
+SELECT 'subcommittee' AS source_level, s1 AS source, 'agency' AS target_level, s2 AS target, CAST(sum(amount) AS BIGINT) AS value FROM n GROUP BY s1, s2
+UNION ALL SELECT 'agency', s2, 'account', s3, CAST(sum(amount) AS BIGINT) FROM n GROUP BY s2, s3""")
+def flow_links(spark, sf_dir):
+    return _flow(spark, sf_dir)[1]
+
+
+@register("facets", """
+SELECT DISTINCT facet, value FROM (SELECT 'chamber' AS facet, chamber AS value FROM ledger UNION ALL SELECT 'stage', stage FROM ledger UNION ALL SELECT 'subcommittee', subcommittee FROM ledger UNION ALL SELECT 'fiscal_year', CAST(fiscal_year AS VARCHAR) FROM ledger)""")
+def facets(spark, sf_dir):
+    return query.facets(ledger(spark, sf_dir))
+
+
+_PASS = "coalesce(committee_recommendation - prior_year_enacted = delta_vs_enacted, true) AND coalesce(committee_recommendation - budget_estimate = delta_vs_estimate, true)"
+_STATUS = f"CASE WHEN (committee_recommendation - prior_year_enacted = delta_vs_enacted) IS NULL AND (committee_recommendation - budget_estimate = delta_vs_estimate) IS NULL THEN 'unverifiable' WHEN {_PASS} THEN 'pass' ELSE 'fail' END"
+
+
+@register("coverage_matrix", f"""
+SELECT stage, chamber, fiscal_year, count(DISTINCT report_id) AS reports, count(*) AS n_rows, count(*) FILTER ({_STATUS} = 'pass') AS verified FROM ledger GROUP BY ALL""")
+def coverage_matrix(spark, sf_dir):
+    return query.coverage_matrix(ledger(spark, sf_dir).withColumn("verified", verify.row_status(*_amounts()) == "pass"))
+
+
+_TIER = f"CASE WHEN {_STATUS} = 'pass' THEN 'delta_arithmetic' ELSE 'none' END"
+
+
+@register("tier_histogram", f"SELECT tier, count(*) AS n_rows, round(count(*) * 100.0 / (SELECT count(*) FROM ledger), 4) AS percent FROM (SELECT {_TIER} AS tier FROM ledger) GROUP BY tier")
+def tier_histogram(spark, sf_dir):
+    tier = verify.verification_tier(verify.row_status(*_amounts()) == "pass", F.lit("delta_arithmetic"), F.coalesce("committee_recommendation", "prior_year_enacted").isNotNull(), F.lit(None).cast("string"), F.lit(False))
+    return query.histogram(ledger(spark, sf_dir).withColumn("tier", tier), "tier")
+
+
+_SPLIT = "pe <> 0 AND be <> 0 AND pe + be = cr AND de = pe AND dt = be"
+
+
+@register("column_layout", """
+SELECT column_layout, count(*) AS n_rows FROM (SELECT CASE WHEN regexp_full_match(trim(line_item_text), '[0-9]{1,3}\\.?') THEN 'procurement_qty' WHEN coalesce(prior_year_enacted <> 0 AND budget_estimate <> 0 AND prior_year_enacted + budget_estimate = committee_recommendation AND delta_vs_enacted = prior_year_enacted AND delta_vs_estimate = budget_estimate, false) THEN 'category_split' ELSE 'standard' END AS column_layout FROM ledger) GROUP BY 1""")
+def column_layout(spark, sf_dir):
+    return ledger(spark, sf_dir).groupBy(fx.column_layout(F.col("line_item_text"), *_amounts()).alias("column_layout")).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@register("unverified_profile")
+def unverified_profile(spark, sf_dir):
+    rows = ledger(spark, sf_dir).filter(~F.col("is_subtotal") & (verify.row_status(*_amounts()) != "pass"))
+    return query.unverified_profile(rows, fx.unverified_category(F.col("line_item_text"), F.lit(""), *_amounts()))
+
+
+# ---- accounts over time ---------------------------------------------------------------------------------------------
+
+_REPS = """
+, reps AS (SELECT report_id, code AS account_key, fiscal_year, chamber, stage, committee_recommendation AS amount, account AS title FROM (
+ SELECT *, row_number() OVER (PARTITION BY report_id, code ORDER BY abs(committee_recommendation) DESC, row_ord) AS rk FROM ledger WHERE code IS NOT NULL AND committee_recommendation IS NOT NULL AND NOT is_subtotal) WHERE rk = 1)"""
+_DOMINANT = _REPS + """
+, dom AS (SELECT account_key, fiscal_year, title FROM (SELECT *, row_number() OVER (PARTITION BY account_key, fiscal_year ORDER BY money DESC, n DESC, title) AS rk FROM (
+ SELECT account_key, fiscal_year, title, sum(abs(amount)) AS money, count(*) AS n FROM reps GROUP BY ALL)) WHERE rk = 1)"""
+
+
+def _reps(spark, sf_dir):
+    return trace.representatives(_full(spark, sf_dir).withColumn("account_key", F.col("code")))
+
+
+@register("trace_series", _REPS + " SELECT account_key, fiscal_year, chamber, stage, CAST(sum(amount) AS BIGINT) AS amount FROM reps GROUP BY ALL")
+def trace_series(spark, sf_dir):
+    return trace.series(_reps(spark, sf_dir))
+
+
+@register("trace_labels", _REPS + " SELECT account_key, title, min(fiscal_year) AS first_year, max(fiscal_year) AS last_year FROM reps GROUP BY ALL")
+def trace_labels(spark, sf_dir):
+    return trace.labels(_reps(spark, sf_dir))
+
+
+_NORM = "trim(regexp_replace(lower({}), '[^a-z0-9]+', ' ', 'g'))"
+_KIND = "CASE WHEN {a} = {b} THEN 'case' WHEN starts_with({a} || ' ', {b} || ' ') OR starts_with({b} || ' ', {a} || ' ') THEN 'prefix' ELSE 'reword' END".format(a=_NORM.format("before"), b=_NORM.format("after"))
+
+
+@register("trace_changes", _DOMINANT + f"""
+, c AS (SELECT account_key, lag(fiscal_year) OVER w AS year_before, fiscal_year, lag(title) OVER w AS before, title AS after FROM dom WINDOW w AS (PARTITION BY account_key ORDER BY fiscal_year))
+SELECT * FROM (SELECT *, {_KIND} AS kind FROM c WHERE before IS NOT NULL) WHERE kind <> 'case'""")
+def trace_changes(spark, sf_dir):
+    return trace.title_changes(_reps(spark, sf_dir))
+
+
+@register("trace_kinds", _DOMINANT + f"""
+, c AS (SELECT account_key, lag(title) OVER (PARTITION BY account_key ORDER BY fiscal_year) AS before, title AS after FROM dom)
+SELECT kind, count(*) AS changes, count(DISTINCT account_key) AS accounts FROM (SELECT *, {_KIND} AS kind FROM c WHERE before IS NOT NULL) WHERE kind <> 'case' GROUP BY kind""")
+def trace_kinds(spark, sf_dir):
+    return trace.title_changes(_reps(spark, sf_dir)).groupBy("kind").agg(F.count(F.lit(1)).alias("changes"), F.count_distinct("account_key").alias("accounts"))
+
+
+@register("trace_accounts", _REPS + " SELECT account_key, count(DISTINCT fiscal_year) AS n_years, count(DISTINCT report_id) AS report_count FROM reps GROUP BY 1 HAVING count(DISTINCT fiscal_year) >= 2")
+def trace_accounts(spark, sf_dir):
+    return trace.accounts(_full(spark, sf_dir).withColumn("account_key", F.col("code")), min_years=2).select("account_key", "n_years", "report_count")
+
+
+# ---- row checks -----------------------------------------------------------------------------------------------------
+
+
+@register("delta_status", f"SELECT {_STATUS} AS status, chamber, count(*) AS n_rows FROM ledger GROUP BY ALL")
+def delta_status(spark, sf_dir):
+    return ledger(spark, sf_dir).groupBy(verify.row_status(*_amounts()).alias("status"), "chamber").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+_BROKEN = """
+, b AS (SELECT report_id, row_ord, is_subtotal, chamber, prior_year_enacted AS pe, budget_estimate AS be, CASE WHEN NOT is_subtotal AND row_ord % 19 = 3 THEN NULL WHEN NOT is_subtotal AND row_ord % 23 = 5 THEN committee_recommendation + 100 ELSE committee_recommendation END AS cr, delta_vs_enacted AS de, delta_vs_estimate AS dt FROM ledger)
+, p AS (SELECT *, pe + de AS c1, be + dt AS c2 FROM b)"""
+
+
+def _broken(spark, sf_dir):
+    """The ledger with some recommendations missing and some wrong."""
+    cr = F.when(~F.col("is_subtotal") & (F.col("row_ord") % 19 == 3), None).when(~F.col("is_subtotal") & (F.col("row_ord") % 23 == 5), F.col("committee_recommendation") + 100).otherwise(F.col("committee_recommendation"))
+    return ledger(spark, sf_dir).withColumn("committee_recommendation", cr)
+
+
+@register("recover_primary", _BROKEN + " SELECT report_id, row_ord, coalesce(cr, CASE WHEN c1 IS NULL THEN c2 WHEN c2 IS NULL THEN c1 WHEN c1 = c2 THEN c1 END) AS recovered FROM p")
+def recover_primary(spark, sf_dir):
+    return _broken(spark, sf_dir).select("report_id", "row_ord", verify.recovered_primary(*_amounts()).alias("recovered"))
+
+
+@register("repair", _BROKEN + """
+, a AS (SELECT *, coalesce(cr, CASE WHEN c1 IS NULL THEN c2 WHEN c2 IS NULL THEN c1 WHEN c1 = c2 THEN c1 END) AS found FROM p)
+, x AS (SELECT *, CASE WHEN is_subtotal THEN NULL WHEN cr IS NULL AND found IS NOT NULL THEN 'recovered' WHEN c1 = c2 AND c1 <> cr THEN 'corrected' END AS repair_action FROM a)
+SELECT report_id, row_ord, repair_action, CASE WHEN repair_action = 'corrected' THEN cr END AS corrected_from, CASE WHEN repair_action = 'corrected' THEN c1 WHEN repair_action = 'recovered' THEN found ELSE cr END AS repaired FROM x""")
+def repair(spark, sf_dir):
+    return verify.repair(_broken(spark, sf_dir)).select("report_id", "row_ord", "repair_action", "corrected_from", "repaired")
+
+
+@register("verify_summary", _BROKEN + """
+, f AS (SELECT *, c1 = c2 AND c1 IS DISTINCT FROM cr AS fixed, CASE WHEN c1 = c2 AND c1 IS DISTINCT FROM cr THEN c1 ELSE cr END AS v FROM p)
+, s AS (SELECT *, CASE WHEN (v - pe = de) IS NULL AND (v - be = dt) IS NULL THEN 'unverifiable' WHEN coalesce(v - pe = de, true) AND coalesce(v - be = dt, true) THEN 'pass' ELSE 'fail' END AS st FROM f)
+SELECT chamber, count(*) FILTER (st = 'pass') AS passed, count(*) FILTER (st = 'fail') AS failed, count(*) FILTER (st = 'unverifiable') AS unverifiable, count(*) FILTER (coalesce(fixed, false)) AS auto_repaired,
+ round(count(*) FILTER (st = 'pass') / CAST(count(*) FILTER (st <> 'unverifiable') AS DOUBLE), 6) AS pass_rate FROM s GROUP BY chamber""")
+def verify_summary(spark, sf_dir):
+    return verify.verify_summary(verify.verify(_broken(spark, sf_dir)), "chamber")
+
+
+@register("repair_counts", _BROKEN + """
+, a AS (SELECT *, coalesce(cr, CASE WHEN c1 IS NULL THEN c2 WHEN c2 IS NULL THEN c1 WHEN c1 = c2 THEN c1 END) AS found FROM p)
+SELECT chamber, count(*) FILTER (NOT is_subtotal AND cr IS NULL AND found IS NOT NULL) AS recovered, count(*) FILTER (NOT is_subtotal AND c1 = c2 AND c1 <> cr) AS corrected FROM a GROUP BY ROLLUP (chamber)""")
+def repair_counts(spark, sf_dir):
+    return verify.repair(_broken(spark, sf_dir)).rollup("chamber").agg(F.count_if(F.col("repair_action") == "recovered").alias("recovered"), F.count_if(F.col("repair_action") == "corrected").alias("corrected"))
+
+
+@register("magnitude", "SELECT report_id, row_ord, substr(line_item_text, 1, 60) AS label, CASE WHEN abs(prior_year_enacted) > 9000000 THEN 'prior_year_enacted' WHEN abs(budget_estimate) > 9000000 THEN 'budget_estimate' ELSE 'committee_recommendation' END AS \"column\", CASE WHEN abs(prior_year_enacted) > 9000000 THEN prior_year_enacted WHEN abs(budget_estimate) > 9000000 THEN budget_estimate ELSE committee_recommendation END AS value FROM ledger WHERE abs(prior_year_enacted) > 9000000 OR abs(budget_estimate) > 9000000 OR abs(committee_recommendation) > 9000000")
+def magnitude(spark, sf_dir):
+    return verify.oversized(ledger(spark, sf_dir), "report_id", "row_ord", ceiling=9_000_000)
+
+
+@register("check_deltas", """
+SELECT identity, holds, count(*) AS n_rows FROM (SELECT 'vs_enacted' AS identity, committee_recommendation - prior_year_enacted = coalesce(delta_vs_enacted, 0) AS holds FROM ledger UNION ALL SELECT 'vs_estimate', committee_recommendation - budget_estimate = coalesce(delta_vs_estimate, 0) FROM ledger) WHERE holds IS NOT NULL GROUP BY ALL""")
+def check_deltas(spark, sf_dir):
+    return verify.check_deltas(ledger(spark, sf_dir), "report_id", "row_ord").groupBy("identity", "holds").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@register("check_subtotal", "SELECT report_id, blk, CAST(sum(CASE WHEN is_subtotal THEN 0 ELSE coalesce(committee_recommendation, 0) END) AS BIGINT) AS computed, CAST(sum(CASE WHEN is_subtotal THEN coalesce(committee_recommendation, 0) ELSE 0 END) AS BIGINT) AS printed, sum(CASE WHEN is_subtotal THEN 0 ELSE coalesce(committee_recommendation, 0) END) = sum(CASE WHEN is_subtotal THEN coalesce(committee_recommendation, 0) ELSE 0 END) AS holds FROM ledger GROUP BY ALL")
+def check_subtotal(spark, sf_dir):
+    return verify.check_subtotal(ledger(spark, sf_dir), "report_id", "blk")
+
+
+@register("three_tier_match", r"""
+WITH q AS (SELECT item_id, trim(regexp_replace(text, '\s+', ' ', 'g')) AS raw FROM benchmark), d AS (SELECT doc_id, text FROM documents WHERE doc_id % 50 = 0)
+SELECT item_id, doc_id, CASE WHEN contains(text, raw) THEN 'exact' WHEN contains(regexp_replace(text, '\s+', ' ', 'g'), raw) THEN 'whitespace' WHEN contains(regexp_replace(text, '\s+', '', 'g'), regexp_replace(raw, '\s+', '', 'g')) THEN 'spaceless' ELSE 'failed' END AS tier FROM q JOIN d ON item_id = (doc_id // 50) % 40""", on_ledger=False)
+def three_tier_match(spark, sf_dir):
+    """Each passage against the documents it is assigned to: those whose id is divisible by 50 are the stated queries."""
+    q = table(spark, sf_dir, "benchmark").select("item_id", fx.strip(F.regexp_replace("text", r"\s+", " ")).alias("raw"))
+    d = table(spark, sf_dir, "documents").filter("doc_id % 50 = 0").select("doc_id", "text", F.expr("(doc_id div 50) % 40").alias("item_id"))
+    return d.join(q, "item_id").select("item_id", "doc_id", verify.matched(F.col("raw"), F.col("text"))["tier"].alias("tier"))
+
+
+# ---- order ----------------------------------------------------------------------------------------------------------
+
+
+@register("summary_islands", r"""
+, t AS (SELECT report_id, row_ord, CASE WHEN row_ord % 29 = 0 THEN 'Projection of outlays' WHEN row_ord % 29 IN (1, 2) THEN 'Discretionary' WHEN row_ord % 31 = 7 THEN '1997' ELSE line_item_text END AS x FROM ledger)
+, k AS (SELECT *, regexp_matches(x, '^(19|20)[0-9][0-9]$') AS y, x = 'Projection of outlays' AS h FROM t), s AS (SELECT *, y OR h OR x = 'Discretionary' AS kind FROM k)
+, i AS (SELECT *, sum(CASE WHEN kind THEN 0 ELSE 1 END) OVER (PARTITION BY report_id ORDER BY row_ord) AS island FROM s)
+SELECT report_id, row_ord, kind AND (y OR bool_or(h) OVER (PARTITION BY report_id, island ORDER BY row_ord)) AS is_summary FROM i""")
+def summary_islands(spark, sf_dir):
+    n = F.col("row_ord")
+    label = F.when(n % 29 == 0, "Projection of outlays").when((n % 29).isin(1, 2), "Discretionary").when(n % 31 == 7, "1997").otherwise(F.col("line_item_text"))
+    return structure.summary_flags(ledger(spark, sf_dir).withColumn("line_item_text", label)).select("report_id", "row_ord", "is_summary")
+
+
+@register("next_rollup_backfill", """
+, u2 AS (SELECT report_id, row_ord, is_subtotal, line_item_text, CASE WHEN pk % 3 = 0 THEN NULL ELSE account END AS account FROM ledger)
+SELECT report_id, row_ord, CASE WHEN NOT is_subtotal AND account IS NULL THEN first_value(CASE WHEN is_subtotal THEN substr(line_item_text, 8) END IGNORE NULLS) OVER (PARTITION BY report_id ORDER BY row_ord ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) END AS account_recovered FROM u2""")
+def next_rollup_backfill(spark, sf_dir):
+    rows = ledger(spark, sf_dir).withColumn("account", F.when(F.col("pk") % 3 == 0, None).otherwise(F.col("account")))
+    return structure.next_rollup_account(rows).select("report_id", "row_ord", "account_recovered")
+
+
+@register("range_compress", """
+, v AS (SELECT DISTINCT report_id, row_ord FROM ledger WHERE pk % 2 = 0), g AS (SELECT *, row_ord - row_number() OVER (PARTITION BY report_id ORDER BY row_ord) AS k FROM v)
+, r AS (SELECT report_id, min(row_ord) AS a, max(row_ord) AS b FROM g GROUP BY report_id, k)
+SELECT report_id, string_agg(CASE WHEN a = b THEN CAST(a AS VARCHAR) ELSE CAST(a AS VARCHAR) || ':' || CAST(b AS VARCHAR) END, ',' ORDER BY a) AS ranges FROM r GROUP BY report_id""")
+def range_compress(spark, sf_dir):
+    return structure.compressed_ranges(ledger(spark, sf_dir).filter("pk % 2 = 0"), "row_ord", "report_id")
+
+
+@register("keep_first", "SELECT report_id, account, min(row_ord) AS row_ord FROM ledger WHERE account IS NOT NULL GROUP BY ALL")
+def keep_first(spark, sf_dir):
+    return structure.keep_first(ledger(spark, sf_dir).filter("account IS NOT NULL"), "report_id", "account").select("report_id", "account", "row_ord")
+
+
+@register("forward_fill", """
+, x AS (SELECT report_id, row_ord, CASE WHEN row_ord % 17 = 1 THEN agency END AS d, CASE WHEN row_ord % 5 = 2 THEN account END AS a FROM ledger)
+, e AS (SELECT *, count(d) OVER (PARTITION BY report_id ORDER BY row_ord) AS k FROM x)
+SELECT report_id, row_ord, last_value(d IGNORE NULLS) OVER (PARTITION BY report_id ORDER BY row_ord) AS department_ctx, last_value(a IGNORE NULLS) OVER (PARTITION BY report_id, k ORDER BY row_ord) AS account_ctx FROM e""")
+def forward_fill(spark, sf_dir):
+    n = F.col("row_ord")
+    levels = [("department_ctx", F.when(n % 17 == 1, F.col("agency"))), ("account_ctx", F.when(n % 5 == 2, F.col("account")))]
+    return structure.fill_context(ledger(spark, sf_dir).select("report_id", "row_ord", "agency", "account"), levels).select("report_id", "row_ord", "department_ctx", "account_ctx")
+
+
+@register("block_inference")
+def block_inference(spark, sf_dir):
+    rows = ledger(spark, sf_dir).withColumn("account", F.lit(None).cast("string"))
+    return structure.infer_block_accounts(rows).filter("account_inferred IS NOT NULL").select("report_id", "row_ord", "account_inferred")
+
+
+@register("oversum_blocks")
+def oversum_blocks(spark, sf_dir):
+    return structure.oversum_blocks(ledger(spark, sf_dir))
+
+
+@register("recover_indent", """
+, b AS (SELECT report_id, blk, sum(CASE WHEN NOT is_subtotal AND NOT is_memo THEN committee_recommendation END) AS s, max(CASE WHEN is_subtotal THEN committee_recommendation END) AS t, bool_or(is_memo) AS f FROM ledger GROUP BY ALL)
+SELECT l.report_id, l.row_ord, l.is_memo, CASE WHEN NOT l.is_memo THEN 'Order ' || CAST(l.blk AS VARCHAR) END AS account_inferred FROM ledger l JOIN b ON l.report_id = b.report_id AND l.blk = b.blk WHERE b.f AND b.s = b.t AND NOT l.is_subtotal""")
+def recover_indent(spark, sf_dir):
+    rows = ledger(spark, sf_dir)
+    done = structure.recover_indent(rows.withColumn("is_memo", F.lit(False)), rows.filter("is_memo"))
+    return done.filter("account_inferred IS NOT NULL OR is_memo").select("report_id", "row_ord", "is_memo", "account_inferred")
+
+
+# ---- reconciliation -------------------------------------------------------------------------------------------------
+
+
+@register("reconcile_totals", """
+, b AS (SELECT report_id, blk, sum(CASE WHEN NOT is_subtotal THEN committee_recommendation END) AS s_all, sum(CASE WHEN NOT is_subtotal AND NOT is_memo THEN committee_recommendation END) AS s_net FROM ledger GROUP BY ALL)
+SELECT l.report_id, l.row_ord, CASE WHEN committee_recommendation IS NULL THEN 'unchecked' WHEN committee_recommendation = s_net OR committee_recommendation = s_all THEN 'ok' ELSE 'other' END AS status
+FROM ledger l JOIN b ON l.report_id = b.report_id AND l.blk = b.blk WHERE is_subtotal AND coalesce(committee_recommendation, 1) <> 0""")
+def reconcile_totals(spark, sf_dir):
+    """Totals of zero are left out, as the query's own feature: SQL can't see that one may close against an earlier total of zero."""
+    found = reconcile.reconcile(ledger(spark, sf_dir)).filter("coalesce(printed, 1) <> 0")
+    return found.select("report_id", "row_ord", F.when(F.col("status").isin("ok", "unchecked"), F.col("status")).otherwise("other").alias("status"))
+
+
+@register("reconcile_ledger")
+def reconcile_ledger(spark, sf_dir):
+    return reconcile.reconcile(ledger(spark, sf_dir))
+
+
+@register("reconcile_summary")
+def reconcile_summary(spark, sf_dir):
+    tracks = ledger(spark, sf_dir).groupBy("report_id").agg(F.max(F.when(F.col("stage") == "enacted", "enacted").otherwise(F.col("chamber"))).alias("track"))
+    return reconcile.summarize(reconcile.reconcile(ledger(spark, sf_dir)).join(tracks, "report_id"), "track")
+
+
+@register("review_queue")
+def review_queue(spark, sf_dir):
+    return reconcile.review_queue(reconcile.reconcile(ledger(spark, sf_dir)))
+
+
+# ---- joins ----------------------------------------------------------------------------------------------------------
+
+
+def _reference(spark, sf_dir):
+    """Parts as a reference of accounts: the name is the symbol, name and type the title."""
+    p = table(spark, sf_dir, "part")
+    return p.select(F.col("p_partkey").alias("ref_ord"), F.col("p_name").alias("federal_account_symbol"), F.concat_ws(" ", "p_name", "p_type").alias("account_title"), F.col("p_brand").alias("agency"))
+
+
+@register("crosswalk_containment", """
+WITH stop AS (SELECT unnest(['the','of','and','for','to','a','an','in','on','at','by','salaries','expenses','account','accounts','fund','funds','revolving','appropriation','appropriations']) AS w),
+rw AS (SELECT DISTINCT p_partkey, p_name, t, w FROM (SELECT p_partkey, p_name, p_name || ' ' || p_type AS t, unnest(regexp_extract_all(lower(p_name || ' ' || p_type), '[a-z0-9]+')) AS w FROM part) WHERE length(w) > 2 AND w NOT IN (SELECT w FROM stop)),
+r AS (SELECT * FROM rw WHERE p_partkey IN (SELECT p_partkey FROM rw GROUP BY 1 HAVING count(*) >= 2)),
+lab AS (SELECT DISTINCT p_name AS name FROM part UNION SELECT string_split(p_name, ' ')[2] || ' ' || p_type FROM part), lw AS (SELECT DISTINCT name, w FROM (SELECT name, unnest(regexp_extract_all(lower(name), '[a-z0-9]+')) AS w FROM lab) WHERE length(w) > 2 AND w NOT IN (SELECT w FROM stop)),
+l AS (SELECT *, count(*) OVER (PARTITION BY name) AS n FROM lw),
+m AS (SELECT name, p_partkey, p_name, t FROM l JOIN r USING (w) WHERE n >= 2 GROUP BY name, n, p_partkey, p_name, t HAVING count(*) = n)
+SELECT name, min(p_name) AS symbol, arg_min(t, p_partkey) AS title FROM m GROUP BY name HAVING count(DISTINCT p_name) = 1""", on_ledger=False)
+def crosswalk_containment(spark, sf_dir):
+    p = table(spark, sf_dir, "part")
+    labels = p.select(F.col("p_name").alias("name")).union(p.select(F.concat_ws(" ", F.element_at(F.split("p_name", " "), 2), "p_type")))
+    return crosswalk.contained(labels.withColumn("bucket", F.lit("")), _reference(spark, sf_dir)).select("name", "symbol", "title")
+
+
+@register("crosswalk_two_pass")
+def crosswalk_two_pass(spark, sf_dir):
+    labels = ledger(spark, sf_dir).filter("account IS NOT NULL").select(F.col("line_item_text").alias("name"), F.col("subcommittee").alias("bucket"))
+    return crosswalk.contained_twice(labels, _reference(spark, sf_dir))
+
+
+@register("crosswalk_prefix")
+def crosswalk_prefix(spark, sf_dir):
+    reference = _reference(spark, sf_dir).select("ref_ord", F.col("federal_account_symbol").alias("code"), F.col("account_title").alias("title"), "agency")
+    labels = table(spark, sf_dir, "part").select(F.lower("p_name").alias("name"), F.col("p_brand").alias("context"))
+    return crosswalk.match_accounts(labels, reference)
+
+
+@register("inline_corroboration", """
+, i AS (SELECT report_id, row_ord AS inline_id, account AS label, committee_recommendation AS a, prior_year_enacted AS b FROM ledger WHERE NOT is_subtotal AND pk % 10 = 0)
+, m AS (SELECT l.report_id, l.row_ord, concat_ws(' ', l.account, l.line_item_text) AS x, i.label FROM ledger l JOIN i ON l.report_id = i.report_id WHERE NOT l.is_subtotal AND (l.prior_year_enacted IN (i.a, i.b) OR l.budget_estimate IN (i.a, i.b) OR l.committee_recommendation IN (i.a, i.b)))
+SELECT DISTINCT report_id, row_ord FROM m WHERE len(list_intersect(list_filter(regexp_extract_all(lower(x), '[a-z]+'), lambda w: length(w) > 3), list_filter(regexp_extract_all(lower(label), '[a-z]+'), lambda w: length(w) > 3))) > 0""")
+def inline_corroboration(spark, sf_dir):
+    rows = ledger(spark, sf_dir).filter("NOT is_subtotal")
+    inline = rows.filter("pk % 10 = 0").select("report_id", F.col("account").alias("label"), F.array("committee_recommendation", "prior_year_enacted").alias("amounts"))
+    return crosswalk.corroborated(rows, inline)
+
+
+@register("recall_audit")
+def recall_audit(spark, sf_dir):
+    rows = ledger(spark, sf_dir)
+    want = rows.filter("NOT is_subtotal AND pk % 7 = 0").select("report_id", F.col("row_ord").alias("account_id"), F.col("line_item_text").alias("name"), F.lit(None).cast("bigint").alias("value"))
+    return crosswalk.audit_recall(rows.filter("pk % 7 <> 0"), want).groupBy("found_by").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("page_replace", """
+, r AS (SELECT report_id, row_ord // 10 AS page, row_ord, line_item_text FROM ledger), n AS (SELECT DISTINCT report_id, page FROM r WHERE page % 4 = 1)
+SELECT report_id, page, row_ord, line_item_text FROM r WHERE (report_id, page) NOT IN (SELECT (report_id, page) FROM n) UNION ALL SELECT report_id, page, row_ord, 'again ' || line_item_text FROM r WHERE page % 4 = 1""")
+def page_replace(spark, sf_dir):
+    rows = ledger(spark, sf_dir).select("report_id", F.expr("row_ord div 10").alias("page"), "row_ord", "line_item_text")
+    again = rows.filter("page % 4 = 1").withColumn("line_item_text", F.concat(F.lit("again "), "line_item_text"))
+    return crosswalk.replace_pages(rows, again)
+
+
+# ---- scalar functions on stated values ------------------------------------------------------------------------------
+
+_DOLLARS = ["$1,368,969,000", "       358,466,000", "-123,337,000", "+46,900", "(500,000)", "(+35,000)", "(-2,491)", "---", "- - -", "................", "", "150", "12.5", ",,"]
+
+
+@register("parse_dollar", _values_sql(_DOLLARS) + r"""
+, p AS (SELECT id, v, trim(v) AS t FROM d), m AS (SELECT *, regexp_extract(t, '(\()?([+\-])?\$?([0-9,]+)(\))?', 3) AS n, regexp_extract(t, '(\()?([+\-])?\$?([0-9,]+)(\))?', 2) AS s, starts_with(t, '(') AS o FROM p)
+SELECT id, TRY_CAST(nullif(replace(n, ',', ''), '') AS BIGINT) * (CASE WHEN s = '-' THEN -1 ELSE 1 END) AS memo_value, TRY_CAST(nullif(replace(n, ',', ''), '') AS BIGINT) * 1000 * (CASE WHEN s = '-' OR (s = '' AND o) THEN -1 ELSE 1 END) AS accounting_value,
+ coalesce(o AND s <> '-' AND NOT contains(t, '-') AND TRY_CAST(nullif(replace(n, ',', ''), '') AS BIGINT) > 0, false) AS is_memo FROM m""", on_ledger=False)
+def parse_dollar(spark, sf_dir):
+    a, b = fx.parse_dollar(F.col("v"), paren_negative=False), fx.parse_dollar(F.col("v"), True, paren_negative=True)
+    return _values(spark, _DOLLARS).select("id", a["value"].alias("memo_value"), b["value"].alias("accounting_value"), fx.is_paren_memo(a).alias("is_memo"))
+
+
+_LABELS = ["International Disaster Assistance (emergency) 1,250,000", "Research at 1890 Institutions", "operations)", "Operations and Support, Base", "and other", "Science [OCO]  300 000", "abc", "Disaster Relief Fund (disaster relief)", "Grants,", "Office of the Secretary (rescission of balances)"]
+
+
+@register("clean_labels", _values_sql(_LABELS) + r"""
+, s AS (SELECT id, v, trim(regexp_replace(v, '(\s+\$?[0-9]{1,3}([ ,][0-9]{3})*)+\s*$', '')) AS k FROM d)
+SELECT id, trim(regexp_replace(regexp_replace(lower(regexp_replace(regexp_replace(k, '[(\[][^)\]]*[)\]]', '', 'g'), ',\s*(base|emergency|oco|disaster|rescission)\b.*$', '', 'i')), '[^a-z0-9 ]', ' ', 'g'), '\s+', ' ', 'g')) AS normalized,
+ CASE WHEN regexp_matches(v, '(?i)[(\[][^)\]]*\boco') THEN 'OCO' WHEN regexp_matches(v, '(?i)[(\[][^)\]]*\bemergenc') THEN 'emergency' WHEN regexp_matches(v, '(?i)[(\[][^)\]]*\bdisaster relief') THEN 'disaster' WHEN regexp_matches(v, '(?i)[(\[][^)\]]*\brescis') THEN 'rescission' ELSE 'base' END AS designation,
+ length(k) < 4 OR regexp_matches(k, '^[a-z]') OR length(replace(k, ')', '')) < length(replace(k, '(', '')) OR regexp_matches(k, '[,/-]$') OR regexp_matches(k, '(?i)^(and|or|the|of|operations|relief|appropriation)\b') AS is_fragment FROM s""", on_ledger=False)
+def clean_labels(spark, sf_dir):
+    return _values(spark, _LABELS).select("id", fx.clean_account_label(F.col("v")).alias("c")).select("id", "c.*")
+
+
+_TITLES = ["AGRICULTURE, RURAL DEVELOPMENT, FOOD AND DRUG ADMINISTRATION APPROPRIATIONS BILL, 2025", "DEPARTMENT OF DEFENSE APPROPRIATIONS BILL, 2024", "Transportation, Housing and Urban Development AP- PROPRIATIONS Act, 2027", "PROVIDING FOR CONSIDERATION OF THE BILL MAKING APPROPRIATIONS for fiscal year 2016", "Conference report, Energy and Water, September 30, 2019", "Post office naming", "National Security, Department of State, and Related Programs Appropriations, 2026"]
+
+
+@register("classify_titles", _values_sql(_TITLES) + r"""
+, l AS (SELECT id, v, lower(v) AS t FROM d)
+SELECT id, CASE WHEN contains(t, 'agriculture') THEN 'Agriculture' WHEN contains(t, 'defense appropriations') THEN 'Defense' WHEN contains(t, 'energy and water') THEN 'Energy-Water' WHEN contains(t, 'department of state, and related programs') THEN 'State-Foreign-Ops' WHEN contains(t, 'urban development') THEN 'THUD' END AS subcommittee,
+ TRY_CAST(regexp_extract(t, '([0-9]{4})', 1) AS INTEGER) AS fiscal_year, CASE WHEN contains(t, 'conference') THEN 'conference' ELSE 'committee' END AS stage, contains(replace(t, '- ', ''), 'appropriation') AND NOT contains(t, 'consideration') AS is_report FROM l""", on_ledger=False)
+def classify_titles(spark, sf_dir):
+    t = F.col("v")
+    return _values(spark, _TITLES).select("id", fx.classify_subcommittee(t).alias("subcommittee"), fx.extract_fiscal_year(t).alias("fiscal_year"), fx.classify_stage(t).alias("stage"), fx.is_report_title(t).alias("is_report"))
+
+
+@register("congress_years", "SELECT fy AS fiscal_year, CAST(114 + floor((fy - 2016) / 2.0) AS INTEGER) AS congress FROM range(2009, 2030) AS t(fy)", on_ledger=False)
+def congress_years(spark, sf_dir):
+    return spark.range(2009, 2030).select(F.col("id").alias("fiscal_year"), fx.congress_of_year(F.col("id")).alias("congress"))
+
+
+@register("event_props", "SELECT event_type, count(*) AS n, count(*) FILTER (props IS NOT NULL AND json_valid(props)) AS valid FROM events GROUP BY event_type", on_ledger=False)
+def event_props(spark, sf_dir):
+    """JSON text parsed into a map; malformed text would be null."""
+    return table(spark, sf_dir, "events").groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.count(F.from_json("props", "map<string,string>")).alias("valid"))
+
+
+@register("document_lines", "SELECT doc_id, len(string_split(text, chr(10))) AS n_lines, len(list_filter(string_split(text, chr(10)), lambda x: x <> '')) AS n_filled FROM documents", on_ledger=False)
+def document_lines(spark, sf_dir):
+    from ledgerloom.sources.ledger import lines_of
+
+    return lines_of(table(spark, sf_dir, "documents"), "doc_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_lines"), F.count_if(F.col("line") != "").alias("n_filled"))
