@@ -26,7 +26,7 @@ def drop_exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of linked near copies the document with the smallest doc_id stays; documents without an id all stay."""
     kept = jaccard_join.link_components(docs).filter("doc_id <=> component_id").select("doc_id").distinct()
-    return docs.join(kept.withColumnRenamed("doc_id", "__kept"), F.expr("doc_id <=> __kept"), "left_semi").select(*docs.columns)
+    return docs.alias("d").join(kept.alias("k"), F.expr("d.doc_id <=> k.doc_id"), "left_semi").select(*docs.columns)
 
 
 def hide_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

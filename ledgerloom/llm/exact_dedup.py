@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import cut, fold_ascii, power_at_least, shuffle_width
+from ledgerloom.llm.common import cut, fold_ascii, free_name, power_at_least, shuffle_width
 
 KEY = ["digest", "check", "bytes"]
 
@@ -63,8 +63,9 @@ def exact_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def drop_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "max", fold_case: bool = True) -> DataFrame:
     """The rows of df that exact_groups keeps, with all columns of df; rows that repeat identifier and text stay once."""
-    kept = exact_groups(df, id_col, text_col, keep, fold_case).filter("kept").select(F.col("id").alias("__keep_id"), F.col("digest").alias("__keep_digest"))
+    digest, keep_id, keep_digest = (free_name(df, n) for n in ("own_digest", "keep_id", "keep_digest"))
+    kept = exact_groups(df, id_col, text_col, keep, fold_case).filter("kept").select(F.col("id").alias(keep_id), F.col("digest").alias(keep_digest))
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
-    own = df.withColumn("__digest", F.unhex(F.sha2(fold_ascii(text) if fold_case else text, 256)))
-    found = own.join(kept, own[f"`{id_col}`"].eqNullSafe(kept["__keep_id"]) & (own["__digest"] == kept["__keep_digest"]), "left_semi")
-    return found.dropDuplicates([id_col, "__digest"]).drop("__digest")
+    own = df.withColumn(digest, F.unhex(F.sha2(fold_ascii(text) if fold_case else text, 256)))
+    found = own.join(kept, own[f"`{id_col}`"].eqNullSafe(kept[keep_id]) & (own[digest] == kept[keep_digest]), "left_semi")
+    return found.dropDuplicates([id_col, digest]).drop(digest)

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import WORD_BREAKS, fold_ascii, shuffle_width
+from ledgerloom.llm.common import WORD_BREAKS, fold_ascii, free_name, shuffle_width
 
 #: Hashes are kept as 48-bit numbers: short in a fingerprint string, and collisions within two documents stay negligible.
 SPACE_BITS = 48
@@ -91,6 +91,7 @@ def with_next(df: DataFrame, id_col: str, columns: list[str], derive=lambda d: d
     many bucket heads are collected. Ties are ordered by `columns`; null ids come first. derive must keep all rows.
     """
     spark = df.sparkSession
+    bucket, ghost, head, to = (free_name(df, n) for n in ("bucket", "ghost", "head", "to"))
     n = max(2, spread * shuffle_width(spark))
     bounds = sorted(set(df.select(F.percentile_approx(F.col(id_col), [i / n for i in range(1, n)], 100 * n).alias("b")).first()["b"] or []))
 
@@ -98,13 +99,13 @@ def with_next(df: DataFrame, id_col: str, columns: list[str], derive=lambda d: d
         mid = (lo + hi) // 2
         return F.lit(lo) if lo == hi else F.when(F.col(id_col) < bounds[mid], place(lo, mid)).otherwise(place(mid + 1, hi))
 
-    dealt = df.withColumn("__bucket", F.when(F.col(id_col).isNull(), F.lit(0)).otherwise(place(0, len(bounds)))).withColumn("__ghost", F.lit(0))
+    dealt = df.withColumn(bucket, F.when(F.col(id_col).isNull(), F.lit(0)).otherwise(place(0, len(bounds)))).withColumn(ghost, F.lit(0))
     first = F.min(F.struct(F.col(id_col).isNotNull().alias("known"), F.col(id_col).alias("id")))
-    heads = dealt.groupBy("__bucket").agg(first.alias("first")).orderBy("__bucket").collect()  # one row for each bucket
+    heads = dealt.groupBy(bucket).agg(first.alias("first")).orderBy(bucket).collect()  # one row for each bucket
     if not heads:
         return derive(df).withColumn("next", F.struct(*columns))
-    before = [(heads[i]["first"]["id"], heads[i - 1]["__bucket"]) for i in range(len(heads))]
-    named = spark.createDataFrame(before, f"__head {dict(df.dtypes)[id_col]}, __to int")
-    ghosts = dealt.join(F.broadcast(named), dealt[id_col].eqNullSafe(named["__head"])).withColumn("__bucket", F.col("__to")).withColumn("__ghost", F.lit(1)).select(*dealt.columns)
-    order = W.partitionBy("__bucket").orderBy("__ghost", id_col, *columns)
-    return derive(dealt).unionByName(derive(ghosts)).withColumn("next", F.lead(F.struct(*columns)).over(order)).filter("__ghost = 0").drop("__bucket", "__ghost")
+    before = [(heads[i]["first"]["id"], heads[i - 1][bucket]) for i in range(len(heads))]
+    named = spark.createDataFrame(before, f"`{head}` {dict(df.dtypes)[id_col]}, `{to}` int")
+    ghosts = dealt.join(F.broadcast(named), dealt[id_col].eqNullSafe(named[head])).withColumn(bucket, F.col(to)).withColumn(ghost, F.lit(1)).select(*dealt.columns)
+    order = W.partitionBy(bucket).orderBy(ghost, id_col, *columns)
+    return derive(dealt).unionByName(derive(ghosts)).withColumn("next", F.lead(F.struct(*columns)).over(order)).filter(F.col(ghost) == 0).drop(bucket, ghost)

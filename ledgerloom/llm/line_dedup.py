@@ -1,10 +1,11 @@
 """Line deduplication by winnowing over line hashes.
 
-A document is the sequence of its lines' hashes. Every shortest stretch of lines with at least min_words words is a
-window; of each window the line with the smallest hash is a fingerprint. Two documents that share a run of min_words
-words share a whole window, and so a fingerprint: no such run is missed. Fingerprints join on their hash with the
-first place (smallest document, then position) that has it; each match is an alignment of two documents, along which
-runs of equal lines are extended both ways. Runs of min_words words or more are deleted from the later document.
+A document is the sequence of its lines' hashes. A window is a shortest stretch of lines with at least min_words words,
+from each line on and up to each line; of each window the line with the smallest hash is its fingerprint. Two documents
+that share a run of min_words words share whole windows, and so their fingerprints: no such run is missed. Fingerprints
+join on their hash; the windows of those that occur at several places join on the window's content with the first place
+(smallest document, then position) that has it. Each match is an alignment of two documents, along which runs of equal
+lines are extended both ways. Runs of min_words words or more are deleted from the later document.
 
 Each deleted line equals a line at an earlier place, so the first occurrence of everything stays.
 Hashes shared by very many documents are first reduced within runs of rows, and the joins on them use run and hash; a
@@ -20,33 +21,55 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import shuffle_width, text_slices, written
+from ledgerloom.llm.common import free_name, shuffle_width, text_slices, written
 
 MIN_WORDS = 50
 #: Alignments with one document that share a join key.
 SALT_AT = 2_000
 #: At most so many salted documents are broadcast; beyond, they are joined.
 HOT_MOST = 50_000
+_PRIME, _BASE = (1 << 61) - 1, 0x1F3D5B79A2C4E68B
 
 
-def fingerprints(hashes: list[int], words: list[int], min_words: int) -> list[int]:
-    """Positions of the window minima; of equal hashes the last."""
-    chosen, ahead, total, end = [], deque(), 0, 0
-    for i in range(len(hashes)):
-        while end < len(hashes) and total < min_words:
-            while ahead and hashes[ahead[-1]] >= hashes[end]:
-                ahead.pop()
-            ahead.append(end)
+def windows(words: list[int], min_words: int) -> list[tuple[int, int]]:
+    """Shortest stretches [i, j) of min_words words or more from each line on, and up to each line; both ends ascend."""
+    found, total, end = [], 0, 0
+    for i in range(len(words)):
+        while end < len(words) and total < min_words:
             total += words[end]
             end += 1
         if total < min_words:
             break
-        if not chosen or chosen[-1] != ahead[0]:
-            chosen.append(ahead[0])
-        if ahead[0] == i:
-            ahead.popleft()
+        found.append((i, end))
         total -= words[i]
-    return chosen
+    back, total, start = [], 0, 0
+    for j in range(len(words)):
+        total += words[j]
+        while total - words[start] >= min_words:
+            total -= words[start]
+            start += 1
+        if total >= min_words:
+            back.append((start, j + 1))
+    return sorted({*found, *back})
+
+
+def fingerprints(hashes: list[int], words: list[int], min_words: int) -> list[tuple[int, int, int]]:
+    """(start, place of the smallest hash, hash of the content) of each window; of equal hashes the last."""
+    sums = [0]
+    for h in hashes:
+        sums.append((sums[-1] * _BASE + h) % _PRIME)
+    out, ahead, end = [], deque(), 0
+    for i, j in windows(words, min_words):
+        while end < j:
+            while ahead and hashes[ahead[-1]] >= hashes[end]:
+                ahead.pop()
+            ahead.append(end)
+            end += 1
+        while ahead[0] < i:
+            ahead.popleft()
+        best = ahead[0] if end == j else min(range(i, j), key=lambda k: (hashes[k], -k))
+        out.append((i, best, (sums[j] - sums[i] * pow(_BASE, j - i, _PRIME)) % _PRIME))
+    return out
 
 
 def _lines(batches, min_words: int):
@@ -60,8 +83,8 @@ def _lines(batches, min_words: int):
             count = [len(line.split()) for line in lines]
             hashes.append(own)
             words.append(count)
-            marks.append(fingerprints(own, count, min_words))
-        kinds = pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int32())
+            marks.append([{"at": a, "low": k, "key": key} for a, k, key in fingerprints(own, count, min_words)])
+        kinds = pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.struct([("at", pa.int32()), ("low", pa.int32()), ("key", pa.int64())]))
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), *map(pa.array, (hashes, words, marks), kinds)], names=["doc", "version", "hashes", "words", "marks"])
 
 
@@ -86,16 +109,20 @@ def repeated_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     kind = dict(df.dtypes)[id_col]
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     rows = df.select(F.col(f"`{id_col}`").alias("doc"), text.alias("text"), F.xxhash64(text).alias("version"))
-    docs = written(rows.mapInArrow(lambda b: _lines(b, min_words), f"doc {kind}, version bigint, hashes array<bigint>, words array<int>, marks array<int>"), "lines")
+    docs = written(rows.mapInArrow(lambda b: _lines(b, min_words), f"doc {kind}, version bigint, hashes array<bigint>, words array<int>, marks array<struct<at:int,low:int,key:bigint>>"), "lines")
 
     runs = shuffle_width(df.sparkSession)
-    place = F.struct(F.col("doc").alias("doc"), F.col("version").alias("version"), F.col("at").alias("at"))
-    marks = docs.select("doc", "version", F.explode(F.transform("marks", lambda i: F.struct(i.alias("at"), F.get("hashes", i).alias("hash")))).alias("m"))
-    marks = marks.select("doc", "version", "m.at", "m.hash", F.pmod(F.xxhash64("doc", "version"), F.lit(runs)).alias("run"))
-    near = marks.groupBy("run", "hash").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
-    whole = near.groupBy("hash").agg(F.min("first").alias("first"), F.sum("n").alias("n")).filter("n > 1")
-    first = near.select("run", "hash").join(whole, "hash")
-    met = marks.join(first, ["run", "hash"]).select("doc", "version", "at", "first")
+    marks = docs.select("doc", "version", F.explode(F.transform("marks", lambda m: F.struct(m["at"].alias("at"), m["low"].alias("low"), m["key"].alias("key"), F.get("hashes", m["low"]).alias("hash")))).alias("m"))
+    marks = marks.select("doc", "version", "m.*", F.pmod(F.xxhash64("doc", "version"), F.lit(runs)).alias("run"))
+
+    def places(rows: DataFrame, key: str, at: str) -> DataFrame:
+        """rows with the first place of their key, if it has several; reduced within runs first, and joined by run and key."""
+        place = F.struct(F.col("doc").alias("doc"), F.col("version").alias("version"), F.col(at).alias("at"))
+        near = rows.groupBy("run", key).agg(F.min(place).alias("first"), F.max(place).alias("last"))
+        whole = near.groupBy(key).agg(F.min("first").alias("first"), F.max("last").alias("last")).filter("first < last").select(key, "first")
+        return rows.join(near.select("run", key).join(whole, key), ["run", key])
+
+    met = places(places(marks, "hash", "low").drop("first"), "key", "at").select("doc", "version", "at", "first")
     met = met.filter(~(F.col("doc").eqNullSafe(F.col("first.doc")) & (F.col("version") == F.col("first.version")) & (F.col("at") == F.col("first.at"))))
     pairs = met.select("doc", "version", F.col("first.doc").alias("other"), F.col("first.version").alias("other_version"), (F.col("at") - F.col("first.at")).alias("offset")).distinct()
 
@@ -133,12 +160,13 @@ def dedup_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", m
     a text that loses all its lines becomes empty. Rows that repeat identifier and text are one document, and all of
     them stay as they are. Columns of any other name pass through; an empty df gives no rows.
     """
-    gone = repeated_lines(df, id_col, text_col, min_words).select(F.col("doc").alias("__doc"), F.col("version").alias("__version"), F.col("removed").alias("__removed"))
+    doc, version, removed, own_version = (free_name(df, n) for n in ("gone_doc", "gone_version", "gone_lines", "own_version"))
+    gone = repeated_lines(df, id_col, text_col, min_words).select(F.col("doc").alias(doc), F.col("version").alias(version), F.col("removed").alias(removed))
     text = F.col(f"`{text_col}`")
-    own = df.withColumn("__own", F.xxhash64(F.coalesce(text, F.lit(""))))
-    joined = own.join(gone, own[f"`{id_col}`"].eqNullSafe(gone["__doc"]) & (own["__own"] == gone["__version"]), "left")
+    own = df.withColumn(own_version, F.xxhash64(F.coalesce(text, F.lit(""))))
+    joined = own.join(gone, own[f"`{id_col}`"].eqNullSafe(gone[doc]) & (own[own_version] == gone[version]), "left")
     lines = F.split(text, "\n", -1)
-    kept = F.array_join(F.filter(lines, lambda x, i: ~F.coalesce(F.array_contains("__removed", i), F.lit(False))), "\n")
-    joined = joined.withColumn("n_lines", F.coalesce(F.size(lines), F.lit(0)).cast("long")).withColumn("n_removed", F.coalesce(F.size("__removed"), F.lit(0)).cast("long"))
-    joined = joined.withColumn("n_lines", F.when(text.isNull(), F.lit(0)).otherwise(F.col("n_lines")).cast("long")).withColumn("n_removed", F.when(F.col("__removed").isNull(), F.lit(0)).otherwise(F.col("n_removed")).cast("long"))
-    return joined.withColumn(text_col, F.when(F.col("__removed").isNull(), text).otherwise(kept)).drop("__doc", "__version", "__removed", "__own")
+    kept = F.array_join(F.filter(lines, lambda x, i: ~F.coalesce(F.array_contains(removed, i), F.lit(False))), "\n")
+    joined = joined.withColumn("n_lines", F.when(text.isNull(), F.lit(0)).otherwise(F.size(lines)).cast("long"))
+    joined = joined.withColumn("n_removed", F.when(F.col(removed).isNull(), F.lit(0)).otherwise(F.size(removed)).cast("long"))
+    return joined.withColumn(text_col, F.when(F.col(removed).isNull(), text).otherwise(kept)).drop(doc, version, removed, own_version)

@@ -254,7 +254,7 @@ def _judged(df: DataFrame, trusted: DataFrame, id_col: str, text_col: str, lang_
     if limits.limit(LANGUAGES + 1).count() <= LANGUAGES:
         limits = F.broadcast(limits)
     joined = scored.join(limits, F.expr("keep_0 <=> lang"), "left")
-    out = joined.withColumn("limit", F.coalesce(F.col("l"), F.lit(overall).cast("double")) * (1 + slack) + allowance / F.sqrt("n_chars"))
+    out = joined.withColumn("limit", F.coalesce(F.col("l"), F.lit(overall).cast("double")) * (1 + slack) + allowance / F.sqrt(F.greatest("n_chars", F.lit(1))))
     return out.withColumn("kept", F.coalesce(F.col("log_perplexity") <= F.col("limit"), F.lit(True)))
 
 
