@@ -16,7 +16,7 @@ def tables(raw: Column) -> Column:
     bodies = F.regexp_extract_all(raw, F.lit(_TABULAR), 1)
     clean = lambda cell: strip(F.regexp_replace(F.regexp_replace(cell, r"\\(hline|textbf|textit|multicolumn\{\d+\}\{[^}]*\})", ""), r"[{}$]|\\(?=[&%$#])", ""))
     row = lambda r: F.transform(F.split(r, r"(?<!\\)&"), clean)
-    return F.transform(bodies, lambda b: F.transform(F.filter(F.split(b, r"\\\\\\\\"), lambda r: strip(F.regexp_replace(r, r"\\hline", "")) != ""), row))
+    return F.transform(bodies, lambda b: F.transform(F.filter(F.split(b, r"\\\\"), lambda r: strip(F.regexp_replace(r, r"\\hline", "")) != ""), row))
 
 
 def header_slot(cell: Column) -> Column:
