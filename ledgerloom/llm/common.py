@@ -18,15 +18,24 @@ def fold_ascii(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Cuts lineage: writes df to the checkpoint folder that the cluster shares and reads it from there.
+#: With it Spark removes a query's shuffle files when the query ends, not when the driver next collects garbage.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
-    The folder is spark.checkpoint.dir; only where a session names none (tests), a temporary one is set.
-    """
-    spark = df.sparkSession
+#: Rows that go to Python at once; texts are long, so few of them fill a batch.
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The checkpoint folder of the session: spark.checkpoint.dir, which the cluster shares; only where none is named (tests), a temporary one is set."""
     context = spark.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
         context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="ledgerloom-checkpoint-"))
+    return context._jsc.sc().getCheckpointDir().get()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Cuts lineage: writes df to the shared checkpoint folder and reads it from there."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
@@ -63,13 +72,18 @@ def text_slices(batches, column: int = 1, limit: int = 4_000_000):
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
-    """Like cut(), but as a compressed Parquet table in the same folder."""
+    """Like cut(), but as a compressed Parquet table in the same folder, after which the shuffle files of df go."""
     import uuid
 
     spark = df.sparkSession
-    context = spark.sparkContext
-    if context._jsc.sc().getCheckpointDir().isEmpty():
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="ledgerloom-checkpoint-"))
-    path = f"{context._jsc.sc().getCheckpointDir().get()}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    held = {CLEANUP: "true", BATCH: "1000"}
+    before = {k: spark.conf.get(k) for k in held}
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        df.write.parquet(path)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
     return spark.read.schema(df.schema).parquet(path)

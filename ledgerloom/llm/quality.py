@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import text_slices, written
 
-ORDER, BLOCK = 4, 12_000_000
+ORDER, BLOCK = 4, 24_000_000
 #: Limits of at most so many languages are broadcast.
 LANGUAGES = 10_000
 #: Fills the places before a text's first character; in texts it is taken as a space.
