@@ -60,7 +60,7 @@ class _Distinct:
         ends = inside.nonzero()[0]
         for n in range(1, ORDER + 1):
             # contexts end anywhere, also on the last pad
-            own = ends if n == ORDER or n == 1 else np.union1d(ends, first[:-1] - 1)
+            own = ends if n == ORDER else np.union1d(ends, first[:-1] - 1)
             keys = _keys(codes, n, own)
             found, at, count = np.unique(keys, return_index=True, return_counts=True) if len(keys) < 4096 else self._unique(keys)
             known = self.grams[n]
@@ -219,6 +219,7 @@ def perplexities(df: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text
     model, unknown = kneser_ney(asked.filter(f"n = {ORDER} AND c > 0").groupBy("gram").agg(F.sum("c").alias("c")))
     answers = asked.select("block", "gram").join(model, "gram").select("block", "gram", "logp", "bow", F.lit(False).alias("label"), F.lit(None).cast(dict(df.dtypes)[id_col]).alias("id"))
     answers = answers.unionByName(good.select("block", F.lit(None).cast("string").alias("gram"), F.lit(None).cast("double").alias("logp"), F.lit(None).cast("double").alias("bow"), F.lit(True).alias("label"), "id"))
+    answers = written(answers, "answers")
     fields = ", ".join(f"{k} {dict(df.dtypes)[c]}" for c, k in zip(keep_cols, kept, strict=True))
 
     def score(docs: pa.Table, answers: pa.Table) -> pa.Table:
