@@ -126,6 +126,7 @@ def repeated_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     met = met.filter(~(F.col("doc").eqNullSafe(F.col("first.doc")) & (F.col("version") == F.col("first.version")) & (F.col("at") == F.col("first.at"))))
     pairs = met.select("doc", "version", F.col("first.doc").alias("other"), F.col("first.version").alias("other_version"), (F.col("at") - F.col("first.at")).alias("offset")).distinct()
 
+    pairs = written(pairs, "alignments")
     own = docs.select("doc", "version", F.size("hashes").alias("lines")).dropDuplicates(["doc", "version"])
     pairs = pairs.alias("p").join(own.alias("o"), F.expr("p.doc <=> o.doc AND p.version = o.version")).select("p.*", "lines")
     # The part of the other document that lies beside this one, from its line `low` on.
