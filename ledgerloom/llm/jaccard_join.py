@@ -37,6 +37,8 @@ SHINGLE, NUMERATOR, DENOMINATOR = 5, 75, 100
 FREQUENT_MOST = 500_000
 #: Documents of a list whose pairs are merged; a longer list meets in rounds of PIVOTS.
 LIST_MOST, PIVOTS = 256, 64
+#: Bytes of text whose shingles are computed at once; the arrays take some forty times as much.
+SLICE = 1_000_000
 #: Candidates of one query document that are verified in one group.
 GROUP_MOST = 2_000
 
@@ -93,7 +95,7 @@ def _survey(batches):
     import hashlib
 
     sets, seen = [], set()
-    for batch in text_slices(batches):
+    for batch in text_slices(batches, limit=SLICE):
         own = shingle_sets(batch.column(1), SHINGLE)
         digests = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in own]
         for s, d in zip(own, digests, strict=True):
@@ -102,7 +104,7 @@ def _survey(batches):
                 sets.append(s)
         n = len(own)
         yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array([len(s) for s in own], pa.int64()), pa.array(digests, pa.binary()), pa.nulls(n, pa.int64())], names=["id", "n", "digest", "token"])
-        if sum(map(len, sets)) > 8_000_000:
+        if sum(map(len, sets)) > 4_000_000:
             yield _tally(sets)
             sets = []
     if sets:
@@ -118,7 +120,7 @@ def _tally(sets: list[np.ndarray], least: int = 3):
 
 def _prefixes(batches, frequent: np.ndarray):
     """Each document's prefix; `last` is the place of its end in the order of shingles."""
-    for batch in text_slices(batches):
+    for batch in text_slices(batches, limit=SLICE):
         rows, last, n = [], [], []
         for s in shingle_sets(batch.column(1), SHINGLE):
             late = np.zeros(len(s), bool)
@@ -139,7 +141,7 @@ def _runs(batches, columns: int):
 
     Yields (arrays, continues): continues says that the first run goes on from the block before.
     """
-    rest, token_before, limit = None, None, 1_000_000
+    rest, token_before, limit = None, None, 200_000
     for batch in batches:
         arrays = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(columns)]
         if rest is not None:
@@ -204,8 +206,8 @@ def _merged(batches):
         cat = lambda v: np.concatenate(v) if v else np.zeros(0, np.int64)
         x, y = cat(xs), cat(ys)
         lt, ld = cat([token[a:b] for a, b in long]), cat([doc[a:b] for a, b in long])
-        for at in range(0, len(x), 500_000):
-            n = len(x[at : at + 500_000])
+        for at in range(0, len(x), 100_000):
+            n = len(x[at : at + 100_000])
             yield pa.RecordBatch.from_arrays([pa.array(x[at : at + n]), pa.array(y[at : at + n]), pa.nulls(n, pa.int64())], names=["x", "y", "token"])
         yield pa.RecordBatch.from_arrays([pa.array(ld), pa.nulls(len(ld), pa.int64()), pa.array(lt)], names=["x", "y", "token"])
 
@@ -240,7 +242,7 @@ class _Join:
         """The whole sets of all documents that share a list."""
 
         def whole(batches):
-            for batch in text_slices(batches):
+            for batch in text_slices(batches, limit=SLICE):
                 own = shingle_sets(batch.column(1), SHINGLE)
                 n = [len(s) for s in own]
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array([self_last(s) for s in own], pa.int64()), pa.array([s.tobytes() for s in own], pa.binary())], names=["id", "n", "last", "tokens"])
