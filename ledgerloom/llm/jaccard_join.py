@@ -14,7 +14,7 @@ T = ceil(s (|x| + |y|) / (1 + s)) shingles, s = 0.75. Steps:
    over the lists: the merge of the short lists. With L long lists left out, only pairs that occur at least T - L times
    (less the shingles beyond the prefixes) go on to be verified.
 5. Long lists (over LIST_MOST documents of several components) are not merged: their documents meet the list's members
-   in rounds of PIVOTS, verified as the others, until each list is in one component or every pair has met.
+   in rounds of PIVOTS or more, verified as the others, until each list is in one component or every pair has met.
 
 Verification is a T-occurrence search for each query document against its candidates: inverted lists of the query's
 shingles over the candidates, short ones merged, the longest probed by binary search, kept at T occurrences.
@@ -35,7 +35,7 @@ from ledgerloom.llm.shingles import shingle_sets
 SHINGLE, NUMERATOR, DENOMINATOR = 5, 75, 100
 #: Frequent shingles that are ordered last, at most: 8 bytes each are sent to every worker.
 FREQUENT_MOST = 500_000
-#: Documents of a list whose pairs are merged; a longer list meets in rounds of PIVOTS.
+#: Documents of a list whose pairs are merged; a longer list meets in rounds of PIVOTS at first.
 LIST_MOST, PIVOTS = 256, 64
 #: Bytes of text whose shingles are computed at once; the arrays take some forty times as much.
 SLICE = 1_000_000
@@ -317,25 +317,44 @@ class _Join:
         links = links.unionByName(self.verify(could))
         return self.meet_long(long, links)
 
+    def narrow(self, ids: DataFrame) -> None:
+        """From here on only the documents in ids are met."""
+        self.whole = written(self.whole.join(ids.distinct(), "id", "left_semi"), "narrow")
+        self.facts = self.whole.select("id", "n", "last")
+
     def meet_long(self, long: DataFrame, links: DataFrame) -> DataFrame:
-        """Rounds over the long lists: PIVOTS documents of each against all that come after them."""
+        """Rounds over the long lists: some documents of each, PIVOTS at first, against all that come after them.
+
+        Components and open lists change only after a round that found links. The number of pivots doubles while a
+        round has fewer pairs than half of the documents in lists, so that what a round ships stays in proportion to the input.
+        """
         if not long.limit(1).count():
             return links
         ranked = written(long.withColumn("rank", F.row_number().over(W.partitionBy("token").orderBy("id"))), "long")
-        longest, at = ranked.agg(F.max("rank")).first()[0], 0
-        while at < longest:
-            parts = components(links).select(F.col("node").alias("id"), "component")
-            now = ranked.join(parts, "id", "left").withColumn("part", F.coalesce("component", "id")).drop("component")
-            mixed = now.groupBy("token").agg((F.min("part") < F.max("part")).alias("mixed"), F.max("rank").alias("most")).filter(f"mixed AND most > {at + 1}")
-            now = cut(now.join(mixed.select("token"), "token", "left_semi"))
-            if not now.limit(1).count():
-                break
-            pivots = now.filter(f"rank > {at} AND rank <= {at + PIVOTS}").select("token", F.col("id").alias("x"), F.col("part").alias("px"), F.col("rank").alias("rx"))
+        most_pairs, now, at, step = self.whole.count(), ranked, 0, PIVOTS
+        found, held = True, None
+        while True:
+            if found:
+                parts = components(links).select(F.col("node").alias("id"), "component")
+                placed = now.select("token", "id", "rank").join(parts, "id", "left").withColumn("part", F.coalesce("component", "id")).drop("component")
+                mixed = placed.groupBy("token").agg((F.min("part") < F.max("part")).alias("mixed")).filter("mixed")
+                now = cut(placed.join(mixed.select("token"), "token", "left_semi"))
+                left = now.agg(F.count(F.lit(1)).alias("n"), F.max("rank").alias("longest")).first()
+            if not left["n"] or at + 1 >= left["longest"]:
+                return links
+            if held is None or left["n"] * 2 < held:
+                self.narrow(now.select("id"))
+                held = left["n"]
+            pivots = now.filter(f"rank > {at} AND rank <= {at + step}").select("token", F.col("id").alias("x"), F.col("part").alias("px"), F.col("rank").alias("rx"))
             rest = now.filter(f"rank > {at}").select("token", F.col("id").alias("y"), F.col("part").alias("py"), F.col("rank").alias("ry"))
             pairs = pivots.join(rest, "token").filter("ry > rx AND px <> py").select("x", "y").distinct()
-            links = links.unionByName(self.verify(self.fitting(pairs)))
-            at += PIVOTS
-        return links
+            pairs = written(self.fitting(pairs).select("x", "y"), "round")
+            met = pairs.count()
+            at += step
+            step = step * 2 if 2 * met < most_pairs else max(PIVOTS, step // 2) if met > most_pairs else step
+            new = self.verify(pairs)
+            if found := bool(new.limit(1).count()):
+                links = links.unionByName(new)
 
 
 def link_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
