@@ -186,20 +186,20 @@ def _stars(batches):
         yield pa.RecordBatch.from_arrays([pa.array(first[other]), pa.array(doc[other])], names=["x", "y"])
 
 
-def _merged(batches):
+def _merged(batches, most: int):
     """Pairs from different components of each short list, and (y null) the documents of long lists; rows are token, id, component."""
-    pairs = np.triu_indices(LIST_MOST, 1)
+    pairs = np.triu_indices(most, 1)
     for (token, doc, part), continues in _runs(batches, 3):
         edge = np.append(0, np.append((token[1:] != token[:-1]).nonzero()[0] + 1, len(token)))
         xs, ys, long = [], [], []
         for a, b in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True):
-            if b - a > LIST_MOST or (a == 0 and continues):
+            if b - a > most or (a == 0 and continues):
                 long.append((a, b))
                 continue
             d, p = doc[a:b], part[a:b]
             if b - a < 2 or (p == p[0]).all():
                 continue
-            i, j = pairs if b - a == LIST_MOST else np.triu_indices(b - a, 1)
+            i, j = pairs if b - a == most else np.triu_indices(b - a, 1)
             other = p[i] != p[j]
             xs.append(d[i[other]])
             ys.append(d[j[other]])
@@ -267,13 +267,13 @@ class _Join:
         pairs = pairs.select("x", "y")
         groups = pairs.groupBy("x").agg(F.ceil(F.count(F.lit(1)) / GROUP_MOST).cast("int").alias("salts"))
         dealt = pairs.join(groups.filter("salts > 1"), "x", "left").withColumn("salt", F.expr("pmod(xxhash64(y), coalesce(salts, 1))").cast("int"))
-        others = dealt.select("x", "salt", F.col("y").alias("id")).join(self.whole.select("id", "tokens"), "id").select(F.col("x").alias("qx"), F.col("salt").alias("qs"), "id", "tokens")
+        others = dealt.select("x", "salt", F.col("y").alias("id")).join(self.whole.select("id", "tokens"), "id").select(F.col("x").alias("qx"), F.col("salt").alias("qs"), "id", F.col("tokens").alias("own"))
         queries = groups.select(F.col("x").alias("id"), F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt")).join(self.whole.select("id", "tokens"), "id")
 
         def search(query: pa.Table, candidates: pa.Table) -> pa.Table:
             a, b = [], []
             ids = candidates.column("id").to_pylist()
-            own = [np.frombuffer(t, np.uint64) for t in candidates.column("tokens").to_pylist()]
+            own = [np.frombuffer(t, np.uint64) for t in candidates.column("own").to_pylist()]
             for x, tokens in zip(query.column("id").to_pylist(), query.column("tokens").to_pylist(), strict=True):
                 found = divide_skip(np.frombuffer(tokens, np.uint64), own)
                 a += [x] * len(found)
@@ -305,7 +305,8 @@ class _Join:
         placed = self.placed(links)
         mixed = placed.groupBy("token").agg((F.min("part") < F.max("part")).alias("mixed")).filter("mixed")
         open_lists = written(placed.join(mixed.select("token"), "token", "left_semi"), "open")
-        merged = written(ordered(open_lists).mapInArrow(_merged, "x bigint, y bigint, token bigint").groupBy("x", "y", "token").agg(F.count(F.lit(1)).alias("o")), "merged")
+        most = LIST_MOST
+        merged = written(ordered(open_lists).mapInArrow(lambda b: _merged(b, most), "x bigint, y bigint, token bigint").groupBy("x", "y", "token").agg(F.count(F.lit(1)).alias("o")), "merged")
         long = merged.filter("y IS NULL").select("token", F.col("x").alias("id"))
         in_long = long.groupBy("id").agg(F.count(F.lit(1)).alias("k"))
         pairs = self.fitting(merged.filter("y IS NOT NULL").select("x", "y", "o"))

@@ -189,6 +189,24 @@ def test_jaccard_components(spark, monkeypatch, tight):
     assert {(r["doc_id"], r["n_shingles"]) for r in got if r["doc_id"] != 2} == {(i, len(shingles_of(t))) for i, t in rows if i != 2} | {(None, 0)}
 
 
+def test_jaccard_rounds_over_long_lists(spark, monkeypatch):
+    """Documents made up mostly of one passage, of which only every other pair of neighbours links: the lists are long and stay open."""
+    for name, value in (("LIST_MOST", 4), ("PIVOTS", 2)):
+        monkeypatch.setattr(jaccard_join, name, value)
+    verified = []
+    narrow = jaccard_join._Join.narrow
+    monkeypatch.setattr(jaccard_join._Join, "narrow", lambda self, ids: (verified.append(1), narrow(self, ids))[1])
+    rng = random.Random(5)
+    passage, rows = prose(rng, 64, 5000).split(), []
+    for k in range(24):
+        own = [f"own{k if k % 4 else k - 1}x{i}" for i in range(12)] + [f"tail{k}x{i}" for i in range(2)]
+        rows.append((k, " ".join(passage + own)))
+    got = jaccard_join.link_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    expected = brute_components(rows)
+    assert verified and 1 < len(set(expected.values())) < len(rows)
+    assert {r["doc_id"]: r["component_id"] for r in got} == expected
+
+
 def test_jaccard_of_nothing(spark, nothing):
     assert jaccard_join.link_components(nothing).count() == 0
 
