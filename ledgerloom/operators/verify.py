@@ -11,6 +11,8 @@ from ledgerloom.schema import AMOUNTS, LEVELS
 CEILING = 3_000_000_000_000
 #: Characters of context that a text match shows on each side.
 CONTEXT = 40
+#: Characters of the longest block by which passages and sources are paired.
+SEED = 32
 
 
 def recovered_primary(pe: Column, be: Column, cr: Column, de: Column, dt: Column) -> Column:
@@ -90,6 +92,34 @@ def matched(raw: Column, source: Column) -> Column:
     return F.struct(tier.alias("tier"), F.when(tier == "exact", around(source, bare)).when(tier == "whitespace", around(flat_source, flat)).alias("context"))
 
 
+def contained_passages(passages: DataFrame, sources: DataFrame, passage_id: str, source_id: str, text: str = "text") -> DataFrame:
+    """Every passage against every whole source: (passage_id, source_id, tier) of all that match in some tier. Empty passages match nowhere.
+
+    A match in any tier is one of the spaceless texts, so pairs are found there: a passage of 2k - 1 or more characters covers one
+    whole block of k of the source's, cut one after another. k is the largest such power of two, SEED at most; the pairs that share
+    a block are then matched in full.
+    """
+    bare = lambda c: F.regexp_replace(fx.strip(F.coalesce(F.col(c), F.lit(""))), r"\s+", "")
+    blocks = lambda c, k: F.regexp_extract_all(c, F.lit(f"(?s).{{{k}}}"), F.lit(0))
+    p = passages.select(F.col(passage_id).alias("p"), bare(text).alias("own")).filter("own <> ''")
+    s = sources.filter(F.col(text).isNotNull()).select(F.col(source_id).alias("s"), F.regexp_replace(text, r"\s+", "").alias("own"))
+    size, sizes = (F.length("own") + 1) / 2, [2**i for i in range(SEED.bit_length())]
+    grams = lambda k: F.flatten(F.array(*[blocks(F.substr("own", F.lit(i + 1)), k) for i in range(k)]))
+    least = lambda k: (size >= k) & ((size < 2 * k) | F.lit(k == SEED))
+    used = p.agg(*[F.coalesce(F.bool_or(least(k)), F.lit(False)).alias(f"k{k}") for k in sizes]).first()
+    pairs = None
+    for k in (k for k in sizes if used[f"k{k}"]):
+        asked = p.filter(least(k)).select("p", F.explode(F.array_distinct(grams(k))).alias("block"))
+        found = s.select("s", F.explode(F.array_distinct(blocks(F.col("own"), k))).alias("block")).join(asked, "block").select("p", "s")
+        pairs = found if pairs is None else pairs.unionByName(found)
+    if pairs is None:
+        pairs = p.select("p").crossJoin(s.select("s")).limit(0)
+    raw = passages.select(F.col(passage_id).alias("_p"), F.col(text).alias("raw"))
+    whole = sources.select(F.col(source_id).alias("_s"), F.col(text).alias("source"))
+    met = pairs.distinct().join(whole, F.expr("s <=> _s")).join(raw, F.expr("p <=> _p"))
+    return met.select(F.col("p").alias(passage_id), F.col("s").alias(source_id), matched(F.col("raw"), F.col("source"))["tier"].alias("tier")).filter("tier <> 'failed'")
+
+
 def verified_items(items: DataFrame, *keys: str) -> DataFrame:
     """Items (keys, verified, raw_text, source_text; one row an amount): verified where all printed amounts are found, unchanged where none is printed."""
     printed = F.coalesce(fx.strip(F.col("raw_text")), F.lit("")) != ""

@@ -283,12 +283,22 @@ def check_subtotal(spark, sf_dir):
 WITH q AS (SELECT item_id, trim(regexp_replace(text, '\s+', ' ', 'g')) AS raw FROM benchmark), d AS (SELECT doc_id, text FROM documents WHERE doc_id % 50 = 0)
 SELECT item_id, doc_id, CASE WHEN contains(text, raw) THEN 'exact' WHEN contains(regexp_replace(text, '\s+', ' ', 'g'), raw) THEN 'whitespace' WHEN contains(regexp_replace(text, '\s+', '', 'g'), regexp_replace(raw, '\s+', '', 'g')) THEN 'spaceless' ELSE 'failed' END AS tier FROM q JOIN d ON item_id = (doc_id // 50) % 40""", on_ledger=False)
 def three_tier_match(spark, sf_dir):
-    """Each passage against the documents it is assigned to: those whose id is divisible by 50 are the stated queries."""
+    """An excerpt only: documents whose id is divisible by 50, each against the one passage assigned to it. All pairs: three_tier_hits."""
     q = table(spark, sf_dir, "benchmark").select("item_id", fx.strip(F.regexp_replace("text", r"\s+", " ")).alias("raw"))
     d = table(spark, sf_dir, "documents").filter("doc_id % 50 = 0").select("doc_id", "text", F.expr("(doc_id div 50) % 40").alias("item_id"))
     return d.join(q, "item_id").select("item_id", "doc_id", verify.matched(F.col("raw"), F.col("text"))["tier"].alias("tier"))
 
 
+@register("three_tier_hits", r"""
+WITH q AS MATERIALIZED (SELECT item_id, trim(regexp_replace(text, '\s+', ' ', 'g')) AS raw, regexp_replace(text, '\s+', '', 'g') AS bare FROM benchmark),
+d AS MATERIALIZED (SELECT doc_id, text, regexp_replace(text, '\s+', ' ', 'g') AS flat, regexp_replace(text, '\s+', '', 'g') AS bare FROM documents)
+SELECT item_id, doc_id, CASE WHEN contains(text, raw) THEN 'exact' WHEN contains(flat, raw) THEN 'whitespace' ELSE 'spaceless' END AS tier FROM q JOIN d ON contains(d.bare, q.bare) WHERE q.bare <> ''""", on_ledger=False)
+def three_tier_hits(spark, sf_dir):
+    """Every passage against every whole document."""
+    passages = table(spark, sf_dir, "benchmark").withColumn("text", F.regexp_replace("text", r"\s+", " "))
+    return verify.contained_passages(passages, table(spark, sf_dir, "documents"), "item_id", "doc_id")
+
+
 # ---- order ----------------------------------------------------------------------------------------------------------
 
 

@@ -1,5 +1,9 @@
 """The ledger's operators on stated facts and against the registered SQL."""
 
+import itertools
+import random
+import re
+
 import duckdb
 import pytest
 from conftest import SMALL
@@ -114,6 +118,29 @@ def test_matching(spark):
     assert [tier(x) for x in ("$1,000", "alpha $1,000", "2345", "", "9")] == ["exact", "whitespace", "spaceless", "failed", "failed"]
 
 
+def test_contained_passages(spark):
+    """All pairs, of any length and at any place, against brute force."""
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choice("abc") for _ in range(rng.randrange(1, 9)))
+    docs = [(i, (" " if i % 3 else "\n ").join(word() for _ in range(60))) for i in range(30)] + [(50, None), (51, ""), (52, "é\u2028x" * 9)]
+    passages = []
+    for k in range(120):
+        text = docs[rng.randrange(30)][1]
+        at = rng.randrange(len(text))
+        passages.append((k, text[at : at + rng.choice([1, 2, 3, 6, 7, 14, 15, 40, 63, 90])].replace("\n ", "\n " if k % 2 else "")))
+    passages += [(200, ""), (201, None), (202, " \n"), (203, "\u2028xé"), (204, "nowhere")]
+    flat, none = (lambda t: re.sub(r"\s+", " ", t, flags=re.A)), (lambda t: re.sub(r"\s+", "", t, flags=re.A))
+    want = set()
+    for (i, raw), (j, text) in itertools.product(passages, docs):
+        raw = (raw or "").strip(" \n")
+        if raw and text and none(raw) in none(text):
+            want.add((i, j, "exact" if raw in text else "whitespace" if flat(raw) in flat(text) else "spaceless"))
+    frame = lambda rows, key: spark.createDataFrame(rows, f"{key} long, text string")
+    got = verify.contained_passages(frame(passages, "item_id"), frame(docs, "doc_id"), "item_id", "doc_id").collect()
+    assert sorted(map(tuple, got)) == sorted(want) and {t for _, _, t in want} == {"exact", "whitespace", "spaceless"}
+    assert verify.contained_passages(frame([(1, "")], "item_id"), frame(docs, "doc_id"), "item_id", "doc_id").count() == 0
+
+
 SENATE = """
 COMPARATIVE STATEMENT OF NEW BUDGET AUTHORITY
                  [In thousands of dollars]
