@@ -5,15 +5,20 @@ table) train one probabilistic automaton for each kind: a prefix tree of the cre
 classes, whose states merge while their outgoing frequencies are statistically compatible (red-blue order, a
 Hoeffding bound on every symbol, down the whole subtree). Every other candidate of a text, a run of credential
 characters that mixes letters and digits, is scored by its likelihood per character under each automaton; above the
-kind's threshold (a low quantile of the labelled credentials' own scores) it becomes a span of kind "format".
+kind's threshold (a low quantile of the labelled credentials' own scores) it becomes a span of kind "format". A run has
+no greatest length. If it is not accepted as a whole, what lies between any two of its ends and separators ("=", "/") is a
+candidate too: all of them are scored in one pass backwards over the run, which keeps for each state of the automaton the
+end of the largest excess over the threshold.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections import Counter, deque
 from math import log, sqrt
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -23,7 +28,10 @@ from ledgerloom.llm.common import text_slices
 ASSIGN = re.compile(r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.A)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{32,}")  # of runs [0-9a-f]+, those of 32 or more
-CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{16,256}(?![A-Za-z0-9+/_=-])")
+CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{16,}")
+SEPARATOR = re.compile(r"[=/]")
+#: Characters of the shortest candidate.
+LEAST = 16
 KINDS = ("assign", "access", "hex")
 #: Labelled credentials that one automaton is trained on, and the characters of each that it sees.
 TRAIN_MOST, TRAIN_LENGTH = 400, 64
@@ -61,6 +69,7 @@ class Automaton:
                 q = self.next[q][c]
             self.count[q][""] += 1
         self._infer()
+        self._compact()
         self.total = [sum(c.values()) for c in self.count]
         self.low = min((self.score(s) for s in strings), default=0.0)
 
@@ -108,6 +117,17 @@ class Automaton:
                 red.append(b)
                 blue.extend((b, s) for s in sorted(self.next[b]))
 
+    def _compact(self) -> None:
+        """Numbers the states that can be reached, and drops the others."""
+        place, order = {0: 0}, [0]
+        for q in order:
+            for z in self.next[q].values():
+                if z not in place:
+                    place[z] = len(order)
+                    order.append(z)
+        self.next = [{c: place[z] for c, z in self.next[q].items()} for q in order]
+        self.count = [self.count[q] for q in order]
+
     def score(self, text: str) -> float:
         """Mean log likelihood of a symbol, the end included; symbols that a state never saw count as half an observation."""
         q, total = 0, 0.0
@@ -121,6 +141,46 @@ class Automaton:
         return total / (len(text) + 1)
 
 
+    def best_ends(self, text: str, low: float) -> dict[int, tuple[float, int]]:
+        """For each start between separators the excess over low (score - low, times symbols) and the place of its best end, if that is accepted.
+
+        Ends are before separators or at the end; what lies between has LEAST characters or more, letters and digits. Of equal ends the latest is taken.
+        """
+        form, size = classes(text), len(self.next)
+        cuts = [m.start() for m in SEPARATOR.finditer(text)]
+        starts, ends = {0, *(c + 1 for c in cuts)}, {*cuts, len(text)}
+        seen = [(c.isalpha() * 1) | (c.isdigit() * 2) for c in text]
+        if not hasattr(self, "steps"):
+            self.steps = {}
+        stop = np.array([log((c.get("", 0) or 0.5) / (n + 1)) for c, n in zip(self.count, self.total, strict=True)]) - low
+        best, at, out = np.full((4, size), -np.inf), np.zeros((4, size), np.int64), {}
+        for i in range(len(text), -1, -1):
+            if i < len(text):
+                c = form[i]
+                if c not in self.steps:
+                    known = [c in following for following in self.next]
+                    step = [log((n.get(c, 0) or 0.5) / (t + 1)) if k else -np.inf for n, t, k in zip(self.count, self.total, known, strict=True)]
+                    self.steps[c] = np.array(step), np.array([following.get(c, 0) for following in self.next])
+                step, to = self.steps[c]
+                flags = [f | seen[i] for f in range(4)]
+                best, at = best[flags][:, to] + (step - low), at[flags][:, to]
+            if i in ends:
+                better = stop > best[3]
+                best[3][better], at[3][better] = stop[better], i
+            start = i - LEAST
+            if start in starts:
+                q, total, flags = 0, 0.0, 0
+                for k in range(start, i):
+                    if form[k] not in self.next[q]:
+                        break
+                    total += log(self.count[q][form[k]] / (self.total[q] + 1)) - low
+                    q, flags = self.next[q][form[k]], flags | seen[k]
+                else:
+                    if total + best[flags, q] >= 0:
+                        out[start] = float(total + best[flags, q]), int(at[flags, q])
+        return out
+
+
 class Grammar:
     """An automaton and a threshold for each kind; labelled: kind -> credentials (repeats count once)."""
 
@@ -142,17 +202,57 @@ class Grammar:
             self.known[form] = any(a.score(form) >= low for a, low in self.kinds.values())
         return self.known[form]
 
+    def parts(self, run: str) -> list[tuple[int, int]]:
+        """The accepted candidates of a run, from left to right without overlap: the whole, or those between its ends and separators."""
+        if len(run) < LEAST or not any(c.isdigit() for c in run) or not any(c.isalpha() for c in run):
+            return []
+        if self.accepts(run):
+            return [(0, len(run))]
+        if not SEPARATOR.search(run):
+            return []
+        best = {}
+        for automaton, low in self.kinds.values():
+            for start, found in automaton.best_ends(run, low).items():
+                best[start] = max(best.get(start, found), found)
+        out = []
+        for start, (_, end) in sorted(best.items()):
+            if not out or start >= out[-1][1]:
+                out.append((start, end))
+        return out
+
     def spans(self, text: str) -> list[tuple[int, int, str, str]]:
         """All spans: the base ones, and candidates that an automaton accepts and no base span overlaps."""
         found = base_spans(text)
-        taken = [(a, b) for a, b, _, _ in found]
+        taken = []  # disjoint
+        for a, b, _, _ in found:
+            if taken and a < taken[-1][1]:
+                taken[-1] = taken[-1][0], max(b, taken[-1][1])
+            else:
+                taken.append((a, b))
         for m in CANDIDATE.finditer(text):
-            own = m[0]
-            if any(c.isdigit() for c in own) and any(c.isalpha() for c in own) and not any(a < m.end() and m.start() < b for a, b in taken) and self.accepts(own):
-                found.append((m.start(), m.end(), "format", own))
+            for start, end in _free(text, m.start(), m.end(), taken):
+                found += [(start + x, start + y, "format", text[start + x : start + y]) for x, y in self.parts(text[start:end])]
         return sorted(found, key=lambda s: (s[0], (*KINDS, "format").index(s[2])))
 
 
+def _free(text: str, start: int, end: int, taken: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """A run without those of its parts between separators that a taken span overlaps; taken is sorted and disjoint."""
+    taken = taken[bisect_right(taken, start, key=lambda t: t[1]) : bisect_left(taken, end, key=lambda t: t[0])]
+    if not taken:
+        return [(start, end)]
+    out, at, k, reach = [], start, 0, 0
+    for cut in [*(m.start() for m in SEPARATOR.finditer(text, start, end)), end]:
+        part = at, cut
+        while k < len(taken) and taken[k][0] < max(cut, at + 1):
+            reach, k = max(reach, taken[k][1]), k + 1
+        if reach <= at:
+            if out and out[-1][1] + 1 == at:
+                part = out.pop()[0], cut
+            out.append(part)
+        at = cut + 1
+    return out
+
+
 SPANS = "array<struct<start:bigint,end:bigint,kind:string,value:string>>"
 _SPANS_ARROW = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("kind", pa.string()), ("value", pa.string())]))
 
