@@ -16,6 +16,7 @@ from __future__ import annotations
 import re
 from bisect import bisect_left, bisect_right
 from collections import Counter, deque
+from hashlib import blake2b
 from math import log, sqrt
 
 import numpy as np
@@ -33,7 +34,7 @@ SEPARATOR = re.compile(r"[=/]")
 #: Characters of the shortest candidate.
 LEAST = 16
 KINDS = ("assign", "access", "hex")
-#: Labelled credentials that one automaton is trained on, and the characters of each that it sees.
+#: Labelled credentials that one automaton is trained on, and the characters of each that it sees (scores are over whole candidates).
 TRAIN_MOST, TRAIN_LENGTH = 400, 64
 
 _CLASS = {c: ("h" if c in "abcdef" else "l") if c.islower() else "H" if c in "ABCDEF" else "U" if c.isupper() else "d" if c.isdigit() else c for c in map(chr, range(33, 127))}
@@ -52,26 +53,28 @@ def base_spans(text: str) -> list[tuple[int, int, str, str]]:
 
 
 class Automaton:
-    """A deterministic probabilistic automaton, inferred from strings."""
+    """A deterministic probabilistic automaton, inferred from strings; of one longer than `length` only so much is seen, and no end after it."""
 
-    def __init__(self, strings: list[str], alpha: float = 0.05):
+    def __init__(self, strings: list[str], alpha: float = 0.05, length: int | None = None):
+        self.length = length
         self.bound = sqrt(0.5 * log(2 / alpha))
         self.next: list[dict[str, int]] = [{}]
         self.count: list[Counter] = [Counter()]  # how often each symbol, or "" for the end, follows
         for s in strings:
             q = 0
-            for c in s:
+            for c in s[:length]:
                 self.count[q][c] += 1
                 if c not in self.next[q]:
                     self.next[q][c] = len(self.next)
                     self.next.append({})
                     self.count.append(Counter())
                 q = self.next[q][c]
-            self.count[q][""] += 1
+            if s == s[:length]:
+                self.count[q][""] += 1
         self._infer()
         self._compact()
         self.total = [sum(c.values()) for c in self.count]
-        self.low = min((self.score(s) for s in strings), default=0.0)
+        self.low = min(map(self.seen_score, strings), default=0.0)
 
     def _alike(self, a: int, b: int) -> bool:
         todo = [(a, b)]
@@ -107,7 +110,7 @@ class Automaton:
             b = self.next[q][c]
             if b in red:
                 continue
-            for r in red:
+            for r in red if self.count[b] else [q]:  # where a string was cut nothing is known, so it goes on as before
                 if self._alike(r, b):
                     self.next[q][c] = r
                     self._fold(r, b)
@@ -128,17 +131,21 @@ class Automaton:
         self.next = [{c: place[z] for c, z in self.next[q].items()} for q in order]
         self.count = [self.count[q] for q in order]
 
-    def score(self, text: str) -> float:
-        """Mean log likelihood of a symbol, the end included; symbols that a state never saw count as half an observation."""
+    def score(self, text: str, end: bool = True) -> float:
+        """Mean log likelihood of a symbol, the end included if asked for; symbols that a state never saw count as half an observation."""
         q, total = 0, 0.0
-        for c in [*text, ""]:
+        for c in [*text, *[""] * end]:
             n = sum(self.count[q].values()) if not hasattr(self, "total") else self.total[q]
             total += log((self.count[q].get(c, 0) or 0.5) / (n + 1))
             if c:
                 if c not in self.next[q]:
-                    return total / (len(text) + 1) - 10
+                    return total / (len(text) + end) - 10
                 q = self.next[q][c]
-        return total / (len(text) + 1)
+        return total / max(1, len(text) + end)
+
+    def seen_score(self, text: str) -> float:
+        """The score of what training sees of a string."""
+        return self.score(text[: self.length], text == text[: self.length])
 
 
     def best_ends(self, text: str, low: float) -> dict[int, tuple[float, int]]:
@@ -182,25 +189,26 @@ class Automaton:
 
 
 class Grammar:
-    """An automaton and a threshold for each kind; labelled: kind -> credentials (repeats count once)."""
+    """An automaton and a threshold for each kind; labelled: kind -> credentials (repeats count once, unless they are known to be distinct beyond what is given of them)."""
 
-    def __init__(self, labelled: dict[str, list[str]], quantile: float = 0.05):
+    def __init__(self, labelled: dict[str, list[str]], quantile: float = 0.05, distinct: bool = False):
         self.kinds = {}
         for kind, found in sorted(labelled.items()):
-            strings = [classes(s)[:TRAIN_LENGTH] for s in sorted(set(found))][:TRAIN_MOST]
+            strings = [classes(s[: TRAIN_LENGTH + 1]) for s in sorted(found if distinct else set(found))][:TRAIN_MOST]
             if len(strings) >= 8:
-                automaton = Automaton(strings)
-                scores = sorted(automaton.score(s) for s in strings)
+                automaton = Automaton(strings, length=TRAIN_LENGTH)
+                scores = sorted(map(automaton.seen_score, strings))
                 self.kinds[kind] = (automaton, scores[int(quantile * len(scores))])
-        self.known: dict[str, bool] = {}
+        self.known: dict[str | bytes, bool] = {}
 
     def accepts(self, text: str) -> bool:
-        form = classes(text)[: TRAIN_LENGTH + 1]
-        if form not in self.known:
+        form = classes(text)
+        key = form if len(form) <= TRAIN_LENGTH else blake2b(form.encode()).digest()
+        if key not in self.known:
             if len(self.known) > 100_000:
                 self.known.clear()
-            self.known[form] = any(a.score(form) >= low for a, low in self.kinds.values())
-        return self.known[form]
+            self.known[key] = any(a.score(form) >= low for a, low in self.kinds.values())
+        return self.known[key]
 
     def parts(self, run: str) -> list[tuple[int, int]]:
         """The accepted candidates of a run, from left to right without overlap: the whole, or those between its ends and separators."""
@@ -269,8 +277,8 @@ def _scanned(df: DataFrame, id_col: str, text_col: str, find, out: str) -> DataF
 def learn(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Grammar:
     """A grammar from the corpus' own base matches: for each kind the TRAIN_MOST distinct credentials of smallest hash."""
     found = _scanned(df, id_col, text_col, base_spans, "spans").select(F.explode("spans").alias("s")).select("s.kind", "s.value").distinct()
-    labelled = {k: [r["value"] for r in found.filter(F.col("kind") == k).select("value", F.xxhash64("value").alias("h")).orderBy("h", "value").limit(TRAIN_MOST).collect()] for k in ("assign", "access")}
-    return Grammar(labelled)
+    labelled = {k: [r["value"] for r in found.filter(F.col("kind") == k).select("value", F.xxhash64("value").alias("h")).orderBy("h", "value").limit(TRAIN_MOST).select(F.substring("value", 1, TRAIN_LENGTH + 1).alias("value")).collect()] for k in ("assign", "access")}
+    return Grammar(labelled, distinct=True)
 
 
 def scan(df: DataFrame, grammar: Grammar, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -524,6 +524,17 @@ def test_long_runs_and_parts_are_candidates():
     assert not [s for s in grammar.spans("docs/internationalization2/version-2024-release-notes/AAAABBBBCCCC1EEEE") if s[2] == "format"]
 
 
+def test_whole_candidate_is_scored():
+    rng = random.Random(9)
+    make, _ = sample_grammar(rng)
+    grammar = secret_scan.Grammar({"assign": [make(rng.randrange(40, 160)) for _ in range(200)]})
+    automaton, _ = grammar.kinds["assign"]
+    assert np.mean([grammar.accepts(make(rng.randrange(40, 160))) for _ in range(100)]) > 0.8
+    assert not any(grammar.accepts(make(80) + "Z-Q_" * 30) for _ in range(20))  # equal heads, other tails
+    ended = secret_scan.Grammar({"assign": [make(100) for _ in range(50)]}).kinds["assign"][0]
+    assert not any(c[""] for c in ended.count) and automaton.count
+
+
 def test_best_ends_equal_brute_force():
     rng = random.Random(8)
     _, grammar = sample_grammar(rng)
