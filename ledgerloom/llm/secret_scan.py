@@ -1,7 +1,7 @@
 """Secret scans by grammar inference.
 
 Three base rules give spans (assign, access, hex). Labelled credentials (the values that base rules find, or a given
-table) train one probabilistic automaton for each kind: a prefix tree of the credentials, written in character
+table) train one probabilistic automaton for each kind with TRAIN_LEAST distinct credentials or more: a prefix tree of the credentials, written in character
 classes, whose states merge while their outgoing frequencies are statistically compatible (red-blue order, a
 Hoeffding bound on every symbol, down the whole subtree). Every other candidate of a text, a run of credential
 characters that mixes letters and digits, is scored by its likelihood per character under each automaton; above the
@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import text_slices
+from ledgerloom.llm.common import text_slices, written
 
 ASSIGN = re.compile(r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.A)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
@@ -36,6 +36,8 @@ LEAST = 16
 KINDS = ("assign", "access", "hex")
 #: Labelled credentials that one automaton is trained on, and the characters of each that it sees (scores are over whole candidates).
 TRAIN_MOST, TRAIN_LENGTH = 400, 64
+#: A kind with fewer distinct credentials gets no automaton: with so little evidence all states merge, and what is left accepts any order of the symbols seen.
+TRAIN_LEAST = 8
 
 _CLASS = {c: ("h" if c in "abcdef" else "l") if c.islower() else "H" if c in "ABCDEF" else "U" if c.isupper() else "d" if c.isdigit() else c for c in map(chr, range(33, 127))}
 
@@ -195,7 +197,7 @@ class Grammar:
         self.kinds = {}
         for kind, found in sorted(labelled.items()):
             strings = [classes(s[: TRAIN_LENGTH + 1]) for s in sorted(found if distinct else set(found))][:TRAIN_MOST]
-            if len(strings) >= 8:
+            if len(strings) >= TRAIN_LEAST:
                 automaton = Automaton(strings, length=TRAIN_LENGTH)
                 scores = sorted(map(automaton.seen_score, strings))
                 self.kinds[kind] = (automaton, scores[int(quantile * len(scores))])
@@ -277,7 +279,8 @@ def _scanned(df: DataFrame, id_col: str, text_col: str, find, out: str) -> DataF
 def learn(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Grammar:
     """A grammar from the corpus' own base matches: for each kind the TRAIN_MOST distinct credentials of smallest hash."""
     found = _scanned(df, id_col, text_col, base_spans, "spans").select(F.explode("spans").alias("s")).select("s.kind", "s.value").distinct()
-    labelled = {k: [r["value"] for r in found.filter(F.col("kind") == k).select("value", F.xxhash64("value").alias("h")).orderBy("h", "value").limit(TRAIN_MOST).select(F.substring("value", 1, TRAIN_LENGTH + 1).alias("value")).collect()] for k in ("assign", "access")}
+    found = written(found, "credentials")
+    labelled = {k: [r["value"] for r in found.filter(F.col("kind") == k).select("value", F.xxhash64("value").alias("h")).orderBy("h", "value").limit(TRAIN_MOST).select(F.substring("value", 1, TRAIN_LENGTH + 1).alias("value")).collect()] for k in KINDS}
     return Grammar(labelled, distinct=True)
 
 

@@ -535,6 +535,17 @@ def test_whole_candidate_is_scored():
     assert not any(c[""] for c in ended.count) and automaton.count
 
 
+def test_hex_is_learnt(spark):
+    rng = random.Random(10)
+    make = lambda n: "".join(rng.choice("0123456789abcdef") for _ in range(n))
+    rows = [(i, f"key {make(rng.choice([32, 40, 64]))} end", "en") for i in range(60)] + [(60 + i, f"password=ab{i}cdefgh99", "en") for i in range(secret_scan.TRAIN_LEAST - 1)]
+    grammar = secret_scan.learn(frame(spark, rows))
+    assert list(grammar.kinds) == ["hex"]  # too few of the others
+    found = [[s[2] for s in grammar.spans(f"see {make(24)} end")] for _ in range(50)]
+    assert np.mean([f == ["format"] for f in found]) > 0.5
+    assert grammar.spans("see internationalization2 end") == []
+
+
 def test_best_ends_equal_brute_force():
     rng = random.Random(8)
     _, grammar = sample_grammar(rng)
