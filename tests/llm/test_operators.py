@@ -454,6 +454,20 @@ def test_quality_separates(spark):
     assert all(r["kept"] for r in quality.classify(df, trusted.limit(0)).collect() if r["doc_id"] in (2000, 2001))
 
 
+def test_quality_limit_is_the_quantile(spark):
+    """Long documents somewhat beyond their language's trusted ones are rejected: the limit is a quantile, plus only what short texts stray."""
+    rng = random.Random(6)
+    words = [prose(rng, 1, 10**6) + "".join(rng.choice("abcdefghij") for _ in range(4)) for _ in range(60)]
+    text = lambda odd: " ".join("".join(rng.choice("klmnopqrst") for _ in range(6)) if rng.random() < odd else rng.choice(words) for _ in range(500))
+    rows = [(i, text(0.3), "en") for i in range(100)] + [(1000 + i, text(0.4), "en") for i in range(10)]
+    df = frame(spark, rows)
+    got = {r["doc_id"]: r for r in quality.classify(df, spark.createDataFrame([(i,) for i in range(100)], "doc_id long")).collect()}
+    trusted = sorted(got[i]["log_perplexity"] for i in range(100))
+    for r in got.values():
+        assert r["limit"] <= trusted[-1] + 2 / len(dict((i, t) for i, t, _ in rows)[r["doc_id"]]) ** 0.5 + 1e-9
+    assert not any(got[1000 + i]["kept"] for i in range(10)) and np.mean([got[i]["kept"] for i in range(100)]) >= 0.99
+
+
 # ---- language ------------------------------------------------------------------------------------------------------
 
 
