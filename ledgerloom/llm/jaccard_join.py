@@ -1,4 +1,4 @@
-"""Exact n-gram Jaccard self-join, reported as components: T-occurrence search with DivideSkip.
+"""Exact n-gram Jaccard self-join, reported as components and, where asked for, numbers of links: T-occurrence search with DivideSkip.
 
 Documents are sets of word shingles (64-bit hashes). Two sets x and y link if they share at least
 T = ceil(s (|x| + |y|) / (1 + s)) shingles, s = 0.75. Steps:
@@ -16,6 +16,8 @@ T = ceil(s (|x| + |y|) / (1 + s)) shingles, s = 0.75. Steps:
 5. Long lists (over LIST_MOST documents of several components) are not merged: their documents meet the list's members
    in rounds of PIVOTS or more, verified as the others, until each list is in one component or every pair has met.
 
+For every link (run_whole) steps 3 to 5 are left out: all pairs that share a list and whose sizes fit are verified.
+
 Verification is a T-occurrence search for each query document against its candidates: inverted lists of the query's
 shingles over the candidates, short ones merged, the longest probed by binary search, kept at T occurrences.
 """
@@ -292,6 +294,14 @@ class _Join:
         parts = components(links).select(F.col("node").alias("id"), "component")
         return self.posted.join(parts, "id", "left").select("token", "id", F.coalesce("component", "id").alias("part"))
 
+    def run_whole(self) -> DataFrame:
+        """Every link between representatives, as distinct (a, b): all pairs that share a list are verified, whatever components they are in."""
+        self.lists()
+        self.sets()
+        x, y = (self.posted.select("token", F.col("id").alias(c)) for c in "xy")
+        pairs = self.fitting(x.join(y, "token").filter("x < y").select("x", "y").distinct())
+        return self.verify(pairs).distinct()
+
     def run(self, links: DataFrame | None = None) -> DataFrame:
         """All links between representatives that matter: enough to give every component."""
         self.lists()
@@ -358,16 +368,20 @@ class _Join:
                 links = links.unionByName(new)
 
 
-def link_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def link_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", every: bool = False) -> DataFrame:
     """One row for each row of df: id_col, n_shingles, component_id.
 
     Integer identifiers. Texts without words, and null texts, have no shingles and are linked with nothing; rows that
     share an identifier share a component. A null identifier has its own row with a null component. Other columns are
     ignored; an empty df gives no rows.
+
+    every: the whole join instead of the links that components need, at a cost that grows with the number of pairs; adds n_links, the number
+    of other rows that a row links with (equal sets among them). Rows that share an identifier are one document to the search, so they
+    share links with other sets; for exact counts identifiers are distinct.
     """
     join = _Join(df, id_col, text_col)
     rows, classes = join.survey()
-    links = join.run()
+    links = join.run_whole() if every else join.run()
     member = rows.filter("n > 0").join(classes.select("digest", "rep"), "digest").select("id", "digest", "n", "rep")
     same_id = member.groupBy("id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).filter("a < b").select("a", "b")
     parts = components(links.unionByName(same_id))
@@ -376,4 +390,15 @@ def link_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     without = rows.filter("n = 0").select("id", "n", F.col("id").alias("component"))
     blank = df.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text")).filter("id IS NULL OR text IS NULL")
     blank = blank.select("id", F.lit(0).cast("long").alias("n"), F.col("id").alias("component"))
-    return with_words.unionByName(without).unionByName(blank).select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"))
+    out = with_words.unionByName(without).unionByName(blank)
+    names = [F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.col("component").alias("component_id")]
+    if not every:
+        return out.select(*names)
+    # a representative's links, each as many as the other class has rows, and the other rows of its own class
+    sizes = rows.filter("n > 0").groupBy("digest").agg(F.count(F.lit(1)).alias("size")).join(classes.select("digest", "rep"), "digest")
+    both = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    others = both.join(sizes.groupBy(F.col("rep").alias("b")).agg(F.sum("size").alias("size")), "b").groupBy(F.col("a").alias("rep")).agg(F.sum("size").alias("others"))
+    counts = sizes.join(others, "rep", "left").select("digest", (F.col("size") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"))
+    counted = rows.filter("n > 0").join(labels, "digest").join(counts, "digest").select("id", "n", "component", "n_links")
+    rest = without.unionByName(blank).withColumn("n_links", F.lit(0).cast("long"))
+    return counted.unionByName(rest).select(*names, "n_links")

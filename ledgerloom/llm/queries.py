@@ -57,7 +57,7 @@ FROM e GROUP BY conv_id
 
 
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_join.link_components(_table(spark, sf_dir, "documents"))
+    return jaccard_join.link_components(_table(spark, sf_dir, "documents"), every=True)
 
 
 def vocabulary() -> str:

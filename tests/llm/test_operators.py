@@ -207,6 +207,19 @@ def test_jaccard_rounds_over_long_lists(spark, monkeypatch):
     assert {r["doc_id"]: r["component_id"] for r in got} == expected
 
 
+def test_every_link_is_counted(spark, monkeypatch):
+    """Groups of near copies: each document's number of links, not only the components, against brute force."""
+    monkeypatch.setattr(jaccard_join, "GROUP_MOST", 7)
+    rows = near_rows()[:-1]
+    rows += [(2000 + i, rows[5][1]) for i in range(3)] + [(3000, None)]
+    got = jaccard_join.link_components(spark.createDataFrame(rows, "doc_id long, text string"), every=True).collect()
+    sets = {i: shingles_of(t) if t else set() for i, t in rows}
+    want = {i: sum(bool(j != i and a and b and 100 * len(a & b) >= 75 * len(a | b)) for j, b in sets.items()) for i, a in sets.items()}
+    assert {r["doc_id"]: r["n_links"] for r in got} == want and len(got) == len(rows)
+    assert {r["doc_id"]: r["component_id"] for r in got} == brute_components([(i, t or "") for i, t in rows])
+    assert max(want.values()) > 5
+
+
 def test_jaccard_of_nothing(spark, nothing):
     assert jaccard_join.link_components(nothing).count() == 0
 
