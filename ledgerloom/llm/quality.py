@@ -1,14 +1,16 @@
 """Quality classification by a character n-gram language model with interpolated modified Kneser-Ney smoothing.
 
-The model is trained on all trusted text. Counts, continuation counts, discounts and probabilities are tables
-keyed by n-gram, made with joins and aggregates. Scoring is by sharded count joins: documents are dealt into blocks
-of about BLOCK characters; a block asks once for each distinct n-gram it holds, the requests meet the model's shards
-in a join on the n-gram, and the answers go back to the block, where every document's perplexity is added up. So
-neither the model nor the documents are broadcast, texts move once, and what is asked for is a small share of the text.
-
-A document is rejected if the logarithm of its perplexity exceeds its language's limit: a quantile over the trusted
-documents of that language, times 1 + slack, plus allowance / sqrt(characters), since the mean over a short text
-strays further. Languages without enough trusted documents use the quantile over all.
+The model is trained on trusted text. Counts, continuation counts, discounts and probabilities are tables keyed by
+n-gram, made with joins and aggregates. Scoring is by sharded count joins: documents are dealt into blocks of about
+BLOCK characters by a hash of identifier and text; a block asks once for each distinct n-gram it holds, the requests meet
+the model's shards in a join on the n-gram, and the answers go back to the block, where every document's perplexity is
+added up. So neither the model nor the documents are broadcast, and what is asked for is a small share of the text.
+
+A document is rejected if the logarithm of its perplexity exceeds its language's limit plus allowance / sqrt(characters).
+The limit is a quantile of the same figure (log perplexity less that allowance) over trusted documents of the language
+that the model has not seen. The allowance is about one standard error: the log probability of a character of prose has a
+standard deviation of about 2, so the mean over a short text strays further. Languages with few such documents use the
+quantile over all.
 """
 
 from __future__ import annotations
@@ -21,6 +23,12 @@ from pyspark.sql import functions as F
 from ledgerloom.llm.common import text_slices, written
 
 ORDER, BLOCK = 4, 24_000_000
+#: Bytes of text whose n-grams are in memory at once; the arrays take some eighty times as much.
+SLICE = 500_000
+#: Trusted rows: those that train the model, and those of fold 0 that only give the limits.
+TRAIN, HELD, FOLDS = 1, 2, 5
+#: Identifiers of at most so many trusted rows are broadcast; beyond, they are joined.
+MARKS_BROADCAST = 1_000_000
 #: Limits of at most so many languages are broadcast.
 LANGUAGES = 10_000
 #: Fills the places before a text's first character; in texts it is taken as a space.
@@ -46,11 +54,25 @@ def _keys(codes: np.ndarray, n: int, ends: np.ndarray) -> np.ndarray:
     return key | np.uint64(1)
 
 
+def _unique(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """np.unique with index and counts, mostly by one scatter into a table instead of a sort."""
+    slot = (keys >> np.uint64(46)).astype(np.int64)  # 2**18 slots
+    place = np.zeros(1 << 18, np.int64)
+    place[slot] = np.arange(len(keys))
+    same = keys == keys[place[slot]]
+    count = np.bincount(slot[same], minlength=1 << 18)
+    hit = count.nonzero()[0]
+    rest = (~same).nonzero()[0]
+    k, i, c = np.unique(keys[rest], return_index=True, return_counts=True)
+    return np.concatenate([keys[place[hit]], k]), np.concatenate([place[hit], rest[i]]), np.concatenate([count[hit], c])
+
+
 class _Distinct:
-    """Distinct n-grams of a block, with their counts in trusted text."""
+    """Distinct n-grams of full ORDER in a block, with their counts in the text that trains the model."""
 
     def __init__(self):
-        self.grams: list[dict[int, list]] = [{} for _ in range(ORDER + 1)]
+        self.keys, self.grams, self.counts = np.zeros(0, np.uint64), np.zeros((0, ORDER), np.uint32), np.zeros(0, np.int64)
+        self.new, self.waiting = [], 0
 
     def add(self, texts: list[str], trusted: bool) -> None:
         codes, first = _codes(texts)
@@ -58,43 +80,42 @@ class _Distinct:
         for k in range(1, ORDER):
             inside[first[:-1] - k] = False
         ends = inside.nonzero()[0]
-        for n in range(1, ORDER + 1):
-            # contexts end anywhere, also on the last pad
-            own = ends if n == ORDER else np.union1d(ends, first[:-1] - 1)
-            keys = _keys(codes, n, own)
-            found, at, count = np.unique(keys, return_index=True, return_counts=True) if len(keys) < 4096 else self._unique(keys)
-            known = self.grams[n]
-            for key, i, c in zip(found.tolist(), own[at].tolist(), count.tolist(), strict=True):
-                entry = known.get(key)
-                if entry is None:
-                    known[key] = [codes[i - n + 1 : i + 1].tobytes().decode("utf-32-le", "surrogatepass"), c if trusted else 0]
-                elif trusted:
-                    entry[1] += c
-
-    @staticmethod
-    def _unique(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """np.unique with index and counts, mostly by one scatter into a table instead of a sort."""
-        slot = (keys >> np.uint64(44)).astype(np.int64)  # 2**20 slots
-        place = np.zeros(1 << 20, np.int64)
-        place[slot] = np.arange(len(keys))
-        same = keys == keys[place[slot]]
-        count = np.bincount(slot[same], minlength=1 << 20)
-        hit = count.nonzero()[0]
-        rest = (~same).nonzero()[0]
-        k, i, c = np.unique(keys[rest], return_index=True, return_counts=True)
-        return np.concatenate([keys[place[hit]], k]), np.concatenate([place[hit], rest[i]]), np.concatenate([count[hit], c])
-
-
-def _requests(docs: pa.Table, trusted: pa.Table) -> pa.Table:
-    out, good = _Distinct(), set(trusted.column("id").to_pylist())
-    block = docs.column("block")[0].as_py() if docs.num_rows else 0
-    for batch in text_slices(docs.select(["id", "text"]).to_batches(), limit=2_000_000):
-        ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+        keys, at, count = _unique(_keys(codes, ORDER, ends))
+        grams = codes[ends[at][:, None] + np.arange(1 - ORDER, 1)]
+        self.new.append((keys, grams, count if trusted else np.zeros_like(count)))
+        self.waiting += len(keys)
+        if self.waiting > 500_000:
+            self.merge()
+
+    def merge(self) -> None:
+        keys, grams, counts = (np.concatenate(x) for x in zip((self.keys, self.grams, self.counts), *self.new, strict=True))
+        self.keys, at, place = np.unique(keys, return_index=True, return_inverse=True)
+        self.grams, self.counts = grams[at], np.bincount(place, counts, len(at)).astype(np.int64)
+        self.new, self.waiting = [], 0
+
+    def asked(self) -> tuple[list[str], np.ndarray]:
+        """All grams whose probability or back-off weight a text of the block may need, those of full ORDER first, and their counts (0 for shorter ones).
+
+        Shorter grams are ends of full ones, and contexts are their beginnings without the last character.
+        """
+        self.merge()
+        every = self.grams.tobytes().decode("utf-32-le", "surrogatepass")
+        full = [every[i : i + ORDER] for i in range(0, len(every), ORDER)]
+        shorter = set()
+        for n in range(1, ORDER):
+            shorter.update({g[-n:] for g in full}, {g[ORDER - 1 - n : ORDER - 1] for g in full})
+        return full + sorted(shorter), np.append(self.counts, np.zeros(len(shorter), np.int64))
+
+
+def _requests(docs: pa.Table) -> pa.Table:
+    out = _Distinct()
+    for batch in text_slices(docs.select(["mark", "text"]).to_batches(), limit=SLICE):
+        marks, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
         for flag in (True, False):
-            if part := [t for i, t in zip(ids, texts, strict=True) if t and (i in good) == flag]:
+            if part := [t for m, t in zip(marks, texts, strict=True) if t and (m == TRAIN) == flag]:
                 out.add(part, flag)
-    rows = [(g, n, c) for n in range(1, ORDER + 1) for g, c in out.grams[n].values()]
-    return pa.table({"block": pa.array([block] * len(rows), pa.int64()), "gram": pa.array([r[0] for r in rows], pa.string()), "n": pa.array([r[1] for r in rows], pa.int32()), "c": pa.array([r[2] for r in rows], pa.int64())})
+    grams, counts = out.asked()
+    return pa.table({"block": pa.array([docs.column("block")[0].as_py()] * len(grams), pa.int64()), "gram": pa.array(grams, pa.string()), "c": pa.array(counts)})
 
 
 class _Scorer:
@@ -112,7 +133,7 @@ class _Scorer:
             codes = np.frombuffer("".join([grams[i] for i in at]).encode("utf-32-le", "surrogatepass"), np.uint32)
             keys = _keys(codes, n, np.arange(len(at)) * n + n - 1)
             order = np.argsort(keys)
-            table = np.full(1 << 20, -1, np.int64)
+            table = np.full(1 << 20, -1, np.int32)
             table[(keys[order] >> np.uint64(44)).astype(np.int64)] = np.arange(len(order))
             self.by_n[n] = keys[order], logp[at][order], bow[at][order], table
 
@@ -200,43 +221,45 @@ def kneser_ney(counts: DataFrame) -> tuple[DataFrame, float]:
     return model, unknown
 
 
-def perplexities(df: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep_cols: tuple[str, ...] = ()) -> DataFrame:
-    """One row for each row of df: id, log_perplexity (null without text), n_chars, is_trusted, and keep_cols as keep_0, keep_1 and so on.
-
-    trusted: identifiers (first column; repeats and nulls don't matter) of the rows of df that train the model. Mean log probability is over the
-    characters of the whole text. Without any trusted text every character is equally unlikely.
-    """
+def _scored(df: DataFrame, marks: DataFrame, id_col: str, text_col: str, keep_cols: tuple[str, ...]) -> DataFrame:
+    """perplexities(), where marks (id, mark) says which rows train the model; mark is null for a row without one."""
     q = lambda c: F.col(f"`{c}`")
     size = df.agg(F.sum(F.length(q(text_col)))).first()[0] or 0
     blocks = max(1, -(-size // BLOCK))
-    block = lambda c: F.pmod(F.xxhash64(c), F.lit(blocks)).cast("long")
-    kept = [f"keep_{i}" for i in range(len(keep_cols))]
-    docs = df.select(block(q(id_col)).alias("block"), q(id_col).alias("id"), q(text_col).alias("text"), *[q(c).alias(k) for c, k in zip(keep_cols, kept, strict=True)])
-    good = trusted.select(F.col(f"`{trusted.columns[0]}`").alias("id")).filter("id IS NOT NULL").distinct()
-    good = good.select(block(F.col("id")).alias("block"), "id")
-    asked = docs.groupBy("block").cogroup(good.groupBy("block")).applyInArrow(_requests, "block bigint, gram string, n int, c bigint")
-    asked = written(asked, "ngrams")
-    model, unknown = kneser_ney(asked.filter(f"n = {ORDER} AND c > 0").groupBy("gram").agg(F.sum("c").alias("c")))
-    answers = asked.select("block", "gram").join(model, "gram").select("block", "gram", "logp", "bow", F.lit(False).alias("label"), F.lit(None).cast(dict(df.dtypes)[id_col]).alias("id"))
-    answers = answers.unionByName(good.select("block", F.lit(None).cast("string").alias("gram"), F.lit(None).cast("double").alias("logp"), F.lit(None).cast("double").alias("bow"), F.lit(True).alias("label"), "id"))
-    answers = written(answers, "answers")
-    fields = ", ".join(f"{k} {dict(df.dtypes)[c]}" for c, k in zip(keep_cols, kept, strict=True))
+    kept = {c: "text" if c == text_col else f"keep_{i}" for i, c in enumerate(keep_cols)}  # text goes through Python once
+    rows = df.select(q(id_col).alias("id"), q(text_col).alias("text"), *[q(c).alias(k) for c, k in kept.items() if k != "text"])
+    marks = marks.groupBy("id").agg(F.min("mark").alias("mark"))
+    if marks.limit(MARKS_BROADCAST + 1).count() <= MARKS_BROADCAST:
+        marks = F.broadcast(marks)
+    rows = rows.join(marks, "id", "left").withColumn("block", F.pmod(F.xxhash64("id", "text"), F.lit(blocks)).cast("long"))
+    asked = written(rows.select("block", "mark", "text").groupBy("block").applyInArrow(_requests, "block bigint, gram string, c bigint"), "ngrams")
+    model, unknown = kneser_ney(asked.filter(f"char_length(gram) = {ORDER} AND c > 0").groupBy("gram").agg(F.sum("c").alias("c")))
+    answers = written(asked.select("block", "gram").join(model, "gram").select("block", "gram", "logp", "bow"), "answers")
+    through = ["id", "mark", *dict.fromkeys(kept.values())]
 
     def score(docs: pa.Table, answers: pa.Table) -> pa.Table:
-        label = answers.column("label").to_numpy()
-        good = set(answers.filter(pa.array(label)).column("id").to_pylist())
-        scorer = _Scorer(answers.filter(pa.array(~label)), unknown)
+        scorer = _Scorer(answers, unknown)
         values, sizes = [], []
-        for batch in text_slices(docs.select(["id", "text"]).to_batches(), limit=1_000_000):
+        for batch in text_slices(docs.select(["mark", "text"]).to_batches(), limit=SLICE):
             texts = [t or "" for t in batch.column(1).to_pylist()]
-            sums = scorer.add_up([t for t in texts if t])
-            values += iter_values(texts, sums)
+            values += iter_values(texts, scorer.add_up([t for t in texts if t]))
             sizes += map(len, texts)
-        ids = docs.column("id")
-        return pa.table({"id": ids, "log_perplexity": pa.array(values, pa.float64()), "n_chars": pa.array(sizes, pa.int64()), "is_trusted": pa.array([i in good for i in ids.to_pylist()], pa.bool_())} | {k: docs.column(k) for k in kept})
+        return pa.table({c: docs.column(c) for c in through} | {"log_perplexity": pa.array(values, pa.float64()), "n_chars": pa.array(sizes, pa.int64())})
 
-    out = docs.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(score, f"id {dict(df.dtypes)[id_col]}, log_perplexity double, n_chars bigint, is_trusted boolean" + (", " + fields if fields else ""))
-    return out
+    types = dict(rows.dtypes)
+    out = rows.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(score, ", ".join(f"{c} {types[c]}" for c in through) + ", log_perplexity double, n_chars bigint")
+    return out.select("id", "mark", "log_perplexity", "n_chars", *[F.col(k).alias(f"keep_{i}") for i, k in enumerate(kept.values())])
+
+
+def perplexities(df: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep_cols: tuple[str, ...] = ()) -> DataFrame:
+    """One row for each row of df: id, log_perplexity (null without text), n_chars, is_trusted, and keep_cols as keep_0, keep_1 and so on.
+
+    trusted: identifiers (first column; repeats and nulls don't matter) of the rows of df that train the model. Mean log probability is over the
+    characters of the whole text. Without any trusted text every character is equally unlikely.
+    """
+    marks = trusted.select(F.col(f"`{trusted.columns[0]}`").alias("id"), F.lit(TRAIN).alias("mark")).filter("id IS NOT NULL")
+    out = _scored(df, marks, id_col, text_col, keep_cols)
+    return out.withColumn("is_trusted", F.coalesce(F.col("mark") == TRAIN, F.lit(False))).drop("mark")
 
 
 def iter_values(texts: list[str], sums: np.ndarray) -> list[float | None]:
@@ -245,33 +268,37 @@ def iter_values(texts: list[str], sums: np.ndarray) -> list[float | None]:
     return [-next(rest) / len(t) if t else None for t in texts]
 
 
-def _judged(df: DataFrame, trusted: DataFrame, id_col: str, text_col: str, lang_col: str, keep_cols: tuple[str, ...], quantile: float, slack: float, allowance: float, least: int) -> DataFrame:
+def _judged(df: DataFrame, trusted: DataFrame, id_col: str, text_col: str, lang_col: str, keep_cols: tuple[str, ...], quantile: float, allowance: float, least: int) -> DataFrame:
     """id, keep_0 (the language), keep_1 ..., log_perplexity, limit, kept."""
-    scored = written(perplexities(df, trusted, id_col, text_col, (lang_col, *keep_cols)), "scored")
-    own = scored.filter("is_trusted AND log_perplexity IS NOT NULL")
-    at = F.percentile_approx("log_perplexity", quantile, 10_000)
+    good = trusted.select(F.col(f"`{trusted.columns[0]}`").alias("id")).filter("id IS NOT NULL")
+    marks = good.withColumn("mark", F.when(F.crc32(F.col("id").cast("string")) % FOLDS == 0, HELD).otherwise(TRAIN))
+    scored = written(_scored(df, marks, id_col, text_col, (lang_col, *keep_cols)), "scored")
+    own = scored.filter((F.col("mark") == HELD) & F.col("log_perplexity").isNotNull())
+    at = F.percentile_approx(F.col("log_perplexity") - allowance / F.sqrt("n_chars"), quantile, 10_000)
     limits = own.groupBy(F.col("keep_0").alias("lang")).agg(at.alias("l"), F.count(F.lit(1)).alias("n")).filter(F.col("n") >= least).select("lang", "l")
     overall = own.agg(at.alias("l")).first()["l"]
     if limits.limit(LANGUAGES + 1).count() <= LANGUAGES:
         limits = F.broadcast(limits)
     joined = scored.join(limits, F.expr("keep_0 <=> lang"), "left")
-    out = joined.withColumn("limit", F.coalesce(F.col("l"), F.lit(overall).cast("double")) * (1 + slack) + allowance / F.sqrt(F.greatest("n_chars", F.lit(1))))
+    out = joined.withColumn("limit", F.coalesce(F.col("l"), F.lit(overall).cast("double")) + allowance / F.sqrt(F.greatest("n_chars", F.lit(1))))
     return out.withColumn("kept", F.coalesce(F.col("log_perplexity") <= F.col("limit"), F.lit(True)))
 
 
-def classify(df: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", quantile: float = 0.99, slack: float = 0.0, allowance: float = 2.0, least: int = 50) -> DataFrame:
+def classify(df: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", quantile: float = 0.99, allowance: float = 2.0, least: int = 50) -> DataFrame:
     """One row for each row of df: id_col, lang_col, log_perplexity, limit, kept.
 
-    A document without text has no perplexity and is kept; so is everything where no trusted document has text. A null
-    language is a language of its own. Repeated rows are scored alike. Other columns of df are ignored.
+    trusted: identifiers of trusted rows; those whose crc32 (as text) is divisible by FOLDS don't train the model but give the limits, so that a
+    limit is not a quantile over what the model has seen. A language with fewer than `least` of them has the limit of all; without any, all is kept.
+    A document without text has no perplexity and is kept. A null language is a language of its own. Repeated rows are scored alike, ties
+    at the limit are kept. Other columns of df are ignored; an empty df gives no rows.
     """
-    out = _judged(df, trusted, id_col, text_col, lang_col, (), quantile, slack, allowance, least)
+    out = _judged(df, trusted, id_col, text_col, lang_col, (), quantile, allowance, least)
     return out.select(F.col("id").alias(id_col), F.col("keep_0").alias(lang_col), "log_perplexity", "limit", "kept")
 
 
-def accepted(df: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", quantile: float = 0.99, slack: float = 0.0, allowance: float = 2.0, least: int = 50) -> DataFrame:
+def accepted(df: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", quantile: float = 0.99, allowance: float = 2.0, least: int = 50) -> DataFrame:
     """The rows of df that classify keeps, with all columns of df, whatever their names."""
     rest = tuple(c for c in df.columns if c not in (id_col, lang_col))
-    out = _judged(df, trusted, id_col, text_col, lang_col, rest, quantile, slack, allowance, least).filter("kept")
+    out = _judged(df, trusted, id_col, text_col, lang_col, rest, quantile, allowance, least).filter("kept")
     names = {id_col: "id", lang_col: "keep_0"} | {c: f"keep_{i + 1}" for i, c in enumerate(rest)}
     return out.select(*[F.col(names[c]).alias(c) for c in df.columns])

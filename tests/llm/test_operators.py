@@ -468,17 +468,64 @@ def test_quality_separates(spark):
 
 
 def test_quality_limit_is_the_quantile(spark):
-    """Long documents somewhat beyond their language's trusted ones are rejected: the limit is a quantile, plus only what short texts stray."""
+    """Model, limit and decision against a plain Python count model: limits are quantiles over trusted documents that the model has not seen."""
+    import zlib
+
     rng = random.Random(6)
     words = [prose(rng, 1, 10**6) + "".join(rng.choice("abcdefghij") for _ in range(4)) for _ in range(60)]
-    text = lambda odd: " ".join("".join(rng.choice("klmnopqrst") for _ in range(6)) if rng.random() < odd else rng.choice(words) for _ in range(500))
-    rows = [(i, text(0.3), "en") for i in range(100)] + [(1000 + i, text(0.4), "en") for i in range(10)]
+    text = lambda odd, n=500: " ".join("".join(rng.choice("klmnopqrst") for _ in range(6)) if rng.random() < odd else rng.choice(words) for _ in range(n))
+    rows = [(i, text(0.3), "en") for i in range(100)] + [(100 + i, text(0.1), "de") for i in range(100)] + [(1000 + i, text(0.5), "en") for i in range(10)] + [(1010, "x y", "fr"), (1011, "", "en"), (5, rows_text := text(0.3), "en")]
     df = frame(spark, rows)
-    got = {r["doc_id"]: r for r in quality.classify(df, spark.createDataFrame([(i,) for i in range(100)], "doc_id long")).collect()}
-    trusted = sorted(got[i]["log_perplexity"] for i in range(100))
-    for r in got.values():
-        assert r["limit"] <= trusted[-1] + 2 / len(dict((i, t) for i, t, _ in rows)[r["doc_id"]]) ** 0.5 + 1e-9
-    assert not any(got[1000 + i]["kept"] for i in range(10)) and np.mean([got[i]["kept"] for i in range(100)]) >= 0.99
+    got = quality.classify(df, spark.createDataFrame([(i,) for i in range(200)], "doc_id long"), least=10, quantile=0.9).collect()
+    assert len(got) == len(rows) and sum(r["doc_id"] == 5 for r in got) == 2 and rows_text
+    held = lambda i: i < 200 and zlib.crc32(str(i).encode()) % quality.FOLDS == 0
+    model = [t for i, t, _ in rows if i < 200 and not held(i)]
+    brute = brute_kneser_ney(model)
+    value = {(i, t): -np.mean([brute(t, k) for k in range(len(t))]) if t else None for i, t, _ in rows}
+    excess = {(i, t): v - 2 / len(t) ** 0.5 for (i, t), v in value.items() if t}
+    limit = {}
+    for lang in ("en", "de"):
+        own = sorted(excess[i, t] for i, t, x in rows if x == lang and held(i))
+        limit[lang] = own[int(np.ceil(0.9 * len(own))) - 1]
+    every = sorted(excess[i, t] for i, t, _ in rows if held(i))
+    limit["fr"] = every[int(np.ceil(0.9 * len(every))) - 1]
+    want = sorted((i, t == "" or excess[i, t] <= limit[x] + 1e-9) for i, t, x in rows)
+    assert sorted((r["doc_id"], r["kept"]) for r in got) == want
+    assert not any(kept for i, kept in want if 1000 <= i < 1010)
+    for r in got:
+        if r["log_perplexity"] is not None:
+            assert min(abs(r["log_perplexity"] - v) for (i, _), v in value.items() if i == r["doc_id"] and v) < 1e-9
+
+
+def brute_kneser_ney(texts):
+    """Interpolated modified Kneser-Ney with dicts: a function (text, k) -> log probability of the text's k-th character."""
+    from collections import Counter, defaultdict
+
+    order, pad = quality.ORDER, quality.PAD * (quality.ORDER - 1)
+    counts = {order: Counter(g for t in texts for g in ((pad + t)[k : k + order] for k in range(len(t))))}
+    for n in range(order - 1, 0, -1):
+        counts[n] = Counter(g[1:] for g in counts[n + 1])
+    size = len(counts[1]) + 1
+    discount, sums, held = {}, {}, {}
+    for n, c in counts.items():
+        n1, n2, n3, n4 = (sum(v == k for v in c.values()) for k in (1, 2, 3, 4))
+        y = n1 / (n1 + 2 * n2) if n1 and n2 and n3 else None
+        d = [0.5, 0.75, 0.9] if y is None else [min(max(x, 0.05), k + 0.95) for k, x in enumerate((1 - 2 * y * n2 / n1, 2 - 3 * y * n3 / n2, 3 - 4 * y * n4 / n3))]
+        discount[n] = lambda v, d=d: d[min(v, 3) - 1]
+        sums[n], held[n] = defaultdict(int), defaultdict(float)
+        for g, v in c.items():
+            sums[n][g[:-1]] += v
+            held[n][g[:-1]] += discount[n](v)
+
+    def p(g):
+        n = len(g)
+        rest = p(g[1:]) if n > 1 else 1 / size
+        if g[:-1] not in sums[n]:
+            return rest
+        v = counts[n][g]
+        return ((v - discount[n](v)) if v else 0) / sums[n][g[:-1]] + held[n][g[:-1]] / sums[n][g[:-1]] * rest
+
+    return lambda text, k: np.log(p((pad + text)[k : k + order]))
 
 
 # ---- language ------------------------------------------------------------------------------------------------------
