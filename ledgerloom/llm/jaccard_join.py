@@ -1,48 +1,57 @@
-"""Exact n-gram Jaccard self-join, reported as components and, where asked for, numbers of links: T-occurrence search with DivideSkip.
+"""Exact n-gram Jaccard self-join by T-occurrence search: components and numbers of links.
 
 Documents are sets of word shingles (64-bit hashes). Two sets x and y link if they share at least
 T = ceil(s (|x| + |y|) / (1 + s)) shingles, s = 0.75. Steps:
 
-1. Equal sets are one class; from here on only class representatives (smallest identifiers) take part.
-2. All shingles have one fixed order: frequent ones last, else by hash. If x and y link, their first
-   |x| - ceil(s|x|) + 1 and |y| - ceil(s|y|) + 1 shingles share one. These prefixes are dealt by shingle into
-   inverted lists; lists of one document vanish. (Which shingles count as frequent comes from bounded tallies over
-   all data; it changes the cost, never the result.)
-3. Collapse: in each list all documents meet its smallest one only, linear in the list. Of each document the
-   partner that it met most often is verified. So a large group of near copies becomes a component without its pairs.
-4. Lists whose documents are all in one component are done. For the rest, pairs from different components are counted
-   over the lists: the merge of the short lists. With L long lists left out, only pairs that occur at least T - L times
-   (less the shingles beyond the prefixes) go on to be verified.
-5. Long lists (over LIST_MOST documents of several components) are not merged: their documents meet the list's members
-   in rounds of PIVOTS or more, verified as the others, until each list is in one component or every pair has met.
-
-For every link (run_whole) steps 3 to 5 are left out: all pairs that share a list and whose sizes fit are verified.
-
-Verification is a T-occurrence search for each query document against its candidates: inverted lists of the query's
-shingles over the candidates, short ones merged, the longest probed by binary search, kept at T occurrences.
+1. An inverted index over all sets, sharded by shingle. Blocks of documents send each shard their distinct shingles as
+   packed arrays; the shard tells each block how many shingles of each document occur in other sets too. A set with
+   fewer than s |x| of those links with nothing and is done. (Shards compare 32 further bits of the hash: a chance
+   hit only keeps a set in.) Equal sets are one class, of which the smallest identifier takes part from here on.
+2. The classes that are left have their shingles counted, by shards again, and ordered: rare ones first. If x and y
+   link, their first |x| - ceil(s|x|) + 1 and |y| - ceil(s|y|) + 1 shingles have a first one in common, and after it
+   enough shingles are left in both. Documents that could link so are put into one cluster: first within a block, then,
+   with one entry for all that a block has put together, within the shard of a shingle. Links never leave a cluster.
+3. In each cluster a T-occurrence search, DivideSkip: a query document's inverted lists over the cluster are divided into
+   the L longest and the rest; the rest is merged by a heap, documents that occur T - L times or more are looked up in the
+   long lists by binary search, and those that reach T link. Clusters of over GROUP_MOST documents are divided into
+   cells by size and a hash, and pairs of cells whose sizes allow links are searched, each in a task of its own.
+   A search yields a row for each document: the copies it links with, and the smallest document connected to it there.
+   So no row is made for a pair, and no list, class, cluster or component has to fit into one task.
+
+Components are the connected components of those rows.
 """
 
 from __future__ import annotations
 
+from heapq import merge
+from math import log2
+
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import cut, text_slices, written
+from ledgerloom.llm.common import text_slices, written
 from ledgerloom.llm.components import components
 from ledgerloom.llm.shingles import shingle_sets
 
 SHINGLE, NUMERATOR, DENOMINATOR = 5, 75, 100
-#: Frequent shingles that are ordered last, at most: 8 bytes each are sent to every worker.
-FREQUENT_MOST = 500_000
-#: Documents of a list whose pairs are merged; a longer list meets in rounds of PIVOTS at first.
-LIST_MOST, PIVOTS = 256, 64
 #: Bytes of text whose shingles are computed at once; the arrays take some forty times as much.
 SLICE = 1_000_000
-#: Candidates of one query document that are verified in one group.
-GROUP_MOST = 2_000
+#: Shingles that a block of documents deals to the shards at once, and its documents, at most (one longer document apart).
+BLOCK, BLOCK_DOCS = 1_000_000, 60_000
+#: Shingles of one shard of the index, about; a shingle counts once for each block.
+SHARD = 2_000_000
+#: Documents and shingles of a cluster, or of a cell of a larger one, that are searched in one group, about.
+GROUP_MOST, GROUP_SHINGLES = 256, 500_000
+#: Representatives that are left after step 1 are broadcast up to this number, 50 bytes each; beyond, they are joined.
+BROADCAST_MOST = 1_000_000
+#: Lists of more entries are put into clusters by a sweep, which may put more together than pairs could link.
+SWEEP_FROM = 4_096
+#: The weight of a binary probe against a step of the merge in DivideSkip.
+MU = 0.01
+_NOBODY = 0xFFFF
 
 
 def needed(x: int, y: int) -> int:
@@ -50,355 +59,468 @@ def needed(x: int, y: int) -> int:
     return -(-NUMERATOR * (x + y) // (NUMERATOR + DENOMINATOR))
 
 
-NEEDED = f"CAST(ceil({NUMERATOR} * (nx + ny) / {NUMERATOR + DENOMINATOR}D) AS BIGINT)"
-
-
-def prefix_length(n: int) -> int:
-    return n - -(-NUMERATOR * n // DENOMINATOR) + 1
-
-
-def divide_skip(query: np.ndarray, candidates: list[np.ndarray], mu: float = 0.01) -> list[int]:
-    """Indices of the candidates that share enough shingles with the query; all arrays are sorted and without repeats."""
-    if not candidates or not len(query):
-        return []
-    need = np.array([needed(len(query), len(c)) for c in candidates])
-    sizes = np.array([len(c) for c in candidates])
-    able = (need <= len(query)) & (need <= sizes)
-    if not able.any():
-        return []
-    every = np.concatenate(candidates)
-    owner = np.repeat(np.arange(len(candidates)), sizes)
-    at = np.minimum(np.searchsorted(query, every), len(query) - 1)
-    hit = query[at] == every
-    lists, owner = at[hit], owner[hit]  # the inverted lists of the query's shingles over the candidates
-    length = np.bincount(lists, minlength=len(query))
-    least = int(need[able].min())
-    skip = min(int(least / (mu * np.log2(max(2, length.max())) + 1)), least - 1, len(query) - 1)
-    skip = skip if len(candidates) > 64 else 0  # with few candidates there is no long list
-    long = np.argsort(-length, kind="stable")[:skip]
-    short = np.ones(len(query), bool)
-    short[long] = False
-    count = np.bincount(owner[short[lists]], minlength=len(candidates))  # the merge of the short lists
-    left = (able & (count >= need - skip)).nonzero()[0]
-    tokens = np.sort(query[long])
-    found = []
-    for i in left.tolist():
-        n = int(count[i])
-        if n < need[i] and len(tokens):
-            p = np.minimum(np.searchsorted(candidates[i], tokens), len(candidates[i]) - 1)  # binary probes of the long lists
-            n += int((candidates[i][p] == tokens).sum())
-        if n >= need[i]:
-            found.append(i)
-    return found
-
-
-def _survey(batches):
-    """Each document's set size and digest; and each shingle that several distinct sets of this task share, with their number."""
+def least_partner(n):
+    """The size of the smallest set that one of n shingles can link with, which is also the smallest overlap."""
+    return -(-NUMERATOR * n // DENOMINATOR)
+
+
+# ---- the search -----------------------------------------------------------------------------------------------------
+
+
+class Index:
+    """Inverted lists over some sets (sorted arrays without repeats), and the T-occurrence search in them."""
+
+    def __init__(self, sets: list[np.ndarray]):
+        self.size = np.array([len(s) for s in sets], np.int64)
+        self.first = np.append(0, np.cumsum(self.size))
+        flat = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
+        owner = np.repeat(np.arange(len(sets)), self.size)
+        order = np.argsort(flat, kind="stable")  # owners ascend within a list
+        token, self.owner = flat[order], owner[order]
+        start = np.append(True, token[1:] != token[:-1]) if len(token) else np.zeros(0, bool)
+        self.rank = np.cumsum(start) - 1
+        edge = np.append(start.nonzero()[0], len(token))
+        self.end = edge[self.rank + 1] if len(token) else np.zeros(0, np.int64)
+        self.place = np.empty(len(flat), np.int64)
+        self.place[order] = np.arange(len(flat))
+        self.probe = self.rank * max(1, len(sets)) + self.owner  # ascends: what binary search looks into
+        self.list = self.owner.tolist()
+
+    def search(self, query: int, among: int) -> list[int]:
+        """The sets that link with set `query`, of those from number `among` on and after the query."""
+        p = self.place[self.first[query] : self.first[query + 1]]
+        end = self.end[p]
+        begin = p + 1
+        if among > query + 1:
+            begin = np.searchsorted(self.probe, self.rank[p] * len(self.size) + among)
+        length = end - begin
+        has = length > 0
+        n = int(self.size[query])
+        T = needed(n, max(least_partner(n), int(self.size[max(among, query + 1) :].min(initial=1 << 40))))
+        if has.sum() < T:
+            return []
+        begin, end, length, rank = begin[has], end[has], length[has], self.rank[p][has]
+        skip = min(T - 1, int(T / (MU * log2(max(2, int(length.max()))) + 1)))
+        order = np.argsort(length, kind="stable")
+        short, long = order[: len(order) - skip], order[len(order) - skip :]
+        count: dict[int, int] = {}
+        for d in merge(*[self.list[a:b] for a, b in zip(begin[short].tolist(), end[short].tolist(), strict=True)]):
+            count[d] = count.get(d, 0) + 1
+        able = [d for d, c in count.items() if c + skip >= (t := needed(n, int(self.size[d]))) and t <= min(n, int(self.size[d]))]
+        if not able:
+            return []
+        found = np.array([count[d] for d in able], np.int64)
+        if len(long):
+            wanted = rank[long][:, None] * len(self.size) + np.array(able, np.int64)
+            at = np.minimum(np.searchsorted(self.probe, wanted), len(self.probe) - 1)
+            found += (self.probe[at] == wanted).sum(0)
+        return [d for d, c in zip(able, found.tolist(), strict=True) if c >= needed(n, int(self.size[d]))]
+
+
+class Union:
+    """Union-find over the places 0 to n - 1; the root is the smallest place."""
+
+    def __init__(self, n: int):
+        self.up = list(range(n))
+
+    def root(self, x: int) -> int:
+        up = self.up
+        while up[x] != x:
+            up[x] = up[up[x]]
+            x = up[x]
+        return x
+
+    def join(self, x: int, y: int) -> None:
+        x, y = self.root(x), self.root(y)
+        if x != y:
+            self.up[max(x, y)] = min(x, y)
+
+    def roots(self) -> np.ndarray:
+        return np.array([self.root(x) for x in range(len(self.up))], np.int64)
+
+
+# ---- step 1: which sets share enough shingles with others at all ------------------------------------------------------
+
+
+def _shard_of(token: np.ndarray, shards: int) -> np.ndarray:
+    return ((token >> np.uint64(32)) * np.uint64(shards)) >> np.uint64(32)
+
+
+_DEAL = "shard int, block bigint, docs boolean, a binary, b binary, c binary, d binary"
+
+
+def _deal_row(*row) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, (pa.int32(), pa.int64(), pa.bool_(), *[pa.binary()] * 4), strict=True)], names=[x.split()[0] for x in _DEAL.split(", ")])
+
+
+def _deal(batches, shards: int):
+    """Blocks of documents: one row with identifiers, sizes, digests and local counts, and one for each shard with the shingles it gets and their owners."""
     import hashlib
 
-    sets, seen = [], set()
-    for batch in text_slices(batches, limit=SLICE):
-        own = shingle_sets(batch.column(1), SHINGLE)
-        digests = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in own]
-        for s, d in zip(own, digests, strict=True):
-            if d is not None and d not in seen:
-                seen.add(d)
-                sets.append(s)
-        n = len(own)
-        yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array([len(s) for s in own], pa.int64()), pa.array(digests, pa.binary()), pa.nulls(n, pa.int64())], names=["id", "n", "digest", "token"])
-        if sum(map(len, sets)) > 4_000_000:
-            yield _tally(sets)
-            sets = []
-    if sets:
-        yield _tally(sets)
-
-
-def _tally(sets: list[np.ndarray], least: int = 3):
-    token, count = np.unique(np.concatenate(sets), return_counts=True)
-    token, count = token[count >= least].view(np.int64), count[count >= least]
-    n = len(token)
-    return pa.RecordBatch.from_arrays([pa.nulls(n, pa.int64()), pa.array(count, pa.int64()), pa.nulls(n, pa.binary()), pa.array(token, pa.int64())], names=["id", "n", "digest", "token"])
-
-
-def _prefixes(batches, frequent: np.ndarray):
-    """Each document's prefix; `last` is the place of its end in the order of shingles."""
+    part, number, ids, sets = TaskContext.get().partitionId(), 0, [], []
+
+    def block():
+        nonlocal number
+        number += 1
+        key = part << 32 | number
+        size = np.array([len(s) for s in sets], np.uint32)
+        digests = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
+        seen: dict[bytes, int] = {}
+        first = [i for i, d in enumerate(digests) if seen.setdefault(d, i) == i and size[i]]
+        token = np.concatenate([sets[i] for i in first]) if first else np.zeros(0, np.uint64)
+        owner = np.repeat(np.array(first, np.uint16), size[first])
+        every, at, times = np.unique(token, return_inverse=True, return_counts=True)
+        several = times[at] > 1
+        local = np.full(len(sets), -1, np.int32)  # of a repeated set only the first is counted
+        local[first] = np.bincount(owner[several], minlength=len(sets))[first]
+        yield _deal_row(key % shards, key, True, np.array(ids, np.int64).tobytes(), size.tobytes(), b"".join(digests), local.tobytes())
+        shared = every[times > 1]  # goes once, as nobody's
+        token, owner = np.concatenate([token[~several], shared]), np.concatenate([owner[~several], np.full(len(shared), _NOBODY, np.uint16)])
+        to = _shard_of(token, shards)
+        order = np.argsort(to.astype(np.uint16), kind="stable") if shards <= 0xFFFF else np.argsort(to, kind="stable")
+        token, owner, to = (token[order] & np.uint64(0xFFFFFFFF)).astype(np.uint32), owner[order], to[order]
+        edge = np.append(0, np.append((to[1:] != to[:-1]).nonzero()[0] + 1, len(to)))
+        for a, b in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True):
+            if b > a:  # owners ascend, so they go as runs
+                own = owner[a:b]
+                run = np.append(True, own[1:] != own[:-1]).nonzero()[0]
+                yield _deal_row(int(to[a]), key, False, token[a:b].tobytes(), own[run].tobytes(), np.diff(np.append(run, b - a)).astype(np.uint32).tobytes(), None)
+
+    held = 0
     for batch in text_slices(batches, limit=SLICE):
-        rows, last, n = [], [], []
-        for s in shingle_sets(batch.column(1), SHINGLE):
-            late = np.zeros(len(s), bool)
-            if len(frequent) and len(s):
-                at = np.minimum(np.searchsorted(frequent, s), len(frequent) - 1)
-                late = frequent[at] == s
-            order = np.concatenate([s[~late], s[late]])[: prefix_length(len(s))] if len(s) else s
-            rows.append(order.view(np.int64))
-            k = len(order) - 1
-            last.append(int(order[k] >> np.uint64(2)) + (int(k >= (~late).sum()) << 62) if len(s) else None)
-            n.append(len(s))
-        flat = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, rows)]), pa.int32()), pa.array(np.concatenate(rows) if rows else [], pa.int64()))
-        yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(n, pa.int64()), pa.array(last, pa.int64()), flat], names=["id", "n", "last", "prefix"])
-
-
-def _runs(batches, columns: int):
-    """Sorted batches joined so that each yielded block of arrays ends at the end of a list (a run of equal tokens), or is part of a very long one.
-
-    Yields (arrays, continues): continues says that the first run goes on from the block before.
-    """
-    rest, token_before, limit = None, None, 200_000
+        for i, s in zip(batch.column(0).to_pylist(), shingle_sets(batch.column(1), SHINGLE), strict=True):
+            ids.append(i)
+            sets.append(s)
+            held += len(s)
+            if held >= BLOCK or len(ids) >= BLOCK_DOCS:
+                yield from block()
+                ids, sets, held = [], [], 0
+    if ids:
+        yield from block()
+
+
+def _by_run(batches, keys: int):
+    """Rows of sorted batches as lists, one for each run of equal values in the first `keys` columns."""
+    now, run = None, []
     for batch in batches:
-        arrays = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(columns)]
-        if rest is not None:
-            arrays = [np.concatenate([a, b]) for a, b in zip(rest, arrays, strict=True)]
-        if not len(arrays[0]):
+        key = list(zip(*[batch.column(k).to_pylist() for k in range(keys)], strict=True))
+        rest = [batch.column(k) for k in range(keys, batch.num_columns)]
+        for i, k in enumerate(key):
+            if k != now and run:
+                yield now, run
+                run = []
+            now = k
+            run.append([c[i].as_py() for c in rest])
+    if run:
+        yield now, run
+
+
+def _count(batches):
+    """In each shard: how many of an owner's shingles occur in another entry too. Rows about documents pass through."""
+    none = b""
+    for (shard,), rows in _by_run(batches, 1):
+        for block, docs, *columns in rows:
+            if docs:
+                yield _deal_row(shard, block, True, *columns)
+        rows = [r for r in rows if not r[1]]
+        if not rows:
             continue
-        end = int(np.searchsorted(arrays[0], arrays[0][-1]))  # where the last run begins
-        if len(arrays[0]) - end > limit:
-            end = len(arrays[0])
-        if end:
-            block = [a[:end] for a in arrays]
-            yield block, token_before == block[0][0]
-            token_before = block[0][-1]
-        rest = [a[end:] for a in arrays]
-    if rest is not None and len(rest[0]):
-        yield rest, token_before == rest[0][0]
-
-
-def _shared(batches):
-    """(token, id) of lists with several documents, from rows sorted by token and id; repeated ids count once."""
-    for (token, doc), continues in _runs(batches, 2):
-        if len(token) > 1:
-            new = np.append(True, (token[1:] != token[:-1]) | (doc[1:] != doc[:-1]))
-            token, doc = token[new], doc[new]
+        token = np.concatenate([np.frombuffer(r[2], np.uint32) for r in rows])
+        runs = np.concatenate([np.frombuffer(r[4], np.uint32) for r in rows])
+        entry = np.repeat(np.arange(len(runs)), runs)
+        order = np.argsort(token)
+        token, entry = token[order], entry[order]
         same = token[1:] == token[:-1]
-        several = np.append(False, same) | np.append(same, False)
-        if continues:
-            several |= token == token[0]
-        yield pa.RecordBatch.from_arrays([pa.array(token[several]), pa.array(doc[several])], names=["token", "id"])
-
-
-def _stars(batches):
-    """Each document of a list with the list's smallest one."""
-    pivot = None
-    for (token, doc), continues in _runs(batches, 2):
-        start = np.append(True, token[1:] != token[:-1])
-        first = doc[start][np.cumsum(start) - 1]
-        if continues:
-            first[token == token[0]] = pivot
-        pivot = first[-1]
-        other = first != doc
-        yield pa.RecordBatch.from_arrays([pa.array(first[other]), pa.array(doc[other])], names=["x", "y"])
-
-
-def _merged(batches, most: int):
-    """Pairs from different components of each short list, and (y null) the documents of long lists; rows are token, id, component."""
-    pairs = np.triu_indices(most, 1)
-    for (token, doc, part), continues in _runs(batches, 3):
-        edge = np.append(0, np.append((token[1:] != token[:-1]).nonzero()[0] + 1, len(token)))
-        xs, ys, long = [], [], []
-        for a, b in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True):
-            if b - a > most or (a == 0 and continues):
-                long.append((a, b))
-                continue
-            d, p = doc[a:b], part[a:b]
-            if b - a < 2 or (p == p[0]).all():
-                continue
-            i, j = pairs if b - a == most else np.triu_indices(b - a, 1)
-            other = p[i] != p[j]
-            xs.append(d[i[other]])
-            ys.append(d[j[other]])
-        cat = lambda v: np.concatenate(v) if v else np.zeros(0, np.int64)
-        x, y = cat(xs), cat(ys)
-        lt, ld = cat([token[a:b] for a, b in long]), cat([doc[a:b] for a, b in long])
-        for at in range(0, len(x), 100_000):
-            n = len(x[at : at + 100_000])
-            yield pa.RecordBatch.from_arrays([pa.array(x[at : at + n]), pa.array(y[at : at + n]), pa.nulls(n, pa.int64())], names=["x", "y", "token"])
-        yield pa.RecordBatch.from_arrays([pa.array(ld), pa.nulls(len(ld), pa.int64()), pa.array(lt)], names=["x", "y", "token"])
+        shared = np.append(same, False) | np.append(False, same)
+        count, at = np.bincount(entry[shared], minlength=len(runs)), 0
+        for block, _, _, owners, lengths, _ in rows:
+            own = np.frombuffer(owners, np.uint16)
+            some = count[at : at + len(own)]
+            at += len(own)
+            hit = (some > 0) & (own != _NOBODY)
+            if hit.any():
+                yield _deal_row(shard, block, False, own[hit].tobytes(), some[hit].astype(np.uint32).tobytes(), none, none)
+
+
+def _alive(table: pa.Table) -> pa.Table:
+    """Of one block: id, n, digest, and whether the set shares enough shingles with others to link at all (null for a repeated set)."""
+    rows = table.select(["docs", "a", "b", "c", "d"]).to_pylist()
+    head = next(r for r in rows if r["docs"])
+    size, local = np.frombuffer(head["b"], np.uint32).astype(np.int64), np.frombuffer(head["d"], np.int32)
+    shared = local.astype(np.int64)
+    for r in rows:
+        if not r["docs"]:
+            shared[np.frombuffer(r["a"], np.uint16)] += np.frombuffer(r["b"], np.uint32)
+    return pa.table({
+        "id": pa.array(np.frombuffer(head["a"], np.int64)), "n": pa.array(size), "digest": pa.array([head["c"][k : k + 16] for k in range(0, len(head["c"]), 16)], pa.binary()),
+        "alive": pa.array(shared >= least_partner(size), pa.bool_(), mask=local < 0),
+    })
+
+
+# ---- step 2: clusters -------------------------------------------------------------------------------------------------
+
+
+_ASK = "shard int, block bigint, token binary, times binary"
+
+
+def _ask(batches, shards: int):
+    """The distinct shingles of a block's sets (of as many as come at once), with their numbers, for the shards."""
+    for (block,), rows in _by_run(batches, 1):
+        token, times = np.unique(np.concatenate([np.frombuffer(r[-1], np.uint64) for r in rows]), return_counts=True)
+        edge = np.searchsorted(_shard_of(token, shards), np.arange(shards + 1))
+        some = [k for k in range(shards) if edge[k] < edge[k + 1]]
+        parts = [slice(edge[k], edge[k + 1]) for k in some]
+        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array([block] * len(some), pa.int64()), pa.array([token[p].tobytes() for p in parts], pa.binary()), pa.array([times[p].astype(np.uint32).tobytes() for p in parts], pa.binary())], names=["shard", "block", "token", "times"])
+
+
+def _answer(batches):
+    """In each shard: to each block its shingles that occur in several sets, with their numbers (65,535 at most)."""
+    for _, rows in _by_run(batches, 1):
+        own = [np.frombuffer(t, np.uint64) for _, t, _ in rows]
+        every, at = np.unique(np.concatenate(own), return_inverse=True)
+        total = np.bincount(at, np.concatenate([np.frombuffer(n, np.uint32) for _, _, n in rows]), len(every)).astype(np.int64)
+        where = np.append(0, np.cumsum([len(t) for t in own]))
+        for k, (block, _, _) in enumerate(rows):
+            times = total[at[where[k] : where[k + 1]]]
+            several = times > 1
+            if several.any():
+                yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([own[k][several].tobytes()], pa.binary()), pa.array([np.minimum(times[several], 0xFFFF).astype(np.uint16).tobytes()], pa.binary())], names=["block", "token", "times"])
+
+
+def clustered(token: np.ndarray, who: np.ndarray, low: np.ndarray, high: np.ndarray, reach: np.ndarray, union: Union) -> None:
+    """Joins the places in `who` whose entries in a list could link; rows are sorted by token.
+
+    An entry stands for documents of low to high shingles, of which one can link with a set of up to `reach` shingles if
+    this list's shingle is the first they share.
+    """
+    edge = np.append(0, np.append((token[1:] != token[:-1]).nonzero()[0] + 1, len(token)))
+    length = np.diff(edge)
+
+    def fit(x, y) -> np.ndarray:
+        return (low[y] <= reach[x]) & (low[x] <= reach[y]) & (DENOMINATOR * high[x] >= NUMERATOR * low[y]) & (DENOMINATOR * high[y] >= NUMERATOR * low[x])
+
+    two = edge[:-1][length == 2]
+    two = two[fit(two, two + 1)]
+    for x, y in set(zip(who[two].tolist(), who[two + 1].tolist(), strict=True)):
+        union.join(x, y)
+    for a, b in zip(edge[:-1][length > 2].tolist(), edge[1:][length > 2].tolist(), strict=True):
+        left = np.arange(a, b)
+        roots = [union.root(x) for x in who[a:b].tolist()]
+        if len(set(roots)) == 1:
+            continue
+        if b - a > SWEEP_FROM:  # in order of size, as long as someone before reaches the next
+            left = left[reach[left] >= -(-NUMERATOR * low[left] // DENOMINATOR)]
+            left = left[np.argsort(low[left], kind="stable")]
+            far = np.maximum.accumulate(np.minimum(reach[left], DENOMINATOR * high[left] // NUMERATOR))
+            for k in (low[left[1:]] <= far[:-1]).nonzero()[0].tolist():
+                union.join(int(who[left[k]]), int(who[left[k + 1]]))
+            continue
+        while len(left) > 1:  # from one entry to all that it fits, and on from those
+            front, left = [int(left[0])], left[1:]
+            while front and len(left):
+                x = front.pop()
+                hit = fit(x, left)
+                for y in left[hit].tolist():
+                    union.join(int(who[x]), int(who[y]))
+                    front.append(y)
+                left = left[~hit]
+
+
+_ENTRY = "shard int, edges boolean, a binary, b binary, c binary, d binary, e binary"
+_ENTRY_ARROW = (pa.int32(), pa.bool_(), *[pa.binary()] * 5)
+
+
+def _entry_table(rows: list[tuple]) -> pa.Table:
+    columns = list(zip(*rows, strict=True)) if rows else [()] * 7
+    return pa.table({x.split()[0]: pa.array(c, t) for x, c, t in zip(_ENTRY.split(", "), columns, _ENTRY_ARROW, strict=True)})
+
+
+def _prefixes(docs: pa.Table, answers: pa.Table, shards: int) -> pa.Table:
+    """Of one block: its own clusters, as edges; and for each shingle in prefixes one entry for each of those clusters, packed by shard."""
+    if not docs.num_rows:
+        return _entry_table([])
+    known = np.concatenate([np.frombuffer(t, np.uint64) for t in answers.column("token").to_pylist()] or [np.zeros(0, np.uint64)])
+    times = np.concatenate([np.frombuffer(t, np.uint16) for t in answers.column("times").to_pylist()] or [np.zeros(0, np.uint16)])
+    order = np.argsort(known)
+    known, times = known[order], times[order]
+    ids = docs.column("id").to_numpy()
+    token, who, low, reach = [], [], [], []
+    for k, raw in enumerate(docs.column("tokens").to_pylist()):
+        s = np.frombuffer(raw, np.uint64)
+        n = len(s)
+        at = np.minimum(np.searchsorted(known, s), len(known) - 1) if len(known) else None
+        often = np.where(known[at] == s, times[at], 1) if len(known) else np.ones(n, np.int64)
+        order = np.lexsort((s, often))[: n - least_partner(n) + 1]
+        place = (often[order] > 1).nonzero()[0]  # a shingle that no other set has brings nobody together
+        token.append(s[order[place]])
+        who.append(np.full(len(place), k))
+        low.append(np.full(len(place), n))
+        reach.append((NUMERATOR + DENOMINATOR) * (n - place) // NUMERATOR - n)
+    token, who, low, reach = map(np.concatenate, (token, who, low, reach))
+    order = np.argsort(token, kind="stable")
+    token, who, low, reach = token[order], who[order], low[order], reach[order]
+    union = Union(len(ids))
+    clustered(token, who, low, low, reach, union)
+    root = union.roots()
+    other = (ids[root] != ids).nonzero()[0]
+    rows = [(int(ids[0]) % shards, True, ids[other].tobytes(), ids[root[other]].tobytes(), None, None, None)] if len(other) else []
+    label = root[who]
+    order = np.lexsort((label, token))
+    token, label, low, reach = token[order], label[order], low[order], reach[order]
+    if len(token):
+        start = np.append(True, (token[1:] != token[:-1]) | (label[1:] != label[:-1])).nonzero()[0]
+        token, label = token[start], label[start]
+        low, high, reach = np.minimum.reduceat(low, start), np.maximum.reduceat(low, start), np.maximum.reduceat(reach, start)
+        edge = np.searchsorted(_shard_of(token, shards), np.arange(shards + 1))
+        for k in range(shards):
+            p = slice(edge[k], edge[k + 1])
+            if edge[k] < edge[k + 1]:
+                rows.append((k, False, token[p].tobytes(), ids[label[p]].tobytes(), low[p].astype(np.int64).tobytes(), high[p].astype(np.int64).tobytes(), reach[p].astype(np.int64).tobytes()))
+    return _entry_table(rows)
+
+
+def _clusters(batches):
+    """In each shard: edges (u, v) that bring the entries together which could link; edges of blocks pass through."""
+    for _, rows in _by_run(batches, 1):
+        for _, a, b, *_ in [r for r in rows if r[0]]:
+            yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(a, np.int64)), pa.array(np.frombuffer(b, np.int64))], names=["u", "v"])
+        rows = [r for r in rows if not r[0]]
+        if not rows:
+            continue
+        token = np.concatenate([np.frombuffer(r[1], np.uint64) for r in rows])
+        label, low, high, reach = (np.concatenate([np.frombuffer(r[k], np.int64) for r in rows]) for k in (2, 3, 4, 5))
+        order = np.argsort(token, kind="stable")
+        ids, who = np.unique(label[order], return_inverse=True)
+        union = Union(len(ids))
+        clustered(token[order], who, low[order], high[order], reach[order], union)
+        root = union.roots()
+        other = (root != np.arange(len(ids))).nonzero()[0]
+        yield pa.RecordBatch.from_arrays([pa.array(ids[other]), pa.array(ids[root[other]])], names=["u", "v"])
+
+
+# ---- step 3 -------------------------------------------------------------------------------------------------------------
+
+
+_GROUP = "struct<c:bigint,a:int,s:int,b:int,t:int,second:boolean>"
+
+
+def _search(batches):
+    """For each document of a group: the copies that it links with there, and the smallest identifier that is connected to it."""
+    for (_, *one, size, salt), rows in _by_run(batches, 5):  # second, id, copies, tokens
+        rows.sort(key=lambda r: (r[0], len(r[3]), r[1]))
+        sets = [np.frombuffer(r[3], np.uint64) for r in rows]
+        ids, copies = np.array([r[1] for r in rows], np.int64), [r[2] for r in rows]
+        first = sum(not r[0] for r in rows)
+        queries, among = (len(rows), 0) if one == [size, salt] else (first if first < len(rows) else 0, first)
+        index, order = Index(sets), np.argsort(ids, kind="stable")
+        place = np.empty(len(ids), np.int64)
+        place[order] = np.arange(len(ids))  # by identifier, so that roots are smallest ones
+        union, others = Union(len(ids)), [0] * len(ids)
+        for q in range(queries):
+            for d in index.search(q, among):
+                others[q] += copies[d]
+                others[d] += copies[q]
+                union.join(int(place[q]), int(place[d]))
+        some = [k for k in range(len(ids)) if others[k]]
+        roots = ids[order][union.roots()[place]] if some else ids
+        yield pa.RecordBatch.from_arrays([pa.array(ids[some]), pa.array(np.array(others, np.int64)[some]), pa.array(roots[some])], names=["id", "others", "root"])
 
 
 class _Join:
     def __init__(self, df: DataFrame, id_col: str, text_col: str):
         text = df.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"))
         self.text = text.filter("id IS NOT NULL AND text IS NOT NULL")
-        self.spark = df.sparkSession
 
     def survey(self) -> tuple[DataFrame, DataFrame]:
-        """(id, n, digest) of all rows, and (id, rep) for those with shingles."""
-        seen = written(self.text.mapInArrow(_survey, "id bigint, n bigint, digest binary, token bigint"), "sets")
-        tally = seen.filter("token IS NOT NULL").groupBy("token").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "token").limit(FREQUENT_MOST)
-        found = tally.select("token").toArrow().column(0).to_numpy() if seen.filter("token IS NOT NULL").limit(1).count() else np.zeros(0, np.int64)
-        self.frequent = np.sort(found.astype(np.int64).view(np.uint64))
-        self.rows = seen.filter("token IS NULL").select("id", "n", "digest")
-        self.classes = self.rows.filter("n > 0").groupBy("digest").agg(F.min("id").alias("rep"), F.first("n").alias("n"))
+        """(id, n, digest, alive) of all rows, and (digest, rep, n, copies, alive) of each class of equal sets."""
+        size = self.text.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+        shards = max(1, min(1 << 30, size // (6 * SHARD)))  # a word of prose takes some six bytes
+        dealt = self.text.mapInArrow(lambda b: _deal(b, shards), _DEAL).repartition(2 * shards, "shard").sortWithinPartitions("shard")
+        counted = written(dealt.mapInArrow(_count, _DEAL).drop("shard"), "counted")
+        self.rows = written(counted.groupBy("block").applyInArrow(_alive, "id bigint, n bigint, digest binary, alive boolean"), "sets")
+        found = self.rows.filter("n > 0").groupBy("digest")
+        self.classes = found.agg(F.min("id").alias("rep"), F.first("n").alias("n"), F.count(F.lit(1)).alias("copies"), F.bool_and("alive").alias("alive"))
         return self.rows, self.classes
 
-    def lists(self) -> tuple[DataFrame, DataFrame]:
-        """The shared inverted lists (token, id), and (id, n, last) of the documents in them."""
-        shared = self.spark.sparkContext.broadcast(self.frequent)
-        reps = self.classes.select(F.col("rep").alias("id")).distinct()
-        prefixes = self.text.mapInArrow(lambda b: _prefixes(b, shared.value), "id bigint, n bigint, last bigint, prefix array<bigint>").filter("n > 0").join(reps, "id", "left_semi")
-        postings = prefixes.select(F.explode("prefix").alias("token"), "id")
-        dealt = postings.repartition("token").sortWithinPartitions("token", "id")
-        self.posted = written(dealt.mapInArrow(_shared, "token bigint, id bigint"), "lists")
-        return self.posted
-
     def sets(self) -> None:
-        """The whole sets of all documents that share a list."""
+        """The whole sets of the classes that are left, with their number of shingles in all."""
 
         def whole(batches):
+            import hashlib
+
             for batch in text_slices(batches, limit=SLICE):
-                own = shingle_sets(batch.column(1), SHINGLE)
-                n = [len(s) for s in own]
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array([self_last(s) for s in own], pa.int64()), pa.array([s.tobytes() for s in own], pa.binary())], names=["id", "n", "last", "tokens"])
-
-        shared = self.spark.sparkContext.broadcast(self.frequent)
-
-        def self_last(s: np.ndarray) -> int | None:
-            if not len(s):
-                return None
-            frequent = shared.value
-            late = frequent[np.minimum(np.searchsorted(frequent, s), len(frequent) - 1)] == s if len(frequent) else np.zeros(len(s), bool)
-            k, early = prefix_length(len(s)) - 1, int((~late).sum())
-            token = s[~late][k] if k < early else s[late][k - early]
-            return int(token >> np.uint64(2)) + (int(k >= early) << 62)
-
-        ids = self.posted.select("id").distinct()
-        self.whole = written(self.text.join(ids, "id", "left_semi").mapInArrow(whole, "id bigint, n bigint, last bigint, tokens binary").filter("n > 0"), "whole")
-        self.facts = self.whole.select("id", "n", "last")
-
-    def verify(self, pairs: DataFrame) -> DataFrame:
-        """The links (a, b) among distinct pairs (x, y), as a written table. x is the query, of which a group gets at most GROUP_MOST candidates or so."""
-        pairs = pairs.select("x", "y")
-        groups = pairs.groupBy("x").agg(F.ceil(F.count(F.lit(1)) / GROUP_MOST).cast("int").alias("salts"))
-        dealt = pairs.join(groups.filter("salts > 1"), "x", "left").withColumn("salt", F.expr("pmod(xxhash64(y), coalesce(salts, 1))").cast("int"))
-        others = dealt.select("x", "salt", F.col("y").alias("id")).join(self.whole.select("id", "tokens"), "id").select(F.col("x").alias("qx"), F.col("salt").alias("qs"), "id", F.col("tokens").alias("own"))
-        queries = groups.select(F.col("x").alias("id"), F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt")).join(self.whole.select("id", "tokens"), "id")
-
-        def search(query: pa.Table, candidates: pa.Table) -> pa.Table:
-            a, b = [], []
-            ids = candidates.column("id").to_pylist()
-            own = [np.frombuffer(t, np.uint64) for t in candidates.column("own").to_pylist()]
-            for x, tokens in zip(query.column("id").to_pylist(), query.column("tokens").to_pylist(), strict=True):
-                found = divide_skip(np.frombuffer(tokens, np.uint64), own)
-                a += [x] * len(found)
-                b += [ids[i] for i in found]
-            return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
-
-        return written(queries.groupBy("id", "salt").cogroup(others.groupBy("qx", "qs")).applyInArrow(search, "a bigint, b bigint"), "links")
-
-    def fitting(self, pairs: DataFrame) -> DataFrame:
-        """pairs with nx, ny, last positions, and only those whose sizes allow a link."""
-        x, y = (self.facts.select(F.col("id").alias(c), F.col("n").alias(f"n{c}"), F.col("last").alias(f"last_{c}")) for c in "xy")
-        return pairs.join(x, "x").join(y, "y").withColumn("needed", F.expr(NEEDED)).filter("needed <= least(nx, ny)")
-
-    def placed(self, links: DataFrame) -> DataFrame:
-        """The lists with each document's component."""
-        parts = components(links).select(F.col("node").alias("id"), "component")
-        return self.posted.join(parts, "id", "left").select("token", "id", F.coalesce("component", "id").alias("part"))
-
-    def run_whole(self) -> DataFrame:
-        """Every link between representatives, as distinct (a, b): all pairs that share a list are verified, whatever components they are in."""
-        self.lists()
-        self.sets()
-        x, y = (self.posted.select("token", F.col("id").alias(c)) for c in "xy")
-        pairs = self.fitting(x.join(y, "token").filter("x < y").select("x", "y").distinct())
-        return self.verify(pairs).distinct()
-
-    def run(self, links: DataFrame | None = None) -> DataFrame:
-        """All links between representatives that matter: enough to give every component."""
-        self.lists()
-        self.sets()
-        ordered = lambda d: d.repartition("token").sortWithinPartitions("token", "id")
-        met = ordered(self.posted).mapInArrow(_stars, "x bigint, y bigint").groupBy("x", "y").agg(F.count(F.lit(1)).alias("o"))
-        met = self.fitting(met).filter(f"o >= 0.2 * (needed - ny + ny * {DENOMINATOR - NUMERATOR} / {DENOMINATOR})")
-        best = met.groupBy("y").agg(F.max_by("x", F.struct("o", -F.col("x"))).alias("x"))
-        links = self.verify(best)
-
-        placed = self.placed(links)
-        mixed = placed.groupBy("token").agg((F.min("part") < F.max("part")).alias("mixed")).filter("mixed")
-        open_lists = written(placed.join(mixed.select("token"), "token", "left_semi"), "open")
-        most = LIST_MOST
-        merged = written(ordered(open_lists).mapInArrow(lambda b: _merged(b, most), "x bigint, y bigint, token bigint").groupBy("x", "y", "token").agg(F.count(F.lit(1)).alias("o")), "merged")
-        long = merged.filter("y IS NULL").select("token", F.col("x").alias("id"))
-        in_long = long.groupBy("id").agg(F.count(F.lit(1)).alias("k"))
-        pairs = self.fitting(merged.filter("y IS NOT NULL").select("x", "y", "o"))
-        pairs = pairs.join(in_long.select(F.col("id").alias("x"), F.col("k").alias("kx")), "x", "left").join(in_long.select(F.col("id").alias("y"), F.col("k").alias("ky")), "y", "left")
-        # Of the document whose prefix ends first, every shared shingle up to there is in both prefixes: what it lacks there it lacks for good.
-        prefix = lambda n: f"({n} - CAST(ceil({NUMERATOR} * {n} / {DENOMINATOR}D) AS BIGINT) + 1)"
-        most = F.expr(f"CASE WHEN last_x < last_y THEN nx - {prefix('nx')} WHEN last_y < last_x THEN ny - {prefix('ny')} ELSE greatest(nx - {prefix('nx')}, ny - {prefix('ny')}) END")
-        could = pairs.filter(F.col("o") + F.least(F.coalesce("kx", F.lit(0)), F.coalesce("ky", F.lit(0))) + most >= F.col("needed"))
-        links = links.unionByName(self.verify(could))
-        return self.meet_long(long, links)
-
-    def narrow(self, ids: DataFrame) -> None:
-        """From here on only the documents in ids are met."""
-        self.whole = written(self.whole.join(ids.distinct(), "id", "left_semi"), "narrow")
-        self.facts = self.whole.select("id", "n", "last")
-
-    def meet_long(self, long: DataFrame, links: DataFrame) -> DataFrame:
-        """Rounds over the long lists: some documents of each, PIVOTS at first, against all that come after them.
-
-        Components and open lists change only after a round that found links. The number of pivots doubles while a
-        round has fewer pairs than half of the documents in lists, so that what a round ships stays in proportion to the input.
-        """
-        if not long.limit(1).count():
-            return links
-        ranked = written(long.withColumn("rank", F.row_number().over(W.partitionBy("token").orderBy("id"))), "long")
-        most_pairs, now, at, step = self.whole.count(), ranked, 0, PIVOTS
-        found, held = True, None
-        while True:
-            if found:
-                parts = components(links).select(F.col("node").alias("id"), "component")
-                placed = now.select("token", "id", "rank").join(parts, "id", "left").withColumn("part", F.coalesce("component", "id")).drop("component")
-                mixed = placed.groupBy("token").agg((F.min("part") < F.max("part")).alias("mixed")).filter("mixed")
-                now = cut(placed.join(mixed.select("token"), "token", "left_semi"))
-                left = now.agg(F.count(F.lit(1)).alias("n"), F.max("rank").alias("longest")).first()
-            if not left["n"] or at + 1 >= left["longest"]:
-                return links
-            if held is None or left["n"] * 2 < held:
-                self.narrow(now.select("id"))
-                held = left["n"]
-            pivots = now.filter(f"rank > {at} AND rank <= {at + step}").select("token", F.col("id").alias("x"), F.col("part").alias("px"), F.col("rank").alias("rx"))
-            rest = now.filter(f"rank > {at}").select("token", F.col("id").alias("y"), F.col("part").alias("py"), F.col("rank").alias("ry"))
-            pairs = pivots.join(rest, "token").filter("ry > rx AND px <> py").select("x", "y").distinct()
-            pairs = written(self.fitting(pairs).select("x", "y"), "round")
-            met = pairs.count()
-            at += step
-            step = step * 2 if 2 * met < most_pairs else max(PIVOTS, step // 2) if met > most_pairs else step
-            new = self.verify(pairs)
-            if found := bool(new.limit(1).count()):
-                links = links.unionByName(new)
-
-
-def link_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", every: bool = False) -> DataFrame:
-    """One row for each row of df: id_col, n_shingles, component_id.
-
-    Integer identifiers. Texts without words, and null texts, have no shingles and are linked with nothing; rows that
-    share an identifier share a component. A null identifier has its own row with a null component. Other columns are
-    ignored; an empty df gives no rows.
-
-    every: the whole join instead of the links that components need, at a cost that grows with the number of pairs; adds n_links, the number
-    of other rows that a row links with (equal sets among them). Rows that share an identifier are one document to the search, so they
-    share links with other sets; for exact counts identifiers are distinct.
+                own = [s.tobytes() for s in shingle_sets(batch.column(1), SHINGLE)]
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([hashlib.blake2b(s, digest_size=16).digest() for s in own], pa.binary()), pa.array(own, pa.binary())], names=["id", "digest", "tokens"])
+
+        left = self.classes.filter("alive").select(F.col("rep").alias("id"), "digest", "copies", "n")
+        few = left.agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("n")).first()
+        hint = F.broadcast if few["k"] <= BROADCAST_MOST else lambda d: d
+        self.shards = max(1, (few["n"] or 0) // SHARD)
+        own = self.text.join(hint(left.select("id").distinct()), "id", "left_semi").mapInArrow(whole, "id bigint, digest binary, tokens binary")
+        own = own.join(hint(left.drop("n")), ["id", "digest"])
+        block = F.pmod(F.xxhash64("digest"), F.lit(max(1, (few["n"] or 0) // BLOCK))).cast("long")
+        # a row may come twice with the same identifier and text
+        self.whole = written(own.groupBy("digest").agg(F.first("id").alias("id"), F.first("copies").alias("copies"), F.first("tokens").alias("tokens")).select(block.alias("block"), "id", "copies", "tokens").repartition("block").sortWithinPartitions("block"), "whole")
+
+    def clusters(self) -> DataFrame:
+        """(node, component): documents that could link are in one component."""
+        shards = self.shards
+        asked = self.whole.select("block", "tokens").mapInArrow(lambda b: _ask(b, shards), _ASK).repartition(2 * shards, "shard").sortWithinPartitions("shard")
+        answers = asked.mapInArrow(_answer, "block bigint, token binary, times binary")
+        docs = self.whole.select("block", "id", "tokens")
+        entries = docs.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(lambda d, a: _prefixes(d, a, shards), _ENTRY)
+        edges = written(entries.repartition(2 * shards, "shard").sortWithinPartitions("shard").mapInArrow(_clusters, "u bigint, v bigint").distinct(), "edges")
+        return components(edges.select(F.col("u").alias("a"), F.col("v").alias("b")))
+
+    def links(self, clusters: DataFrame) -> DataFrame:
+        """(id, others, root) for each document with links, once for each group where it has some."""
+        n = F.expr("octet_length(tokens) div 8")
+        # sizes of linked sets differ by a factor of 4/3 at most, so by one class at most
+        members = self.whole.join(clusters.select(F.col("node").alias("id"), "component"), "id").withColumn("size", F.floor(F.log(n) / F.log(F.lit(1.34))).cast("int"))
+        cells = members.groupBy("component", "size").agg(F.count(F.lit(1)).alias("docs"), F.sum(n).alias("shingles"))
+        large = cells.groupBy("component").agg(F.sum("docs").alias("docs"), F.sum("shingles").alias("shingles")).filter((F.col("docs") > GROUP_MOST) | (F.col("shingles") > GROUP_SHINGLES)).select("component")
+        k = F.greatest(F.ceil(F.col("docs") / GROUP_MOST), F.ceil(F.col("shingles") / GROUP_SHINGLES)).cast("int")
+        cells = written(cells.join(large, "component").select("component", "size", k.alias("k")), "cells")
+        step = lambda by: cells.select("component", (F.col("size") + by).alias("size"), F.col("k").alias("below" if by > 0 else "above"))
+        cells = cells.join(step(1), ["component", "size"], "left").join(step(-1), ["component", "size"], "left")
+        own = F.pmod(F.xxhash64("id"), F.col("k")).cast("int")
+        members = members.join(cells, ["component", "size"], "left").withColumn("own", own)
+        # a document meets its own cell, the others of its size, and those of the sizes next to it
+        groups = f"""CASE WHEN k IS NULL THEN array(struct(component AS c, 0 AS a, 0 AS s, 0 AS b, 0 AS t, false AS second))
+            ELSE concat(
+              transform(sequence(0, k - 1), j -> struct(component AS c, size AS a, least(own, j) AS s, size AS b, greatest(own, j) AS t, own > j AS second)),
+              CASE WHEN above IS NULL THEN array() ELSE transform(sequence(0, above - 1), j -> struct(component AS c, size AS a, own AS s, size + 1 AS b, j AS t, false AS second)) END,
+              CASE WHEN below IS NULL THEN array() ELSE transform(sequence(0, below - 1), j -> struct(component AS c, size - 1 AS a, j AS s, size AS b, own AS t, true AS second)) END)
+            END"""
+        dealt = members.select(F.explode(F.expr(f"CAST({groups} AS array<{_GROUP}>)")).alias("g"), "id", "copies", "tokens")
+        key = ["c", "a", "s", "b", "t"]
+        dealt = dealt.select("g.*", "id", "copies", "tokens").repartition(*key).sortWithinPartitions(*key)
+        return written(dealt.mapInArrow(_search, "id bigint, others bigint, root bigint"), "links")
+
+
+def link_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row for each row of df: id_col, n_shingles, component_id (smallest identifier reachable by links), n_links.
+
+    n_links is the number of other rows that a row links with, equal sets among them; every link counts, on both sides.
+    Integer identifiers. Texts without words, and null texts, have no shingles and are linked with nothing. Rows that
+    share an identifier share a component and are one document to the search, so they share links with other sets; for exact
+    counts identifiers are distinct. A null identifier has its own row with a null component. Other columns are ignored;
+    an empty df gives no rows.
     """
     join = _Join(df, id_col, text_col)
     rows, classes = join.survey()
-    links = join.run_whole() if every else join.run()
+    join.sets()
+    links = join.links(join.clusters())
     member = rows.filter("n > 0").join(classes.select("digest", "rep"), "digest").select("id", "digest", "n", "rep")
     same_id = member.groupBy("id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).filter("a < b").select("a", "b")
-    parts = components(links.unionByName(same_id))
-    labels = classes.select("digest", F.col("rep").alias("node")).join(parts, "node", "left").select("digest", F.coalesce("component", "node").alias("component"))
-    with_words = rows.filter("n > 0").join(labels, "digest").select("id", "n", "component")
-    without = rows.filter("n = 0").select("id", "n", F.col("id").alias("component"))
+    parts = components(links.filter("id <> root").select(F.col("id").alias("a"), F.col("root").alias("b")).unionByName(same_id))
+    others = links.groupBy(F.col("id").alias("rep")).agg(F.sum("others").alias("others"))
+    labels = classes.select("digest", F.col("rep").alias("node"), "copies", "rep").join(parts, "node", "left").join(others, "rep", "left")
+    labels = labels.select("digest", F.coalesce("component", "node").alias("component"), (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"))
+    with_words = rows.filter("n > 0").join(labels, "digest").select("id", "n", "component", "n_links")
+    none = F.lit(0).cast("long")
+    without = rows.filter("n = 0").select("id", "n", F.col("id").alias("component"), none.alias("n_links"))
     blank = df.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text")).filter("id IS NULL OR text IS NULL")
-    blank = blank.select("id", F.lit(0).cast("long").alias("n"), F.col("id").alias("component"))
+    blank = blank.select("id", none.alias("n"), F.col("id").alias("component"), none.alias("n_links"))
     out = with_words.unionByName(without).unionByName(blank)
-    names = [F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.col("component").alias("component_id")]
-    if not every:
-        return out.select(*names)
-    # a representative's links, each as many as the other class has rows, and the other rows of its own class
-    sizes = rows.filter("n > 0").groupBy("digest").agg(F.count(F.lit(1)).alias("size")).join(classes.select("digest", "rep"), "digest")
-    both = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    others = both.join(sizes.groupBy(F.col("rep").alias("b")).agg(F.sum("size").alias("size")), "b").groupBy(F.col("a").alias("rep")).agg(F.sum("size").alias("others"))
-    counts = sizes.join(others, "rep", "left").select("digest", (F.col("size") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"))
-    counted = rows.filter("n > 0").join(labels, "digest").join(counts, "digest").select("id", "n", "component", "n_links")
-    rest = without.unionByName(blank).withColumn("n_links", F.lit(0).cast("long"))
-    return counted.unionByName(rest).select(*names, "n_links")
+    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"), "n_links")

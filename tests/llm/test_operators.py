@@ -170,11 +170,14 @@ def near_rows():
     return rows + [(1000, None), (1001, ""), (1002, "a b"), (1003, "A B"), (1004, "a b c"), (2, "a b c")]
 
 
+#: Small blocks, shards and groups, so that few rows take all the ways that many would.
+TIGHT = (("BLOCK", 2_000), ("SHARD", 3_000), ("SWEEP_FROM", 6), ("GROUP_MOST", 7), ("SLICE", 3_000), ("BROADCAST_MOST", 10))
+
+
 @pytest.mark.parametrize("tight", [False, True])
 def test_jaccard_components(spark, monkeypatch, tight):
-    if tight:  # short lists, few pivots and small groups take all the long ways
-        for name, value in (("LIST_MOST", 6), ("PIVOTS", 5), ("GROUP_MOST", 7), ("FREQUENT_MOST", 20)):
-            monkeypatch.setattr(jaccard_join, name, value)
+    for name, value in TIGHT if tight else ():
+        monkeypatch.setattr(jaccard_join, name, value)
     rows = near_rows()
     df = spark.createDataFrame([(i, t, "x", "y") for i, t in [*rows, (None, "a b")]], "doc_id long, text string, token string, part string")
     got = jaccard_join.link_components(df).collect()
@@ -189,13 +192,10 @@ def test_jaccard_components(spark, monkeypatch, tight):
     assert {(r["doc_id"], r["n_shingles"]) for r in got if r["doc_id"] != 2} == {(i, len(shingles_of(t))) for i, t in rows if i != 2} | {(None, 0)}
 
 
-def test_jaccard_rounds_over_long_lists(spark, monkeypatch):
-    """Documents made up mostly of one passage, of which only every other pair of neighbours links: the lists are long and stay open."""
-    for name, value in (("LIST_MOST", 4), ("PIVOTS", 2)):
+def test_jaccard_of_one_passage(spark, monkeypatch):
+    """Documents made up mostly of one passage, of which only some pairs of neighbours link: long lists that bring few together."""
+    for name, value in TIGHT:
         monkeypatch.setattr(jaccard_join, name, value)
-    verified = []
-    narrow = jaccard_join._Join.narrow
-    monkeypatch.setattr(jaccard_join._Join, "narrow", lambda self, ids: (verified.append(1), narrow(self, ids))[1])
     rng = random.Random(5)
     passage, rows = prose(rng, 64, 5000).split(), []
     for k in range(24):
@@ -203,16 +203,23 @@ def test_jaccard_rounds_over_long_lists(spark, monkeypatch):
         rows.append((k, " ".join(passage + own)))
     got = jaccard_join.link_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     expected = brute_components(rows)
-    assert verified and 1 < len(set(expected.values())) < len(rows)
+    assert 1 < len(set(expected.values())) < len(rows)
     assert {r["doc_id"]: r["component_id"] for r in got} == expected
 
 
-def test_every_link_is_counted(spark, monkeypatch):
-    """Groups of near copies: each document's number of links, not only the components, against brute force."""
-    monkeypatch.setattr(jaccard_join, "GROUP_MOST", 7)
+@pytest.mark.parametrize("tight", [False, True])
+def test_every_link_is_counted(spark, monkeypatch, tight):
+    """Groups of near copies, very long texts and sizes at the limit: each document's number of links against brute force."""
+    for name, value in TIGHT if tight else ():
+        monkeypatch.setattr(jaccard_join, name, value)
+    rng = random.Random(4)
     rows = near_rows()[:-1]
     rows += [(2000 + i, rows[5][1]) for i in range(3)] + [(3000, None)]
-    got = jaccard_join.link_components(spark.createDataFrame(rows, "doc_id long, text string"), every=True).collect()
+    long = [f"w{rng.randrange(10**6)}" for _ in range(9_000)]
+    rows += [(4000 + k, " ".join(long[: len(long) * (100 - 5 * k) // 100])) for k in range(8)]  # each within 3/4 of some
+    step = [f"s{k}" for k in range(404)]
+    rows += [(5000 + k, " ".join(step[: 304 + 20 * k])) for k in range(6)] + [(5100, " ".join(step[:303]))]  # 300 of 400 shingles link, 299 don't
+    got = jaccard_join.link_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     sets = {i: shingles_of(t) if t else set() for i, t in rows}
     want = {i: sum(bool(j != i and a and b and 100 * len(a & b) >= 75 * len(a | b)) for j, b in sets.items()) for i, a in sets.items()}
     assert {r["doc_id"]: r["n_links"] for r in got} == want and len(got) == len(rows)
@@ -225,15 +232,19 @@ def test_jaccard_of_nothing(spark, nothing):
 
 
 def test_divide_skip_is_exact():
+    """One set against all that follow, and two cells against each other, equal all pairs by brute force."""
     rng = np.random.default_rng(2)
     query = np.unique(rng.integers(0, 400, 150)).astype(np.uint64)
-    candidates = []
+    sets = [query]
     for _ in range(200):
-        c = np.unique(np.concatenate([rng.choice(query, rng.integers(60, len(query))), rng.integers(0, 800, rng.integers(0, 30)).astype(np.uint64)]))
-        candidates.append(c)
-    for some in (candidates, candidates[:20], []):
-        brute = [i for i, c in enumerate(some) if 100 * len(np.intersect1d(query, c)) >= 75 * len(np.union1d(query, c))]
-        assert jaccard_join.divide_skip(query, some) == brute
+        sets.append(np.unique(np.concatenate([rng.choice(query, rng.integers(60, len(query))), rng.integers(0, 800, rng.integers(0, 30)).astype(np.uint64)])))
+    link = lambda a, b: 100 * len(np.intersect1d(a, b)) >= 75 * len(np.union1d(a, b))
+    for some in (sets, sorted(sets, key=len), sets[:5], sets[:1]):
+        index = jaccard_join.Index(some)
+        for q in range(0, len(some), 7):
+            assert sorted(index.search(q, 0)) == [d for d in range(q + 1, len(some)) if link(some[q], some[d])]
+            if q < 50 < len(some):
+                assert sorted(index.search(q, 50)) == [d for d in range(50, len(some)) if link(some[q], some[d])]
 
 
 def test_components(spark):

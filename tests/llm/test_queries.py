@@ -6,6 +6,7 @@ import duckdb
 import numpy as np
 import pytest
 from conftest import SMALL
+from test_operators import brute_components, shingles_of
 
 from ledgerloom.llm.queries import ORACLES, QUERIES, vocabulary
 
@@ -27,6 +28,15 @@ def test_against_sql(spark, tables, name):
     assert sorted(map(tuple, got.select(*names).collect())) == sorted(cursor.fetchall())
 
 
+def test_jaccard_query(spark, tables):
+    """The registered query on a small table, against all pairs."""
+    docs = dict(tables.execute("SELECT doc_id, text FROM documents").fetchall())
+    got = {r["doc_id"]: r for r in QUERIES["op3_jaccard_join"](spark, SMALL).collect()}
+    parts = brute_components([(i, t or "") for i, t in docs.items()])
+    assert {i: r["component_id"] for i, r in got.items()} == parts
+    assert {i: r["n_shingles"] for i, r in got.items()} == {i: len(shingles_of(t)) if t else 0 for i, t in docs.items()}
+
+
 def test_bpe_query(spark, tables):
     from tokenizers import Tokenizer
 
