@@ -41,8 +41,8 @@ def page(df: DataFrame, limit: int = 100, offset: int = 0, most: int = 2000) ->
     """A page in document order, with the total before paging in `total`."""
     if not 0 < limit <= most or offset < 0:
         raise ValueError(f"limit must be 1 to {most}, and offset not negative")
-    total = df.agg(F.count(F.lit(1)).alias("total")).first()["total"]
-    return df.orderBy("report_id", "row_ord").offset(offset).limit(limit).withColumn("total", F.lit(total).cast("bigint"))
+    total = df.agg(F.count(F.lit(1)).alias("total")).scalar()
+    return df.orderBy("report_id", "row_ord").offset(offset).limit(limit).withColumn("total", total)
 
 
 def strict_subset(df: DataFrame) -> DataFrame:
@@ -67,32 +67,31 @@ def account_tier() -> Column:
     return F.when(fx.strip(F.coalesce("account", F.lit(""))) != "", "named").when(F.col("account_effective").isNotNull(), "recovered").otherwise("unlabeled")
 
 
-def flow_rows(df: DataFrame, metric: str, levels: tuple[str, ...]) -> DataFrame:
-    """(row id, place of level, level, value name, amount) at account grain; blanks are unspecified."""
-    grain = account_grain(df, metric)
-    value = lambda c: F.coalesce(F.nullif(fx.strip(F.col("account_effective") if c == "account" else F.col(c)), F.lit("")), F.lit(UNSPECIFIED))
-    return grain.select("report_id", "row_ord", F.col(metric).alias("amount"), F.posexplode(F.array(*[F.struct(F.lit(c).alias("level"), value(c).alias("name")) for c in levels])).alias("place", "s")).select("report_id", "row_ord", "amount", "place", "s.level", "s.name")
-
-
 def flow(df: DataFrame, metric: str = "committee_recommendation", levels: tuple[str, ...] = ("subcommittee", "title_name", "account"), top: int = 12) -> tuple[DataFrame, DataFrame]:
-    """Nodes (level, name, total) and links (source_level, source, target_level, target, value) of a layered flow.
+    """Nodes (level, name, total) and links (source_level, source, target_level, target, value) of a layered flow, at account grain.
 
-    A level with 60 % or more of the money unspecified goes, except for the two least sparse. Of each level the `top`
-    names by absolute money stay, ties by name; the rest is one node. The shares of at most seven levels are collected.
+    Blank names are unspecified. A level with 60 % or more of the money unspecified goes, except for the two least sparse. Of each level the `top`
+    names by absolute money stay, ties by name; the rest is one node. Which levels and names stay are two scalar subqueries (at most seven levels,
+    of 50 names each), so that the rows themselves are mapped in place.
     """
     if len(levels) < 2 or not set(levels) <= set(FLOW_LEVELS) or not 2 <= top <= 50:
         raise ValueError("a flow takes two or more known levels, and top from 2 to 50")
-    rows = flow_rows(df, metric, tuple(levels))
-    sizes = rows.groupBy("place", "level", "name").agg(F.sum(F.abs("amount")).alias("size"))
-    sparse = {r["place"]: r["share"] or 0.0 for r in sizes.groupBy("place").agg(F.try_divide(F.sum(F.when(F.col("name") == UNSPECIFIED, F.col("size")).otherwise(0)), F.sum("size")).alias("share")).collect()}
-    order = sorted(range(len(levels)), key=lambda p: (sparse.get(p, 0.0), p))
-    kept = sorted({p for p in range(len(levels)) if sparse.get(p, 0.0) < 0.6} | set(order[:2]))
-    ranked = sizes.withColumn("rank", F.row_number().over(W.partitionBy("place").orderBy(F.desc("size"), "name"))).select("place", "name", "rank")
-    shown = rows.filter(F.col("place").isin(kept)).join(ranked, ["place", "name"]).withColumn("name", F.when(F.col("rank") <= top, F.col("name")).otherwise(OTHER))
-    nodes = shown.groupBy("place", "level", "name").agg(F.sum("amount").alias("total")).select("level", "name", "total")
-    wide = shown.groupBy("report_id", "row_ord").agg(F.first("amount").alias("amount"), F.array_sort(F.collect_list(F.struct("place", "level", "name"))).alias("path"))
-    pairs = F.transform(F.sequence(F.lit(1), F.size("path") - 1), lambda i: F.struct(F.element_at("path", i).alias("a"), F.element_at("path", i + 1).alias("b")))
-    links = wide.filter(F.size("path") > 1).select("amount", F.explode(pairs).alias("p")).groupBy(F.col("p.a.level").alias("source_level"), F.col("p.a.name").alias("source"), F.col("p.b.level").alias("target_level"), F.col("p.b.name").alias("target")).agg(F.sum("amount").alias("value"))
+    value = lambda c: F.coalesce(F.nullif(fx.strip(F.col("account_effective") if c == "account" else F.col(c)), F.lit("")), F.lit(UNSPECIFIED))
+    grain = account_grain(df, metric).select(F.col(metric).alias("amount"), F.array(*map(value, levels)).alias("names"))
+    sizes = grain.select("amount", F.posexplode("names").alias("place", "name")).groupBy("place", "name").agg(F.sum(F.abs("amount")).alias("size"))
+    shares = sizes.groupBy("place").agg(F.coalesce(F.try_divide(F.sum(F.when(F.col("name") == UNSPECIFIED, F.col("size")).otherwise(0)), F.sum("size")), F.lit(0.0)).alias("share"))
+    order = F.array_sort(F.collect_list(F.struct("share", "place")))  # the least sparse first
+    keep = shares.agg(F.transform(F.filter(order, lambda x, i: (i < 2) | (x["share"] < 0.6)), lambda x: x["place"]).alias("v")).scalar()
+    best = sizes.withColumn("rank", F.row_number().over(W.partitionBy("place").orderBy(F.desc("size"), "name"))).filter(F.col("rank") <= top)
+    best = best.agg(F.collect_list(F.struct("place", "name")).alias("v")).scalar()
+    # without any row nothing is kept, and there is nothing to map
+    rows = grain.select("amount", "names", F.coalesce(keep, F.array().cast("array<int>")).alias("keep"), best.alias("best"))
+    node = lambda name, i: F.struct(F.get(F.array(*map(F.lit, levels)), i).alias("level"), F.when(F.array_contains("best", F.struct(i.cast("int").alias("place"), name.alias("name"))), name).otherwise(OTHER).alias("name"))
+    path = F.filter(F.transform("names", node), lambda _, i: F.array_contains("keep", i.cast("int")))
+    rows = rows.select("amount", path.alias("path"))
+    nodes = rows.select("amount", F.explode("path").alias("n")).groupBy("n.level", "n.name").agg(F.sum("amount").alias("total"))
+    pairs = F.zip_with(F.slice("path", F.lit(1), F.size("path") - 1), F.slice("path", F.lit(2), F.size("path") - 1), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
+    links = rows.filter(F.size("path") > 1).select("amount", F.explode(pairs).alias("p")).groupBy(F.col("p.a.level").alias("source_level"), F.col("p.a.name").alias("source"), F.col("p.b.level").alias("target_level"), F.col("p.b.name").alias("target")).agg(F.sum("amount").alias("value"))
     return nodes, links
 
 
@@ -106,7 +105,7 @@ def compare(df: DataFrame, metric: str = "committee_recommendation", factors: Da
     rows = filter_items(df, **conditions).filter(F.col(metric).isNotNull() & F.col("fiscal_year").isNotNull())
     value, missing = F.col(metric), F.lit(False)
     if factors is not None:
-        rows = rows.join(F.broadcast(factors.select("fiscal_year", "real_factor")), "fiscal_year", "left")  # one row a year
+        rows = rows.join(factors.select("fiscal_year", "real_factor"), "fiscal_year", "left")
         missing = F.col("real_factor").isNull()
         value = F.coalesce(F.bround(value * F.col("real_factor"), 0).cast("bigint"), value)
     return rows.groupBy("fiscal_year").agg(F.sum(value).alias("amount"), F.count(F.lit(1)).alias("n_rows"), F.max(missing).alias("factor_missing"))
@@ -125,8 +124,8 @@ def coverage_matrix(df: DataFrame) -> DataFrame:
 def histogram(df: DataFrame, column: str) -> DataFrame:
     """Rows and percent by value."""
     counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("n_rows"))
-    total = df.agg(F.count(F.lit(1))).first()[0]
-    return counts.withColumn("percent", F.round(F.col("n_rows") * 100.0 / F.lit(total), 4))
+    total = counts.agg(F.sum("n_rows")).scalar()
+    return counts.withColumn("percent", F.round(F.col("n_rows") * 100.0 / total, 4))
 
 
 def unverified_profile(df: DataFrame, category: Column, top: int = 8) -> DataFrame:

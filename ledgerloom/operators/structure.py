@@ -37,13 +37,15 @@ def next_rollup_account(df: DataFrame, report: str = "report_id", ord_col: str =
     """Adds account_recovered: for an unlabelled line item the name of the next total; a nameless total closes the block too. Memo and blank labels get none."""
     text = F.coalesce(F.col("line_item_text"), F.lit(""))
     roll = fx.is_rollup(F.col("is_subtotal"), text)
-    after = F.first(F.when(roll, F.struct(fx.rollup_name(text).alias("name"))), ignorenulls=True).over(_order(report, ord_col).rowsBetween(1, W.unboundedFollowing))
+    # from the end backwards the frame only grows, so one pass does
+    backwards = W.partitionBy(report).orderBy(F.desc(ord_col)).rowsBetween(W.unboundedPreceding, -1)
+    after = F.last(F.when(roll, F.struct(fx.rollup_name(text).alias("name"))), ignorenulls=True).over(backwards)
     bare = (fx.strip(F.coalesce(F.col("account"), F.lit(""))) == "") & ~roll & ~fx.is_memo_label(text) & (fx.strip(text) != "")
     return df.withColumn("account_recovered", F.when(bare, after["name"]))
 
 
-def _blocks(df: DataFrame, report: str, ord_col: str, paren: Column) -> DataFrame:
-    """One row for each block: its total's name and values, and for each column the count and sum of its line items, with and without those in parentheses."""
+def _blocks(df: DataFrame, report: str, ord_col: str, paren: Column) -> tuple[DataFrame, DataFrame]:
+    """The rows with their block, and one row for each block: its total's name and values, and for each column the count and sum of its line items, with and without those in parentheses."""
     text = F.coalesce(F.col("line_item_text"), F.lit(""))
     roll = fx.is_rollup(F.col("is_subtotal"), text)
     own = df.withColumn("_roll", roll).withColumn("_block", F.sum(F.when(roll, 1).otherwise(0)).over(_order(report, ord_col)) - F.when(roll, 1).otherwise(0))
@@ -56,41 +58,50 @@ def _blocks(df: DataFrame, report: str, ord_col: str, paren: Column) -> DataFram
     return own, own.groupBy(report, "_block").agg(*parts, F.max(F.when(F.col("_roll"), fx.rollup_name(text))).alias("name"), F.max("_roll").alias("closed"))
 
 
-_STATE = "struct<open:boolean," + ",".join(f"c_{c}:bigint" for c in BLOCK_ORDER) + ",out:array<struct<block:bigint,name:string,delta:bigint>>>"
+def _chain(blocks: DataFrame, report: str, keep_over: bool) -> DataFrame:
+    """The blocks that close, in order: report, _block, _name, _delta. A block that closes hands its total to the next as one addend; any other is a barrier.
 
-
-def _fold(blocks: DataFrame, report: str, keep_over: bool) -> DataFrame:
-    """Folds a report's blocks in order. A block that closes hands its total to the next as one addend; any other is a barrier.
-
-    Result: one row for each block that closes (or, keep_over, that sums to more than its total).
+    keep_over: instead the blocks that sum to more than their total, with the excess. Whether a block closes depends on the one before only, by
+    one yes or no. So each block either settles that by itself, or passes on what it gets, or turns it round; a block's state is that of the
+    last one settled, turned round as often as blocks since then do.
     """
-    fields = [F.col("_block").alias("block"), "name", "closed", *[f"{k}_{t}_{c}" for c in BLOCK_ORDER for k in "ns" for t in ("all", "net")], *[f"t_{c}" for c in BLOCK_ORDER]]
-    gathered = blocks.groupBy(report).agg(F.array_sort(F.collect_list(F.struct(*fields))).alias("blocks"))
+    w = W.partitionBy(report).orderBy("_block")
+    rows = blocks
+    for c in BLOCK_ORDER:
+        rows = rows.withColumn(f"carry_{c}", F.lag(f"t_{c}").over(w))
+    named = F.coalesce(F.col("closed") & F.col("name").isNotNull(), F.lit(False))
 
-    def step(s: Column, b: Column) -> Column:
+    def outcome(carried: bool) -> tuple[Column, Column]:
+        """Whether the block closes, and its excess, if the one before handed its total over or not."""
         fits, over = F.lit(False), F.lit(None).cast("bigint")
         for c in BLOCK_ORDER:
-            carry, t = s[f"c_{c}"], b[f"t_{c}"]
-            n, m = (b[f"n_{tag}_{c}"] + F.when(carry.isNotNull(), 1).otherwise(0) for tag in ("all", "net"))
-            total, net = (F.coalesce(b[f"s_{tag}_{c}"], F.lit(0)) + F.coalesce(carry, F.lit(0)) for tag in ("all", "net"))
+            carry, t = F.col(f"carry_{c}") if carried else F.lit(None).cast("bigint"), F.col(f"t_{c}")
+            n, m = (F.col(f"n_{tag}_{c}") + F.when(carry.isNotNull(), 1).otherwise(0) for tag in ("all", "net"))
+            total, net = (F.coalesce(f"s_{tag}_{c}", F.lit(0)) + F.coalesce(carry, F.lit(0)) for tag in ("all", "net"))
             fits |= F.coalesce((n > 0) & (total == t), F.lit(False))
             if not keep_over:
                 fits |= F.coalesce((m > 0) & (m != n) & (net == t), F.lit(False))
             over = F.coalesce(over, F.when((n > 0) & t.isNotNull(), total - t))
-        named = b["closed"] & b["name"].isNotNull()
-        good = named & fits
-        hit = (named & ~fits & (over > 0)) if keep_over else good
-        out = F.when(F.coalesce(hit, F.lit(False)), F.concat(s["out"], F.array(F.struct(b["block"].cast("bigint").alias("block"), b["name"].alias("name"), over.cast("bigint").alias("delta"))))).otherwise(s["out"])
-        return F.struct(good.alias("open"), *[F.when(good, b[f"t_{c}"]).cast("bigint").alias(f"c_{c}") for c in BLOCK_ORDER], out.alias("out")).cast(_STATE)
-
-    zero = F.struct(F.lit(False).alias("open"), *[F.lit(None).cast("bigint").alias(f"c_{c}") for c in BLOCK_ORDER], F.array().alias("out")).cast(_STATE)
-    return gathered.select(report, F.explode(F.aggregate("blocks", zero, step)["out"]).alias("b")).select(report, F.col("b.block").alias("_block"), F.col("b.name").alias("_name"), F.col("b.delta").alias("_delta"))
+        return named & fits, over
+
+    (alone, over_alone), (after, over_after) = outcome(False), outcome(True)
+    first = F.row_number().over(w) == 1
+    rows = rows.select("*", alone.alias("_alone"), F.when(first, alone).otherwise(after).alias("_after"), over_alone.alias("_over_alone"), over_after.alias("_over_after"))
+    settled = F.col("_alone") == F.col("_after")
+    turns = F.when(F.col("_alone") & ~F.col("_after"), 1).otherwise(0)
+    rows = rows.withColumn("_epoch", F.count_if(settled).over(w))
+    rows = rows.withColumn("_since", F.sum(turns).over(W.partitionBy(report, "_epoch").orderBy("_block"))).withColumn("_base", F.last(F.when(settled, F.col("_alone")), ignorenulls=True).over(w))
+    rows = rows.withColumn("_good", F.coalesce("_base", F.lit(False)) != (F.col("_since") % 2 == 1))
+    over = F.when(F.coalesce(F.lag("_good").over(w), F.lit(False)), F.col("_over_after")).otherwise(F.col("_over_alone"))
+    rows = rows.withColumn("_delta", over.cast("bigint"))
+    rows = rows.filter(named & ~F.col("_good") & (F.col("_delta") > 0)) if keep_over else rows.filter("_good")
+    return rows.select(report, "_block", F.col("name").alias("_name"), "_delta")
 
 
 def infer_block_accounts(df: DataFrame, report: str = "report_id", ord_col: str = "row_ord", raw: Column | None = None) -> DataFrame:
     """Sets account_inferred on line items without account whose block sums to its named total on any column, all or without amounts in parentheses."""
     own, blocks = _blocks(df, report, ord_col, fx.is_paren_amount(raw) if raw is not None else F.coalesce(F.col("is_memo"), F.lit(False)))
-    found = _fold(blocks, report, False)
+    found = _chain(blocks, report, False)
     text = F.coalesce(F.col("line_item_text"), F.lit(""))
     known = F.nullif(F.col("account_inferred"), F.lit("")) if "account_inferred" in df.columns else F.lit(None).cast("string")
     leaf = ~F.col("_roll") & (fx.strip(text) != "") & ~fx.is_memo_label(text) & (fx.strip(F.coalesce(F.col("account"), F.lit(""))) == "")
@@ -100,7 +111,7 @@ def infer_block_accounts(df: DataFrame, report: str = "report_id", ord_col: str
 def oversum_blocks(df: DataFrame, report: str = "report_id", ord_col: str = "row_ord") -> DataFrame:
     """Blocks whose line items sum to more than their named total on its first column: report, block, name, excess."""
     _, blocks = _blocks(df, report, ord_col, F.lit(False))
-    return _fold(blocks, report, True).select(report, F.col("_block").alias("block"), F.col("_name").alias("name"), F.col("_delta").alias("excess"))
+    return _chain(blocks, report, True).select(report, F.col("_block").alias("block"), F.col("_name").alias("name"), F.col("_delta").alias("excess"))
 
 
 def recover_indent(df: DataFrame, flags: DataFrame, report: str = "report_id", ord_col: str = "row_ord", column: str = "committee_recommendation") -> DataFrame:

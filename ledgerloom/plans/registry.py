@@ -2,37 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import text as fx
 from ledgerloom.operators import crosswalk, query, reconcile, structure, trace, verify
-from ledgerloom.schema import AMOUNTS, CPI
-from ledgerloom.sources.ledger import LEDGER_SQL, deflators, ledger, table
+from ledgerloom.plans.base import ORACLES, QUERIES, register
+from ledgerloom.plans.base import amounts as _amounts
+from ledgerloom.plans.base import full as _full
+from ledgerloom.schema import CPI
+from ledgerloom.sources.ledger import deflators, ledger, table
 
 FLAGSHIP = "compare_by_year"
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
-
-
-def _amounts():
-    return tuple(map(F.col, AMOUNTS))
-
-
-def register(name: str, sql: str | None = None, on_ledger: bool = True):
-    def add(f):
-        QUERIES[name] = f
-        if sql:
-            ORACLES[name] = (LEDGER_SQL + sql) if on_ledger else sql
-        return f
-
-    return add
-
-
-def _full(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return query.with_defaults(ledger(spark, sf_dir))
+__all__ = ["FLAGSHIP", "ORACLES", "QUERIES"]
 
 
 def _values(spark: SparkSession, rows: list[str]) -> DataFrame:
@@ -344,13 +326,32 @@ def forward_fill(spark, sf_dir):
     return structure.fill_context(ledger(spark, sf_dir).select("report_id", "row_ord", "agency", "account"), levels).select("report_id", "row_ord", "department_ctx", "account_ctx")
 
 
-@register("block_inference")
+#: Blocks in order, one after the other: whether each closes, with the total of the one before as an addend if that closed.
+_CHAIN = """
+, l AS (SELECT *, CAST(sum(CASE WHEN is_subtotal THEN 1 ELSE 0 END) OVER (PARTITION BY report_id ORDER BY row_ord) - CASE WHEN is_subtotal THEN 1 ELSE 0 END AS BIGINT) AS k FROM ledger)
+, b AS (SELECT report_id, k, max(CASE WHEN is_subtotal THEN blk END) AS blk, bool_or(is_subtotal) AS named,
+ count(*) FILTER (NOT is_subtotal) AS n, count(*) FILTER (NOT is_subtotal AND NOT coalesce({paren}, false)) AS m,
+ coalesce(CAST(sum(committee_recommendation) FILTER (NOT is_subtotal) AS BIGINT), 0) AS s1, coalesce(CAST(sum(budget_estimate) FILTER (NOT is_subtotal) AS BIGINT), 0) AS s2, coalesce(CAST(sum(prior_year_enacted) FILTER (NOT is_subtotal) AS BIGINT), 0) AS s3,
+ coalesce(CAST(sum(committee_recommendation) FILTER (NOT is_subtotal AND NOT coalesce({paren}, false)) AS BIGINT), 0) AS f1, coalesce(CAST(sum(budget_estimate) FILTER (NOT is_subtotal AND NOT coalesce({paren}, false)) AS BIGINT), 0) AS f2, coalesce(CAST(sum(prior_year_enacted) FILTER (NOT is_subtotal AND NOT coalesce({paren}, false)) AS BIGINT), 0) AS f3,
+ max(CASE WHEN is_subtotal THEN committee_recommendation END) AS t1, max(CASE WHEN is_subtotal THEN budget_estimate END) AS t2, max(CASE WHEN is_subtotal THEN prior_year_enacted END) AS t3 FROM l GROUP BY report_id, k)
+, x AS (SELECT report_id, CAST(-1 AS BIGINT) AS k, CAST(NULL AS BIGINT) AS blk, false AS named, false AS good, CAST(NULL AS BIGINT) AS excess, CAST(NULL AS BIGINT) AS c1, CAST(NULL AS BIGINT) AS c2, CAST(NULL AS BIGINT) AS c3 FROM b WHERE k = 0
+ UNION ALL
+ SELECT report_id, k, blk, named, good, excess, CASE WHEN good THEN t1 END, CASE WHEN good THEN t2 END, CASE WHEN good THEN t3 END FROM (
+  SELECT b.*, b.named AND (coalesce(n + p1 > 0 AND s1 + coalesce(c1, 0) = t1, false) OR coalesce(n + p2 > 0 AND s2 + coalesce(c2, 0) = t2, false) OR coalesce(n + p3 > 0 AND s3 + coalesce(c3, 0) = t3, false)
+    OR (m <> n AND (coalesce(m + p1 > 0 AND f1 + coalesce(c1, 0) = t1, false) OR coalesce(m + p2 > 0 AND f2 + coalesce(c2, 0) = t2, false) OR coalesce(m + p3 > 0 AND f3 + coalesce(c3, 0) = t3, false)))) AS good,
+   coalesce(CASE WHEN n + p1 > 0 THEN s1 + coalesce(c1, 0) - t1 END, CASE WHEN n + p2 > 0 THEN s2 + coalesce(c2, 0) - t2 END, CASE WHEN n + p3 > 0 THEN s3 + coalesce(c3, 0) - t3 END) AS excess
+  FROM b JOIN (SELECT *, (c1 IS NOT NULL)::INT AS p1, (c2 IS NOT NULL)::INT AS p2, (c3 IS NOT NULL)::INT AS p3 FROM x) x ON b.report_id = x.report_id AND b.k = x.k + 1))"""
+
+
+@register("block_inference", _CHAIN.format(paren="is_memo") + """
+SELECT l.report_id, l.row_ord, 'Order ' || CAST(x.blk AS VARCHAR) AS account_inferred FROM x JOIN l ON l.report_id = x.report_id AND l.k = x.k WHERE NOT l.is_subtotal AND x.good""", recursive=True)
 def block_inference(spark, sf_dir):
     rows = ledger(spark, sf_dir).withColumn("account", F.lit(None).cast("string"))
     return structure.infer_block_accounts(rows).filter("account_inferred IS NOT NULL").select("report_id", "row_ord", "account_inferred")
 
 
-@register("oversum_blocks")
+@register("oversum_blocks", _CHAIN.format(paren="NULL") + """
+SELECT report_id, k AS block, 'Order ' || CAST(blk AS VARCHAR) AS name, excess FROM x WHERE named AND NOT good AND excess > 0""", recursive=True)
 def oversum_blocks(spark, sf_dir):
     return structure.oversum_blocks(ledger(spark, sf_dir))
 
@@ -366,31 +367,109 @@ def recover_indent(spark, sf_dir):
 
 # ---- reconciliation -------------------------------------------------------------------------------------------------
 
-
-@register("reconcile_totals", """
-, b AS (SELECT report_id, blk, sum(CASE WHEN NOT is_subtotal THEN committee_recommendation END) AS s_all, sum(CASE WHEN NOT is_subtotal AND NOT is_memo THEN committee_recommendation END) AS s_net FROM ledger GROUP BY ALL)
-SELECT l.report_id, l.row_ord, CASE WHEN committee_recommendation IS NULL THEN 'unchecked' WHEN committee_recommendation = s_net OR committee_recommendation = s_all THEN 'ok' ELSE 'other' END AS status
-FROM ledger l JOIN b ON l.report_id = b.report_id AND l.blk = b.blk WHERE is_subtotal AND coalesce(committee_recommendation, 1) <> 0""")
+#: The ledger as some printer might have spoilt it: totals of another view, and line items whose recommendation wasn't read.
+_STATEMENT = """
+, statement AS (SELECT report_id, row_ord, chamber, stage, fiscal_year, blk, is_subtotal, is_memo, prior_year_enacted AS pe, budget_estimate AS be,
+ CASE WHEN is_subtotal AND blk % 17 = 4 THEN 'Total, available this fiscal year' ELSE line_item_text END AS label,
+ CASE WHEN NOT is_subtotal AND pk % 37 = 9 THEN NULL ELSE committee_recommendation END AS cr,
+ CASE WHEN NOT is_subtotal AND pk % 37 = 9 THEN NULL ELSE delta_vs_enacted END AS de, CASE WHEN NOT is_subtotal AND pk % 37 = 9 THEN NULL ELSE delta_vs_estimate END AS dt FROM ledger)
+, p AS (SELECT *, coalesce(cr, CASE WHEN pe + de IS NULL THEN be + dt WHEN be + dt IS NULL OR pe + de = be + dt THEN pe + de END) AS v, is_subtotal OR regexp_matches(label, '(?i)^\\s*\\(?(sub)?total\\b') AS tot FROM statement)"""
+#: The same verdicts row by row: the state after each row is the list of open addends.
+_VERDICTS = _STATEMENT + """
+, s(report_id, i, vals, firm, n_firm, best, n_open) AS (
+ SELECT DISTINCT report_id, CAST(0 AS BIGINT), CAST([] AS BIGINT[]), CAST([] AS BIGINT[]), CAST([] AS BIGINT[]), CAST(NULL AS STRUCT(g BIGINT, o BIGINT, gap BIGINT)), CAST(0 AS BIGINT) FROM p
+ UNION ALL
+ SELECT report_id, i + 1, CASE WHEN v IS NULL THEN vals WHEN NOT tot THEN list_append(vals, v) ELSE list_append(vals[1:n - k], v) END,
+  CASE WHEN v IS NULL THEN firm WHEN NOT tot THEN list_append(firm, CASE WHEN is_memo THEN 0 ELSE v END) ELSE list_append(firm[1:n - k], v) END,
+  CASE WHEN v IS NULL THEN n_firm WHEN NOT tot THEN list_append(n_firm, CASE WHEN is_memo THEN 0 ELSE 1 END) ELSE list_append(n_firm[1:n - k], 1) END, b,
+  CASE WHEN b IS NULL THEN 0 WHEN b.o % 2 = 1 THEN k ELSE CAST(list_sum(n_firm[n - k + 1:n]) AS BIGINT) END
+ FROM (SELECT *, coalesce(b.o // 2, 0) AS k FROM (SELECT s.report_id, i, vals, firm, n_firm, len(vals) AS n, p.v, p.tot, p.is_memo, CASE WHEN p.tot AND p.v IS NOT NULL AND len(vals) > 0 THEN
+   list_sort(list_filter(flatten(list_transform(range(1, len(vals) + 1), lambda j: [
+     CASE WHEN list_sum(n_firm[len(vals) - j + 1:]) > 0 THEN {'g': abs(CAST(list_sum(firm[len(vals) - j + 1:]) AS BIGINT) - p.v), 'o': CAST(2 * j AS BIGINT), 'gap': CAST(list_sum(firm[len(vals) - j + 1:]) AS BIGINT) - p.v} END,
+     {'g': abs(CAST(list_sum(vals[len(vals) - j + 1:]) AS BIGINT) - p.v), 'o': CAST(2 * j + 1 AS BIGINT), 'gap': CAST(list_sum(vals[len(vals) - j + 1:]) AS BIGINT) - p.v}])), lambda x: x IS NOT NULL))[1] END AS b
+  FROM s JOIN p ON p.report_id = s.report_id AND p.row_ord = s.i + 1)))
+, t AS (SELECT p.*, coalesce(lag(CASE WHEN v IS NOT NULL THEN row_ord END IGNORE NULLS) OVER (PARTITION BY report_id ORDER BY row_ord), 0) AS since FROM p WHERE tot)
+, w AS (SELECT t.report_id, t.row_ord, bool_or(regexp_matches(lower(p.label), 'advance|available this fiscal|appropriated in this bill|forward fund|less prior year|prior year appropriation|available in|to remain available')) AS views,
+  bool_or(NOT p.tot AND NOT p.is_memo AND p.v IS NULL AND coalesce(p.pe, p.be, p.de, p.dt) IS NOT NULL) AS part FROM t JOIN p ON p.report_id = t.report_id AND p.row_ord > t.since AND p.row_ord <= t.row_ord GROUP BY ALL)
+, verdicts AS (SELECT t.report_id, t.row_ord, chamber, stage, t.v AS printed, CASE WHEN v IS NOT NULL THEN coalesce(best.gap, -v) END AS delta, CASE WHEN v IS NOT NULL THEN CASE WHEN best.o % 2 = 1 THEN 'included' ELSE 'excluded' END END AS memo_mode, CASE WHEN v IS NULL THEN 0 ELSE n_open END AS n_children,
+  CASE WHEN v IS NULL THEN 'unchecked' WHEN best.gap = 0 AND n_open > 0 THEN 'ok' WHEN views THEN 'overlapping_view' WHEN part THEN 'partial_read' WHEN v <> 0 AND abs(coalesce(best.gap, -v)) / CAST(abs(v) AS DOUBLE) <= 0.02 THEN 'off_by_small' ELSE 'unreconciled' END AS status
+  FROM t JOIN s ON s.report_id = t.report_id AND s.i = t.row_ord JOIN w ON w.report_id = t.report_id AND w.row_ord = t.row_ord)"""
+
+
+def _statement(spark, sf_dir):
+    lost = ~F.col("is_subtotal") & (F.col("pk") % 37 == 9)
+    rows = ledger(spark, sf_dir).withColumn("line_item_text", F.when(F.col("is_subtotal") & (F.col("blk") % 17 == 4), "Total, available this fiscal year").otherwise(F.col("line_item_text")))
+    return rows.withColumns({c: F.when(~lost, F.col(c)) for c in ("committee_recommendation", "delta_vs_enacted", "delta_vs_estimate")})
+
+
+@register("reconcile_totals", _VERDICTS + " SELECT report_id, row_ord, printed, delta, status, memo_mode, n_children FROM verdicts", recursive=True)
 def reconcile_totals(spark, sf_dir):
-    """Totals of zero are left out, as the query's own feature: SQL can't see that one may close against an earlier total of zero."""
-    found = reconcile.reconcile(ledger(spark, sf_dir)).filter("coalesce(printed, 1) <> 0")
-    return found.select("report_id", "row_ord", F.when(F.col("status").isin("ok", "unchecked"), F.col("status")).otherwise("other").alias("status"))
+    return reconcile.reconcile(_statement(spark, sf_dir)).select("report_id", "row_ord", "printed", "delta", "status", "memo_mode", "n_children")
 
 
-@register("reconcile_ledger")
+@register("reconcile_ledger", _VERDICTS + " SELECT report_id, count(*) AS totals, count(*) FILTER (status = 'ok') AS ok, count(*) FILTER (status = 'partial_read') AS partial_read, sum(n_children)::BIGINT AS n_children FROM verdicts GROUP BY report_id", recursive=True)
 def reconcile_ledger(spark, sf_dir):
-    return reconcile.reconcile(ledger(spark, sf_dir))
+    """One JSON text a report, read again."""
+    texts = reconcile.ledger_json(reconcile.reconcile(_statement(spark, sf_dir)))
+    kept = "summary struct<ok:bigint,partial_read:bigint>, totals array<struct<row_ord:bigint,status:string,children:array<bigint>>>"
+    rows = texts.select("report_id", F.from_json("json", kept).alias("j"))
+    return rows.select("report_id", F.size("j.totals").cast("bigint").alias("totals"), "j.summary.ok", "j.summary.partial_read", F.aggregate("j.totals", F.lit(0).cast("bigint"), lambda n, t: n + F.size(t["children"])).alias("n_children"))
 
 
-@register("reconcile_summary")
+@register("reconcile_summary", _VERDICTS + """
+, k AS (SELECT CASE WHEN stage = 'enacted' THEN 'enacted' ELSE chamber END AS track, status FROM verdicts)
+, n AS (SELECT track, count(*) AS totals, count(*) FILTER (status = 'ok') AS ok, count(*) FILTER (status = 'unchecked') AS unchecked, count(*) FILTER (status = 'off_by_small') AS off_by_small, count(*) FILTER (status = 'partial_read') AS partial_read, count(*) FILTER (status = 'overlapping_view') AS overlapping_view, count(*) FILTER (status = 'unreconciled') AS unreconciled FROM k GROUP BY ROLLUP (track))
+SELECT *, totals - unchecked AS checkable, totals - unchecked - overlapping_view AS measurable, round(ok / CAST(nullif(totals - unchecked, 0) AS DOUBLE), 6) AS pass_rate, round(ok / CAST(nullif(totals - unchecked - overlapping_view, 0) AS DOUBLE), 6) AS strict_pass_rate FROM n""", recursive=True)
 def reconcile_summary(spark, sf_dir):
-    tracks = ledger(spark, sf_dir).groupBy("report_id").agg(F.max(F.when(F.col("stage") == "enacted", "enacted").otherwise(F.col("chamber"))).alias("track"))
-    return reconcile.summarize(reconcile.reconcile(ledger(spark, sf_dir)).join(tracks, "report_id"), "track")
+    return reconcile.summarize(reconcile.reconcile(_statement(spark, sf_dir).withColumn("track", F.expr("CASE WHEN stage = 'enacted' THEN stage ELSE chamber END")), ("track",)), "track")
 
 
-@register("review_queue")
+@register("review_queue", _VERDICTS + """
+SELECT report_id, count(*) FILTER (status IN ('off_by_small', 'partial_read', 'unreconciled')) AS genuine, count(*) AS totals FROM verdicts GROUP BY report_id HAVING count(*) FILTER (status IN ('off_by_small', 'partial_read', 'unreconciled')) > 0 ORDER BY genuine DESC, report_id LIMIT 10""", recursive=True)
 def review_queue(spark, sf_dir):
-    return reconcile.review_queue(reconcile.reconcile(ledger(spark, sf_dir)))
+    return reconcile.review_queue(reconcile.reconcile(_statement(spark, sf_dir)))
+
+
+@register("reconcile_checks", _VERDICTS + """
+SELECT report_id, row_ord, printed, CASE WHEN n_children > 0 THEN printed + delta END AS computed, n_children > 0 AS complete FROM verdicts WHERE printed IS NOT NULL""", recursive=True)
+def reconcile_checks(spark, sf_dir):
+    """The check of the recommendation column: every child counts there, so it is complete wherever there is one."""
+    c = F.col("checks")["committee_recommendation"]
+    return reconcile.reconcile(_statement(spark, sf_dir)).filter("checks IS NOT NULL").select("report_id", "row_ord", c["printed"].alias("printed"), c["computed"].alias("computed"), c["complete"].alias("complete"))
+
+
+@register("blind_reports", _STATEMENT + " SELECT report_id, count(*) AS n_rows, count(*) FILTER (tot) AS totals FROM p GROUP BY report_id HAVING count(*) FILTER (tot AND v IS NOT NULL) = 0", recursive=True)
+def blind_reports(spark, sf_dir):
+    rows = _statement(spark, sf_dir)
+    return reconcile.blind_reports(reconcile.reconcile(rows), rows)
+
+
+@register("audit_blocks", _STATEMENT + """
+, s(report_id, i, vals, hit, nearest) AS (
+ SELECT DISTINCT report_id, CAST(0 AS BIGINT), CAST([] AS BIGINT[]), CAST(NULL AS BIGINT), CAST(NULL AS BIGINT) FROM p
+ UNION ALL SELECT report_id, i + 1, CASE WHEN v IS NULL THEN vals WHEN hit IS NULL THEN list_append(vals, v) ELSE list_append(vals[1:len(vals) - hit], v) END, hit, nearest
+ FROM (SELECT s.report_id, i, vals, p.v, CASE WHEN is_subtotal AND p.v IS NOT NULL THEN list_min(list_filter(range(1, len(vals) + 1), lambda j: list_sum(vals[len(vals) - j + 1:]) = p.v)) END AS hit,
+   CASE WHEN is_subtotal AND p.v IS NOT NULL THEN list_min(list_transform(range(1, len(vals) + 1), lambda j: abs(CAST(list_sum(vals[len(vals) - j + 1:]) AS BIGINT) - p.v))) END AS nearest FROM s JOIN p ON p.report_id = s.report_id AND p.row_ord = s.i + 1))
+, t AS (SELECT *, coalesce(lag(row_ord) OVER (PARTITION BY report_id ORDER BY row_ord), 0) AS since FROM p WHERE is_subtotal AND v IS NOT NULL)
+, w AS (SELECT t.report_id, t.row_ord, t.v, bool_or(p.label LIKE '%available this fiscal%') AS views, bool_or(NOT p.is_subtotal AND p.v IS NULL AND coalesce(p.pe, p.be, p.de, p.dt) IS NOT NULL) AS part FROM t JOIN p ON p.report_id = t.report_id AND p.row_ord > t.since AND p.row_ord <= t.row_ord GROUP BY ALL)
+SELECT w.report_id, w.row_ord, w.v AS printed, CASE WHEN hit IS NOT NULL THEN 'ok' WHEN views THEN 'structural' WHEN part THEN 'partial_read' WHEN w.v <> 0 AND nearest / CAST(abs(w.v) AS DOUBLE) <= 0.02 THEN 'off_by_small' ELSE 'structural' END AS verdict
+FROM w JOIN s ON s.report_id = w.report_id AND s.i = w.row_ord""", recursive=True)
+def audit_blocks(spark, sf_dir):
+    return reconcile.audit(_statement(spark, sf_dir))
+
+
+@register("typeset_reconcile", """
+, b AS (SELECT report_id, row_ord, is_subtotal, sum(CASE WHEN is_subtotal THEN 1 ELSE 0 END) OVER (PARTITION BY report_id ORDER BY row_ord) - CASE WHEN is_subtotal THEN 1 ELSE 0 END AS k, coalesce(budget_estimate, 0) AS req, coalesce(committee_recommendation, 0) AS rec FROM ledger)
+, g AS (SELECT report_id, k, max(CASE WHEN is_subtotal THEN row_ord END) AS row_ord, count(*) FILTER (NOT is_subtotal) AS n, coalesce(sum(req) FILTER (NOT is_subtotal), 0) AS q, coalesce(sum(rec) FILTER (NOT is_subtotal), 0) AS c, max(CASE WHEN is_subtotal THEN req END) AS tq, max(CASE WHEN is_subtotal THEN rec END) AS tc FROM b GROUP BY ALL)
+, r AS (SELECT *, row_number() OVER (PARTITION BY report_id ORDER BY k) AS i FROM g WHERE row_ord IS NOT NULL)
+, s(report_id, i, sq, sc, outcome) AS (
+ SELECT DISTINCT report_id, CAST(0 AS BIGINT), CAST([] AS BIGINT[]), CAST([] AS BIGINT[]), CAST(NULL AS VARCHAR) FROM r
+ UNION ALL SELECT report_id, i + 1, list_append(CASE WHEN NOT leaf AND hit IS NOT NULL THEN sq[1:len(sq) - hit] ELSE sq END, tq), list_append(CASE WHEN NOT leaf AND hit IS NOT NULL THEN sc[1:len(sc) - hit] ELSE sc END, tc), CASE WHEN leaf THEN 'leaf' WHEN hit IS NOT NULL THEN 'rollup' ELSE 'bad' END
+ FROM (SELECT s.report_id, s.i, sq, sc, r.tq, r.tc, r.n > 0 AND r.q = r.tq AND r.c = r.tc AS leaf, list_min(list_filter(range(1, len(sq) + 1), lambda j: r.q + list_sum(sq[len(sq) - j + 1:]) = r.tq AND r.c + list_sum(sc[len(sc) - j + 1:]) = r.tc)) AS hit FROM s JOIN r ON r.report_id = s.report_id AND r.i = s.i + 1))
+SELECT r.report_id, r.row_ord, s.outcome FROM s JOIN r ON r.report_id = s.report_id AND r.i = s.i""", recursive=True)
+def typeset_reconcile(spark, sf_dir):
+    rows = ledger(spark, sf_dir).select("report_id", "row_ord", F.when(F.col("is_subtotal"), "total").otherwise("value").alias("kind"), F.col("budget_estimate").alias("request"), F.col("committee_recommendation").alias("recommendation"))
+    return reconcile.typeset_totals(rows)
 
 
 # ---- joins ----------------------------------------------------------------------------------------------------------

@@ -9,6 +9,7 @@ from ledgerloom.functions import text as fx
 from ledgerloom.schema import CPI, REAL_BASE
 
 #: The ledger as SQL over lineitem, orders, customer, nation and part. It runs in Spark and DuckDB alike.
+#: A report is a month of a region, of 150,000 order keys at most, so that reports keep their size at any scale.
 LEDGER_SQL = """
 WITH li AS (
  SELECT l_orderkey, l_partkey, l_returnflag, l_linestatus,
@@ -16,7 +17,7 @@ WITH li AS (
   row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber,l_partkey,l_suppkey,l_quantity,l_extendedprice,l_shipdate) AS ln
  FROM lineitem),
 leaf AS (
- SELECT concat('RPT-', CAST(year(o_orderdate) AS STRING), '-', CAST(month(o_orderdate) AS STRING), '-', CAST(n_regionkey AS STRING)) AS report_id,
+ SELECT concat('RPT-', CAST(year(o_orderdate) AS STRING), '-', CAST(month(o_orderdate) AS STRING), '-', CAST(n_regionkey AS STRING), '-', CAST(CAST(FLOOR(o_orderkey / 150000) AS INT) AS STRING)) AS report_id,
   year(o_orderdate) + CASE WHEN month(o_orderdate)>=10 THEN 1 ELSE 0 END AS fiscal_year,
   CASE WHEN n_regionkey % 2 = 0 THEN 'house' ELSE 'senate' END AS chamber,
   CASE WHEN o_orderstatus='F' THEN 'enacted' ELSE 'committee' END AS stage,

@@ -5,6 +5,7 @@ import random
 import re
 
 import duckdb
+import numpy as np
 import pytest
 from conftest import SMALL
 from pyspark.sql import functions as F
@@ -44,38 +45,81 @@ def one(spark, value, *columns):
     return spark.createDataFrame([(value,)], "v string").select(*columns).first()
 
 
-def rows_of(items):
-    """(label, is_subtotal, is_memo, recommendation, ...) as reconciler rows."""
-    return [dict(zip(("line_item_text", "is_subtotal", "is_memo"), i[:3], strict=True)) | {c: None for c in AMOUNTS} | {"committee_recommendation": i[3]} | (i[4] if len(i) > 4 else {}) for i in items]
-
-
-def test_reconciler_modes():
-    totals = list(reconcile.totals_of(rows_of([("a", False, True, 24), ("b", False, False, 134), ("Total, x", True, False, 158)])))
-    assert [(t["status"], t["memo_mode"], t["children"]) for t in totals] == [("ok", "included", [0, 1])]
-    totals = list(reconcile.totals_of(rows_of([("a", False, False, 10), ("m", False, True, 5), ("Total", True, False, 10), ("c", False, False, 7), ("Subtotal, y", True, False, 7), ("Total, z", True, False, 17)])))
-    assert [t["status"] for t in totals] == ["ok"] * 3 and totals[2]["children"] == [2, 4]
-
-
-def test_reconciler_failures():
-    unchecked = list(reconcile.totals_of(rows_of([("a", False, False, 10), ("Total, n", True, False, None), ("Total, m", True, False, 10)])))
+STATEMENT = "report_id string, row_ord int, line_item_text string, is_subtotal boolean, is_memo boolean, " + ", ".join(f"{c} bigint" for c in AMOUNTS)
+
+
+def statement(spark, *items):
+    """(label, is_total, is_memo, recommendation, other amounts) rows of one report each."""
+    rows = []
+    for k, group in enumerate(items):
+        for i, (label, total, memo, value, *more) in enumerate(group):
+            amounts = dict.fromkeys(AMOUNTS) | {"committee_recommendation": value} | (more[0] if more else {})
+            rows.append((f"r{k}", i, label, total, memo, *amounts.values()))
+    return spark.createDataFrame(rows, STATEMENT)
+
+
+def verdicts(spark, *items):
+    got = reconcile.reconcile(statement(spark, *items)).orderBy("report_id", "row_ord").collect()
+    return [[r for r in got if r["report_id"] == f"r{k}"] for k in range(len(items))]
+
+
+def test_reconciler_modes(spark):
+    one_memo, nested, big, none = verdicts(
+        spark,
+        [("rent", False, True, 24), ("pay", False, False, 134), ("Total, house", True, False, 158)],
+        [("oak", False, False, 10), ("of which", False, True, 5), ("Total", True, False, 10), ("ash", False, False, 7), ("Subtotal, wood", True, False, 7), ("(Total, land)", False, False, 17)],
+        [("oak", False, None, 2**60 + 1), ("ash", False, False, 2**60), ("Total", True, None, 2**61 + 1)],
+        [("oak", False, False, 10)],
+    )
+    assert [(t["status"], t["memo_mode"], t["children"]) for t in one_memo] == [("ok", "included", [0, 1])] and none == []
+    assert [t["status"] for t in nested] == ["ok"] * 3 and nested[2]["children"] == [2, 4]
+    assert [(t["status"], t["computed"]) for t in big] == [("ok", 2**61 + 1)]  # beyond what a double holds
+
+
+def test_reconciler_failures(spark):
+    unchecked, small, partial, view, alone, zero, memos = verdicts(
+        spark,
+        [("oak", False, False, 10), ("Total, n", True, False, None), ("Total, m", True, False, 10)],
+        [("oak", False, False, 199_000), ("Total", True, False, 200_000)],
+        [("oak", False, False, None, {"prior_year_enacted": 4}), ("ash", False, False, 5), ("Total", True, False, 50)],
+        [("oak", False, False, 1), ("Total, available this fiscal year", True, False, 50)],
+        [("Total", True, False, 5)],
+        [("Total", True, False, None, {"prior_year_enacted": 500, "delta_vs_enacted": -500})],
+        [("oak", False, False, 3, {"prior_year_enacted": 2}), ("ash", False, False, 4), ("Total", True, False, 7, {"prior_year_enacted": 2})],
+    )
     assert [t["status"] for t in unchecked] == ["unchecked", "ok"]
-    small = list(reconcile.totals_of(rows_of([("a", False, False, 199_000), ("Total", True, False, 200_000)])))
     assert (small[0]["status"], small[0]["delta"]) == ("off_by_small", -1000)
-    partial = list(reconcile.totals_of(rows_of([("a", False, False, None, {"prior_year_enacted": 4}), ("b", False, False, 5), ("Total", True, False, 50)])))
-    assert partial[0]["status"] == "partial_read"
-    view = list(reconcile.totals_of(rows_of([("a", False, False, 1), ("Total, available this fiscal year", True, False, 50)])))
-    assert view[0]["status"] == "overlapping_view"
-    alone = list(reconcile.totals_of(rows_of([("Total", True, False, 5)])))
+    assert partial[0]["status"] == "partial_read" and view[0]["status"] == "overlapping_view"
     assert (alone[0]["status"], alone[0]["computed"]) == ("unreconciled", 0)
+    assert [t["printed"] for t in zero] == [0]
+    assert memos[0]["checks"]["prior_year_enacted"].asDict() == {"printed": 2, "computed": 2, "complete": False} and not memos[0]["complete"]
+
+
+def test_closing_run_against_brute_force():
+    rng = random.Random(3)
+    for _ in range(400):
+        n = rng.randrange(7)
+        value, firm = [rng.randrange(-3, 9) for _ in range(n)], [rng.random() < 0.6 for _ in range(n)]
+        printed, best = rng.randrange(-3, 25), None
+        for k in range(1, n + 1):
+            for optional in (False, True):
+                if (optional or any(firm[n - k :])) and (best is None or best[2] != 0):
+                    gap = sum(v for v, f in zip(value[n - k :], firm[n - k :], strict=True) if f or optional) - printed
+                    if best is None or abs(gap) < abs(best[2]):
+                        best = k, optional, gap
+        got = reconcile.closing_run(np.array(value, np.int64), np.array(firm, bool), printed)
+        assert got == (best or (0, False, -printed))
 
 
-def test_recovered_zero():
-    assert [t["printed"] for t in reconcile.totals_of(rows_of([("Total", True, False, None, {"prior_year_enacted": 500, "delta_vs_enacted": -500})]))] == [0]
+def test_typeset_totals(spark):
+    rows = [("value", 1, 2), ("value", 3, 4), ("total", 4, 6), ("value", 5, 5), ("total", 5, 5), ("total", 9, 11), ("total", 1, 1), ("value", None, 2), ("total", 9, 13)]
+    df = spark.createDataFrame([("r", i, *x) for i, x in enumerate(rows)], "report_id string, row_ord int, kind string, request bigint, recommendation bigint")
+    assert [(r["row_ord"], r["outcome"]) for r in reconcile.typeset_totals(df).orderBy("row_ord").collect()] == [(2, "leaf"), (4, "leaf"), (5, "rollup"), (6, "bad"), (8, "bad")]
 
 
-def test_typeset_totals():
-    rows = [("value", 1, 2), ("value", 3, 4), ("total", 4, 6), ("value", 5, 5), ("total", 5, 5), ("total", 9, 11), ("total", 1, 1)]
-    assert reconcile.typeset_totals(rows) == [(2, True), (4, True), (5, True), (6, False)]
+def test_audit_keeps_what_a_failure_left(spark):
+    got = reconcile.audit(statement(spark, [("oak", False, False, 5), ("Total", True, False, 9), ("ash", False, True, 3), ("Total", True, False, 17)])).orderBy("row_ord").collect()
+    assert [(r["printed"], r["verdict"]) for r in got] == [(9, "structural"), (17, "ok")]
 
 
 def test_summary_flags(spark):
@@ -212,7 +256,7 @@ def test_latex_and_json(spark):
     assert one(spark, raw.replace("Request", "Projection of outlays"), latex.comparative_items(F.col("v")))[0] == []
     single = one(spark, r"\begin{tabular}{cc} Land & 1,000 \\ Note & none \\ \end{tabular}", latex.single_column_items(F.col("v")))[0]
     assert [(i["text"], i["col3"]) for i in single] == [("Land", "1,000")]
-    assert one(spark, '```json\n[{"text": "a", "col1": "5"}]\n```', latex.json_items(F.col("v")))[0][0]["col1"] == "5" and one(spark, "no", latex.json_items(F.col("v")))[0] in ([], None) 
+    assert one(spark, '```json\n[{"text": "a", "col1": "5"}]\n```', latex.json_items(F.col("v")))[0][0]["col1"] == "5" and one(spark, "no", latex.json_items(F.col("v")))[0] == []
     pages = spark.createDataFrame([("r", 1, raw)], "report_id string, page int, raw string").withColumn("items", latex.comparative_items(F.col("raw")))
     got = extract.item_lines(pages).orderBy("row_ord").collect()
     assert got[0]["prior_year_enacted"]["value"] == 1_000_000 and got[0]["line_number"] == 100
