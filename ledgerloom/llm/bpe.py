@@ -29,8 +29,10 @@ _SPACE = re.compile("[\t-\r \x85\xa0  -     　]+")
 _EXTRA_SPACE = re.compile("[\x1c-\x1f]")
 #: Stands for the end-of-word mark in matching; no byte-level symbol is this character.
 _LAST = "\0"
-#: Entries of the caches of a worker; beyond them the cache starts anew.
-CACHE, WORDS, PAIRS = 1_000_000, 200_000, 1_000_000
+#: Entries of the caches of a worker; beyond them the first is thinned out, and the others start anew.
+CACHE, WORDS, PAIRS = 600_000, 200_000, 500_000
+#: New pieces that the encoder gets in one call.
+AT_ONCE = 4_000
 _NEVER = 1 << 60
 
 
@@ -160,6 +162,19 @@ class Bpe:
         return " ".join(map(self.pieces.__getitem__, ids.tolist()))
 
 
+class _Slots(dict):
+    """piece -> number; an unknown piece gets the next one, and is noted in `new`."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, piece: str) -> int:
+        self.new.append(piece)
+        self[piece] = n = len(self)
+        return n
+
+
 class PieceCache:
     """Encodes texts through a bounded cache of pieces; encode_pieces gives the ids of new pieces."""
 
@@ -168,34 +183,51 @@ class PieceCache:
         self.clear()
 
     def clear(self) -> None:
-        self.slot: dict[str, int] = {}
+        self.slot = _Slots()
         self.starts, self.flat, self.used = np.zeros(1024, np.int64), np.zeros(4096, np.uint32), 0
-
-    def _learn(self, pieces: list[str]) -> None:
-        for ids, piece in zip(self.encode_pieces(pieces), pieces, strict=True):
-            n = len(self.slot)
-            if n + 2 > len(self.starts):
-                self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
-            while self.used + len(ids) > len(self.flat):
-                self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-            self.flat[self.used : self.used + len(ids)] = ids
-            self.used += len(ids)
-            self.slot[piece] = n
-            self.starts[n + 1] = self.used
+        self.seen = np.zeros(1024, np.int64)
+
+    def thin_out(self) -> None:
+        """Keeps the pieces seen most often, half of CACHE at most, and halves their counts."""
+        kept = np.argsort(-self.seen[: len(self.slot)], kind="stable")[: CACHE // 2]
+        kept = np.sort(kept[self.seen[kept] > 1])
+        pieces, length = list(self.slot), np.diff(self.starts[: len(self.slot) + 1])
+        at = np.repeat(self.starts[kept] - np.append(0, np.cumsum(length[kept])[:-1]), length[kept]) + np.arange(int(length[kept].sum()))
+        flat, seen = self.flat[at], self.seen[kept] // 2
+        self.clear()
+        self.slot.update((pieces[k], n) for n, k in enumerate(kept.tolist()))
+        self.starts, self.flat, self.used = np.append(0, np.append(np.cumsum(length[kept]), 0)), np.append(flat, np.zeros(4096, np.uint32)), len(flat)
+        self.seen = np.append(seen, 0)
+
+    def _learn(self, pieces: list[str], n: int) -> None:
+        """Adds the ids of new pieces, numbered from n on."""
+        for at in range(0, len(pieces), AT_ONCE):
+            for ids in self.encode_pieces(pieces[at : at + AT_ONCE]):
+                if n + 2 > len(self.starts):
+                    self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
+                while self.used + len(ids) > len(self.flat):
+                    self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+                self.flat[self.used : self.used + len(ids)] = ids
+                self.used += len(ids)
+                n += 1
+                self.starts[n] = self.used
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         """The ids of each text; null has none."""
         if len(self.slot) > CACHE:
-            self.clear()
-        pieces, ends = [], []
+            self.thin_out()
+        pieces, ends, known = [], [], len(self.slot)
         for t in texts:
             if t:
                 pieces += [p for p in _SPACE.split(t) if p] if _EXTRA_SPACE.search(t) else t.split()
             ends.append(len(pieces))
-        new = set(pieces).difference(self.slot)
-        if new:
-            self._learn(list(new))
         slots = np.fromiter(map(self.slot.__getitem__, pieces), np.int64, len(pieces))
+        if self.slot.new:
+            self._learn(self.slot.new, known)
+            self.slot.new = []
+        if len(self.slot) > len(self.seen):
+            self.seen = np.append(self.seen, np.zeros(len(self.slot), np.int64))
+        self.seen += np.bincount(slots, minlength=len(self.seen))
         start = self.starts[slots]
         length = self.starts[slots + 1] - start
         total = np.concatenate([np.zeros(1, np.int64), np.cumsum(length)])

@@ -56,6 +56,17 @@ def power_at_least(base: int, n: int) -> int:
     return base ** max(0, math.ceil(math.log(max(1, n), base) - 1e-9))
 
 
+def give_back() -> None:
+    """Returns freed memory to the system: a worker process serves one task after another, and an executor has several."""
+    import ctypes
+
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # glibc only
+        trim(0)
+
+
 def text_slices(batches, column: int = 1, limit: int = 4_000_000):
     """Cuts Arrow record batches so that a slice has about `limit` bytes in the given string column; a longer text makes a slice alone."""
     import numpy as np
@@ -69,6 +80,7 @@ def text_slices(batches, column: int = 1, limit: int = 4_000_000):
             end = max(at + 1, int(np.searchsorted(size, (size[at - 1] if at else 0) + limit, "right")))
             yield batch.slice(at, end - at)
             at = end
+    give_back()
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import text_slices, written
+from ledgerloom.llm.common import give_back, text_slices, written
 from ledgerloom.llm.components import components
 from ledgerloom.llm.shingles import shingle_sets
 
@@ -41,8 +41,9 @@ SHINGLE, NUMERATOR, DENOMINATOR = 5, 75, 100
 SLICE = 1_000_000
 #: Shingles that a block of documents deals to the shards at once, and its documents, at most (one longer document apart).
 BLOCK, BLOCK_DOCS = 1_000_000, 60_000
-#: Shingles of one shard of the index, about; a shingle counts once for each block.
-SHARD = 2_000_000
+#: Shingles of one shard of the index, about; a shingle counts once for each block. A row has BLOCK * SHARD / all of them, so both grow with the
+#: executors' memory where tables are very large (100 TB: 16 and 64 million), while partitions take several shards, one after another.
+SHARD, PARTITIONS_MOST = 1_500_000, 20_000
 #: Documents and shingles of a cluster, or of a cell of a larger one, that are searched in one group, about.
 GROUP_MOST, GROUP_SHINGLES = 256, 500_000
 #: Representatives that are left after step 1 are broadcast up to this number, 50 bytes each; beyond, they are joined.
@@ -213,6 +214,8 @@ def _by_run(batches, keys: int):
             run.append([c[i].as_py() for c in rest])
     if run:
         yield now, run
+    run = None
+    give_back()
 
 
 def _count(batches):
@@ -435,7 +438,7 @@ class _Join:
         """(id, n, digest, alive) of all rows, and (digest, rep, n, copies, alive) of each class of equal sets."""
         size = self.text.agg(F.sum(F.octet_length("text"))).first()[0] or 0
         shards = max(1, min(1 << 30, size // (6 * SHARD)))  # a word of prose takes some six bytes
-        dealt = self.text.mapInArrow(lambda b: _deal(b, shards), _DEAL).repartition(2 * shards, "shard").sortWithinPartitions("shard")
+        dealt = self.text.mapInArrow(lambda b: _deal(b, shards), _DEAL).repartition(min(2 * shards, PARTITIONS_MOST), "shard").sortWithinPartitions("shard")
         counted = written(dealt.mapInArrow(_count, _DEAL).drop("shard"), "counted")
         self.rows = written(counted.groupBy("block").applyInArrow(_alive, "id bigint, n bigint, digest binary, alive boolean"), "sets")
         found = self.rows.filter("n > 0").groupBy("digest")
@@ -465,11 +468,11 @@ class _Join:
     def clusters(self) -> DataFrame:
         """(node, component): documents that could link are in one component."""
         shards = self.shards
-        asked = self.whole.select("block", "tokens").mapInArrow(lambda b: _ask(b, shards), _ASK).repartition(2 * shards, "shard").sortWithinPartitions("shard")
+        asked = self.whole.select("block", "tokens").mapInArrow(lambda b: _ask(b, shards), _ASK).repartition(min(2 * shards, PARTITIONS_MOST), "shard").sortWithinPartitions("shard")
         answers = asked.mapInArrow(_answer, "block bigint, token binary, times binary")
         docs = self.whole.select("block", "id", "tokens")
         entries = docs.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(lambda d, a: _prefixes(d, a, shards), _ENTRY)
-        edges = written(entries.repartition(2 * shards, "shard").sortWithinPartitions("shard").mapInArrow(_clusters, "u bigint, v bigint").distinct(), "edges")
+        edges = written(entries.repartition(min(2 * shards, PARTITIONS_MOST), "shard").sortWithinPartitions("shard").mapInArrow(_clusters, "u bigint, v bigint").distinct(), "edges")
         return components(edges.select(F.col("u").alias("a"), F.col("v").alias("b")))
 
     def links(self, clusters: DataFrame) -> DataFrame:
