@@ -358,7 +358,8 @@ def to_text(c: Column) -> Column:
 def to_int(c: Column) -> Column:
     """Text to whole number, half to even; blanks and NaN are null."""
     d = strip(c).try_cast("double")
-    return F.when(~F.isnan(d), F.bround(d, 0).cast("bigint"))
+    # whole numbers directly, as a double has 53 bits only
+    return F.coalesce(F.when(strip(c).rlike(r"^[+-]?\d+$"), strip(c).try_cast("bigint")), F.when(~F.isnan(d), F.bround(d, 0).try_cast("bigint")))
 
 
 def to_float(c: Column) -> Column:

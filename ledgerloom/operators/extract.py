@@ -9,10 +9,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ledgerloom.functions import latex
 from ledgerloom.functions import text as fx
 from ledgerloom.operators import structure
 from ledgerloom.schema import AMOUNTS
 
+# What lines of these documents look like.
 _FUNDING = r"^(\s*)([A-Za-z][\w\s,()\\/*]+?)\.{3,}\s*(.+?)\s*$"
 _START = r"^\s*Appropriations?,\s*\d{4}\s*\.{3,}|^\s*Appropriation,\s*fiscal\s+year\s+\d{4}"
 _COMPARED = r"^\s*Bill compared with:\s*$"
@@ -186,10 +188,20 @@ def read_pages(images: DataFrame, reader, schema: str) -> DataFrame:
     return images.mapInPandas(reader, schema)
 
 
+def has_large_image(images: Column) -> Column:
+    """Some image of a page is over 200 by 200."""
+    return F.coalesce(F.exists(images, lambda i: (i["w"] > 200) & (i["h"] > 200)), F.lit(False))
+
+
+def page_kind(raw: Column) -> Column:
+    """What an answer holds: rows of a comparative table, another table only (non_comparative), or none (empty_failed)."""
+    found = latex.tables(F.coalesce(raw, F.lit("")))
+    return F.when(F.size(latex.comparative_items(raw)) > 0, "rows").when(F.size(found) > 0, "non_comparative").otherwise("empty_failed")
+
+
 def is_text_layer(pages: DataFrame) -> DataFrame:
     """Reports without any large image (over 200 by 200) that show a marker: (report_id, page, images array<struct<w,h>>, page_text)."""
-    big = F.exists("images", lambda i: (i["w"] > 200) & (i["h"] > 200))
-    return pages.groupBy("report_id").agg((~F.max(F.coalesce(big, F.lit(False))) & F.max(F.coalesce(F.col("page_text").rlike(ANCHOR + "|EXPLANATION OF PROJECT LEVEL ADJUSTMENTS"), F.lit(False)))).alias("is_text"))
+    return pages.groupBy("report_id").agg((~F.max(has_large_image(F.col("images"))) & F.max(F.coalesce(F.col("page_text").rlike(ANCHOR + "|EXPLANATION OF PROJECT LEVEL ADJUSTMENTS"), F.lit(False)))).alias("is_text"))
 
 
 def suspect_pages(rows: DataFrame, recalled: DataFrame, pages: DataFrame) -> DataFrame:
@@ -199,6 +211,12 @@ def suspect_pages(rows: DataFrame, recalled: DataFrame, pages: DataFrame) -> Dat
     return failed.union(empty).union(recalled.select("report_id", "page")).distinct()
 
 
+def merge_pages(rows: DataFrame, again: DataFrame) -> DataFrame:
+    """rows with the pages that `again` has replaced as wholes, and `place`: the row's number within its report, by page and then row_ord."""
+    kept = rows.join(again.select("report_id", "page").distinct(), ["report_id", "page"], "left_anti").unionByName(again)
+    return kept.withColumn("place", F.row_number().over(W.partitionBy("report_id").orderBy("page", "row_ord")))
+
+
 def route(reports: DataFrame) -> DataFrame:
     """Which extractor a report takes."""
     kind: Column = F.when(F.col("stage") == "enacted", "enacted").when(F.col("chamber") == "senate", "fixed_width").when(F.coalesce("is_text", F.lit(False)), "typeset").otherwise("pages")

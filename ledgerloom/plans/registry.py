@@ -588,3 +588,6 @@ def document_lines(spark, sf_dir):
     from ledgerloom.sources.ledger import lines_of
 
     return lines_of(table(spark, sf_dir, "documents"), "doc_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_lines"), F.count_if(F.col("line") != "").alias("n_filled"))
+
+
+from ledgerloom.plans import extraction  # noqa: E402, F401
