@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from difflib import SequenceMatcher
-
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
@@ -15,8 +13,20 @@ from ledgerloom.functions import text as fx
 FUZZY, JACCARD, CONTEXT = 92.0, 0.7, 0.6
 
 
+def common_subsequence(a: str, b: str) -> int:
+    """The length of the longest common subsequence: one bit for each character of a, all of them at once."""
+    places: dict[str, int] = {}
+    for i, c in enumerate(a):
+        places[c] = places.get(c, 0) | 1 << i
+    free = every = (1 << len(a)) - 1
+    for c in b:
+        hit = free & places.get(c, 0)
+        free = (free + hit | free - hit) & every
+    return len(a) - free.bit_count()
+
+
 def token_set_ratio(a: str | None, b: str | None) -> float:
-    """0 to 100: the best of three comparisons of shared and remaining words, in alphabetical order."""
+    """0 to 100: the best of three comparisons of shared and remaining words, in alphabetical order. Two strings compare by twice their longest common subsequence over their lengths."""
     x, y = set((a or "").split()), set((b or "").split())
     if not x or not y:
         return 0.0
@@ -24,7 +34,7 @@ def token_set_ratio(a: str | None, b: str | None) -> float:
     left, right = (" ".join([both, *sorted(s)]).strip() for s in (x - y, y - x))
     if both and (not x - y or not y - x):
         return 100.0
-    ratio = lambda p, q: 100 * SequenceMatcher(None, p, q, autojunk=False).ratio() if p and q else 0.0
+    ratio = lambda p, q: 200 * common_subsequence(p, q) / (len(p) + len(q)) if p and q else 0.0
     return max(ratio(both, left), ratio(both, right), ratio(left, right))
 
 
@@ -38,7 +48,9 @@ def match_accounts(labels: DataFrame, reference: DataFrame) -> DataFrame:
 
     A name matches titles that equal it or begin with it and a space: exact for one, agency_scoped if one of several has
     the most words in common with the context, else ambiguous. Without any, the best fuzzy match of 92 or more needs
-    review; it is sought among references that share a word with the name. Prefixes are exploded, so both are equi-joins.
+    review, ties by ref_ord. Prefixes are exploded, so this is an equi-join; for the fuzzy match names meet references by trigrams of their words.
+    A score of 92 leaves at least about half of the shorter one's trigrams in place (an edit takes three at most, and 8 % of the characters are
+    edits at most), so pairs with fewer are not scored; only names of nothing but one- or two-letter words might be missed.
     """
     keys = labels.select("name", "context").distinct()
     ref = reference.select("ref_ord", "code", "title", "agency", fx.norm_title(F.col("title")).alias("norm")).withColumn("words", F.filter(F.split("norm", " "), lambda w: w != ""))
@@ -51,8 +63,12 @@ def match_accounts(labels: DataFrame, reference: DataFrame) -> DataFrame:
     sure = hits.withColumn("match", kind)
     sure = sure.select("name", "context", "match", F.when(F.col("match") != "ambiguous", F.col("code")).alias("code"), F.when(F.col("match") != "ambiguous", F.col("title")).alias("title"))
     rest = keys.join(sure.select("name", "context"), (keys["name"] == sure["name"]) & keys["context"].eqNullSafe(sure["context"]), "left_anti")
-    word = lambda d, c: d.withColumn("word", F.explode(F.filter(F.split(c, " "), lambda x: F.length(x) > 2)))
-    near = word(rest, F.col("name")).join(word(ref, F.col("norm")).select("word", "ref_ord", "code", "title", "norm", "agency"), "word").dropDuplicates(["name", "context", "ref_ord"])
+    grams = lambda c: F.array_distinct(F.flatten(F.transform(F.filter(F.split(c, " "), lambda x: x != ""), lambda x: F.transform(F.sequence(F.lit(1), F.length(x)), lambda i: F.substr(F.concat(F.lit(" "), x, F.lit(" ")), i, F.lit(3))))))
+    cut = lambda d, c: d.withColumn("grams", grams(F.col(c))).withColumn(f"n_{c}", F.size("grams"))
+    open_names = cut(rest.select("name").distinct(), "name").select("name", "n_name", F.explode("grams").alias("gram"))
+    met = open_names.join(cut(ref, "norm").select("ref_ord", "n_norm", F.explode("grams").alias("gram")), "gram").groupBy("name", "ref_ord", "n_name", "n_norm").agg(F.count(F.lit(1)).alias("both"))
+    met = met.filter(F.col("both") >= F.least("n_name", "n_norm") / 2 - 3).select("name", "ref_ord")
+    near = rest.join(met, "name").join(ref.select("ref_ord", "code", "title", "norm", "agency"), "ref_ord")
     shares = (F.coalesce(F.col("context"), F.lit("")) == "") | F.arrays_overlap(fx.tokens(F.col("agency"), "context"), fx.tokens(F.col("context"), "context"))
     near = near.filter(shares).withColumn("score", fuzzy(F.col("name"), F.col("norm"))).filter(F.col("score") >= FUZZY)
     best = near.withColumn("rank", F.row_number().over(w.orderBy(F.desc("score"), "ref_ord"))).filter("rank = 1").select("name", "context", F.lit("needs_review").alias("match"), "code", "title")

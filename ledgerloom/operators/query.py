@@ -37,6 +37,19 @@ def filter_items(df: DataFrame, *, congress: int | None = None, chamber: str | N
     return df.filter(reduce(lambda a, b: a & b, conditions)) if conditions else df
 
 
+# The columns of a line item as it is listed.
+PROJECTION = (
+    "report_id", "congress", "chamber", "fiscal_year", "subcommittee", "stage", "title_name", "department", "agency", "account", "account_inferred", "is_memo", "account_effective", "program", "line_item_text",
+    "prior_year_enacted", "budget_estimate", "committee_recommendation", "delta_vs_enacted", "delta_vs_estimate", "account_key", "account_key_title", "account_key_agency", "account_key_bureau", "designation",
+    "hierarchy_depth", "verified", "verification_tier", "verification_method", "column_layout", "extraction_method",
+)
+
+
+def project(df: DataFrame, *more: str) -> DataFrame:
+    """The listed columns, null where df lacks one, and `more`."""
+    return df.select(*[F.col(c) if c in df.columns else F.lit(None).cast("string").alias(c) for c in PROJECTION], *more)
+
+
 def page(df: DataFrame, limit: int = 100, offset: int = 0, most: int = 2000) -> DataFrame:
     """A page in document order, with the total before paging in `total`."""
     if not 0 < limit <= most or offset < 0:
@@ -135,10 +148,23 @@ def unverified_profile(df: DataFrame, category: Column, top: int = 8) -> DataFra
     return ranked.groupBy("category").agg(F.sum("n").alias("n_rows"), F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("rank") <= top, F.struct("rank", "report_id")))), lambda x: x["report_id"]), ",").alias("top_reports"))
 
 
+def smallest_first(sizes: DataFrame, size: str = "pages", key: str = "report_id") -> DataFrame:
+    """Adds `turn`, from 1: the order in which work of unequal size is done, the smallest first, ties by key."""
+    return sizes.withColumn("turn", F.row_number().over(W.orderBy(size, key)))
+
+
+def ordered_blank_first(df: DataFrame, *keys: str) -> DataFrame:
+    """In order of the keys, where a missing text counts as an empty one."""
+    return df.orderBy(*[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys])
+
+
+def report_items(df: DataFrame, report_id: str) -> DataFrame:
+    """The line items of one report in document order, as listed; no rows for an unknown report."""
+    return project(df.filter(F.col("report_id") == report_id), "row_ord").orderBy("row_ord")
+
+
 def find_reports(catalog: DataFrame, **conditions) -> DataFrame:
     """Reports that meet all given equalities (congress, chamber, subcommittee, fiscal_year, stage, package_id); subcommittees in canonical spelling."""
+    given = [F.col(k) == v for k, v in conditions.items() if v is not None]
     out = catalog.withColumn("subcommittee", fx.canon_subcommittee(F.col("subcommittee")))
-    for k, v in conditions.items():
-        if v is not None:
-            out = out.filter(F.col(k) == v)
-    return out
+    return out.filter(reduce(lambda a, b: a & b, given)) if given else out

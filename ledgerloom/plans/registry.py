@@ -80,11 +80,6 @@ def account_grain_dedupe(spark, sf_dir):
     return query.account_grain(_full(spark, sf_dir)).select("report_id", "account", "row_ord", "committee_recommendation")
 
 
-@register("account_tiers", "SELECT 'named' AS account_tier, count(*) AS n_rows FROM ledger WHERE committee_recommendation IS NOT NULL AND NOT is_subtotal")
-def account_tiers(spark, sf_dir):
-    return query.grain_coverage(_full(spark, sf_dir))
-
-
 _FLOW = _GRAIN + """
 , r AS (SELECT report_id, row_ord, committee_recommendation AS amount, subcommittee, agency, account FROM g)
 , s AS (SELECT 'subcommittee' AS level, subcommittee AS name, sum(abs(amount)) AS size FROM r GROUP BY 2 UNION ALL SELECT 'agency', agency, sum(abs(amount)) FROM r GROUP BY 2 UNION ALL SELECT 'account', account, sum(abs(amount)) FROM r GROUP BY 2)
@@ -126,15 +121,6 @@ def coverage_matrix(spark, sf_dir):
     return query.coverage_matrix(ledger(spark, sf_dir).withColumn("verified", verify.row_status(*_amounts()) == "pass"))
 
 
-_TIER = f"CASE WHEN {_STATUS} = 'pass' THEN 'delta_arithmetic' ELSE 'none' END"
-
-
-@register("tier_histogram", f"SELECT tier, count(*) AS n_rows, round(count(*) * 100.0 / (SELECT count(*) FROM ledger), 4) AS percent FROM (SELECT {_TIER} AS tier FROM ledger) GROUP BY tier")
-def tier_histogram(spark, sf_dir):
-    tier = verify.verification_tier(verify.row_status(*_amounts()) == "pass", F.lit("delta_arithmetic"), F.coalesce("committee_recommendation", "prior_year_enacted").isNotNull(), F.lit(None).cast("string"), F.lit(False))
-    return query.histogram(ledger(spark, sf_dir).withColumn("tier", tier), "tier")
-
-
 _SPLIT = "pe <> 0 AND be <> 0 AND pe + be = cr AND de = pe AND dt = be"
 
 
@@ -144,12 +130,6 @@ def column_layout(spark, sf_dir):
     return ledger(spark, sf_dir).groupBy(fx.column_layout(F.col("line_item_text"), *_amounts()).alias("column_layout")).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-@register("unverified_profile")
-def unverified_profile(spark, sf_dir):
-    rows = ledger(spark, sf_dir).filter(~F.col("is_subtotal") & (verify.row_status(*_amounts()) != "pass"))
-    return query.unverified_profile(rows, fx.unverified_category(F.col("line_item_text"), F.lit(""), *_amounts()))
-
-
 # ---- accounts over time ---------------------------------------------------------------------------------------------
 
 _REPS = """
@@ -192,11 +172,6 @@ def trace_kinds(spark, sf_dir):
     return trace.title_changes(_reps(spark, sf_dir)).groupBy("kind").agg(F.count(F.lit(1)).alias("changes"), F.count_distinct("account_key").alias("accounts"))
 
 
-@register("trace_accounts", _REPS + " SELECT account_key, count(DISTINCT fiscal_year) AS n_years, count(DISTINCT report_id) AS report_count FROM reps GROUP BY 1 HAVING count(DISTINCT fiscal_year) >= 2")
-def trace_accounts(spark, sf_dir):
-    return trace.accounts(_full(spark, sf_dir).withColumn("account_key", F.col("code")), min_years=2).select("account_key", "n_years", "report_count")
-
-
 # ---- row checks -----------------------------------------------------------------------------------------------------
 
 
@@ -261,16 +236,6 @@ def check_subtotal(spark, sf_dir):
     return verify.check_subtotal(ledger(spark, sf_dir), "report_id", "blk")
 
 
-@register("three_tier_match", r"""
-WITH q AS (SELECT item_id, trim(regexp_replace(text, '\s+', ' ', 'g')) AS raw FROM benchmark), d AS (SELECT doc_id, text FROM documents WHERE doc_id % 50 = 0)
-SELECT item_id, doc_id, CASE WHEN contains(text, raw) THEN 'exact' WHEN contains(regexp_replace(text, '\s+', ' ', 'g'), raw) THEN 'whitespace' WHEN contains(regexp_replace(text, '\s+', '', 'g'), regexp_replace(raw, '\s+', '', 'g')) THEN 'spaceless' ELSE 'failed' END AS tier FROM q JOIN d ON item_id = (doc_id // 50) % 40""", on_ledger=False)
-def three_tier_match(spark, sf_dir):
-    """An excerpt only: documents whose id is divisible by 50, each against the one passage assigned to it. All pairs: three_tier_hits."""
-    q = table(spark, sf_dir, "benchmark").select("item_id", fx.strip(F.regexp_replace("text", r"\s+", " ")).alias("raw"))
-    d = table(spark, sf_dir, "documents").filter("doc_id % 50 = 0").select("doc_id", "text", F.expr("(doc_id div 50) % 40").alias("item_id"))
-    return d.join(q, "item_id").select("item_id", "doc_id", verify.matched(F.col("raw"), F.col("text"))["tier"].alias("tier"))
-
-
 @register("three_tier_hits", r"""
 WITH q AS MATERIALIZED (SELECT item_id, trim(regexp_replace(text, '\s+', ' ', 'g')) AS raw, regexp_replace(text, '\s+', '', 'g') AS bare FROM benchmark),
 d AS MATERIALIZED (SELECT doc_id, text, regexp_replace(text, '\s+', ' ', 'g') AS flat, regexp_replace(text, '\s+', '', 'g') AS bare FROM documents)
@@ -281,6 +246,18 @@ def three_tier_hits(spark, sf_dir):
     return verify.contained_passages(passages, table(spark, sf_dir, "documents"), "item_id", "doc_id")
 
 
+@register("three_tier_match", r"""
+WITH q AS MATERIALIZED (SELECT item_id, trim(regexp_replace(text, '\s+', ' ', 'g')) AS raw, regexp_replace(text, '\s+', '', 'g') AS bare FROM benchmark),
+d AS MATERIALIZED (SELECT doc_id, text, regexp_replace(text, '\s+', ' ', 'g') AS flat, regexp_replace(text, '\s+', '', 'g') AS bare FROM documents)
+SELECT item_id, count(*) FILTER (contains(text, raw)) AS exact, count(*) FILTER (NOT contains(text, raw) AND contains(flat, raw)) AS whitespace, count(*) FILTER (NOT contains(text, raw) AND NOT contains(flat, raw) AND text IS NOT NULL) AS spaceless FROM q LEFT JOIN d ON contains(d.bare, q.bare) AND q.bare <> '' GROUP BY item_id""", on_ledger=False)
+def three_tier_match(spark, sf_dir):
+    """For each passage the number of documents that hold it, by tier, over all documents."""
+    passages = table(spark, sf_dir, "benchmark").withColumn("text", F.regexp_replace("text", r"\s+", " "))
+    hits = verify.contained_passages(passages, table(spark, sf_dir, "documents"), "item_id", "doc_id")
+    n = lambda t: F.count_if(F.col("tier") == t).alias(t)
+    return passages.select("item_id").join(hits, "item_id", "left").groupBy("item_id").agg(n("exact"), n("whitespace"), n("spaceless"))
+
+
 # ---- order ----------------------------------------------------------------------------------------------------------
 
 
@@ -304,11 +281,11 @@ def next_rollup_backfill(spark, sf_dir):
 
 
 @register("range_compress", """
-, v AS (SELECT DISTINCT report_id, row_ord FROM ledger WHERE pk % 2 = 0), g AS (SELECT *, row_ord - row_number() OVER (PARTITION BY report_id ORDER BY row_ord) AS k FROM v)
+, v AS (SELECT DISTINCT report_id, row_ord FROM ledger WHERE is_memo OR is_subtotal), g AS (SELECT *, row_ord - row_number() OVER (PARTITION BY report_id ORDER BY row_ord) AS k FROM v)
 , r AS (SELECT report_id, min(row_ord) AS a, max(row_ord) AS b FROM g GROUP BY report_id, k)
 SELECT report_id, string_agg(CASE WHEN a = b THEN CAST(a AS VARCHAR) ELSE CAST(a AS VARCHAR) || ':' || CAST(b AS VARCHAR) END, ',' ORDER BY a) AS ranges FROM r GROUP BY report_id""")
 def range_compress(spark, sf_dir):
-    return structure.compressed_ranges(ledger(spark, sf_dir).filter("pk % 2 = 0"), "row_ord", "report_id")
+    return structure.compressed_ranges(ledger(spark, sf_dir).filter("is_memo OR is_subtotal"), "row_ord", "report_id")
 
 
 @register("keep_first", "SELECT report_id, account, min(row_ord) AS row_ord FROM ledger WHERE account IS NOT NULL GROUP BY ALL")
@@ -495,13 +472,26 @@ def crosswalk_containment(spark, sf_dir):
     return crosswalk.contained(labels.withColumn("bucket", F.lit("")), _reference(spark, sf_dir)).select("name", "symbol", "title")
 
 
-@register("crosswalk_two_pass")
+@register("crosswalk_two_pass", """
+, stop AS (SELECT unnest(['the','of','and','for','to','a','an','in','on','at','by','salaries','expenses','account','accounts','fund','funds','revolving','appropriation','appropriations']) AS w)
+, rw AS (SELECT DISTINCT p_partkey, p_name, p_brand, p_name || ' ' || p_type AS t, w FROM (SELECT *, unnest(regexp_extract_all(lower(p_name || ' ' || p_type), '[a-z0-9]+')) AS w FROM part) WHERE length(w) > 2 AND w NOT IN (SELECT w FROM stop))
+, lab AS (SELECT DISTINCT line_item_text AS name, subcommittee AS bucket FROM ledger WHERE account IS NOT NULL)
+, lw AS (SELECT name, bucket, w, count(*) OVER (PARTITION BY name, bucket) AS n FROM (SELECT DISTINCT name, bucket, unnest(regexp_extract_all(lower(name), '[a-z0-9]+')) AS w FROM lab) WHERE length(w) > 2 AND w NOT IN (SELECT w FROM stop))
+, m AS (SELECT name, bucket, p_partkey, p_name, p_brand, t FROM lw JOIN rw USING (w) WHERE n >= 2 GROUP BY name, bucket, n, p_partkey, p_name, p_brand, t HAVING count(*) = n)
+, f AS (SELECT name, bucket, min(p_name) AS symbol, arg_min(t, p_partkey) AS title, arg_min(p_brand, p_partkey) AS agency FROM m GROUP BY name, bucket HAVING count(DISTINCT p_name) = 1)
+, g AS (SELECT name, bucket, min(p_name) AS symbol, arg_min(t, p_partkey) AS title, arg_min(p_brand, p_partkey) AS agency FROM m WHERE NOT EXISTS (SELECT 1 FROM f WHERE f.name = m.name AND f.bucket = m.bucket) AND EXISTS (SELECT 1 FROM f WHERE f.bucket = m.bucket AND f.agency = m.p_brand) GROUP BY name, bucket HAVING count(DISTINCT p_name) = 1)
+SELECT *, 1 AS pass FROM f UNION ALL SELECT *, 2 FROM g""")
 def crosswalk_two_pass(spark, sf_dir):
     labels = ledger(spark, sf_dir).filter("account IS NOT NULL").select(F.col("line_item_text").alias("name"), F.col("subcommittee").alias("bucket"))
     return crosswalk.contained_twice(labels, _reference(spark, sf_dir))
 
 
-@register("crosswalk_prefix")
+@register("crosswalk_prefix", """
+WITH k AS (SELECT DISTINCT lower(p_name) AS name, p_brand AS context FROM part)
+, h AS (SELECT k.name, k.context, p_partkey, p_name, p_name || ' ' || p_type AS title, CASE WHEN p_brand = context THEN 2 ELSE 1 END AS o FROM k JOIN part ON lower(p_name || ' ' || p_type) = name OR starts_with(lower(p_name || ' ' || p_type), name || ' '))
+, a AS (SELECT *, max(o) OVER (PARTITION BY name, context) AS most FROM h)
+, b AS (SELECT name, context, CASE WHEN count(*) = 1 THEN 'exact' WHEN count(*) FILTER (o = most) = 1 THEN 'agency_scoped' ELSE 'ambiguous' END AS match, min(p_name) FILTER (o = most) AS code, min(title) FILTER (o = most) AS title FROM a GROUP BY name, context)
+SELECT name, context, match, CASE WHEN match <> 'ambiguous' THEN code END AS code, CASE WHEN match <> 'ambiguous' THEN title END AS title FROM b""", on_ledger=False)
 def crosswalk_prefix(spark, sf_dir):
     reference = _reference(spark, sf_dir).select("ref_ord", F.col("federal_account_symbol").alias("code"), F.col("account_title").alias("title"), "agency")
     labels = table(spark, sf_dir, "part").select(F.lower("p_name").alias("name"), F.col("p_brand").alias("context"))
@@ -509,22 +499,16 @@ def crosswalk_prefix(spark, sf_dir):
 
 
 @register("inline_corroboration", """
-, i AS (SELECT report_id, row_ord AS inline_id, account AS label, committee_recommendation AS a, prior_year_enacted AS b FROM ledger WHERE NOT is_subtotal AND pk % 10 = 0)
+, i AS (SELECT report_id, account AS label, max(committee_recommendation) AS a, min(prior_year_enacted) AS b FROM ledger WHERE NOT is_subtotal GROUP BY ALL)
 , m AS (SELECT l.report_id, l.row_ord, concat_ws(' ', l.account, l.line_item_text) AS x, i.label FROM ledger l JOIN i ON l.report_id = i.report_id WHERE NOT l.is_subtotal AND (l.prior_year_enacted IN (i.a, i.b) OR l.budget_estimate IN (i.a, i.b) OR l.committee_recommendation IN (i.a, i.b)))
 SELECT DISTINCT report_id, row_ord FROM m WHERE len(list_intersect(list_filter(regexp_extract_all(lower(x), '[a-z]+'), lambda w: length(w) > 3), list_filter(regexp_extract_all(lower(label), '[a-z]+'), lambda w: length(w) > 3))) > 0""")
 def inline_corroboration(spark, sf_dir):
+    """Rows against one inline record for each account of a report: its largest recommendation and smallest prior year."""
     rows = ledger(spark, sf_dir).filter("NOT is_subtotal")
-    inline = rows.filter("pk % 10 = 0").select("report_id", F.col("account").alias("label"), F.array("committee_recommendation", "prior_year_enacted").alias("amounts"))
+    inline = rows.groupBy("report_id", F.col("account").alias("label")).agg(F.array(F.max("committee_recommendation"), F.min("prior_year_enacted")).alias("amounts"))
     return crosswalk.corroborated(rows, inline)
 
 
-@register("recall_audit")
-def recall_audit(spark, sf_dir):
-    rows = ledger(spark, sf_dir)
-    want = rows.filter("NOT is_subtotal AND pk % 7 = 0").select("report_id", F.col("row_ord").alias("account_id"), F.col("line_item_text").alias("name"), F.lit(None).cast("bigint").alias("value"))
-    return crosswalk.audit_recall(rows.filter("pk % 7 <> 0"), want).groupBy("found_by").agg(F.count(F.lit(1)).alias("n"))
-
-
 @register("page_replace", """
 , r AS (SELECT report_id, row_ord // 10 AS page, row_ord, line_item_text FROM ledger), n AS (SELECT DISTINCT report_id, page FROM r WHERE page % 4 = 1)
 SELECT report_id, page, row_ord, line_item_text FROM r WHERE (report_id, page) NOT IN (SELECT (report_id, page) FROM n) UNION ALL SELECT report_id, page, row_ord, 'again ' || line_item_text FROM r WHERE page % 4 = 1""")
@@ -590,4 +574,4 @@ def document_lines(spark, sf_dir):
     return lines_of(table(spark, sf_dir, "documents"), "doc_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_lines"), F.count_if(F.col("line") != "").alias("n_filled"))
 
 
-from ledgerloom.plans import extraction  # noqa: E402, F401
+from ledgerloom.plans import accounts, extraction  # noqa: E402, F401

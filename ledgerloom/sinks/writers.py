@@ -6,8 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ledgerloom.operators import structure
-
 
 def write_json(df: DataFrame, path: str, *by: str) -> None:
     """Nested rows, one folder for each value of `by`."""
@@ -60,10 +58,10 @@ def changed_rows(before: DataFrame, after: DataFrame, keys: list[str], columns:
     return before.alias("a").join(after.alias("b"), keys).filter(~same).select(*keys)
 
 
-def audit_text(report: DataFrame, failures: DataFrame, most: int = 10) -> DataFrame:
-    """Lines of an audit: the counts of each group and the first failures."""
+def audit_text(report: DataFrame, failures: DataFrame, *order: str, most: int = 10) -> DataFrame:
+    """Lines of an audit: the counts of each group and the first failures in the given order."""
     head = report.select(F.concat_ws(" ", F.lit("total"), "total", F.lit("failed"), "failed", F.lit("rate"), F.format_number("rate", 4)).alias("line"))
-    return head.union(failures.limit(most).select(F.concat(F.lit("  "), F.col("raw_text"))))
+    return head.union(failures.orderBy(*order).limit(most).select(F.concat(F.lit("  "), F.col("raw_text"))))
 
 
 def sum_formulas(totals: DataFrame, column: str = "C", first_row: int = 2) -> DataFrame:
@@ -94,7 +92,3 @@ def status_counts(catalog: DataFrame, extracted: DataFrame) -> DataFrame:
     """Reports, reports with rows, and distinct subcommittees."""
     with_rows = extracted.select("report_id").distinct()
     return catalog.join(with_rows.withColumn("has", F.lit(1)), catalog["package_id"] == with_rows["report_id"], "left").agg(F.count(F.lit(1)).alias("reports"), F.count("has").alias("extracted"), F.count_distinct("subcommittee").alias("subcommittees"))
-
-
-def ranges(df: DataFrame, value: str, *keys: str) -> DataFrame:
-    return structure.compressed_ranges(df, value, *keys)
