@@ -142,9 +142,9 @@ def audit_recall(rows: DataFrame, accounts: DataFrame) -> DataFrame:
 def suspect_pages(missing: DataFrame, rows: DataFrame) -> DataFrame:
     """Pages whose rows hold 60 % or more of a missing account's context words. missing: report_id, account_id, context; rows: report_id, page, line_item_text."""
     want = missing.withColumn("words", fx.tokens(F.col("context"), "context")).filter(F.size("words") > 0)
-    seen = rows.select("report_id", "page", F.monotonically_increasing_id().alias("row"), F.explode(fx.tokens(F.col("line_item_text"), "context")).alias("word"))
-    hit = want.select("report_id", "account_id", F.size("words").alias("n"), F.explode("words").alias("word")).join(seen, ["report_id", "word"]).groupBy("report_id", "account_id", "n", "page", "row").agg(F.count(F.lit(1)).alias("m"))
-    return hit.filter(F.col("m") / F.col("n") >= CONTEXT).select("report_id", "account_id", "page").distinct()
+    seen = rows.select("report_id", "page", fx.tokens(F.col("line_item_text"), "context").alias("own")).distinct()
+    met = want.withColumn("word", F.explode("words")).join(seen.withColumn("word", F.explode("own")), ["report_id", "word"])
+    return met.filter(F.size(F.array_intersect("words", "own")) / F.size("words") >= CONTEXT).select("report_id", "account_id", "page").distinct()
 
 
 def replace_pages(rows: DataFrame, again: DataFrame) -> DataFrame:
