@@ -284,9 +284,9 @@ def packages(spark, sf_dir) -> DataFrame:
     return table(spark, sf_dir, "supplier").select(F.concat(F.lit("CRPT-118"), F.when(house, "h").otherwise("s"), F.lit("rpt"), k).alias("package_id"), title.alias("title"), doc_class.alias("doc_class"), F.lit("118").alias("congress"), F.lit("2024-01-01").alias("date_issued"))
 
 
-@register("discovered_reports", _PACKAGES + " SELECT * FROM c", on_ledger=False)
+@register("discovered_reports", _PACKAGES + " SELECT *, 'https://example.org/pkg/' || package_id || '/html/' || package_id || '.htm' AS html_url FROM c", on_ledger=False)
 def discovered_reports(spark, sf_dir):
-    return catalog(packages(spark, sf_dir)).select("package_id", "chamber", "report_number", "subcommittee", "fiscal_year", "stage", "congress")
+    return catalog(packages(spark, sf_dir), "https://example.org/pkg/").select("package_id", "chamber", "report_number", "subcommittee", "fiscal_year", "stage", "congress", "html_url")
 
 
 @register("found_reports", _PACKAGES + " SELECT package_id, subcommittee FROM c WHERE chamber = 'house' AND fiscal_year = 2020 AND subcommittee = 'Energy-Water'", on_ledger=False)

@@ -2,24 +2,47 @@
 
 from __future__ import annotations
 
+import io
+import zipfile
+from functools import reduce
+from xml.sax.saxutils import escape
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ledgerloom.functions import text as fx
+
 
 def write_json(df: DataFrame, path: str, *by: str) -> None:
     """Nested rows, one folder for each value of `by`."""
     df.write.mode("overwrite").partitionBy(*by).json(path) if by else df.write.mode("overwrite").json(path)
 
 
+#: Rows of one released file at most, which keeps it far below the 2 GB that one binary value may have.
+FILE_ROWS = 2_000_000
+
+
 def write_csv(df: DataFrame, path: str, *order: str) -> None:
-    (df.orderBy(*order) if order else df).write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    (df.orderBy(*order) if order else df).write.mode("overwrite").option("header", True).option("escape", '"').option("maxRecordsPerFile", FILE_ROWS).csv(path)
 
 
 def write_release(df: DataFrame, path: str, name: str) -> None:
     """A CSV and a zstd Parquet copy."""
     write_csv(df, f"{path}/{name}.csv")
-    df.write.mode("overwrite").option("compression", "zstd").parquet(f"{path}/{name}.parquet")
+    df.write.mode("overwrite").option("compression", "zstd").option("maxRecordsPerFile", FILE_ROWS).parquet(f"{path}/{name}.parquet")
+
+
+def write_named_json(df: DataFrame, path: str, name: str) -> None:
+    """One small JSON document under a name of its own: path/name.json."""
+    spark, part = df.sparkSession, f"{path}/.{name}"
+    df.coalesce(1).write.mode("overwrite").json(part)
+    jvm = spark._jvm.org.apache.hadoop.fs
+    fs = jvm.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    found = [f.getPath() for f in fs.globStatus(jvm.Path(f"{part}/part-*.json"))]
+    fs.rename(found[0], jvm.Path(f"{path}/{name}.json"))
+    fs.delete(jvm.Path(part), True)
 
 
 def manifest(spark: SparkSession, path: str) -> DataFrame:
@@ -49,43 +72,96 @@ def crosswalk_rows(matches: DataFrame) -> DataFrame:
     return matches.orderBy("context", "name")
 
 
+def crosswalk_queue(matches: DataFrame) -> DataFrame:
+    """What a person should look at: names without a sure match."""
+    return crosswalk_rows(matches.filter(F.col("match").isin("ambiguous", "needs_review", "unmatched")))
+
+
 def changed_rows(before: DataFrame, after: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
     """Keys of rows whose columns differ: what a write-back would change, for a dry run or a count."""
-    same = None
-    for c in columns:
-        one = F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}"))
-        same = one if same is None else same & one
+    same = reduce(lambda a, b: a & b, [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in columns])
     return before.alias("a").join(after.alias("b"), keys).filter(~same).select(*keys)
 
 
+def write_back(before: DataFrame, after: DataFrame, keys: list[str], columns: list[str], path: str, dry_run: bool = False) -> DataFrame:
+    """Writes `after` as a new version of the table, unless it is a dry run, and returns the keys of the rows that change."""
+    changed = changed_rows(before, after, keys, columns)
+    if not dry_run:
+        after.write.mode("errorifexists").parquet(path)
+    return changed
+
+
+def typeset_deliverables(found: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Of typeset rows: accounts with their rows and the marks on each, nested; line items; and marks."""
+    items = found.filter("kind <> 'mark'").select("report_id", "account_no", "row_ord", "kind", "label", "amounts")
+    marks = found.filter("kind = 'mark'").select("report_id", "account_no", F.col("marks_row").alias("row_ord"), "label", F.element_at("amounts", 1).alias("amount"))
+    own = marks.groupBy("report_id", "row_ord").agg(F.array_sort(F.collect_list(F.struct("label", "amount"))).alias("marks"))
+    rows = items.join(own, ["report_id", "row_ord"], "left").withColumn("marks", F.coalesce("marks", F.array().cast("array<struct<label:string,amount:bigint>>")))
+    nested = rows.groupBy("report_id", "account_no").agg(F.array_sort(F.collect_list(F.struct("row_ord", "kind", "label", "amounts", "marks"))).alias("rows"))
+    return nested, items, marks
+
+
+def extraction_meta(rows: DataFrame, *by: str) -> DataFrame:
+    """Pages, rows, line items, totals, and the share of checked rows that pass, of rows (page, is_subtotal, status)."""
+    out = rows.groupBy(*by).agg(F.count_distinct("page").alias("pages"), F.count(F.lit(1)).alias("n_rows"), F.count_if(~F.col("is_subtotal")).alias("items"), F.count_if("is_subtotal").alias("totals"), F.count_if(F.col("status") == "pass").alias("passed"), F.count_if(F.col("status") == "fail").alias("failed"))
+    return out.withColumn("pass_rate", F.round(F.try_divide("passed", F.col("passed") + F.col("failed")), 6))
+
+
 def audit_text(report: DataFrame, failures: DataFrame, *order: str, most: int = 10) -> DataFrame:
     """Lines of an audit: the counts of each group and the first failures in the given order."""
     head = report.select(F.concat_ws(" ", F.lit("total"), "total", F.lit("failed"), "failed", F.lit("rate"), F.format_number("rate", 4)).alias("line"))
     return head.union(failures.orderBy(*order).limit(most).select(F.concat(F.lit("  "), F.col("raw_text"))))
 
 
-def sum_formulas(totals: DataFrame, column: str = "C", first_row: int = 2) -> DataFrame:
-    """The live formula that proves each total: =SUM over the cells of its very children, runs as ranges. Row of a cell: row_ord + first_row - 1."""
-    cells = totals.select("report_id", "row_ord", F.explode("children").alias("child"))
-    runs = cells.withColumn("cell", F.col("child") + first_row - 1).withColumn("g", F.col("cell") - F.row_number().over(W.partitionBy("report_id", "row_ord").orderBy("cell")))
-    runs = runs.groupBy("report_id", "row_ord", "g").agg(F.min("cell").alias("a"), F.max("cell").alias("b"))
-    part = F.when(F.col("a") == F.col("b"), F.concat(F.lit(column), F.col("a"))).otherwise(F.concat(F.lit(column), F.col("a"), F.lit(f":{column}"), F.col("b")))
-    parts = F.array_sort(F.collect_list(F.struct("a", part.alias("p"))))
-    return runs.groupBy("report_id", "row_ord").agg(F.concat(F.lit("=SUM("), F.array_join(F.transform(parts, lambda x: x["p"]), ","), F.lit(")")).alias("formula"))
-
-
-def write_workbook(path: str, rows: list[tuple], formulas: dict[int, str]) -> None:
-    """One report's proof sheet, on the driver: a report is a document. Needs openpyxl."""
-    try:
-        from openpyxl import Workbook
-    except ImportError as error:
-        raise RuntimeError("a workbook needs openpyxl, which is not installed") from error
-    book = Workbook()
-    sheet = book.active
-    sheet.append(["row", "label", "amount", "total", "check"])
-    for ord_, label, amount, is_total in rows:
-        sheet.append([ord_, label, None if is_total else amount, amount if is_total else None, formulas.get(ord_)])
-    book.save(path)
+def proof_rows(rows: DataFrame, totals: DataFrame, first_row: int = 2) -> DataFrame:
+    """The cells of a report's proof sheet: report_id, row_ord, label, leaf, rollup, formula.
+
+    Line items have their amount in column C (leaf), totals in column D (rollup), and a memo that no total takes in is in neither. The formula of a total is the
+    live sum over the cells of its very children, each in its own column, neighbouring cells as a range; =0 without children. The row of a cell is row_ord + first_row - 1.
+    """
+    taken = totals.select("report_id", F.explode("children").alias("row_ord"), F.lit(True).alias("taken")).distinct()
+    marked = rows.withColumn("is_total", fx.is_total(F.col("is_subtotal"), F.col("line_item_text"))).join(taken, ["report_id", "row_ord"], "left")
+    cells = totals.select("report_id", F.col("row_ord").alias("total"), F.explode("children").alias("row_ord")).join(marked.select("report_id", "row_ord", "is_total"), ["report_id", "row_ord"])
+    cells = cells.withColumn("cell", F.col("row_ord") + first_row - 1).withColumn("column", F.when(F.col("is_total"), "D").otherwise("C"))
+    runs = cells.withColumn("g", F.col("cell") - F.row_number().over(W.partitionBy("report_id", "total", "column").orderBy("cell")))
+    runs = runs.groupBy("report_id", "total", "column", "g").agg(F.min("cell").alias("a"), F.max("cell").alias("b"))
+    part = F.when(F.col("a") == F.col("b"), F.concat("column", "a")).otherwise(F.concat("column", "a", F.lit(":"), "column", "b"))
+    parts = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("column", "a", part.alias("p")))), lambda x: x["p"]), ",")
+    formulas = runs.groupBy("report_id", F.col("total").alias("row_ord")).agg(F.concat(F.lit("=SUM("), parts, F.lit(")")).alias("formula"))
+    out = marked.join(formulas, ["report_id", "row_ord"], "left")
+    amount = F.col("committee_recommendation")
+    leaf = F.when(~F.col("is_total") & (~F.coalesce("is_memo", F.lit(False)) | F.coalesce("taken", F.lit(False))), amount)
+    return out.select("report_id", "row_ord", F.col("line_item_text").alias("label"), leaf.alias("leaf"), F.when(F.col("is_total"), amount).alias("rollup"), F.when(F.col("is_total"), F.coalesce("formula", F.lit("=0"))).alias("formula"))
+
+
+_PACKAGE = {
+    "[Content_Types].xml": '<Types xmlns="http://schemas.openxmlformats.org/package/2006/content-types"><Default Extension="rels" ContentType="application/vnd.openxmlformats-package.relationships+xml"/><Default Extension="xml" ContentType="application/xml"/><Override PartName="/xl/workbook.xml" ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.sheet.main+xml"/><Override PartName="/xl/worksheets/sheet1.xml" ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.worksheet+xml"/></Types>',
+    "_rels/.rels": '<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships"><Relationship Id="rId1" Type="http://schemas.openxmlformats.org/officeDocument/2006/relationships/officeDocument" Target="xl/workbook.xml"/></Relationships>',
+    "xl/workbook.xml": '<workbook xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main" xmlns:r="http://schemas.openxmlformats.org/officeDocument/2006/relationships"><sheets><sheet name="Proof" sheetId="1" r:id="rId1"/></sheets></workbook>',
+    "xl/_rels/workbook.xml.rels": '<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships"><Relationship Id="rId1" Type="http://schemas.openxmlformats.org/officeDocument/2006/relationships/worksheet" Target="worksheets/sheet1.xml"/></Relationships>',
+}
+
+
+def workbooks(proof: DataFrame) -> DataFrame:
+    """(report_id, content): one spreadsheet file for each report, of proof_rows(); a report is a document, so one task makes its file."""
+
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        text = lambda at, v: f'<c r="{at}" t="inlineStr"><is><t xml:space="preserve">{escape(v)}</t></is></c>'
+        lines = ['<row r="1">' + "".join(text(f"{c}1", v) for c, v in zip("ABCDE", ("row", "label", "amount", "total", "proof"), strict=True)) + "</row>"]
+        for r, (at, label, leaf, rollup, formula) in enumerate(group.sort_values("row_ord")[["row_ord", "label", "leaf", "rollup", "formula"]].itertuples(index=False), 2):
+            cells = [f'<c r="A{r}"><v>{at}</v></c>', text(f"B{r}", label or "")]
+            cells += [f'<c r="{c}{r}"><v>{v}</v></c>' for c, v in (("C", leaf), ("D", rollup)) if v is not None]
+            cells += [f'<c r="E{r}"><f>{escape(formula[1:])}</f></c>'] if formula else []
+            lines.append(f'<row r="{r}">{"".join(cells)}</row>')
+        sheet = f'<worksheet xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"><sheetData>{"".join(lines)}</sheetData></worksheet>'
+        out = io.BytesIO()
+        with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+            for name, content in (_PACKAGE | {"xl/worksheets/sheet1.xml": sheet}).items():
+                z.writestr(zipfile.ZipInfo(name), '<?xml version="1.0" encoding="UTF-8"?>' + content)
+        return pd.DataFrame({"report_id": [group["report_id"].iloc[0]], "content": [out.getvalue()]})
+
+    shown = proof.withColumns({c: F.col(c).cast("string") for c in ("leaf", "rollup")})  # whole numbers stay whole
+    return shown.groupBy("report_id").applyInPandas(run, "report_id string, content binary")
 
 
 def status_counts(catalog: DataFrame, extracted: DataFrame) -> DataFrame:

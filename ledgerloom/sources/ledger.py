@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import text as fx
 from ledgerloom.schema import CPI, REAL_BASE
+from ledgerloom.sources.workspace import exists
 
 #: The ledger as SQL over lineitem, orders, customer, nation and part. It runs in Spark and DuckDB alike.
 #: A report is a month of a region, of 150,000 order keys at most, so that reports keep their size at any scale.
@@ -83,9 +85,10 @@ def csv_fact(spark: SparkSession, path: str, integers: tuple[str, ...], booleans
     return df.select(*[kind.get(c, fx.to_text)(F.col(c)).alias(c) for c in df.columns])
 
 
-def release(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
-    """Only the needed columns of a released Parquet fact, with its track."""
-    return spark.read.parquet(path).select(*columns).withColumn("track", F.when(F.col("stage") == "enacted", "enacted").otherwise(F.col("chamber")))
+def release(spark: SparkSession, path: str, columns: list[str], integers: tuple[str, ...] = (), booleans: tuple[str, ...] = ()) -> DataFrame:
+    """Only the needed columns of a released fact, Parquet or (by the end of its name) CSV, with its track."""
+    rows = csv_fact(spark, path, integers, booleans) if path.rstrip("/").endswith(".csv") else spark.read.parquet(path)
+    return rows.select(*columns).withColumn("track", F.when(F.col("stage") == "enacted", "enacted").otherwise(F.col("chamber")))
 
 
 def deflators(spark: SparkSession) -> DataFrame:
@@ -94,21 +97,78 @@ def deflators(spark: SparkSession) -> DataFrame:
     return rows.withColumn("real_factor", F.bround(F.lit(CPI[REAL_BASE]) / F.col("cpi_u"), 4))
 
 
-def catalog(packages: DataFrame) -> DataFrame:
-    """Report metadata of package summaries (package_id, title, doc_class, congress, date_issued): known chambers, titles of reports, known subcommittees."""
+# Prints of explanatory statements with their fiscal years; no search by title finds them.
+ENACTED_PRINTS = {
+    "CPRT-114HPRT98155": 2016, "CPRT-114HPRT98369": 2016, "CPRT-115HPRT25289": 2017, "CPRT-115HPRT29456": 2018, "CPRT-115HPRT29457": 2018, "CPRT-116HPRT35160": 2019, "CPRT-116HPRT38678": 2020, "CPRT-116HPRT38679": 2020,
+    "CPRT-117HPRT43749": 2021, "CPRT-117HPRT43750": 2021, "CPRT-117HPRT47047": 2022, "CPRT-117HPRT47048": 2022, "CPRT-117HPRT50347": 2023, "CPRT-117HPRT50348": 2023, "CPRT-118HPRT55008": 2024, "CPRT-118HPRT56550": 2024,
+}
+
+
+def enacted_prints(spark: SparkSession, first: int | None = None, last: int | None = None) -> DataFrame:
+    """Report metadata of the enacted prints, of congresses from first to last where given."""
+    rows = spark.createDataFrame(list(ENACTED_PRINTS.items()), "package_id string, fiscal_year int")
+    part = lambda g: F.regexp_extract("package_id", r"^CPRT-(\d+)HPRT(\d+)$", g).try_cast("int")
+    none = F.lit(None).cast("string")
+    out = rows.select("package_id", part(1).alias("congress"), F.lit("house").alias("chamber"), part(2).alias("report_number"), F.concat(F.lit("Consolidated appropriations, explanatory statement for "), "fiscal_year").alias("title"), none.alias("subcommittee"), "fiscal_year", F.lit("enacted").alias("stage"), none.alias("date_issued"))
+    return out.filter(F.col("congress").between(first if first is not None else 0, last if last is not None else 1 << 30))
+
+
+CATALOG = "package_id string, congress int, chamber string, report_number int, title string, subcommittee string, fiscal_year int, stage string, date_issued string"
+
+
+def load_catalog(spark: SparkSession, path: str) -> DataFrame:
+    """A catalog written as JSON; no rows where there is none."""
+    return spark.read.schema(CATALOG).json(path) if exists(spark, path) else spark.createDataFrame([], CATALOG)
+
+
+def catalog(packages: DataFrame, content_url: str | None = None) -> DataFrame:
+    """Report metadata of package summaries (package_id, title, doc_class, congress, date_issued): known chambers, titles of reports, known subcommittees.
+
+    content_url: where packages are published; it adds html_url and pdf_url.
+    """
     t = F.col("title")
     out = packages.select("package_id", F.col("congress").cast("int").alias("congress"), fx.chamber_of_class(F.col("doc_class")).alias("chamber"), fx.report_number(F.col("package_id")).alias("report_number"), t.alias("title"), fx.classify_subcommittee(t).alias("subcommittee"), fx.extract_fiscal_year(t).alias("fiscal_year"), fx.classify_stage(t).alias("stage"), "date_issued")
+    if content_url is not None:
+        url = lambda folder, end: F.concat(F.lit(f"{content_url.rstrip('/')}/"), "package_id", F.lit(f"/{folder}/"), "package_id", F.lit(end))
+        out = out.withColumn("html_url", url("html", ".htm")).withColumn("pdf_url", url("pdf", ".pdf"))
     return out.filter(fx.is_report_title(t) & F.col("chamber").isNotNull() & F.col("report_number").isNotNull() & F.col("subcommittee").isNotNull())
 
 
 def cached_files(spark: SparkSession, path: str, kind: str) -> DataFrame:
-    """Downloaded files of a layout .../{congress}/{chamber}/{id}.{kind}, with digest; files that are not of their kind are dropped."""
+    """Downloaded files with digest: congress, chamber, report_id, sha256, content, length; files that are not of their kind are dropped.
+
+    Layouts: .../{congress}/{chamber}/{id}.{kind}, and .../congress=C/chamber=C/report_id=ID/part-*.{kind} as Spark writes it.
+    """
     rows = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", f"*.{kind}").load(path)
-    part = lambda n: F.element_at(F.split("path", "/"), n)
+    parts = F.split("path", "/")
+    parts = F.when(F.element_at(parts, -1).startswith("part-"), F.slice(parts, F.lit(1), F.size(parts) - 1)).otherwise(parts)
+    part = lambda n: F.regexp_replace(F.element_at(parts, n), "^[a-z_]+=", "")
     out = rows.select(part(-3).alias("congress"), part(-2).alias("chamber"), F.regexp_replace(part(-1), rf"\.{kind}$", "").alias("report_id"), F.sha2("content", 256).alias("sha256"), "content", "length")
     return out.filter(F.col("content").startswith(F.lit(b"%PDF"))) if kind == "pdf" else out
 
 
+def verified_files(files: DataFrame, sidecars: DataFrame) -> DataFrame:
+    """Adds intact: the digest noted when a file was stored (report_id, noted) is the file's; a file without a note passes."""
+    return files.join(sidecars.select("report_id", "noted"), "report_id", "left").withColumn("intact", F.col("noted").isNull() | (F.col("noted") == F.col("sha256"))).drop("noted")
+
+
+def page_lines(files: DataFrame, reader) -> DataFrame:
+    """Text lines of paged files: report_id, page, row_ord (over the whole report), line. reader: from an iterator of pandas frames (report_id, content) to one of (report_id, page, text)."""
+    pages = files.select("report_id", "content").mapInPandas(reader, "report_id string, page int, text string")
+    lines = pages.select("report_id", "page", F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
+    return lines.select("report_id", "page", (F.row_number().over(W.partitionBy("report_id").orderBy("page", "pos")) - 1).alias("row_ord"), "line")
+
+
+def inline_accounts(flat: DataFrame, nested: DataFrame) -> DataFrame:
+    """Ground truth of accounts: (report_id, name, value) rows from the flat table, and from the nested one for reports that it lacks.
+
+    Both: report_id, account_name, context_heading, value. The name is the account's, else the heading; rows without either are skipped.
+    """
+    name = F.coalesce(*[F.nullif(fx.strip(F.col(c)), F.lit("")) for c in ("account_name", "context_heading")])
+    rows = flat.unionByName(nested.join(flat.select("report_id").distinct(), "report_id", "left_anti"))
+    return rows.select("report_id", name.alias("name"), "value").filter("name IS NOT NULL")
+
+
 def account_dimension(raw: DataFrame) -> DataFrame:
     """Distinct (symbol, title) rows of a federal account listing, without incomplete ones."""
     return raw.select("federal_account_symbol", "account_title", "agency", "bureau").dropna(subset=["federal_account_symbol", "account_title"]).dropDuplicates(["federal_account_symbol", "account_title"])
