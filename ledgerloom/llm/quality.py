@@ -284,7 +284,7 @@ def _judged(df: DataFrame, trusted: DataFrame, id_col: str, text_col: str, lang_
     return out.withColumn("kept", F.coalesce(F.col("log_perplexity") <= F.col("limit"), F.lit(True)))
 
 
-def classify(df: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", quantile: float = 0.99, allowance: float = 2.0, least: int = 50) -> DataFrame:
+def classify(df: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", quantile: float = 0.995, allowance: float = 2.0, least: int = 50) -> DataFrame:
     """One row for each row of df: id_col, lang_col, log_perplexity, limit, kept.
 
     trusted: identifiers of trusted rows; those whose crc32 (as text) is divisible by FOLDS don't train the model but give the limits, so that a
@@ -296,7 +296,7 @@ def classify(df: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col
     return out.select(F.col("id").alias(id_col), F.col("keep_0").alias(lang_col), "log_perplexity", "limit", "kept")
 
 
-def accepted(df: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", quantile: float = 0.99, allowance: float = 2.0, least: int = 50) -> DataFrame:
+def accepted(df: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", quantile: float = 0.995, allowance: float = 2.0, least: int = 50) -> DataFrame:
     """The rows of df that classify keeps, with all columns of df, whatever their names."""
     rest = tuple(c for c in df.columns if c not in (id_col, lang_col))
     out = _judged(df, trusted, id_col, text_col, lang_col, rest, quantile, allowance, least).filter("kept")

@@ -69,9 +69,20 @@ def test_exact_groups(spark, odd, keep):
 
 
 def test_many_runs_and_hot_group(spark):
-    rows = spark.range(500).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, "Hot").otherwise(F.concat(F.lit("t"), (F.col("id") % 50).cast("string"))).alias("text"))
-    got = {r["id"]: r for r in exact_dedup.exact_groups(rows, runs=64, fan_in=2).collect()}
+    rows = spark.range(0, 500, 1, 24).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, "Hot").otherwise(F.concat(F.lit("t"), (F.col("id") % 50).cast("string"))).alias("text"))
+    got = {r["id"]: r for r in exact_dedup.exact_groups(rows, runs=64).collect()}
     assert got[498]["keep_id"] == 0 and got[498]["group_size"] == 167 and len(got) == 500
+    assert {r["keep_id"] for r in exact_dedup.exact_groups(rows, keep="max", runs=5).collect() if r["group_size"] == 167} == {498}
+
+
+def test_runs_merge_in_order(spark):
+    """Sorted arrays become one sorted array; equal digests become one entry only if check and length agree."""
+    entry = "struct<digest:binary,check:bigint,bytes:int,best:struct<known:boolean,id:bigint,seq:bigint>,n:bigint>"
+    one = [(b"a", 1, 1, (True, 5, 0), 2), (b"c", 1, 1, (True, 9, 1), 1), (b"d", 1, 1, (False, None, 2), 1)]
+    two = [(b"a", 1, 1, (True, 3, 3), 1), (b"b", 1, 1, (True, 4, 4), 1), (b"c", 2, 1, (True, 1, 5), 7)]
+    df = spark.createDataFrame([([one, two],), ([one],), ([[], []],)], f"runs array<array<{entry}>>")
+    got = [[(bytes(e["digest"]), e["check"], e["best"]["id"], e["n"]) for e in r["m"]] for r in df.select(exact_dedup.merged(F.col("runs"), F.least).alias("m")).collect()]
+    assert got[0] == [(b"a", 1, 3, 3), (b"b", 1, 4, 1), (b"c", 1, 9, 1), (b"c", 2, 1, 7), (b"d", 1, None, 1)] and len(got[1]) == 3 and got[2] == []
 
 
 def test_drop_copies(spark, odd, nothing):
