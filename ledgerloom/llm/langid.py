@@ -1,13 +1,12 @@
 """Language identification by error-correcting output codes over character n-grams.
 
 Every language has a codeword. For each bit of the codewords a binary n-gram classifier (log ratio of the smoothed
-n-gram probabilities on the two sides of the bit) gives a margin for a text. Decoding adds, over the bits, the
+n-gram probabilities on the two sides of the bit) gives a margin for a stretch of text. Decoding adds, over the bits, the
 logistic loss of the margin against the codeword's bit, weighted by how surely that bit's classifier tells that
-language's own text, and takes the language of least loss; the share of its likelihood is the score, and a low
-score or a close second marks the text as ambiguous.
+language's own text, and over the stretches; the language of least loss is predicted. Its mean share of the stretches'
+likelihood is the score, so that a text of two languages is marked as ambiguous, however long it is.
 
-Training counts all n-grams of all labelled texts, map-side first; the model is a table of languages x features,
-at most max_languages x 2**FEATURE_BITS counts, whatever the corpus. Prediction is one pass without a shuffle.
+Training counts all n-grams of all labelled texts, map-side first. Prediction is one pass without a shuffle.
 """
 
 from __future__ import annotations
@@ -19,9 +18,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import text_slices
+from ledgerloom.llm.common import text_slices, written
 
 FEATURE_BITS = 15
+#: Features of the stretches that a text is decoded in, about; some 130 letters.
+STRETCH = 256
+#: Languages whose counts a training task holds before it passes them on.
+LANGUAGES_AT_ONCE = 200
+COUNTS = pa.schema([("lang", pa.string()), ("feature", pa.int64()), ("n", pa.int64())])
 _NO_LETTER = re.compile(r"[\W\d_]+")
 UNKNOWN = "und"
 
@@ -59,62 +63,113 @@ def codewords(n: int, seed: int = 7) -> np.ndarray:
 
 
 class Model:
-    def __init__(self, languages: list[str], counts: np.ndarray, alpha: float = 0.5):
-        """counts: languages x features."""
-        self.languages, self.code = languages, codewords(len(languages))
-        p = counts + alpha
-        p = p / p.sum(1, keepdims=True)  # languages count alike, however much text each has
-        self.weights = np.zeros((counts.shape[1], self.code.shape[1]), np.float32)
-        for b in range(self.code.shape[1]):
-            one = self.code[:, b] > 0
-            self.weights[:, b] = np.log(p[one].mean(0)) - np.log(p[~one].mean(0))
-        # A bit's weight for a language: how surely its classifier decides on that language's own text.
-        sure = 1 / (1 + np.exp(-20 * (p @ self.weights) * self.code))
+    """Languages in order, their codewords, a weight for each feature and bit, and how sure each bit's classifier is of each language's own text."""
+
+    def __init__(self, languages: list[str], weights: np.ndarray, sure: np.ndarray):
+        self.languages, self.code, self.weights = languages, codewords(len(languages)), weights.astype(np.float32)
+        sure = 1 / (1 + np.exp(-20 * sure * self.code))
         self.sure = sure / np.maximum(sure.sum(1, keepdims=True), 1e-9)
 
-    def predict(self, text: str | None, ambiguous_below: float = 0.7) -> tuple[str, float, bool]:
+    def predict(self, text: str | None, ambiguous_below: float = 0.8) -> tuple[str, float, bool]:
+        """Language, score and ambiguity. The text is decoded in stretches of about STRETCH features; the least loss over all of them decides, and the score is the language's mean share of likelihood."""
         own = letters_of(text)
         if not own or not self.languages:
             return UNKNOWN, 0.0, True
         if len(self.languages) == 1:
             return self.languages[0], 1.0, False
-        margin = np.clip(np.bincount(features(own), minlength=len(self.weights)) @ self.weights if len(own) > 20_000 else self.weights[features(own)].sum(0), -30, 30)
-        loss = (self.sure * np.logaddexp(0, -self.code * margin)).sum(1)
-        share = np.exp(loss.min() - loss)
-        best = int(loss.argmin())
-        score = float(1 / share.sum())
+        found = features(own)
+        count = max(1, len(found) // STRETCH)
+        edge = np.arange(count + 1) * len(found) // count
+        margins = np.empty((count, self.weights.shape[1]))
+        for at in range(0, count, 256):  # a long text's weights are not all there at once
+            part = edge[at : at + 257]
+            margins[at : at + 256] = np.add.reduceat(self.weights[found[part[0] : part[-1]]].astype(np.float64), part[:-1] - part[0], 0)
+        # logistic loss of each stretch's margins against each codeword, without a stretches x languages x bits array
+        loss = np.empty((count, len(self.languages)))
+        for k, (word, weight) in enumerate(zip(self.code, self.sure, strict=True)):
+            loss[:, k] = np.logaddexp(0, -margins * word) @ weight
+        total = loss.sum(0)
+        best = int(total.argmin())
+        share = np.exp(loss.min(1, keepdims=True) - loss)
+        score = float((share[:, best] / share.sum(1)).mean())
         return self.languages[best], score, score < ambiguous_below
 
 
-def train(df: DataFrame, text_col: str = "text", lang_col: str = "lang", max_languages: int = 256) -> Model:
-    """Counts every row of df with a language and text; other columns are ignored. No such rows: a model that knows no language."""
+def train(df: DataFrame, text_col: str = "text", lang_col: str = "lang", alpha: float = 0.5) -> Model:
+    """Counts every row of df with a language and text; other columns are ignored. No such rows: a model that knows no language.
+
+    Any number of languages: counts stay a table, of which each task takes some features, then some languages. What comes to the driver is a weight for each
+    feature and bit, and a few numbers for each language.
+    """
 
     def run(batches):
         found: dict[str, np.ndarray] = {}
+
+        def rows():
+            for lang, counts in found.items():
+                at = counts.nonzero()[0]
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at)), pa.array(at), pa.array(counts[at])], names=["lang", "feature", "n"])
+            found.clear()
+
         for batch in text_slices(batches):
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 if own := letters_of(text):
                     if lang not in found:
                         found[lang] = np.zeros(1 << FEATURE_BITS, np.int64)
                     found[lang] += np.bincount(features(own), minlength=1 << FEATURE_BITS)
-        for lang, counts in found.items():
-            at = counts.nonzero()[0]
-            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at)), pa.array(at), pa.array(counts[at])], names=["lang", "feature", "n"])
-
-    rows = df.select(F.col(f"`{lang_col}`").alias("lang"), F.col(f"`{text_col}`").alias("text")).filter("lang IS NOT NULL AND text IS NOT NULL")
-    counts = rows.mapInArrow(run, "lang string, feature bigint, n bigint").groupBy("lang", "feature").agg(F.sum("n").alias("n"))
-    got = counts.limit((max_languages << FEATURE_BITS) + 1).toPandas()
-    languages = sorted(got["lang"].unique())
-    if len(languages) > max_languages:
-        raise ValueError(f"over {max_languages} languages")
-    table = np.zeros((len(languages), 1 << FEATURE_BITS))
-    if len(got):
-        table[np.searchsorted(languages, got["lang"].to_numpy(str)), got["feature"]] = got["n"]
-    return Model([str(x) for x in languages], table)
+            if len(found) > LANGUAGES_AT_ONCE:
+                yield from rows()
+        yield from rows()
+
+    given = df.select(F.col(f"`{lang_col}`").cast("string").alias("lang"), F.col(f"`{text_col}`").alias("text")).filter("lang IS NOT NULL AND text IS NOT NULL")
+    counts = written(given.mapInArrow(run, "lang string, feature bigint, n bigint").groupBy("lang", "feature").agg(F.sum("n").alias("n")), "features")
+    sums = counts.groupBy("lang").agg(F.sum("n").alias("n")).toPandas().sort_values("lang")
+    languages, totals = sums["lang"].tolist(), sums["n"].to_numpy(float) + alpha * (1 << FEATURE_BITS)
+    code, spark = codewords(len(languages)), df.sparkSession
+    if code.shape[1] == 0:
+        return Model(languages, np.zeros((1 << FEATURE_BITS, 0)), np.zeros((len(languages), 0)))
+    shared = spark.sparkContext.broadcast((languages, totals, code))
+
+    sides = [(alpha / totals) @ (code == s) for s in (1, -1)]  # of a feature that no text has
+    size = [(code == s).sum(0) for s in (1, -1)]
+
+    def weigh(batches):
+        """Of each feature the log ratio of its mean probability on the two sides of each bit; languages count alike, however much text each has."""
+        languages, totals, code = shared.value
+        table = pa.Table.from_batches(list(batches), COUNTS)  # a task's features; at most languages x features in all
+        feature = table.column("feature").to_numpy()
+        order = np.argsort(feature, kind="stable")
+        at = np.searchsorted(languages, table.column("lang").to_numpy()[order])
+        share, feature = table.column("n").to_numpy()[order] / totals[at], feature[order]
+        start = np.append(np.append(True, feature[1:] != feature[:-1]).nonzero()[0], len(feature)) if len(feature) else np.zeros(1, int)
+        for k in range(0, len(start) - 1, 1_000):
+            a, b = start[k], start[min(k + 1_000, len(start) - 1)]
+            ones = [np.add.reduceat(share[a:b, None] * (code[at[a:b]] == s), start[k : k + 1_000][: len(start) - 1 - k] - a, 0) for s in (1, -1)]
+            w = np.log((sides[0] + ones[0]) / size[0]) - np.log((sides[1] + ones[1]) / size[1])
+            yield pa.RecordBatch.from_arrays([pa.array(feature[start[k : k + len(w)]]), pa.array([x.tobytes() for x in w], pa.binary())], names=["feature", "w"])
+
+    weights = np.tile(np.log(sides[0] / size[0]) - np.log(sides[1] / size[1]), (1 << FEATURE_BITS, 1))
+    for r in counts.repartition("feature").mapInArrow(weigh, "feature bigint, w binary").collect():
+        weights[r["feature"]] = np.frombuffer(r["w"])
+    known = spark.sparkContext.broadcast(weights)
+
+    def tell(table: pa.Table) -> pa.Table:
+        """The mean margin of each bit on one language's own text."""
+        w, n = known.value, table.column("n").to_numpy() + alpha
+        own = w[table.column("feature").to_numpy()]
+        mean = (n @ own + alpha * (w.sum(0) - own.sum(0))) / (n.sum() + alpha * (len(w) - len(n)))
+        return pa.table({"lang": table.column("lang")[:1], "m": pa.array([mean.tobytes()], pa.binary())})
+
+    sure = {r["lang"]: np.frombuffer(r["m"]) for r in counts.groupBy("lang").applyInArrow(tell, "lang string, m binary").collect()}
+    return Model(languages, weights, np.array([sure[x] for x in languages]))
 
 
 def predict(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row for each row of df: id_col, lang_pred, score (0 to 1), ambiguous. Null text or no letter: und, 0.0. An empty df gives no rows."""
+    """One row for each row of df: id_col, lang_pred, score (0 to 1), ambiguous. Null text or no letter: und, 0.0, ambiguous.
+
+    Of languages with equal loss the first in order is predicted. Repeated rows are predicted alike; the score of a text in two languages is near the larger
+    part's share of it. Other columns are ignored; an empty df gives no rows.
+    """
     shared = df.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):

@@ -568,6 +568,42 @@ def test_language_id(spark, nothing):
     assert langid.predict(df.limit(3), langid.train(nothing)).first()["lang_pred"] == "und"
 
 
+def test_language_model_equals_brute_force(spark, monkeypatch):
+    """Weights, decisions and scores against a dense computation; over 256 languages, ties and a text in two languages."""
+    monkeypatch.setattr(langid, "LANGUAGES_AT_ONCE", 3)
+    rng = random.Random(8)
+    letters = "abcdefghijklmnopqrstuvwxyzäöüßéèñ"
+    own = {f"l{k:03d}": "".join(rng.sample(letters, 9)) for k in range(300)}
+    text = lambda lang, n: " ".join("".join(rng.choice(own[lang]) for _ in range(6)) for _ in range(n))
+    rows = [(k, text(lang, 40), lang) for k, lang in enumerate(sorted(own))]
+    model = langid.train(frame(spark, rows))
+    counts = np.array([np.bincount(langid.features(langid.letters_of(t)), minlength=1 << langid.FEATURE_BITS) for _, t, _ in rows])
+    p = counts + 0.5
+    p = p / p.sum(1, keepdims=True)
+    code = langid.codewords(300)
+    want = np.log(np.array([p[code[:, b] > 0].mean(0) / p[code[:, b] < 0].mean(0) for b in range(code.shape[1])])).T
+    assert model.languages == sorted(own) and np.allclose(model.weights, want, atol=1e-5)
+    sure = 1 / (1 + np.exp(-20 * (p @ want) * code))
+    assert np.allclose(model.sure, sure / sure.sum(1, keepdims=True), atol=1e-6)
+    probe = [(k, text(lang, 300), None) for k, lang in enumerate(list(own)[:12])]
+    got = {r["doc_id"]: r for r in langid.predict(frame(spark, probe), model).collect()}
+    for k, t, _ in probe:
+        found = langid.features(langid.letters_of(t))
+        n = max(1, len(found) // langid.STRETCH)
+        edge = [i * len(found) // n for i in range(n + 1)]
+        loss = np.array([(model.sure * np.logaddexp(0, -code * want[found[a:b]].sum(0))).sum(1) for a, b in zip(edge, edge[1:])])
+        share = np.exp(loss.min(1, keepdims=True) - loss)
+        best = int(loss.sum(0).argmin())
+        assert got[k]["lang_pred"] == model.languages[best] and got[k]["score"] == pytest.approx((share[:, best] / share.sum(1)).mean(), abs=1e-3)
+    model = langid.train(frame(spark, rows[:4]))
+    for n in (60, 3_000):  # halves of two languages, also in a long text
+        lang, score, doubt = model.predict(text("l001", n) + " " + text("l002", n))
+        assert lang in ("l001", "l002") and 0.2 < score < 0.8 and doubt
+    assert not model.predict(text("l001", 3_000))[2]
+    same = langid.train(frame(spark, [(1, "abc abc", "x"), (2, "abc abc", "a")]))
+    assert same.predict("abc")[0] == "a" and same.predict("abc")[1] == pytest.approx(0.5)
+
+
 def test_codewords():
     for n in range(2, 30):
         words = langid.codewords(n)
