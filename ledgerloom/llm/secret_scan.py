@@ -5,7 +5,7 @@ table) train one probabilistic automaton for each kind with TRAIN_LEAST distinct
 classes, whose states merge while their outgoing frequencies are statistically compatible (red-blue order, a
 Hoeffding bound on every symbol, down the whole subtree). Every other candidate of a text, a run of credential
 characters that mixes letters and digits, is scored by its likelihood per character under each automaton; above the
-kind's threshold (a low quantile of the labelled credentials' own scores) it becomes a span of kind "format". A run has
+kind's threshold (a low quantile of labelled credentials' scores by automata that haven't seen them) it becomes a span of kind "format". A run has
 no greatest length. If it is not accepted as a whole, what lies between any two of its ends and separators ("=", "/") is a
 candidate too: all of them are scored in one pass backwards over the run, which keeps for each state of the automaton the
 end of the largest excess over the threshold.
@@ -29,10 +29,10 @@ from ledgerloom.llm.common import text_slices, written
 ASSIGN = re.compile(r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.A)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{32,}")  # of runs [0-9a-f]+, those of 32 or more
-CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{16,}")
+CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{8,}")
 SEPARATOR = re.compile(r"[=/]")
-#: Characters of the shortest candidate.
-LEAST = 16
+#: Characters of the shortest candidate, as many as the shortest assigned value; whether so short a string is of a format is for its likelihood to say.
+LEAST = 8
 KINDS = ("assign", "access", "hex")
 #: Labelled credentials that one automaton is trained on, and the characters of each that it sees (scores are over whole candidates).
 TRAIN_MOST, TRAIN_LENGTH = 400, 64
@@ -193,13 +193,15 @@ class Automaton:
 class Grammar:
     """An automaton and a threshold for each kind; labelled: kind -> credentials (repeats count once, unless they are known to be distinct beyond what is given of them)."""
 
-    def __init__(self, labelled: dict[str, list[str]], quantile: float = 0.05, distinct: bool = False):
+    def __init__(self, labelled: dict[str, list[str]], quantile: float = 0.02, distinct: bool = False):
         self.kinds = {}
         for kind, found in sorted(labelled.items()):
             strings = [classes(s[: TRAIN_LENGTH + 1]) for s in sorted(found if distinct else set(found))][:TRAIN_MOST]
             if len(strings) >= TRAIN_LEAST:
                 automaton = Automaton(strings, length=TRAIN_LENGTH)
-                scores = sorted(map(automaton.seen_score, strings))
+                # strings that an automaton has seen score better than others of their format: each half is scored by one trained on the other
+                halves = strings[::2], strings[1::2]
+                scores = sorted(x for k in (0, 1) for x in map(Automaton(halves[1 - k], length=TRAIN_LENGTH).seen_score, halves[k]))
                 self.kinds[kind] = (automaton, scores[int(quantile * len(scores))])
         self.known: dict[str | bytes, bool] = {}
 
@@ -277,7 +279,11 @@ def _scanned(df: DataFrame, id_col: str, text_col: str, find, out: str) -> DataF
 
 
 def learn(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Grammar:
-    """A grammar from the corpus' own base matches: for each kind the TRAIN_MOST distinct credentials of smallest hash."""
+    """A grammar from the corpus' own base matches: for each kind the TRAIN_MOST distinct credentials of smallest hash.
+
+    Repeated rows and credentials count once, so ties don't matter; null text is empty. An empty table, or one without credentials, gives a grammar that accepts
+    nothing. Other columns are ignored.
+    """
     found = _scanned(df, id_col, text_col, base_spans, "spans").select(F.explode("spans").alias("s")).select("s.kind", "s.value").distinct()
     found = written(found, "credentials")
     labelled = {k: [r["value"] for r in found.filter(F.col("kind") == k).select("value", F.xxhash64("value").alias("h")).orderBy("h", "value").limit(TRAIN_MOST).select(F.substring("value", 1, TRAIN_LENGTH + 1).alias("value")).collect()] for k in KINDS}
@@ -285,7 +291,10 @@ def learn(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Gram
 
 
 def scan(df: DataFrame, grammar: Grammar, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row for each row of df: id_col and spans (array of start, end, kind, value). Null text is empty; other columns are ignored."""
+    """One row for each row of df: id_col and spans (array of start, end, kind, value). Null text is empty; other columns are ignored.
+
+    Spans are ordered by start, then kind as listed, with "format" last. Repeated rows have the same spans; an empty df gives no rows.
+    """
     shared = df.sparkSession.sparkContext.broadcast(grammar)
     return _scanned(df, id_col, text_col, lambda t: shared.value.spans(t), "spans")
 
@@ -301,7 +310,7 @@ def redacted(text: str, spans: list[tuple[int, int, str, str]]) -> str:
 
 
 def redact(df: DataFrame, grammar: Grammar, text_col: str = "text", length_col: str | None = None) -> DataFrame:
-    """df with secrets in text_col replaced, and length_col, if given, set to the new length in code points. Null text stays null; all other columns pass through."""
+    """df with secrets in text_col replaced, and length_col, if given, set to the new length in code points. Null text stays null; all other columns pass through, whatever their names. Repeated rows stay; an empty df gives no rows."""
     shared = df.sparkSession.sparkContext.broadcast(grammar)
     place = df.columns.index(text_col)
 

@@ -1,13 +1,17 @@
 """The registered queries on the smallest tables, against brute force."""
 
 import hashlib
+import re
+import zlib
 
 import duckdb
 import numpy as np
 import pytest
 from conftest import SMALL
+from pyspark.sql import functions as F
 from test_operators import brute_components, shingles_of
 
+from ledgerloom.llm import langid
 from ledgerloom.llm.queries import ORACLES, QUERIES, vocabulary
 
 
@@ -66,6 +70,54 @@ def test_language_query(spark, tables):
     assert len(rows) == len(truth) and np.mean([r["lang_pred"] == truth[r["doc_id"]] for r in held]) > 0.9
 
 
+def test_secrets_query(spark, tables):
+    """Base spans by the contract's rules, written anew; every other span is of a format, and none of those overlaps a base span."""
+    texts = dict(tables.execute("SELECT doc_id, coalesce(text, '') FROM documents").fetchall())
+    rules = (("assign", r"([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])[\"']?[ ]*[:=][ ]*[\"']?([A-Za-z0-9+/_.=-]+)", 2, 8), ("access", "AKIA[A-Z0-9]+", 0, 16), ("hex", "[0-9a-f]+", 0, 32))
+    rows = QUERIES["op9_secrets"](spark, SMALL).collect()
+    assert {r["doc_id"] for r in rows} == set(texts) and len(rows) == len(texts)
+    for r in rows:
+        spans = [(m.start(), k, m.end(), kind) for k, (kind, rule, group, least) in enumerate(rules) for m in re.finditer(rule, texts[r["doc_id"]]) if len(m[group]) >= least]
+        base = ",".join(f"{kind}:{a}:{b}" for a, _, b, kind in sorted(spans))
+        assert r["base_sha256"] == hashlib.sha256(base.encode()).hexdigest() and [r["n_assign"], r["n_access"], r["n_hex"]] == [sum(s[3] == k for s in spans) for k in ("assign", "access", "hex")]
+        shown = [s.split(":") for s in r["spans"].split(",") if s]
+        assert [s for s in shown if s[0] != "format"] == [s.split(":") for s in base.split(",") if s]
+        for _, a, b in (s for s in shown if s[0] == "format"):
+            assert all(int(b) <= x or y <= int(a) for x, _, y, _ in spans)
+
+
+def test_language_query_reads_only_text(spark, tables):
+    """Other columns never reach a prediction: with lang and source taken away from held-out documents all stays as it was."""
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    held = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    model = langid.train(docs.filter(~held))
+    bare = langid.predict(docs.withColumn("lang", F.lit("xx")).withColumn("source", F.lit(None)), model)
+    want = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in QUERIES["op8_language"](spark, SMALL).collect()}
+    assert {r["doc_id"]: (r["lang_pred"], r["score"]) for r in bare.collect()} == want
+
+
+def test_packing_query(spark, tables):
+    """Every id of every document lies in exactly one piece, sequences are gapless, full or a power of two."""
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(vocabulary())
+    docs = dict(tables.execute("SELECT doc_id, coalesce(text, '') FROM documents").fetchall())
+    pieces, sequences = {}, {}
+    for r in QUERIES["op4_packing"](spark, SMALL).collect():
+        pieces.setdefault(r["doc_id"], []).append(r)
+        sequences.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    assert pieces.keys() == docs.keys()
+    for i, text in docs.items():
+        ids, at = np.array([*library.encode(text, add_special_tokens=False).ids, 2], "<u4"), 0
+        for r in sorted(pieces[i], key=lambda r: r["start"]):
+            assert r["start"] == at and r["doc_tokens"] == len(ids) and r["ids_crc32"] == zlib.crc32(ids[at : at + r["length"]].tobytes())
+            at += r["length"]
+        assert at == len(ids)
+    for own in sequences.values():
+        ends = np.cumsum([n for _, n in sorted(own)])
+        assert [o for o, _ in sorted(own)] == [0, *ends[:-1]] and (ends[-1] == 4096 or ends[-1] & (ends[-1] - 1) == 0 and ends[-1] < 4096)
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
