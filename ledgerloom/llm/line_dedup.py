@@ -2,14 +2,16 @@
 
 A document is the sequence of its lines' hashes. A window is a shortest stretch of lines with at least min_words words,
 from each line on and up to each line; of each window the line with the smallest hash is its fingerprint. Two documents
-that share a run of min_words words share whole windows, and so their fingerprints: no such run is missed. Fingerprints
-join on their hash; the windows of those that occur at several places join on the window's content with the first place
-(smallest document, then position) that has it. Each match is an alignment of two documents, along which runs of equal
-lines are extended both ways. Runs of min_words words or more are deleted from the later document.
+that share a run of min_words words share whole windows, and so their fingerprints: no such run is missed.
+
+Fingerprints join by position with the first place (smallest document, then position) of the same hash and window. The window is part of the
+key, since the same line may occur first where no run is shared: two later documents would then meet that place only, and not each other.
+Each match is an alignment of two documents, along which runs of equal lines are extended both ways. Runs of min_words words or more
+are deleted from the later document.
 
 Each deleted line equals a line at an earlier place, so the first occurrence of everything stays.
-Hashes shared by very many documents are first reduced within runs of rows, and the joins on them use run and hash; a
-document that very many others align with is salted.
+Hashes shared by very many documents are first reduced within runs of rows, and the joins on them use run and hash. A document that very many
+others align with is salted, and one that aligns with very many others has its alignments dealt over several groups.
 """
 
 from __future__ import annotations
@@ -28,6 +30,8 @@ MIN_WORDS = 50
 SALT_AT = 2_000
 #: At most so many salted documents are broadcast; beyond, they are joined.
 HOT_MOST = 50_000
+#: Alignments of one later document that are extended in one group.
+ALIGNED_MOST = 500
 _PRIME, _BASE = (1 << 61) - 1, 0x1F3D5B79A2C4E68B
 
 
@@ -112,19 +116,21 @@ def repeated_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     docs = written(rows.mapInArrow(lambda b: _lines(b, min_words), f"doc {kind}, version bigint, hashes array<bigint>, words array<int>, marks array<struct<at:int,low:int,key:bigint>>"), "lines")
 
     runs = shuffle_width(df.sparkSession)
-    marks = docs.select("doc", "version", F.explode(F.transform("marks", lambda m: F.struct(m["at"].alias("at"), m["low"].alias("low"), m["key"].alias("key"), F.get("hashes", m["low"]).alias("hash")))).alias("m"))
+    # fingerprints: the places of window minima, each with the contents of the windows whose minimum it is
+    marks = docs.select("doc", "version", F.explode(F.transform("marks", lambda m: F.struct(m["low"].alias("low"), m["key"].alias("key"), F.get("hashes", m["low"]).alias("hash")))).alias("m"))
     marks = marks.select("doc", "version", "m.*", F.pmod(F.xxhash64("doc", "version"), F.lit(runs)).alias("run"))
 
-    def places(rows: DataFrame, key: str, at: str) -> DataFrame:
-        """rows with the first place of their key, if it has several; reduced within runs first, and joined by run and key."""
-        place = F.struct(F.col("doc").alias("doc"), F.col("version").alias("version"), F.col(at).alias("at"))
-        near = rows.groupBy("run", key).agg(F.min(place).alias("first"), F.max(place).alias("last"))
-        whole = near.groupBy(key).agg(F.min("first").alias("first"), F.max("last").alias("last")).filter("first < last").select(key, "first")
-        return rows.join(near.select("run", key).join(whole, key), ["run", key])
+    def places(rows: DataFrame, *key: str) -> DataFrame:
+        """rows with the first fingerprint of their key, if there are several; reduced within runs first, and joined by run and key."""
+        place = F.struct("doc", "version", "low")
+        near = rows.groupBy("run", *key).agg(F.min(place).alias("first"), F.max(place).alias("last"))
+        whole = near.groupBy(*key).agg(F.min("first").alias("first"), F.max("last").alias("last")).filter("first < last").select(*key, "first")
+        return rows.join(near.select("run", *key).join(whole, [*key]), ["run", *key])
 
-    met = places(places(marks, "hash", "low").drop("first"), "key", "at").select("doc", "version", "at", "first")
-    met = met.filter(~(F.col("doc").eqNullSafe(F.col("first.doc")) & (F.col("version") == F.col("first.version")) & (F.col("at") == F.col("first.at"))))
-    pairs = met.select("doc", "version", F.col("first.doc").alias("other"), F.col("first.version").alias("other_version"), (F.col("at") - F.col("first.at")).alias("offset")).distinct()
+    # Fingerprints meet on their hash; of those that occur again, on hash and window, since the first place of a line may be in another context.
+    met = places(places(marks, "hash").drop("first"), "hash", "key").select("doc", "version", "low", "first")
+    met = met.filter(~(F.col("doc").eqNullSafe(F.col("first.doc")) & (F.col("version") == F.col("first.version")) & (F.col("low") == F.col("first.low"))))
+    pairs = met.select("doc", "version", F.col("first.doc").alias("other"), F.col("first.version").alias("other_version"), (F.col("low") - F.col("first.low")).alias("offset")).distinct()
 
     pairs = written(pairs, "alignments")
     own = docs.select("doc", "version", F.size("hashes").alias("lines")).dropDuplicates(["doc", "version"])
@@ -139,8 +145,13 @@ def repeated_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     others = docs.select(F.col("doc").alias("o_doc"), F.col("version").alias("o_version"), F.col("hashes").alias("o_hashes")).dropDuplicates(["o_doc", "o_version"])
     others = others.join(hot, F.expr("o_doc <=> h_doc AND o_version = h_version"), "left").select("o_doc", "o_version", "o_hashes", F.explode(F.expr("sequence(0, coalesce(salts, 1) - 1)")).alias("o_salt"))
     beside = pairs.join(others, F.expr("other <=> o_doc AND other_version = o_version AND salt = o_salt"))
-    beside = beside.select(F.col("doc").alias("b_doc"), F.col("version").alias("b_version"), "offset", "low", F.slice("o_hashes", (F.col("low") + 1).cast("int"), F.col("lines")).alias("beside"))
+    beside = beside.select(F.col("doc").alias("b_doc"), F.col("version").alias("b_version"), F.col("other").alias("b_other"), F.col("other_version").alias("b_other_version"), "offset", "low", F.slice("o_hashes", (F.col("low") + 1).cast("int"), F.col("lines")).alias("beside"))
+    # A document that aligns with very many others has its alignments dealt over several groups, each with the document's own lines.
+    parts = pairs.groupBy("doc", "version").agg(F.ceil(F.count(F.lit(1)) / ALIGNED_MOST).cast("int").alias("parts"))
+    beside = beside.alias("b").join(parts.alias("p"), F.expr("b.b_doc <=> p.doc AND b.b_version = p.version")).select("b.*", F.expr("pmod(xxhash64(b.b_other, b.b_other_version, b.offset), p.parts)").cast("int").alias("b_part")).drop("b_other", "b_other_version")
     lines = docs.select("doc", "version", "hashes", "words").dropDuplicates(["doc", "version"])
+    touched = lines.alias("l").join(parts.alias("p"), F.expr("l.doc <=> p.doc AND l.version = p.version"))
+    touched = touched.select(*[F.col(f"l.{c}").alias(f"t_{c}") for c in ("doc", "version", "hashes", "words")], F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("t_part"))
 
     def find(own: pa.Table, beside: pa.Table) -> pa.Table:
         found = []
@@ -150,8 +161,8 @@ def repeated_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         n = int(bool(found))
         return pa.table({"doc": own.column("t_doc").slice(0, n), "version": own.column("t_version").slice(0, n), "removed": pa.array([found] * n, pa.list_(pa.int32()))})
 
-    touched = lines.alias("l").join(pairs.select("doc", "version").distinct().alias("p"), F.expr("l.doc <=> p.doc AND l.version = p.version"), "left_semi").select(*[F.col(f"l.{c}").alias(f"t_{c}") for c in ("doc", "version", "hashes", "words")])
-    return touched.groupBy("t_doc", "t_version").cogroup(beside.groupBy("b_doc", "b_version")).applyInArrow(find, f"doc {kind}, version bigint, removed array<int>")
+    found = touched.groupBy("t_doc", "t_version", "t_part").cogroup(beside.groupBy("b_doc", "b_version", "b_part")).applyInArrow(find, f"doc {kind}, version bigint, removed array<int>")
+    return found.groupBy("doc", "version").agg(F.array_distinct(F.flatten(F.collect_list("removed"))).alias("removed"))
 
 
 def dedup_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:

@@ -395,6 +395,7 @@ def brute_lines(rows, least):
 @pytest.mark.parametrize("salt_at", [2000, 3])
 def test_line_dedup(spark, monkeypatch, salt_at):
     monkeypatch.setattr(line_dedup, "SALT_AT", salt_at)
+    monkeypatch.setattr(line_dedup, "ALIGNED_MOST", salt_at)
     rng = random.Random(7)
     blocks = [[prose(rng, rng.randrange(3, 30), 5000) for _ in range(rng.randrange(1, 6))] for _ in range(8)]
     rows = []
@@ -412,6 +413,19 @@ def test_line_dedup(spark, monkeypatch, salt_at):
     assert line_dedup.dedup_lines(df.limit(0)).count() == 0
 
 
+def test_line_dedup_of_odd_texts(spark, odd, nothing, monkeypatch):
+    """Very long texts, null and repeated identifiers and clashing columns; a document that quotes many others; a line first seen in another context."""
+    monkeypatch.setattr(line_dedup, "ALIGNED_MOST", 4)
+    got = line_dedup.dedup_lines(odd.drop("n_lines"))
+    assert set(got.columns) >= set(odd.columns) and got.count() == odd.count() and line_dedup.dedup_lines(nothing).count() == 0
+    rng = random.Random(2)
+    own = [[prose(rng, 20, 9000) for _ in range(3)] for _ in range(30)]
+    common = prose(rng, 45, 9000)
+    rows = [(i, "\n".join(x)) for i, x in enumerate(own)] + [(100, "\n".join(line for x in own for line in x)), (0 - 1, common + "\nalone"), (101, f"{common}\nshared by two later ones\nq"), (102, f"p\n{common}\nshared by two later ones")]
+    found = {r["doc_id"]: r["text"] for r in line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert found == brute_lines(rows, 50) and found[100] == "" and found[102] == "p"
+
+
 def test_repeated_row_stays(spark):
     text = "\n".join(f"line {k} " + "word " * 30 for k in range(3))
     df = spark.createDataFrame([(1, text), (1, text), (2, text)], "doc_id long, text string")
