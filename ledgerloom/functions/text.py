@@ -65,6 +65,7 @@ def first_of(*cases: tuple[Column, Column | str], otherwise: Column | str | None
 
 # ---- amounts -------------------------------------------------------------------------------------------------------
 
+# What stands for no amount, and the parts of an amount.
 _NOTHING = r"^[\s.]*[-–—]+[\s.]*$|^[\s.]+$|^-\s*-\s*-$"
 _AMOUNT = r"(\()?([+\-])?\$?([\d,]+)(\))?"
 
@@ -151,6 +152,7 @@ def is_fragment(text: Column) -> Column:
     return (F.length(s) < 4) | lower_first | (count(")") > count("(")) | (count("]") > count("[")) | s.rlike(r"[,/\-]$") | s.rlike(r"(?i)^(and|or|the|of|operations|relief|appropriation)\b")
 
 
+# Where a label's qualifiers stand.
 _PARENS = r"[(\[][^)\]]*[)\]]"
 _TRAILING = r"(?i),\s*(base|emergency|oco|disaster|rescission)\b.*$"
 

@@ -12,6 +12,9 @@ from ledgerloom.schema import BLOCK_ORDER
 # What marks a closing summary table.
 HEADING = r"(?i)comparison of amounts in the bill|projection of outlays|outlays? associated with|applicable (budget )?allocation|302\s*\([ab]\)"
 YEAR = r"(?i)^(19|20)\d\d(\s*(and (future years|beyond|outyears)))?[.:]?$"
+# Lines that can be headings.
+TITLE_LINE = r"^\s{4,30}[A-Z][a-zA-Z\s,\-\(\)&']{4,}\s*$"
+CAPS_LINE = r"^\s{0,30}[A-Z][A-Z\s,\-\(\)&]{4,}\s*$"
 SUMMARY = r"(?i)^(discretionary|mandatory|defense|non-?defense)\b|^\("
 
 
@@ -150,7 +153,7 @@ def compressed_ranges(df: DataFrame, value: str, *keys: str) -> DataFrame:
 def nearest_heading(df: DataFrame, report: str = "report_id", ord_col: str = "row_ord") -> DataFrame:
     """Adds heading: the last title-case line of the 15 before, else the last all-caps line of the 30 before."""
     line = F.col("line")
-    title, caps = line.rlike(r"^\s{4,30}[A-Z][a-zA-Z\s,\-\(\)&']{4,}\s*$"), line.rlike(r"^\s{0,30}[A-Z][A-Z\s,\-\(\)&]{4,}\s*$")
+    title, caps = line.rlike(TITLE_LINE), line.rlike(CAPS_LINE)
     back = lambda cond, n: F.last(F.when(cond, fx.strip(line)), ignorenulls=True).over(_order(report, ord_col).rowsBetween(-n, -1))
     return df.withColumn("heading", F.coalesce(back(title, 15), back(caps, 30)))
 

@@ -520,7 +520,7 @@ def page_replace(spark, sf_dir):
 
 # ---- scalar functions on stated values ------------------------------------------------------------------------------
 
-_DOLLARS = ["$1,368,969,000", "       358,466,000", "-123,337,000", "+46,900", "(500,000)", "(+35,000)", "(-2,491)", "---", "- - -", "................", "", "150", "12.5", ",,"]
+_DOLLARS = ["$2,718,281,000", "       314,159,000", "-86,400,000", "+27,300", "(660,000)", "(+42,000)", "(-7,007)", "---", "- - -", "..........", "", "365", "9.75", ",,"]
 
 
 @register("parse_dollar", _values_sql(_DOLLARS) + r"""
@@ -532,7 +532,7 @@ def parse_dollar(spark, sf_dir):
     return _values(spark, _DOLLARS).select("id", a["value"].alias("memo_value"), b["value"].alias("accounting_value"), fx.is_paren_memo(a).alias("is_memo"))
 
 
-_LABELS = ["International Disaster Assistance (emergency) 1,250,000", "Research at 1890 Institutions", "operations)", "Operations and Support, Base", "and other", "Science [OCO]  300 000", "abc", "Disaster Relief Fund (disaster relief)", "Grants,", "Office of the Secretary (rescission of balances)"]
+_LABELS = ["River Basin Surveys (emergency) 2,500,000", "Library built in 1907", "maintenance)", "Harbours and Ferries, Base", "and bridges", "Observatory [OCO]  450 000", "dam", "Flood Barrier Fund (disaster relief)", "Ferries,", "Office of Maps (rescission of balances)"]
 
 
 @register("clean_labels", _values_sql(_LABELS) + r"""
@@ -544,7 +544,7 @@ def clean_labels(spark, sf_dir):
     return _values(spark, _LABELS).select("id", fx.clean_account_label(F.col("v")).alias("c")).select("id", "c.*")
 
 
-_TITLES = ["AGRICULTURE, RURAL DEVELOPMENT, FOOD AND DRUG ADMINISTRATION APPROPRIATIONS BILL, 2025", "DEPARTMENT OF DEFENSE APPROPRIATIONS BILL, 2024", "Transportation, Housing and Urban Development AP- PROPRIATIONS Act, 2027", "PROVIDING FOR CONSIDERATION OF THE BILL MAKING APPROPRIATIONS for fiscal year 2016", "Conference report, Energy and Water, September 30, 2019", "Post office naming", "National Security, Department of State, and Related Programs Appropriations, 2026"]
+_TITLES = ["A bill for Agriculture and kindred matters, Appropriations Bill, 2031", "Second DEFENSE APPROPRIATIONS ACT, 2030", "Housing and Urban Development, yearly AP- PROPRIATIONS Act, 2033", "Resolution providing for CONSIDERATION of appropriations for fiscal year 2029", "Conference report, Energy and Water works, September 30, 2028", "A museum of clocks", "Department of State, and Related Programs and their Appropriations, 2027"]
 
 
 @register("classify_titles", _values_sql(_TITLES) + r"""
