@@ -42,7 +42,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [("quality classifier", keep_good), ("exact dedup", drop_exact), ("n-gram Jaccard join", drop_near), ("secret scans", hide_secrets), ("packing", pack)]
 
-#: A language model, an automaton and a tokenizer are beyond SQL; tests compare each stage with a brute-force version.
+#: A language model, an automaton and a tokenizer are beyond SQL; tests/llm/test_queries.py compares each stage with a brute-force version on the smallest table.
 ORACLE_SQL = None
 
 
