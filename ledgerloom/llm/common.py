@@ -26,10 +26,13 @@ BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The checkpoint folder of the session: spark.checkpoint.dir, which the cluster shares; only where none is named (tests), a temporary one is set."""
+    """The checkpoint folder of the session: spark.checkpoint.dir, which the cluster shares. Only a local session may go without (tests): it gets a temporary one."""
     context = spark.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="ledgerloom-checkpoint-"))
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named and not context.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the cluster shares")
+        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="ledgerloom-checkpoint-"))
     return context._jsc.sc().getCheckpointDir().get()
 
 

@@ -95,11 +95,11 @@ def with_next(df: DataFrame, id_col: str, columns: list[str], derive=lambda d: d
     n = max(2, spread * shuffle_width(spark))
     bounds = sorted(set(df.select(F.percentile_approx(F.col(id_col), [i / n for i in range(1, n)], 100 * n).alias("b")).first()["b"] or []))
 
-    def place(lo: int, hi: int):  # a balanced tree of comparisons
-        mid = (lo + hi) // 2
-        return F.lit(lo) if lo == hi else F.when(F.col(id_col) < bounds[mid], place(lo, mid)).otherwise(place(mid + 1, hi))
-
-    dealt = df.withColumn(bucket, F.when(F.col(id_col).isNull(), F.lit(0)).otherwise(place(0, len(bounds)))).withColumn(ghost, F.lit(0))
+    # how many bounds are at the id or below it, by binary search: the steps are powers of two, from the largest
+    steps = F.lit([1 << k for k in range(len(bounds).bit_length() - 1, -1, -1)] or [1])
+    array = F.lit(bounds) if bounds else F.array().cast(f"array<{dict(df.dtypes)[id_col]}>")
+    place = F.aggregate(steps, F.lit(0), lambda at, step: F.when(F.get(array, at + step - 1) <= F.col(id_col), at + step).otherwise(at))
+    dealt = df.withColumn(bucket, F.when(F.col(id_col).isNull(), F.lit(0)).otherwise(place)).withColumn(ghost, F.lit(0))
     first = F.min(F.struct(F.col(id_col).isNotNull().alias("known"), F.col(id_col).alias("id")))
     heads = dealt.groupBy(bucket).agg(first.alias("first")).orderBy(bucket).collect()  # one row for each bucket
     if not heads:

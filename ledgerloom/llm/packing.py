@@ -30,6 +30,10 @@ class Limits:
     loss_tokens: int = 4096
     open_most: int = 32
 
+    def __post_init__(self):
+        if min(self.tokens, self.segments, self.loss_tokens, self.open_most) < 1:
+            raise ValueError("every limit is 1 at least: else nothing could ever be placed")
+
 
 class Packer:
     """Places (doc, start, ids, loss, total) pieces; `done` collects finished sequences as lists of pieces.

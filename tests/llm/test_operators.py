@@ -343,6 +343,12 @@ def test_pack(spark, odd, nothing, library):
     assert len(documents[3]) == 2 and packing.pack(nothing, vocabulary()).count() == 0
 
 
+def test_limits_that_fit_nothing():
+    for bad in ({"tokens": 0}, {"segments": 0}, {"loss_tokens": 0}, {"open_most": 0}):
+        with pytest.raises(ValueError):
+            packing.Limits(**bad)
+
+
 @pytest.mark.parametrize("limits", [packing.Limits(64, 3, 64, 4), packing.Limits(64, 8, 20, 2), packing.Limits(16, 1, 16, 1)])
 def test_packer_keeps_all_limits(limits):
     rng = np.random.default_rng(6)

@@ -9,9 +9,9 @@ import numpy as np
 import pytest
 from conftest import SMALL
 from pyspark.sql import functions as F
-from test_operators import brute_components, shingles_of
+from test_operators import brute_components, brute_kneser_ney, shingles_of
 
-from ledgerloom.llm import langid
+from ledgerloom.llm import langid, quality, secret_scan
 from ledgerloom.llm.queries import ORACLES, QUERIES, vocabulary
 
 
@@ -118,24 +118,73 @@ def test_packing_query(spark, tables):
         assert [o for o, _ in sorted(own)] == [0, *ends[:-1]] and (ends[-1] == 4096 or ends[-1] & (ends[-1] - 1) == 0 and ends[-1] < 4096)
 
 
-def test_pipeline(spark):
+def test_pipeline_against_brute_force(spark, tables, tmp_path):
+    """Every stage on what its predecessor kept, each compared with a plain Python version of its decision."""
     import corpus_pipeline
+    from tokenizers import Tokenizer
 
-    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
-    columns, counts = docs.columns, [docs.count()]
-    labels = {r["doc_id"]: r for r in spark.read.parquet(f"{SMALL}/labels.parquet").collect()}
-    for k, (_, stage) in enumerate(corpus_pipeline.STAGES[:-1]):
-        out = stage(spark, docs, SMALL)
-        assert out.columns == columns
-        kept = out.cache()
-        counts.append(kept.count())
-        if k == 0:  # clean documents stay, most bad ones go
-            ids = {r["doc_id"] for r in kept.select("doc_id").collect()}
-            good = [i for i, r in labels.items() if r["quality"] == 1 and not r["toxic"]]
-            bad = [i for i, r in labels.items() if r["quality"] == 0]
-            assert np.mean([i in ids for i in good]) > 0.95 > 0.5 > np.mean([i in ids for i in bad])
-        docs = kept
-    assert counts == sorted(counts, reverse=True) and counts[3] == counts[4]
-    assert docs.filter("text RLIKE 'AKIA[A-Z0-9]{12}|[0-9a-f]{32}'").count() == 0
-    pieces = corpus_pipeline.STAGES[-1][1](spark, docs, SMALL)
-    assert pieces.select("doc_id").distinct().count() == docs.count()
+    columns = [c[0] for c in tables.execute("SELECT * FROM documents LIMIT 0").description]
+    docs = {r[0]: dict(zip(columns, r, strict=True)) for r in tables.execute("SELECT * FROM documents").fetchall()}
+    labels = {i: (q, t) for i, q, t in tables.execute("SELECT doc_id, quality, toxic FROM labels").fetchall()}
+    stage = dict(corpus_pipeline.STAGES)
+    assert [n for n, _ in corpus_pipeline.STAGES] == ["quality classifier", "exact dedup", "n-gram Jaccard join", "secret scans", "packing"]
+
+    def run(name, given):
+        path = str(tmp_path / name.replace(" ", "-"))
+        stage[name](spark, given, SMALL).write.parquet(path)
+        out = spark.read.parquet(path)
+        return out, {r["doc_id"]: r.asDict() for r in out.collect()} if "text" in out.columns else out.collect()
+
+    # 1: held-out quantile of the excess over the allowance, under a model of the other trusted texts
+    trusted = [i for i, (q, t) in labels.items() if q == 1 and not t and i in docs]
+    held = {i for i in trusted if zlib.crc32(str(i).encode()) % quality.FOLDS == 0}
+    model = brute_kneser_ney([docs[i]["text"] or "" for i in trusted if i not in held])
+    excess = {i: -np.mean([model(r["text"], k) for k in range(len(r["text"]))]) - 2 / len(r["text"]) ** 0.5 for i, r in docs.items() if r["text"]}
+    quantile = lambda own: sorted(own)[max(0, int(np.ceil(0.995 * len(own))) - 1)]
+    by_lang = {}
+    for i in held & excess.keys():
+        by_lang.setdefault(docs[i]["lang"], []).append(excess[i])
+    overall = quantile([excess[i] for i in held & excess.keys()])
+    limit = {lang: quantile(own) for lang, own in by_lang.items() if len(own) >= 50}
+    want = {i for i, r in docs.items() if not r["text"] or excess[i] <= limit.get(r["lang"], overall) + 1e-9}
+    frame, got = run("quality classifier", spark.read.parquet(f"{SMALL}/documents.parquet"))
+    assert frame.columns == columns and got == {i: docs[i] for i in want}
+
+    # 2: the largest identifier of each text
+    fold = lambda t: re.sub("[A-Z]", lambda m: m[0].lower(), t or "")
+    best = {}
+    for i, r in got.items():
+        best[fold(r["text"])] = max(i, best.get(fold(r["text"]), i))
+    frame, got = run("exact dedup", frame)
+    assert frame.columns == columns and set(got) == set(best.values())
+
+    # 3: the smallest identifier of each component
+    parts = brute_components([(i, r["text"] or "") for i, r in got.items()])
+    frame, got = run("n-gram Jaccard join", frame)
+    assert frame.columns == columns and set(got) == set(parts.values())
+
+    # 4: every base span goes, and all other text stays in order
+    before = got
+    frame, got = run("secret scans", frame)
+    assert frame.columns == columns and got.keys() == before.keys()
+    grammar = secret_scan.learn(spark.createDataFrame([(i, r["text"]) for i, r in before.items()], "doc_id long, text string"))
+    for i, r in got.items():
+        text = before[i]["text"]
+        gone, shown, at = sorted((a, b, k) for a, b, k, _ in grammar.spans(text or "")), "", 0
+        for a, b, kind in gone:
+            if a >= at:
+                shown += (text or "")[at:a] + f"<secret:{kind}>"
+            at = max(at, b)
+        assert r["text"] == (None if text is None else shown + text[at:]) and r["n_chars"] == len(r["text"] or "")
+        assert not secret_scan.base_spans(r["text"] or "")
+
+    # 5: every id of every document once
+    library = Tokenizer.from_file(vocabulary())
+    _, pieces = run("packing", frame)
+    sizes = {i: len(library.encode(r["text"] or "", add_special_tokens=False).ids) + 1 for i, r in got.items()}
+    lengths = {}
+    for r in pieces:
+        lengths[r["doc_id"]] = lengths.get(r["doc_id"], 0) + r["length"]
+    assert lengths == sizes
+    whole = corpus_pipeline.run(spark, SMALL)
+    assert whole.columns == list(pieces[0].asDict()) and {r["doc_id"] for r in whole.collect()} == set(sizes)
