@@ -1,8 +1,11 @@
 """The ledger's operators on stated facts and against the registered SQL."""
 
+import io
 import itertools
 import random
 import re
+import zipfile
+from xml.etree import ElementTree
 
 import duckdb
 import numpy as np
@@ -16,6 +19,7 @@ from ledgerloom.operators import crosswalk, extract, query, reconcile, structure
 from ledgerloom.plans import registry
 from ledgerloom.schema import AMOUNTS
 from ledgerloom.sinks import writers
+from ledgerloom.sources import catalog_api
 from ledgerloom.sources import ledger as sources
 from ledgerloom.streaming import refresh
 
@@ -270,6 +274,92 @@ def test_crosswalk(spark):
     assert crosswalk.token_set_ratio("a b", "b a c") == 100 and crosswalk.token_set_ratio("", "x") == 0
 
 
+def brute_ratio(a, b):
+    """The token set ratio by its public definition, with a table of common subsequences."""
+
+    def same(p, q):
+        row = [0] * (len(q) + 1)
+        for x in p:
+            row = [0, *itertools.accumulate(range(len(q)), lambda left, j: row[j] + 1 if x == q[j] else max(row[j + 1], left), initial=0)][1:]
+        return row[-1]
+
+    x, y = set(a.split()), set(b.split())
+    if not x or not y:
+        return 0.0
+    both = " ".join(sorted(x & y))
+    one, two = (" ".join(w for w in [both, *sorted(s)] if w) for s in (x - y, y - x))
+    if both and (x <= y or y <= x):
+        return 100.0
+    return max([200 * same(p, q) / (len(p) + len(q)) for p, q in ((both, one), (both, two), (one, two)) if p and q])
+
+
+def test_fuzzy_matches_equal_all_pairs(spark):
+    """Misspelt names against every reference: the best of 92 or more, the first of ties; nothing is lost to the blocking."""
+    rng = random.Random(11)
+    words = ["office", "of", "the", "land", "water", "harbour", "ferries", "survey", "to", "art", "fund", "bridge", "in", "maps"]
+    refs = [(k, f"C{k}", " ".join(rng.sample(words, rng.randrange(1, 6)))) for k in range(60)]
+    names = set()
+    for _ in range(120):
+        w = list(rng.choice(refs)[2])
+        for _ in range(rng.randrange(3)):
+            at = rng.randrange(len(w))
+            w[at : at + rng.randrange(2)] = rng.choice("abcdefgh ")
+        names.add(" ".join("".join(w).split()))
+    got = {r["name"]: (r["match"], r["code"]) for r in crosswalk.match_accounts(spark.createDataFrame([(n, "") for n in names if n], "name string, context string"), spark.createDataFrame([(*r, "") for r in refs], "ref_ord int, code string, title string, agency string")).collect()}
+    reviewed = 0
+    for name, found in got.items():
+        if any(t == name or t.startswith(name + " ") for _, _, t in refs):
+            assert found[0] in ("exact", "ambiguous")
+            continue
+        scores = [(brute_ratio(name, t), -k, c) for k, c, t in refs]
+        best = max(scores)
+        assert found == (("needs_review", best[2]) if best[0] >= 92 else ("unmatched", None)), name
+        reviewed += found[0] == "needs_review"
+    assert reviewed > 20 and crosswalk.common_subsequence("abcbdab", "bdcaba") == 4 and crosswalk.common_subsequence("", "a") == 0
+
+
+def test_workbook_and_catalog(spark, tmp_path):
+    rows = statement(spark, [("oak <1>", False, False, 10), ("of which", False, True, 5), ("Total, x", True, False, 10), ("ash", False, False, 7), ("Total", True, False, 17), ("Total, y", True, False, None)])
+    proof = writers.proof_rows(rows, reconcile.reconcile(rows)).orderBy("row_ord").collect()
+    assert [(r["leaf"], r["rollup"], r["formula"]) for r in proof] == [(10, None, None), (None, None, None), (None, 10, "=SUM(C1)"), (7, None, None), (None, 17, "=SUM(C4,D3)"), (None, None, "=0")]
+    book = writers.workbooks(writers.proof_rows(rows, reconcile.reconcile(rows))).first()
+    with zipfile.ZipFile(io.BytesIO(book["content"])) as z:
+        sheet = ElementTree.fromstring(z.read("xl/worksheets/sheet1.xml"))
+        assert z.testzip() is None and {"[Content_Types].xml", "xl/workbook.xml"} <= set(z.namelist())
+    assert [f.text for f in sheet.iter() if f.tag.endswith("}f")] == ["SUM(C1)", "SUM(C4,D3)", "0"] and "oak <1>" in [t.text for t in sheet.iter() if t.tag.endswith("}t")]
+    assert sources.load_catalog(spark, str(tmp_path / "none")).count() == 0 and sources.enacted_prints(spark).count() == 16
+    with pytest.raises(OSError):
+        catalog_api.CatalogReader({"transport": "os:listdir", "congresses": "1", "wait": "0"})._page(lambda *_: (_ for _ in ()).throw(OSError("down")), "1", 0)
+
+
+def test_next_rollup_and_chain_in_long_reports(spark):
+    """One report of many blocks: in time that grows with its rows, and as a plain loop has it."""
+    rng = random.Random(13)
+    rows, state, want = [], None, {}
+    for k in range(3_000):
+        items = [rng.randrange(5) for _ in range(rng.randrange(1, 3))]
+        carry = state if state is not None else 0
+        printed = rng.choice([sum(items), sum(items) + carry, 77])
+        name = f"Total, b{k}" if rng.random() < 0.9 else "Total"
+        fits = name != "Total" and printed == sum(items) + carry
+        for v in items:
+            want[len(rows)] = f"b{k}" if fits else None
+            rows.append((f"i{len(rows)}", False, v))
+        rows.append((name, True, printed))
+        state = printed if fits else None
+    schema = "report_id string, row_ord int, line_item_text string, is_subtotal boolean, is_memo boolean, account string, prior_year_enacted long, budget_estimate long, committee_recommendation long"
+    df = spark.createDataFrame([("r", i, t, s, False, None, None, None, v) for i, (t, s, v) in enumerate(rows)], schema)
+    got = {r["row_ord"]: r["account_inferred"] for r in structure.infer_block_accounts(df).filter("NOT is_subtotal").collect()}
+    assert got == want and len({v for v in want.values()}) > 500
+    back = {r["row_ord"]: r["account_recovered"] for r in structure.next_rollup_account(df).filter("NOT is_subtotal").collect()}
+    following = None
+    for i in range(len(rows) - 1, -1, -1):
+        if rows[i][1]:
+            following = rows[i][0][7:] or None
+        else:
+            assert back[i] == following
+
+
 def test_flow_and_accounts(spark):
     rows = query.with_defaults(sources.ledger(spark, SMALL))
     with pytest.raises(ValueError):
@@ -293,8 +383,6 @@ def test_sinks_and_sources(spark, tmp_path):
     back = sources.csv_fact(spark, str(tmp_path / "out" / "fact.csv"), ("committee_recommendation", "row_ord"), ("is_subtotal",))
     assert sorted(map(str, back.select("report_id", "row_ord", "committee_recommendation", "is_subtotal").collect())) == sorted(map(str, rows.select("report_id", F.col("row_ord").cast("long"), "committee_recommendation", "is_subtotal").collect()))
     assert sources.release(spark, str(tmp_path / "out" / "fact.parquet"), ["stage", "chamber"]).columns == ["stage", "chamber", "track"]
-    formulas = writers.sum_formulas(spark.createDataFrame([("r", 9, [1, 2, 3, 7])], "report_id string, row_ord int, children array<int>")).first()["formula"]
-    assert formulas == "=SUM(C2:C4,C8)"
     packages = spark.createDataFrame([("CRPT-118hrpt553", "Agriculture Appropriations Bill, 2025", "HRPT", "118", "2024-01-01"), ("X", "Naming a post office", "HRPT", "118", "")], "package_id string, title string, doc_class string, congress string, date_issued string")
     assert [(r["report_number"], r["subcommittee"], r["fiscal_year"]) for r in sources.catalog(packages).collect()] == [(553, "Agriculture", 2025)]
 
