@@ -1,4 +1,4 @@
-"""Command line over a released ledger: reconcile, trace, compare, facets, status."""
+"""Command line over a released ledger: reconcile, trace, compare, facets, status; and reports, over a catalog."""
 
 from __future__ import annotations
 
@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.operators import query, reconcile, trace
+from ledgerloom.sources.ledger import load_catalog
 
 
 def main(args: list[str] | None = None, spark: SparkSession | None = None) -> int:
@@ -17,6 +18,10 @@ def main(args: list[str] | None = None, spark: SparkSession | None = None) -> in
     for name in ("reconcile", "trace", "compare", "facets", "status"):
         commands.add_parser(name).add_argument("source", help="Parquet ledger")
     own = commands.choices
+    reports = commands.add_parser("reports")
+    reports.add_argument("source", help="JSON catalog")
+    for name, kind in (("congress", int), ("chamber", str), ("subcommittee", str), ("fiscal-year", int), ("stage", str)):
+        reports.add_argument(f"--{name}", type=kind)
     own["reconcile"].add_argument("--report")
     own["reconcile"].add_argument("--worst", type=int, default=10)
     own["reconcile"].add_argument("--fail-under", type=float)
@@ -27,6 +32,10 @@ def main(args: list[str] | None = None, spark: SparkSession | None = None) -> in
     own["compare"].add_argument("--metric", default="committee_recommendation")
     given = parser.parse_args(args)
     spark = spark or SparkSession.builder.appName("ledgerloom").getOrCreate()
+    if given.command == "reports":
+        wanted = {c: getattr(given, c) for c in ("congress", "chamber", "subcommittee", "fiscal_year", "stage")}
+        _show(query.find_reports(load_catalog(spark, given.source), **wanted).orderBy("congress", "package_id"))
+        return 0
     rows = query.with_defaults(spark.read.parquet(given.source))
     if given.command == "reconcile":
         totals = reconcile.reconcile(rows.filter(F.col("report_id") == given.report) if given.report else rows).persist()

@@ -149,8 +149,8 @@ def unverified_profile(df: DataFrame, category: Column, top: int = 8) -> DataFra
 
 
 def smallest_first(sizes: DataFrame, size: str = "pages", key: str = "report_id") -> DataFrame:
-    """Adds `turn`, from 1: the order in which work of unequal size is done, the smallest first, ties by key."""
-    return sizes.withColumn("turn", F.row_number().over(W.orderBy(size, key)))
+    """The order in which work of unequal size is done: the smallest first, ties by key."""
+    return sizes.orderBy(size, key)
 
 
 def ordered_blank_first(df: DataFrame, *keys: str) -> DataFrame:

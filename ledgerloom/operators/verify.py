@@ -113,7 +113,7 @@ def contained_passages(passages: DataFrame, sources: DataFrame, passage_id: str,
         found = s.select("s", F.explode(F.array_distinct(blocks(F.col("own"), k))).alias("block")).join(asked, "block").select("p", "s")
         pairs = found if pairs is None else pairs.unionByName(found)
     if pairs is None:
-        pairs = p.select("p").crossJoin(s.select("s")).limit(0)
+        pairs = p.select("p", F.lit(None).cast(dict(s.dtypes)["s"]).alias("s")).limit(0)  # no passage has any text
     raw = passages.select(F.col(passage_id).alias("_p"), F.col(text).alias("raw"))
     whole = sources.select(F.col(source_id).alias("_s"), F.col(text).alias("source"))
     met = pairs.distinct().join(whole, F.expr("s <=> _s")).join(raw, F.expr("p <=> _p"))

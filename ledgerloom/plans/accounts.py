@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import text as fx
@@ -309,22 +309,18 @@ def report_status(spark, sf_dir):
     return writers.status_counts(listed, rows.filter("is_memo AND NOT is_subtotal"))
 
 
-@register("work_order", "SELECT report_id, pages, row_number() OVER (ORDER BY pages, report_id) AS turn FROM (SELECT report_id, count(DISTINCT blk) AS pages FROM ledger GROUP BY report_id)")
+@register("work_order", "SELECT report_id, pages, row_number() OVER (ORDER BY pages, report_id) AS turn FROM (SELECT report_id, count(DISTINCT blk) AS pages FROM ledger GROUP BY report_id) ORDER BY turn LIMIT 100")
 def work_order(spark, sf_dir):
-    return query.smallest_first(ledger(spark, sf_dir).groupBy("report_id").agg(F.count_distinct("blk").alias("pages")))
+    """The first hundred reports to work on."""
+    first = query.smallest_first(ledger(spark, sf_dir).groupBy("report_id").agg(F.count_distinct("blk").alias("pages"))).limit(100)
+    return first.withColumn("turn", F.row_number().over(Window.orderBy("pages", "report_id")))
 
 
 @register("blank_first", "SELECT report_id, row_ord, row_number() OVER (ORDER BY coalesce(account, ''), report_id, CAST(row_ord AS VARCHAR)) AS place FROM ledger QUALIFY place <= 500")
 def blank_first(spark, sf_dir):
     """The first 500 rows by account, where no account counts as an empty one."""
     rows = query.ordered_blank_first(ledger(spark, sf_dir).select("report_id", "row_ord", "account"), "account", "report_id", "row_ord").limit(500)
-    return rows.select("report_id", "row_ord", F.row_number().over(_by_text("account", "report_id", "row_ord")).alias("place"))
-
-
-def _by_text(*keys: str):
-    from pyspark.sql import Window
-
-    return Window.orderBy(*[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys])
+    return rows.select("report_id", "row_ord", F.row_number().over(Window.orderBy(F.coalesce("account", F.lit("")), "report_id", F.col("row_ord").cast("string"))).alias("place"))
 
 
 @register("audit_by_track", """

@@ -10,12 +10,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 def new_folder(spark: SparkSession, name: str) -> str:
     """A path that doesn't exist yet, below spark.checkpoint.dir. Only a local session may go without that setting: it gets a temporary folder."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    named = context._jsc.sc().getCheckpointDir()
+    base = spark.conf.get("spark.checkpoint.dir", None) or (named.get() if named.isDefined() else None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir must name a folder that the cluster shares")
         base = tempfile.mkdtemp(prefix="ledgerloom-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        context.setCheckpointDir(base)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 

@@ -13,6 +13,7 @@ import pytest
 from conftest import SMALL
 from pyspark.sql import functions as F
 
+from ledgerloom import cli
 from ledgerloom.functions import latex
 from ledgerloom.functions import text as fx
 from ledgerloom.operators import crosswalk, extract, query, reconcile, structure, trace, verify
@@ -387,6 +388,17 @@ def test_sinks_and_sources(spark, tmp_path):
     assert [(r["report_number"], r["subcommittee"], r["fiscal_year"]) for r in sources.catalog(packages).collect()] == [(553, "Agriculture", 2025)]
 
 
+def test_command_line(spark, tmp_path, capsys):
+    rows = sources.ledger(spark, SMALL)
+    rows.filter("fiscal_year = 1996").write.parquet(str(tmp_path / "fact"))
+    writers.write_json(sources.enacted_prints(spark), str(tmp_path / "catalog"))
+    run = lambda *args: (cli.main(list(args), spark), capsys.readouterr().out.splitlines())
+    code, shown = run("reports", str(tmp_path / "catalog"), "--congress", "117", "--fiscal-year", "2023")
+    assert code == 0 and [line.split("\t")[0] for line in shown] == ["CPRT-117HPRT50347", "CPRT-117HPRT50348"]
+    assert run("reconcile", str(tmp_path / "fact"), "--fail-under", "0.99")[0] == 1 and run("reconcile", str(tmp_path / "fact"), "--fail-under", "0.01")[0] == 0
+    assert len(run("compare", str(tmp_path / "fact"), "--account", "bolt")[1]) == 1 and run("facets", str(tmp_path / "fact"))[1] and run("status", str(tmp_path / "fact"))[1] and run("trace", str(tmp_path / "fact"))[0] == 0
+
+
 def test_stream(spark, tmp_path):
     rows = sources.ledger(spark, SMALL).limit(200)
     rows.write.parquet(str(tmp_path / "in"))
