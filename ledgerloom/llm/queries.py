@@ -60,6 +60,18 @@ def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.link_components(_table(spark, sf_dir, "documents"))
 
 
+OP3_SQL = r"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS MATERIALIZED (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS g FROM d),
+n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS o FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+l AS MATERIALIZED (SELECT x, y FROM p JOIN n i ON i.doc_id = x JOIN n j ON j.doc_id = y WHERE 100 * o >= 75 * (i.n + j.n - o)),
+c(doc_id, root) AS (SELECT doc_id, doc_id FROM d UNION SELECT l.y, c.root FROM c JOIN l ON l.x = c.doc_id)
+SELECT d.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(c.root) AS component_id, (SELECT count(*) FROM l WHERE l.x = d.doc_id) AS n_links
+FROM d JOIN c ON c.doc_id = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id GROUP BY d.doc_id
+"""
+
+
 def vocabulary() -> str:
     import public_tokenizers
 
@@ -80,6 +92,18 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(_table(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_removed", "text")
 
 
+OP6_SQL = r"""
+WITH d AS (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents WHERE text IS NOT NULL),
+l AS MATERIALIZED (SELECT doc_id, pos, ls[pos] AS line, len(regexp_extract_all(ls[pos], '\S+')) AS words FROM (SELECT doc_id, ls, unnest(range(1, len(ls) + 1)) AS pos FROM d)),
+p AS (SELECT a.doc_id AS x, a.pos, a.words, b.doc_id AS y, a.pos - b.pos AS diagonal FROM l a JOIN l b ON a.line = b.line AND (b.doc_id < a.doc_id OR (b.doc_id = a.doc_id AND b.pos < a.pos))),
+i AS (SELECT *, pos - row_number() OVER (PARTITION BY x, y, diagonal ORDER BY pos) AS island FROM p),
+r AS (SELECT x, min(pos) AS a, max(pos) AS z FROM i GROUP BY x, y, diagonal, island HAVING sum(words) >= 50),
+gone AS MATERIALIZED (SELECT DISTINCT x, unnest(range(a, z + 1)) AS pos FROM r),
+kept AS (SELECT l.doc_id, count(*) AS n_lines, count(g.pos) AS n_removed, coalesce(string_agg(CASE WHEN g.pos IS NULL THEN line END, chr(10) ORDER BY l.pos), '') AS text FROM l LEFT JOIN gone g ON g.x = l.doc_id AND g.pos = l.pos GROUP BY l.doc_id)
+SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed, kept.text FROM documents d LEFT JOIN kept ON kept.doc_id = d.doc_id
+"""
+
+
 def trusted_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents labelled as good and not toxic."""
     return _table(spark, sf_dir, "labels").filter("quality = 1 AND coalesce(toxic, 0) = 0").select("doc_id")
@@ -130,4 +154,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_secrets": op9_secrets,
     "op10_fingerprint": op10_fingerprint,
 }
-ORACLES: dict[str, str] = {"op1_exact_dedup": OP1_SQL, "op2_chat_format": OP2_SQL}
+ORACLES: dict[str, str] = {"op1_exact_dedup": OP1_SQL, "op2_chat_format": OP2_SQL, "op3_jaccard_join": OP3_SQL, "op6_line_dedup": OP6_SQL}
