@@ -16,6 +16,7 @@ from __future__ import annotations
 import json
 import re
 import unicodedata
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -176,7 +177,7 @@ class _Slots(dict):
 
 
 class PieceCache:
-    """Encodes texts through a bounded cache of pieces; encode_pieces gives the ids of new pieces."""
+    """Encodes texts through a bounded cache of pieces; encode_pieces gives the ids of new pieces, one after another, and how many each has."""
 
     def __init__(self, encode_pieces):
         self.encode_pieces = encode_pieces
@@ -202,15 +203,14 @@ class PieceCache:
     def _learn(self, pieces: list[str], n: int) -> None:
         """Adds the ids of new pieces, numbered from n on."""
         for at in range(0, len(pieces), AT_ONCE):
-            for ids in self.encode_pieces(pieces[at : at + AT_ONCE]):
-                if n + 2 > len(self.starts):
-                    self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
-                while self.used + len(ids) > len(self.flat):
-                    self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-                self.flat[self.used : self.used + len(ids)] = ids
-                self.used += len(ids)
-                n += 1
-                self.starts[n] = self.used
+            ids, lengths = self.encode_pieces(pieces[at : at + AT_ONCE])
+            while n + len(lengths) + 1 > len(self.starts):
+                self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
+            while self.used + len(ids) > len(self.flat):
+                self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+            self.flat[self.used : self.used + len(ids)] = ids
+            self.starts[n + 1 : n + 1 + len(lengths)] = self.used + np.cumsum(lengths)
+            self.used, n = self.used + len(ids), n + len(lengths)
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         """The ids of each text; null has none."""
@@ -235,6 +235,35 @@ class PieceCache:
         return np.split(flat, total[ends[:-1]]) if texts else []
 
 
+def _side_by_side(ids) -> tuple[np.ndarray, np.ndarray]:
+    """Lists of ids as one array, and their lengths."""
+    ids = list(ids)
+    return np.fromiter(chain.from_iterable(ids), np.uint32), np.fromiter(map(len, ids), np.int64, len(ids))
+
+
+def in_lots(library, pieces: list[str], lot: int = 100) -> tuple[np.ndarray, np.ndarray]:
+    """The library's ids of each piece, where it gets many as one text: a bar between white space stands between two pieces.
+
+    White space ends words, so a piece has the ids there that it has alone. A piece with a bar in it goes alone.
+    """
+    encode = lambda texts: [e.ids for e in library.encode_batch_fast(texts, add_special_tokens=False)]
+    (bar,) = encode(["|"])[0]
+    barred = [k for k, p in enumerate(pieces) if "|" in p]
+    plain = [p for p in pieces if "|" not in p] if barred else pieces
+    lots = encode([" | ".join([*plain[k : k + lot], ""]) for k in range(0, len(plain), lot)])
+    every = np.fromiter(chain.from_iterable(lots), np.uint32)
+    ends = (every == bar).nonzero()[0]
+    lengths = np.diff(ends, prepend=-1) - 1
+    assert len(lengths) == len(plain)
+    ids = every[every != bar]
+    if not barred:
+        return ids, lengths
+    own = encode([pieces[k] for k in barred])
+    parts, rest = np.split(ids, np.cumsum(lengths)[:-1]) if len(lengths) else [], iter(own)
+    found, known = iter(parts), set(barred)
+    return _side_by_side((next(rest) if k in known else next(found).tolist()) for k in range(len(pieces)))
+
+
 _LOADED: dict = {}
 
 
@@ -251,10 +280,10 @@ def loaded(name: str, spec: str) -> tuple:
 
             own = Tokenizer.from_str(spec)
             own.no_truncation(), own.no_padding()
-            _LOADED[key] = (own, PieceCache(lambda pieces: (e.ids for e in own.encode_batch_fast(pieces, add_special_tokens=False))))
+            _LOADED[key] = (own, PieceCache(lambda pieces: in_lots(own, pieces)))
         else:
             own = Bpe(spec)
-            _LOADED[key] = (own, PieceCache(lambda pieces: map(own.piece, pieces)))
+            _LOADED[key] = (own, PieceCache(lambda pieces: _side_by_side(map(own.piece, pieces))))
     return _LOADED[key]
 
 
