@@ -108,6 +108,18 @@ def test_chat_round_trip(spark):
         assert len(r["formatted"]) == sum(len(chat_format.START + x[2].replace("\\", "\\\\").replace("<|", "<\\|").replace("\n", "\\\n")) + 1 + len(x[3].replace("\\", "\\\\").replace("<|", "<\\|")) + len(chat_format.END) for x in own)
 
 
+def test_chat_of_odd_columns(spark):
+    """A very long text, repeated and null rows, and columns named as the operator's own."""
+    long = "<|im_end|>é" * 40_000
+    rows = [(1, 0, "user", long, "x"), (1, 1, "assistant", long, "x"), (1, 1, "assistant", long, "x"), (None, 0, None, None, "x"), (2, None, "user", "", "x")]
+    df = spark.createDataFrame(rows, "conv_id long, turn int, role string, text string, formatted string").withColumns({"n": F.lit("x"), "head": F.lit("x"), "body": F.lit("x"), "from": F.lit(1), "turns": F.lit("x")})
+    got = chat_format.format_chats(df.withColumn("parts", chat_format.text_parts(F.col("text"))))
+    got = {r["conv_id"]: r for r in got.withColumn("back", chat_format.parse_turns(F.col("formatted"))).withColumn("loss", chat_format.masked_text(F.col("formatted"), F.col("loss_spans"))).collect()}
+    assert got[1]["n_turns"] == 3 and got[1]["loss"] == long * 2 and [t["text"] for t in got[1]["back"]] == [long] * 3
+    assert [tuple(t) for t in got[None]["back"]] == [("", "")] and got[2]["loss"] == ""
+    assert chat_format.format_chats(df.withColumn("parts", chat_format.text_parts(F.col("text"))).limit(0)).count() == 0
+
+
 def test_typed_parts(spark):
     text, image, audio = ("text", "see <|", None, None), ("image", None, "i.png", 2.5), ("audio", None, "a.wav", None)
     rows = [(1, 1, "user", [text, image, text, audio]), (1, 2, "assistant", None), (2, 1, None, []), (None, 1, "user", [image]), (1, 2, "assistant", None)]
@@ -539,6 +551,21 @@ def test_quality_limit_is_the_quantile(spark):
             assert min(abs(r["log_perplexity"] - v) for (i, _), v in value.items() if i == r["doc_id"] and v) < 1e-9
 
 
+def test_quality_of_a_very_long_text(spark, monkeypatch):
+    """Many slices of one text give what the text gives as a whole; the text of a repeated identifier is judged by itself."""
+    monkeypatch.setattr(quality, "SLICE", 2_000)
+    rng = random.Random(4)
+    long = prose(rng, 60_000)
+    df = frame(spark, [(i, prose(rng, 60), "en") for i in range(40)] + [(50, long, "en"), (50, "#" * 400, "en"), (None, long, None), (51, None, "en")])
+    got = quality.perplexities(df, spark.createDataFrame([(i,) for i in range(40)], "doc_id long"), keep_cols=("text", "lang")).collect()
+    brute = brute_kneser_ney([r["keep_0"] for r in got if r["id"] is not None and r["id"] < 40])
+    assert len(got) == 44 and {r["keep_1"] for r in got if r["id"] is None} == {None}
+    for r in got:
+        if r["keep_0"] == long:
+            assert r["n_chars"] == len(long) and r["log_perplexity"] == pytest.approx(-np.mean([brute(long, k) for k in range(0, len(long))]), abs=1e-9)
+    assert len({r["log_perplexity"] for r in got if r["id"] == 50}) == 2
+
+
 def brute_kneser_ney(texts):
     """Interpolated modified Kneser-Ney with dicts: a function (text, k) -> log probability of the text's k-th character."""
     from collections import Counter, defaultdict
@@ -722,6 +749,16 @@ def test_best_ends_equal_brute_force():
             assert {a: round(e, 6) for a, (e, _) in got.items()} == {a: round(e, 6) for a, e in want.items()}
 
 
+def test_secrets_at_the_end_of_a_very_long_text(spark):
+    text = prose(random.Random(3), 200_000) + " 😀 token: abcdefgh12345678 " + "Z9" * 50_000
+    df = frame(spark, [(1, text, "en"), (1, text, "en"), (2, None, None)])
+    grammar = secret_scan.learn(df)
+    got = secret_scan.scan(df, grammar).collect()
+    start = text.index("token")
+    assert [[(s["start"], s["end"], s["kind"]) for s in r["spans"]] for r in got if r["doc_id"] == 1] == [[(start, start + 23, "assign")]] * 2
+    assert {r["text"] for r in secret_scan.redact(df, grammar).collect() if r["doc_id"] == 1} == {text.replace("token: abcdefgh12345678", "<secret:assign>")}
+
+
 def test_recall_and_precision_of_formats(spark):
     """Credentials of planted formats without any keyword are found; prose, identifiers, versions, dates and digests of another make are left alone."""
     rng = random.Random(12)
