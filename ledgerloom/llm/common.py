@@ -86,13 +86,13 @@ def text_slices(batches, column: int = 1, limit: int = 4_000_000):
     give_back()
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Like cut(), but as a compressed Parquet table in the same folder, after which the shuffle files of df go."""
+def written(df: DataFrame, name: str, rows: int = 1000) -> DataFrame:
+    """Like cut(), but as a compressed Parquet table in the same folder, after which the shuffle files of df go. rows: how many go to Python at once."""
     import uuid
 
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    held = {CLEANUP: "true", BATCH: "1000"}
+    held = {CLEANUP: "true", BATCH: str(rows)}
     before = {k: spark.conf.get(k) for k in held}
     try:
         for k, v in held.items():

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import chat_format as chat
-from ledgerloom.llm import bpe, exact_dedup, jaccard_join, langid, line_dedup, packing, quality, secret_scan
+from ledgerloom.llm import align, bpe, exact_dedup, hard_negatives, html_extract, jaccard_join, langid, line_dedup, packing, quality, secret_scan
 from ledgerloom.llm import fingerprint as fp
 
 
@@ -72,10 +72,10 @@ FROM d JOIN c ON c.doc_id = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id GROUP BY
 """
 
 
-def vocabulary() -> str:
+def vocabulary(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("word_bpe_49k.json")
+    return public_tokenizers.path(name)
 
 
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -142,6 +142,33 @@ def op10_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "embeddings").filter("label is not null and embedding is not null and not exists(embedding, x -> x is null or isnan(x) or abs(x) = double('infinity'))")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vector = F.transform("embedding", lambda x: F.floor(256 * x.cast("double")))
+    return hard_negatives.mine(rows.select("vec_id", label.alias("label"), vector.alias("vector")), F.col("vec_id") % 50 == 0)
+
+
+OP11_SQL = """
+WITH c AS MATERIALIZED (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS MATERIALIZED (SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same, CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score FROM c a JOIN c b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+p AS (SELECT anchor_id, other AS positive_id, score AS positive_score FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5)
+SELECT p.anchor_id, positive_id, row_number() OVER w AS rank, other AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+WINDOW w AS (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, other) QUALIFY rank <= 3
+"""
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.align(_table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model"))
+
+
+def op13_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages")
+    return html_extract.extract(pages, html_extract.train(pages))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_chat_format": op2_chat_format,
@@ -153,5 +180,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language": op8_language,
     "op9_secrets": op9_secrets,
     "op10_fingerprint": op10_fingerprint,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_token_alignment": op12_token_alignment,
+    "op13_html_text": op13_html_text,
 }
-ORACLES: dict[str, str] = {"op1_exact_dedup": OP1_SQL, "op2_chat_format": OP2_SQL, "op3_jaccard_join": OP3_SQL, "op6_line_dedup": OP6_SQL}
+ORACLES: dict[str, str] = {"op1_exact_dedup": OP1_SQL, "op2_chat_format": OP2_SQL, "op3_jaccard_join": OP3_SQL, "op6_line_dedup": OP6_SQL, "op11_hard_negatives": OP11_SQL}
