@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from ledgerloom.functions import text as fx
+from ledgerloom.operators import similar
+from ledgerloom.sources.workspace import stored
 
 FUZZY, JACCARD, CONTEXT = 92.0, 0.7, 0.6
 
@@ -48,11 +50,9 @@ def match_accounts(labels: DataFrame, reference: DataFrame) -> DataFrame:
 
     A name matches titles that equal it or begin with it and a space: exact for one, agency_scoped if one of several has
     the most words in common with the context, else ambiguous. Without any, the best fuzzy match of 92 or more needs
-    review, ties by ref_ord. Prefixes are exploded, so this is an equi-join; for the fuzzy match names meet references by trigrams of their words.
-    A score of 92 leaves at least about half of the shorter one's trigrams in place (an edit takes three at most, and 8 % of the characters are
-    edits at most), so pairs with fewer are not scored; only names of nothing but one- or two-letter words might be missed.
+    review, ties by ref_ord. Prefixes are exploded, so this is an equi-join; for the fuzzy match similar.candidates() gives the pairs that can reach the score.
     """
-    keys = labels.select("name", "context").distinct()
+    keys = stored(labels.select("name", "context").distinct(), "labels")  # several branches start from it
     ref = reference.select("ref_ord", "code", "title", "agency", fx.norm_title(F.col("title")).alias("norm")).withColumn("words", F.filter(F.split("norm", " "), lambda w: w != ""))
     heads = ref.select("*", F.explode(F.transform(F.sequence(F.lit(1), F.greatest(F.size("words"), F.lit(1))), lambda n: F.array_join(F.slice("words", F.lit(1), n), " "))).alias("head"))
     hits = keys.join(heads, F.col("name") == F.col("head")).withColumn("overlap", F.size(F.array_intersect(fx.tokens(F.col("agency"), "context"), fx.tokens(F.col("context"), "context"))))
@@ -63,14 +63,12 @@ def match_accounts(labels: DataFrame, reference: DataFrame) -> DataFrame:
     sure = hits.withColumn("match", kind)
     sure = sure.select("name", "context", "match", F.when(F.col("match") != "ambiguous", F.col("code")).alias("code"), F.when(F.col("match") != "ambiguous", F.col("title")).alias("title"))
     rest = keys.join(sure.select("name", "context"), (keys["name"] == sure["name"]) & keys["context"].eqNullSafe(sure["context"]), "left_anti")
-    grams = lambda c: F.array_distinct(F.flatten(F.transform(F.filter(F.split(c, " "), lambda x: x != ""), lambda x: F.transform(F.sequence(F.lit(1), F.length(x)), lambda i: F.substr(F.concat(F.lit(" "), x, F.lit(" ")), i, F.lit(3))))))
-    cut = lambda d, c: d.withColumn("grams", grams(F.col(c))).withColumn(f"n_{c}", F.size("grams"))
-    open_names = cut(rest.select("name").distinct(), "name").select("name", "n_name", F.explode("grams").alias("gram"))
-    met = open_names.join(cut(ref, "norm").select("ref_ord", "n_norm", F.explode("grams").alias("gram")), "gram").groupBy("name", "ref_ord", "n_name", "n_norm").agg(F.count(F.lit(1)).alias("both"))
-    met = met.filter(F.col("both") >= F.least("n_name", "n_norm") / 2 - 3).select("name", "ref_ord")
+    rest = stored(rest, "open-labels")
+    met = similar.candidates(rest.select("name").distinct(), ref, "name", "name", "ref_ord", "norm", FUZZY)
     near = rest.join(met, "name").join(ref.select("ref_ord", "code", "title", "norm", "agency"), "ref_ord")
     shares = (F.coalesce(F.col("context"), F.lit("")) == "") | F.arrays_overlap(fx.tokens(F.col("agency"), "context"), fx.tokens(F.col("context"), "context"))
-    near = near.filter(shares).withColumn("score", fuzzy(F.col("name"), F.col("norm"))).filter(F.col("score") >= FUZZY)
+    near = near.filter(shares)
+    near = near.filter("sure").withColumn("score", F.lit(100.0)).unionByName(near.filter("NOT sure").withColumn("score", fuzzy(F.col("name"), F.col("norm")))).filter(F.col("score") >= FUZZY)
     best = near.withColumn("rank", F.row_number().over(w.orderBy(F.desc("score"), "ref_ord"))).filter("rank = 1").select("name", "context", F.lit("needs_review").alias("match"), "code", "title")
     found = sure.unionByName(best)
     return keys.alias("k").join(found.alias("f"), F.expr("k.name = f.name AND k.context <=> f.context"), "left").select("k.name", "k.context", F.coalesce("f.match", F.lit("unmatched")).alias("match"), "f.code", "f.title")
@@ -97,12 +95,11 @@ def enrich_accounts(df: DataFrame, reference: DataFrame) -> DataFrame:
 def contained(labels: DataFrame, reference: DataFrame, scope: DataFrame | None = None) -> DataFrame:
     """labels (name, bucket) whose words (two or more) all stand in titles of one symbol: name, bucket, symbol, title, agency.
 
-    scope: (bucket, agency) pairs that limit a bucket's references. Relational division by equi-join on words.
+    scope: (bucket, agency) pairs that limit a bucket's references. A label meets the titles that have its rarest word.
     """
     ref = reference.select("ref_ord", F.col("federal_account_symbol").alias("symbol"), F.col("account_title").alias("title"), "agency").withColumn("words", fx.tokens(F.col("title"), "title")).filter(F.size("words") >= 2)
     own = labels.select("name", "bucket").distinct().withColumn("mine", fx.tokens(F.col("name"), "title")).filter(F.size("mine") >= 2)
-    hit = own.select("name", "bucket", F.size("mine").alias("n"), F.explode("mine").alias("word")).join(ref.select("ref_ord", "symbol", "title", "agency", F.explode("words").alias("word")), "word")
-    full = hit.groupBy("name", "bucket", "n", "ref_ord", "symbol", "title", "agency").agg(F.count(F.lit(1)).alias("m")).filter("m = n")
+    full = similar.contained_in(own, ref, "mine", "words")
     if scope is not None:
         full = full.join(scope.select("bucket", "agency").distinct(), ["bucket", "agency"], "left_semi")
     return full.groupBy("name", "bucket").agg(F.count_distinct("symbol").alias("k"), F.min(F.struct("ref_ord", "symbol", "title", "agency")).alias("r")).filter("k = 1").select("name", "bucket", "r.symbol", "r.title", "r.agency")

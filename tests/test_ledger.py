@@ -16,11 +16,11 @@ from pyspark.sql import functions as F
 from ledgerloom import cli
 from ledgerloom.functions import latex
 from ledgerloom.functions import text as fx
-from ledgerloom.operators import crosswalk, extract, query, reconcile, structure, trace, verify
+from ledgerloom.operators import crosswalk, extract, query, reconcile, similar, structure, trace, verify
 from ledgerloom.plans import registry
 from ledgerloom.schema import AMOUNTS
 from ledgerloom.sinks import writers
-from ledgerloom.sources import catalog_api
+from ledgerloom.sources import catalog_api, workspace
 from ledgerloom.sources import ledger as sources
 from ledgerloom.streaming import refresh
 
@@ -116,6 +116,62 @@ def test_closing_run_against_brute_force():
         assert got == (best or (0, False, -printed))
 
 
+def test_open_addends_against_brute_force():
+    """Totals one after another, as in a report: each consumes its run, and is open itself."""
+    rng = random.Random(8)
+    for _ in range(60):
+        open_, stack = reconcile.OpenAddends(), []
+        for row in range(60):
+            if rng.random() < 0.7 or not stack:
+                value, firm = rng.randrange(-4, 12), rng.random() < 0.6
+                open_.push(row, value, firm)
+                stack.append((row, value, firm))
+                continue
+            printed, best = rng.randrange(-5, 40), None
+            for k in range(1, len(stack) + 1):
+                for optional in (False, True):
+                    if optional or any(f for _, _, f in stack[-k:]):
+                        gap = sum(v for _, v, f in stack[-k:] if f or optional) - printed
+                        best = (abs(gap), k, optional, gap) if best is None or abs(gap) < best[0] else best
+            _, k, optional, gap = best
+            assert open_.close(printed) == (gap, optional, [r for r, _, f in stack[-k:] if f or optional])
+            del stack[-k:]
+            open_.push(row, printed, True)
+            stack.append((row, printed, True))
+
+
+def test_open_sums_against_brute_force():
+    rng = random.Random(9)
+    for _ in range(200):
+        sums, stack = reconcile.OpenSums(), []
+        for _ in range(40):
+            if rng.random() < 0.75:
+                value = rng.randrange(-3, 4)
+                sums.push(value)
+                stack.append(value)
+            elif rng.random() < 0.5:
+                top = rng.randrange(len(stack) + 1)
+                sums.cut(top)
+                del stack[top:]
+            wanted, last = rng.randrange(-6, 9), rng.choice([None, rng.randrange(-1, 40)])
+            runs = [(abs(sum(stack[k:]) - wanted), -k) for k in range(len(stack)) if last is None or k <= last]
+            exact = [-k for gap, k in runs if gap == 0]
+            assert sums.exact(wanted, last) == (max(exact) if exact else None)
+            assert sums.nearest(wanted, last) == ((min(runs)[0], -min(runs)[1]) if runs else None)
+
+
+def test_long_report_of_misses_is_quick():
+    """Fifty thousand addends stay open under totals that all miss by little: near linear time, where a scan of the stack takes minutes."""
+    import time
+
+    began, open_ = time.time(), reconcile.OpenSums()
+    for k in range(50_000):
+        open_.push(3 * k + 1)
+        if k % 5 == 4:
+            assert open_.nearest(10**15)[1] == 0
+    assert time.time() - began < 20
+
+
 def test_typeset_totals(spark):
     rows = [("value", 1, 2), ("value", 3, 4), ("total", 4, 6), ("value", 5, 5), ("total", 5, 5), ("total", 9, 11), ("total", 1, 1), ("value", None, 2), ("total", 9, 13)]
     df = spark.createDataFrame([("r", i, *x) for i, x in enumerate(rows)], "report_id string, row_ord int, kind string, request bigint, recommendation bigint")
@@ -297,12 +353,14 @@ def brute_ratio(a, b):
 def test_fuzzy_matches_equal_all_pairs(spark):
     """Misspelt names against every reference: the best of 92 or more, the first of ties; nothing is lost to the blocking."""
     rng = random.Random(11)
-    words = ["office", "of", "the", "land", "water", "harbour", "ferries", "survey", "to", "art", "fund", "bridge", "in", "maps"]
-    refs = [(k, f"C{k}", " ".join(rng.sample(words, rng.randrange(1, 6)))) for k in range(60)]
+    words = ["office", "of", "the", "land", "water", "harbour", "ferries", "survey", "to", "art", "fund", "bridge", "in", "maps", "a", "b", "x"]
+    refs = [(k, f"C{k}", " ".join(rng.sample(words, rng.randrange(1, 6)))) for k in range(250)]
     names = set()
-    for _ in range(120):
+    for _ in range(500):
         w = list(rng.choice(refs)[2])
-        for _ in range(rng.randrange(3)):
+        if rng.random() < 0.2:
+            w = list(" ".join(rng.sample(own := "".join(w).split(), len(own))))
+        for _ in range(rng.choice((0, 1, 1, 2, 5))):
             at = rng.randrange(len(w))
             w[at : at + rng.randrange(2)] = rng.choice("abcdefgh ")
         names.add(" ".join("".join(w).split()))
@@ -319,6 +377,51 @@ def test_fuzzy_matches_equal_all_pairs(spark):
     assert reviewed > 20 and crosswalk.common_subsequence("abcbdab", "bdcaba") == 4 and crosswalk.common_subsequence("", "a") == 0
 
 
+def test_candidates_hold_every_similar_pair(spark):
+    """Long labels, few letters, one-letter words, other orders: no pair that reaches the score is missing, at two scores; and few others are there."""
+    rng = random.Random(4)
+    texts = ["a" * 72 + "bcdefghijklmnopqrstuvwxyzbcde"]
+    texts += [" ".join("".join(rng.choice("abc") for _ in range(rng.randrange(1, 9))) for _ in range(rng.randrange(1, 12))) for _ in range(60)]
+    texts += [" ".join(rng.choice("abcdefgh") for _ in range(rng.randrange(2, 14))) for _ in range(20)]
+    names = []
+    for t in texts:
+        for edits in (0, 1, 2, 4, 7):
+            w = t.split()
+            rng.shuffle(w)
+            w = list(t if edits % 2 else " ".join(w))
+            for _ in range(edits):
+                at = rng.randrange(len(w))
+                w[at : at + rng.randrange(2)] = rng.choice("abcdz ")
+            names.append(" ".join("".join(w).split()))
+    names = sorted({n for n in names if n})
+    left, right = spark.createDataFrame([(n,) for n in names], "name string"), spark.createDataFrame(list(enumerate(texts)), "ref int, title string")
+    scores = {(n, k): crosswalk.token_set_ratio(n, t) for n in names for k, t in enumerate(texts)}
+    for least in (92.0, 85.0):
+        got = {(r["name"], r["ref"]): r["sure"] for r in similar.candidates(left, right, "name", "name", "ref", "title", least).collect()}
+        assert {p for p, s in scores.items() if s >= least} <= set(got)
+        assert all((scores[p] == 100) >= sure for p, sure in got.items())
+    everything = spark.createDataFrame([(f"office {k}", ["office", f"w{k}"]) for k in range(300)], "title string, words array<string>")
+    own = spark.createDataFrame([("a", ["office"]), ("b", ["office", "w7"]), ("c", ["office", "none"]), ("d", [])], "name string, mine array<string>")
+    inside = similar.contained_in(own, everything, "mine", "words").collect()
+    assert sorted((r["name"], r["title"]) for r in inside) == sorted([("a", f"office {k}") for k in range(300)] + [("b", "office 7")])
+    met = similar.meet(own.select("name", F.lit("office").alias("k")), everything.withColumn("k", F.lit("office")), "k", most=20)
+    assert met.count() == 4 * 300
+
+
+def test_first_pass_after_a_failed_write(spark, tmp_path):
+    """What a write without an end leaves is not the table; a whole one is not made again."""
+    path, made = str(tmp_path / "pass"), []
+
+    def make():
+        made.append(1)
+        return spark.range(3)
+
+    (tmp_path / "pass").mkdir()
+    (tmp_path / "pass" / "part-00000.parquet").write_bytes(b"half")
+    assert workspace.made_once(spark, path, make).count() == 3 and workspace.made_once(spark, path, make).count() == 3 and len(made) == 1
+    assert not list(tmp_path.glob("pass.*"))
+
+
 def test_workbook_and_catalog(spark, tmp_path):
     rows = statement(spark, [("oak <1>", False, False, 10), ("of which", False, True, 5), ("Total, x", True, False, 10), ("ash", False, False, 7), ("Total", True, False, 17), ("Total, y", True, False, None)])
     proof = writers.proof_rows(rows, reconcile.reconcile(rows)).orderBy("row_ord").collect()
