@@ -35,7 +35,7 @@ from ledgerloom.llm.bpe import byte_symbols, read_spec
 from ledgerloom.llm.common import text_slices, written
 
 #: Bytes of text in a slice, links that are listed at once, and words that a worker keeps.
-SLICE, AT_ONCE, WORDS = 4_000_000, 4_000_000, 700_000
+SLICE, AT_ONCE, WORDS = 4_000_000, 4_000_000, 400_000
 #: Words that a library gets as one text.
 LOT = 100
 _SINGLE = re.compile(r"(?<=\S) (?=\S)")

@@ -7,7 +7,7 @@ its probability is over one half. The text of a page is its main blocks, one a l
 
 Training: layouts are composed at random with parts whose role is known (articles, menus, headers, footers, sidebars, notices,
 adverts, forms, reader comments, in many kinds of markup, the boilerplate also within the article), filled with the text of
-blocks of a bounded sample of the pages (SAMPLE pages with the smallest hashes, SAMPLE_CHARS of each). So no label of the pages themselves is
+blocks of a bounded sample of the pages (SAMPLE different ones with the smallest hashes, SAMPLE_CHARS of each). So no label of the pages themselves is
 used, and the driver's share doesn't grow with the table. With the same pages the model is the same.
 
 Head, scripts, styles and other elements without shown text have no blocks. Null or empty html has the text ''. Unclosed
@@ -505,10 +505,13 @@ def layouts(texts: list[str], n: int = LAYOUTS, seed: int = 11) -> tuple[list[li
     return pages, labels
 
 
-def train(df: DataFrame, id_col: str = "page_id", html_col: str = "html") -> Labeller:
+def train(df: DataFrame, html_col: str = "html") -> Labeller:
     """The labeller, fitted on composed layouts with the text of a bounded sample of the pages. An empty df lends none, which is fine."""
-    text = F.substring(F.col(f"`{html_col}`"), 1, SAMPLE_CHARS)
-    some = df.select(F.xxhash64(F.col(f"`{id_col}`")).alias("h"), text.alias("t")).filter("t is not null").orderBy("h", "t").limit(SAMPLE).collect()
+    own = df.select(F.xxhash64(F.col(f"`{html_col}`")).alias("h"), F.substring(F.col(f"`{html_col}`"), 1, SAMPLE_CHARS).alias("t")).filter("t is not null")
+    n = df.count()
+    if n > 4 * SAMPLE:  # about four times as many as are taken come through, so that what tasks send to the driver doesn't grow with their number
+        own = own.filter(F.col("h") < -(1 << 63) + (1 << 64) * 4 * SAMPLE // n)
+    some = own.distinct().orderBy("h", "t").limit(SAMPLE).collect()
     texts = [b[0] for r in some for b in blocks(r["t"])]
     model = Labeller()
     model.fit(*layouts(texts))
