@@ -74,14 +74,14 @@ def match_accounts(labels: DataFrame, reference: DataFrame) -> DataFrame:
     return keys.alias("k").join(found.alias("f"), F.expr("k.name = f.name AND k.context <=> f.context"), "left").select("k.name", "k.context", F.coalesce("f.match", F.lit("unmatched")).alias("match"), "f.code", "f.title")
 
 
-def enrich_accounts(df: DataFrame, reference: DataFrame) -> DataFrame:
+def enrich_accounts(df: DataFrame, reference: DataFrame, context: tuple[str, ...] = ("agency", "department")) -> DataFrame:
     """Adds account_key, account_key_title and account_match: of account, inferred account and label the first that matches surely, else the first attempt's verdict.
 
-    The context of a (subcommittee, name) is that of its first row in (report_id, row_ord).
+    context: the columns that give a row's context. The context of a (subcommittee, name) is that of its first row in (report_id, row_ord).
     """
     cand = F.posexplode(F.array("account", "account_inferred", "line_item_text")).alias("pos", "label")
     base = df.filter(~F.coalesce(F.col("is_subtotal"), F.lit(False)))
-    tried = base.select("report_id", "row_ord", "subcommittee", F.concat_ws(" ", "agency", "department").alias("context"), cand)
+    tried = base.select("report_id", "row_ord", "subcommittee", F.concat_ws(" ", *context).alias("context"), cand)
     tried = tried.filter((fx.strip(F.coalesce("label", F.lit(""))) != "") & ~fx.is_fragment(F.col("label"))).withColumn("name", fx.normalize_account(F.col("label"))).filter("name <> ''")
     first = tried.groupBy(F.coalesce("subcommittee", F.lit("")).alias("sub"), "name").agg(F.min_by("context", F.struct("report_id", "row_ord", "pos")).alias("context"))
     found = first.alias("f").join(match_accounts(first, reference).alias("m"), F.expr("f.name = m.name AND f.context <=> m.context")).select("f.sub", "f.name", "m.match", "m.code", "m.title")
@@ -113,9 +113,9 @@ def contained_twice(labels: DataFrame, reference: DataFrame) -> DataFrame:
     return first.withColumn("pass", F.lit(1)).unionByName(second.withColumn("pass", F.lit(2)))
 
 
-def corroborated(rows: DataFrame, inline: DataFrame) -> DataFrame:
-    """(report_id, row_ord) of rows that share an amount and a word with the same inline record of their report. inline: report_id, inline_id, amounts, label."""
-    mine = rows.select("report_id", "row_ord", fx.tokens(F.concat_ws(" ", "account", "line_item_text"), "tier").alias("words"), F.explode(F.array_distinct(F.filter(F.array("prior_year_enacted", "budget_estimate", "committee_recommendation"), lambda x: x.isNotNull()))).alias("amount"))
+def corroborated(rows: DataFrame, inline: DataFrame, label: tuple[str, ...] = ("account", "line_item_text")) -> DataFrame:
+    """(report_id, row_ord) of rows that share an amount and a word of their label with the same inline record of their report. inline: report_id, amounts, label."""
+    mine = rows.select("report_id", "row_ord", fx.tokens(F.concat_ws(" ", *label), "tier").alias("words"), F.explode(F.array_distinct(F.filter(F.array("prior_year_enacted", "budget_estimate", "committee_recommendation"), lambda x: x.isNotNull()))).alias("amount"))
     theirs = inline.select("report_id", fx.tokens(F.col("label"), "tier").alias("other"), F.explode(F.array_distinct("amounts")).alias("amount")).filter("amount IS NOT NULL")
     return mine.join(theirs, ["report_id", "amount"]).filter(F.arrays_overlap("words", "other")).select("report_id", "row_ord").distinct()
 

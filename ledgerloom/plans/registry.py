@@ -574,4 +574,4 @@ def document_lines(spark, sf_dir):
     return lines_of(table(spark, sf_dir, "documents"), "doc_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_lines"), F.count_if(F.col("line") != "").alias("n_filled"))
 
 
-from ledgerloom.plans import accounts, exchange, extraction  # noqa: E402, F401
+from ledgerloom.plans import accounts, combined, exchange, extraction  # noqa: E402, F401
