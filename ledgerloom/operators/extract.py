@@ -134,13 +134,56 @@ def without_furniture(lines: DataFrame) -> DataFrame:
     return lines.filter(~F.col("line").rlike(FURNITURE))
 
 
+# A heading in capitals, a title's line, a budget line's code, two or more dots of a leader.
+_CAPITALS = r"^[A-Z0-9][A-Z0-9 ,&/.\-\[\]()']*[A-Z)\]]$"
+_TITLE_LINE = r"^TITLE\s+([IVX]+)\b"
+_CODE = r"^([0-9A-Z][0-9A-Z]{0,4})\s+(.+)$"
+_LEADER = r"\.{2,}"
+#: Lines of one wrapped heading at most, and of the heading of a block in whole dollars.
+WRAPPED, BLOCK_HEADING = 16, 4
+
+
+def _filled(lines: DataFrame) -> DataFrame:
+    return lines.withColumn("line", fx.strip(F.col("line"))).filter("line <> ''")
+
+
+def _heads(line: Column) -> Column:
+    """A line in capitals that may be (part of) a name: no total, no amounts at its end."""
+    return line.rlike(_CAPITALS) & ~line.startswith("TOTAL") & (F.size(fx.trailing_amounts(line)) == 0)
+
+
+def account_above(lines: DataFrame) -> tuple[DataFrame, Column]:
+    """lines (without blank ones) with helper columns, and the expression for the name of the account whose sentence stands in a row.
+
+    The name is the line above, but for page numbers and lines in parentheses, if it is a heading in capitals. The lines right above that end in a
+    comma, up to WRAPPED of them, belong to it. A total, a row with amounts or ordinary text there means no name. Windows over a report in one order.
+    """
+    w, line = _w("report_id"), F.col("line")
+    part = line.endswith(",") & _heads(F.rtrim(line, F.lit(",")))
+    rows = lines.withColumn("_part", part).withColumn("_gap", F.count_if(~F.col("_part")).over(w))
+    run = F.collect_list(F.when(F.col("_part"), F.struct("_gap", "line"))).over(w.rowsBetween(-WRAPPED, 0))
+    rows = rows.withColumn("_run", F.transform(F.filter(run, lambda x: x["_gap"] == F.col("_gap")), lambda x: x["line"]))
+    rows = rows.withColumn("_own", F.struct("line", F.lag("_run").over(w).alias("before")))
+    base = F.last(F.when(~line.rlike(r"^\d+$") & ~line.startswith("("), F.col("_own")), ignorenulls=True).over(w.rowsBetween(W.unboundedPreceding, -1))
+    rows = rows.withColumn("_base", base)
+    name = F.regexp_replace(F.concat_ws(" ", F.array_join("_base.before", " "), F.col("_base.line")), r"\s+", " ")
+    return rows, F.when(_heads(F.col("_base.line")) & fx.strip(name).rlike(_CAPITALS), fx.strip(name))
+
+
 def inline_blocks(lines: DataFrame) -> DataFrame:
-    """Three lines in whole dollars: request, recommendation and change: report_id, row_ord, request, recommendation, change."""
+    """Three lines in whole dollars: request, recommendation and change: report_id, row_ord, account, request, recommendation, change.
+
+    The account is the heading in capitals right above, of BLOCK_HEADING lines at most; none without one.
+    """
     w = _w("report_id")
     amount = lambda c: F.regexp_replace(F.regexp_extract(c, r"(-?\$-?[\d,]+)", 1), r"[$,]", "").try_cast("bigint")
-    rows = lines.withColumn("l1", F.lead("line", 1).over(w)).withColumn("l2", F.lead("line", 2).over(w))
+    rows = _filled(lines).withColumn("l1", F.lead("line", 1).over(w)).withColumn("l2", F.lead("line", 2).over(w))
+    heads = _heads(F.col("line")) & ~F.lower("line").contains("recommendation")
+    above = F.collect_list(F.struct(heads.alias("heads"), "line")).over(w.rowsBetween(-BLOCK_HEADING, -1))
+    account = F.aggregate(above, F.lit(""), lambda name, x: F.when(x["heads"], F.concat_ws(" ", F.nullif(name, F.lit("")), x["line"])).otherwise(""))
+    rows = rows.withColumn("account", F.nullif(F.regexp_replace(account, r"\s+", " "), F.lit("")))
     fits = F.col("line").rlike(r"^Fiscal year \d{4} budget request\b.*\$") & F.col("l1").rlike(r"^Committee recommendation\b.*\$") & F.col("l2").rlike(r"^Change from budget request\b")
-    return rows.filter(fits).select("report_id", "row_ord", amount(F.col("line")).alias("request"), amount(F.col("l1")).alias("recommendation"), amount(F.col("l2")).alias("change"))
+    return rows.filter(fits).select("report_id", "row_ord", "account", amount(F.col("line")).alias("request"), amount(F.col("l1")).alias("recommendation"), amount(F.col("l2")).alias("change"))
 
 
 def recap(lines: DataFrame) -> DataFrame:
@@ -151,22 +194,38 @@ def recap(lines: DataFrame) -> DataFrame:
 
 
 def typeset_statement(lines: DataFrame, anchor: str = ANCHOR, offsets: tuple[str, ...] = OFFSETS) -> DataFrame:
-    """Rows of a typeset statement: report_id, row_ord, account_no, label, kind (value, total or mark), amounts (array of bigint).
+    """Rows of a typeset statement: report_id, row_ord, title, account_no, account, code, label, kind (value, total or mark), marks_row, amounts (array of bigint).
 
-    A sentence that matches `anchor` opens an account. Three or more trailing amounts make a row, or two after a known offset; one
-    amount after a label that isn't all capitals is an adjustment mark on the row before. Of an account's totals the last stays.
+    A sentence that matches `anchor` opens an account; account_above() says which. Three or more trailing amounts make a row, or two after a known
+    offset; one amount after a label that isn't all capitals is an adjustment mark on the row before, unless a total or another account came in
+    between. Lines with a dot leader belong to the recapitulation. A code before a label is one of up to five capitals and digits, with a digit or of four at least. Of an
+    account's totals the last stays.
     """
-    rows = structure.merge_wrapped_totals(lines.withColumn("line", fx.typeset_minus(F.col("line"))))
+    w = _w("report_id")
+    rows = structure.merge_wrapped_totals(_filled(lines.withColumn("line", fx.typeset_minus(F.col("line")))))
+    rows, name = account_above(rows)
+    opens = F.col("line").rlike(anchor)
+    # one row of the window after another: F.struct keeps a missing name apart from no sentence
+    rows = rows.withColumn("_opens", F.when(opens, F.struct(name.alias("name")))).withColumn("account_no", F.count("_opens").over(w)).withColumn("account", F.last("_opens", ignorenulls=True).over(w)["name"])
+    title = F.when(F.col("line").rlike(_TITLE_LINE) & (F.length("line") < 60), F.concat(F.lit("Title "), F.regexp_extract("line", _TITLE_LINE, 1)))
+    rows = rows.withColumn("title", F.last(title, ignorenulls=True).over(w)).withColumn("title", F.last(F.when(opens, F.struct("title")), ignorenulls=True).over(w)["title"])
     nums = fx.trailing_amounts(F.col("line"))
     label = fx.strip(F.regexp_replace(F.regexp_replace("line", r"((?:\s+[+-]?[\d,]*\d[\d,]*)+)\s*$", ""), r"[.\s]+$", ""))
-    rows = rows.withColumn("nums", nums).withColumn("label", label).withColumn("account_no", F.sum(F.when(F.col("line").rlike(anchor), 1).otherwise(0)).over(_w("report_id")))
-    n = F.size("nums")
-    kind = F.when((n >= 3) & F.col("label").rlike("^TOTAL"), "total").when(n >= 3, "value").when((n == 2) & F.upper("label").isin(*offsets), "value").when((n == 1) & ~fx.is_upper(F.col("label")) & (F.col("label") != ""), "mark")
+    rows = rows.withColumn("nums", nums).withColumn("label", label)
+    n, is_offset = F.size("nums"), F.col("label").isin(*offsets)
+    prose = F.lower("label").startswith("the ") | F.lower("label").startswith("section ")
+    kind = F.when(opens | F.col("line").rlike(_LEADER), None).when((n >= 3) & F.col("label").rlike("^TOTAL"), "total").when((n >= 3) & ~prose, "value").when((n == 2) & is_offset, "value").when((n == 1) & ~fx.is_upper(F.col("label")) & (F.col("label") != ""), "mark")
     rows = rows.withColumn("kind", kind).filter("kind IS NOT NULL AND account_no > 0")
-    rows = rows.withColumn("on_row", F.last(F.when(F.col("kind") != "mark", F.col("row_ord")), ignorenulls=True).over(_w("report_id", "account_no")))
+    before = F.last(F.when(F.col("kind") != "mark", F.struct("row_ord", "kind")), ignorenulls=True).over(_w("report_id", "account_no"))
+    rows = rows.withColumn("_row", before).withColumn("on_row", F.when(F.col("_row.kind") == "value", F.col("_row.row_ord")))
     last_total = F.max(F.when(F.col("kind") == "total", F.col("row_ord"))).over(W.partitionBy("report_id", "account_no"))
     rows = rows.withColumn("last_total", last_total).filter("(kind <> 'total' OR row_ord = last_total) AND (kind <> 'mark' OR on_row IS NOT NULL)")
-    return rows.select("report_id", "row_ord", "account_no", "label", "kind", F.when(F.col("kind") == "mark", F.col("on_row")).alias("marks_row"), F.transform("nums", lambda x: F.replace(x, F.lit(","), F.lit("")).cast("bigint")).alias("amounts"))
+    code = F.regexp_extract("label", _CODE, 1)
+    coded = (F.col("kind") == "value") & ~is_offset & (code.rlike(r"\d") | (F.length(code) >= 4))
+    return rows.select(
+        "report_id", "row_ord", "title", "account_no", "account", F.when(coded, code).alias("code"), F.when(coded, fx.strip(F.regexp_extract("label", _CODE, 2))).otherwise(F.col("label")).alias("label"), "kind",
+        F.when(F.col("kind") == "mark", F.col("on_row")).alias("marks_row"), F.transform("nums", lambda x: F.replace(x, F.lit(","), F.lit("")).cast("bigint")).alias("amounts"),
+    )
 
 
 def item_lines(pages: DataFrame, items: str = "items") -> DataFrame:

@@ -161,6 +161,42 @@ def typeset_statements(spark, sf_dir):
     return found.select("report_id", "account_no", "kind", "label", F.array_join(F.transform("amounts", lambda x: x.cast("string")), ",").alias("amounts"))
 
 
+def _typeset_named(spark, sf_dir) -> DataFrame:
+    """Accounts under names of one line, two and three lines, with a note and a page number below, and without a name; items with and without codes."""
+    rows, n = _rows(spark, sf_dir), F.col("pk")
+    anchor = F.concat(F.lit("The committee "), F.lit(extract.ANCHOR), F.lit(" this account:"))
+    name = {
+        0: F.array(F.concat("subcommittee", F.lit(" OFFICE"))),
+        1: F.array(F.concat(F.lit("SURVEYS OF "), "subcommittee", F.lit(",")), F.lit(""), F.lit("AND WORKS")),
+        2: F.array(F.lit("ROADS (NEW),"), F.concat(F.lit("BRIDGES OF  "), "subcommittee", F.lit(",")), F.lit("AND FERRIES")),
+        3: F.array(F.lit("See the table,"), F.concat(F.lit("FUND OF "), "subcommittee"), F.lit("(INCLUDING TRANSFER OF FUNDS)"), F.lit("117")),
+        4: F.array(F.lit("FUND,"), F.lit("See above.")),
+        5: F.array(F.lit("FUND 1 2")),
+        6: F.array(F.lit("LEFT OUT"), F.lit("117"), F.lit("WATER")),
+    }
+    head = F.coalesce(*[F.when(F.col("blk") % 7 == k, v) for k, v in name.items()])
+    title = F.when(F.col("blk") % 11 == 0, F.array(F.lit("TITLE IV"))).when(F.col("blk") % 11 == 5, F.array(F.lit("TITLE II"), F.lit("PROCUREMENT"))).otherwise(F.array().cast("array<string>"))
+    code = F.when(n % 3 == 0, F.concat(F.lit("P"), F.lpad((n % 1000).cast("string"), 3, "0"), F.lit(" "))).when(n % 9 == 1, "ARMY ").when(n % 9 == 4, "ABC ").otherwise("")
+    item = F.concat_ws(" ", F.concat(code, F.initcap("line_item_text")), _money("be"), _money("cr"), _signed("dt"))
+    total = F.array(F.concat_ws(" ", F.lit("TOTAL, FUND"), _money("be"), _money("cr"), _signed("dt")), F.concat(F.lit("Late mark "), _money("be")))
+    first = F.concat(title, head, F.array(anchor, item, F.concat(F.lit("Minor change "), _money("cr")), F.lit("The sum of 1 2 3"), F.lit("Summary row ...... 1 2 3")))
+    return _printed(rows, F.when(F.col("ln") == 1, first).when(~F.col("is_subtotal"), F.array(item)).when(F.col("cr").isNotNull(), total).otherwise(F.array().cast("array<string>")))
+
+
+@register("typeset_accounts", f"""
+, b AS (SELECT DISTINCT report_id, blk, subcommittee FROM ledger)
+, a AS (SELECT report_id, blk, row_number() OVER w AS account_no, last_value(CASE WHEN blk % 11 = 0 THEN 'Title IV' WHEN blk % 11 = 5 THEN 'Title II' END IGNORE NULLS) OVER w AS title,
+ CASE blk % 7 WHEN 0 THEN subcommittee || ' OFFICE' WHEN 1 THEN 'SURVEYS OF ' || subcommittee || ', AND WORKS' WHEN 2 THEN 'ROADS (NEW), BRIDGES OF ' || subcommittee || ', AND FERRIES' WHEN 3 THEN 'FUND OF ' || subcommittee WHEN 6 THEN 'WATER' END AS account FROM b WINDOW w AS (PARTITION BY report_id ORDER BY blk ROWS UNBOUNDED PRECEDING))
+, l AS (SELECT l.*, a.account_no, a.title, a.account AS named FROM ledger l JOIN a ON a.report_id = l.report_id AND a.blk = l.blk)
+SELECT report_id, account_no, title, named AS account, 'value' AS kind, CASE WHEN pk % 3 = 0 THEN 'P' || lpad(CAST(pk % 1000 AS VARCHAR), 3, '0') WHEN pk % 9 = 1 THEN 'ARMY' END AS code, CASE WHEN pk % 9 = 4 THEN 'ABC ' ELSE '' END || {_TITLED} AS label, concat_ws(',', budget_estimate, committee_recommendation, delta_vs_estimate) AS amounts FROM l WHERE NOT is_subtotal
+UNION ALL SELECT report_id, account_no, title, named, 'mark', NULL, 'Minor change', CAST(committee_recommendation AS VARCHAR) FROM l WHERE ln = 1
+UNION ALL SELECT report_id, account_no, title, named, 'total', NULL, 'TOTAL, FUND', concat_ws(',', budget_estimate, committee_recommendation, delta_vs_estimate) FROM l WHERE is_subtotal AND committee_recommendation IS NOT NULL""")
+def typeset_accounts(spark, sf_dir):
+    """Every row with its title, account and code, as they were printed."""
+    found = extract.typeset_statement(_typeset_named(spark, sf_dir))
+    return found.select("report_id", "account_no", "title", "account", "kind", "code", "label", F.array_join(F.transform("amounts", lambda x: x.cast("string")), ",").alias("amounts"))
+
+
 @register("typeset_marks", f"SELECT report_id, {_TITLED} AS label, count(*) AS marks FROM ledger WHERE ln = 1 GROUP BY ALL")
 def typeset_marks(spark, sf_dir):
     """The rows that adjustment marks stand on."""
@@ -176,12 +212,13 @@ def wrapped_totals(spark, sf_dir):
     return lines.groupBy("report_id").agg((F.count(F.lit(1)) - F.count_if(closing)).alias("n_lines"), F.count_if(closing).alias("joined"))
 
 
-@register("dollar_blocks", "SELECT report_id, budget_estimate AS request, committee_recommendation AS recommendation, delta_vs_estimate AS change FROM ledger WHERE is_subtotal AND committee_recommendation IS NOT NULL")
+@register("dollar_blocks", "SELECT report_id, CASE blk % 3 WHEN 0 THEN 'OFFICE OF ' || subcommittee WHEN 1 THEN 'COURT OF ' || subcommittee || ' APPEALS' END AS account, budget_estimate AS request, committee_recommendation AS recommendation, delta_vs_estimate AS change FROM ledger WHERE is_subtotal AND committee_recommendation IS NOT NULL")
 def dollar_blocks(spark, sf_dir):
     rows = _rows(spark, sf_dir).filter("is_subtotal AND cr IS NOT NULL")
     change = F.concat(F.when(F.col("dt") < 0, "-").otherwise(""), F.lit("$"), F.format_number(F.abs("dt"), 0))
+    name = F.when(F.col("blk") % 3 == 0, F.array(F.concat(F.lit("OFFICE OF "), "subcommittee"))).when(F.col("blk") % 3 == 1, F.array(F.concat(F.lit("COURT OF "), "subcommittee"), F.lit("APPEALS"))).otherwise(F.array(F.lit("FUND 1 2")))
     parts = F.array(F.concat(F.lit("Fiscal year 1997 budget request $"), _money("be")), F.concat(F.lit("Committee recommendation $"), _money("cr")), F.concat(F.lit("Change from budget request "), change), F.lit("Words."))
-    return extract.inline_blocks(_printed(rows, parts)).select("report_id", "request", "recommendation", "change")
+    return extract.inline_blocks(_printed(rows, F.concat(name, parts))).select("report_id", "account", "request", "recommendation", "change")
 
 
 @register("recap_rows", """

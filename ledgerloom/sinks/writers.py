@@ -93,11 +93,11 @@ def write_back(before: DataFrame, after: DataFrame, keys: list[str], columns: li
 
 def typeset_deliverables(found: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Of typeset rows: accounts with their rows and the marks on each, nested; line items; and marks."""
-    items = found.filter("kind <> 'mark'").select("report_id", "account_no", "row_ord", "kind", "label", "amounts")
+    items = found.filter("kind <> 'mark'").select("report_id", "account_no", "account", "row_ord", "kind", "code", "label", "amounts")
     marks = found.filter("kind = 'mark'").select("report_id", "account_no", F.col("marks_row").alias("row_ord"), "label", F.element_at("amounts", 1).alias("amount"))
     own = marks.groupBy("report_id", "row_ord").agg(F.array_sort(F.collect_list(F.struct("label", "amount"))).alias("marks"))
     rows = items.join(own, ["report_id", "row_ord"], "left").withColumn("marks", F.coalesce("marks", F.array().cast("array<struct<label:string,amount:bigint>>")))
-    nested = rows.groupBy("report_id", "account_no").agg(F.array_sort(F.collect_list(F.struct("row_ord", "kind", "label", "amounts", "marks"))).alias("rows"))
+    nested = rows.groupBy("report_id", "account_no", "account").agg(F.array_sort(F.collect_list(F.struct("row_ord", "kind", "code", "label", "amounts", "marks"))).alias("rows"))
     return nested, items, marks
 
 

@@ -517,3 +517,22 @@ def test_entry(spark):
 
     assert __spark_entry__.entry(spark).count() > 0
     assert set(registry.ORACLES) <= set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
+
+
+def test_names_above_typeset_accounts(spark):
+    """Names over several lines, past notes and page numbers; none under totals, amounts, prose or at the top; marks after a total belong to nothing."""
+    the = "The committee " + extract.ANCHOR + " it:"
+    text = [the, "Road 1 2 +3", "TITLE III", "PROCUREMENT", "ARMY,", "NAVY & MARINES,", "", "AND AIR FORCE (NEW)", "12", "(INCLUDING TRANSFERS)", the, "012A Gun carriage 1,000 2,000 +1,000", "Short change 5", "TOTAL, PROCUREMENT 1,000 2,000 +1,000", "Late change 7", "lower,", "WATER", the,
+            "The sum 1 2 3", "ABC Thing 1 2 3", "RDTE Thing 1 2 3", "Fund 1 2 3", the, "LESS REIMBURSABLES 5 -5", "SHIPS,", the, "Boat 1 2 3"]
+    got = extract.typeset_statement(spark.createDataFrame([("r", i, t) for i, t in enumerate(text)], "report_id string, row_ord int, line string")).orderBy("row_ord").collect()
+    assert [(r["title"], r["account"], r["code"], r["label"], r["kind"]) for r in got] == [
+        (None, None, None, "Road", "value"),
+        ("Title III", "ARMY, NAVY & MARINES, AND AIR FORCE (NEW)", "012A", "Gun carriage", "value"),
+        ("Title III", "ARMY, NAVY & MARINES, AND AIR FORCE (NEW)", None, "Short change", "mark"),
+        ("Title III", "ARMY, NAVY & MARINES, AND AIR FORCE (NEW)", None, "TOTAL, PROCUREMENT", "total"),
+        ("Title III", "WATER", None, "ABC Thing", "value"),
+        ("Title III", "WATER", "RDTE", "Thing", "value"),
+        ("Title III", "WATER", None, "Fund", "value"),
+        ("Title III", None, None, "LESS REIMBURSABLES", "value"),
+        ("Title III", None, None, "Boat", "value"),
+    ]
