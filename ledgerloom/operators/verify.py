@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import text as fx
@@ -137,12 +138,59 @@ def verification_tier(verified: Column, method: Column, has_amount: Column, infe
     return fx.first_of((F.coalesce(verified, F.lit(False)), method), (~has_amount, "none"), (fx.strip(F.coalesce(inferred, F.lit(""))) != "", "block"), (F.coalesce(corroborated, F.lit(False)), "inline"), otherwise="none")
 
 
+# The marks before a triple's amounts in running text, with the years they name, and the amount after each.
+TRIPLE_MARKS = ("Appropriation, fiscal year {before}", "Budget request, fiscal year {year}", "Recommended in the bill")
+_MARKED_AMOUNT = r"[ .]*\$?([\d,]+|- - -)"
+#: Characters before a triple in which its heading is looked for, and of the heading.
+HEADING_FROM, HEADING = 120, 70
+
+
+def prose_triples(docs: DataFrame, year: int, key: str = "report_id", text: str = "text", before: int | None = None) -> DataFrame:
+    """Triples stated in running text: key, triple_id (from 1), heading, prior_year_enacted, budget_estimate, recommendation columns as in the ledger.
+
+    Markup goes, white space counts as one space. A triple is the first mark of the prior year, the first request after it and the first recommendation
+    after that, whatever stands in between; the next one begins behind it. Only marks with an amount count; - - - is none. The heading is what stands
+    before, up to its first full stop. Marks are found by one pass over the text and put together by windows over them, so a text without an end costs no more than its length.
+    """
+    flat = F.regexp_replace(F.regexp_replace(F.coalesce(F.col(text), F.lit("")), r"<[^>]+>", " "), r"\s+", " ")
+    marks = [m.format(before=before if before is not None else year - 1, year=year) for m in TRIPLE_MARKS]
+    pattern = f"(?:{'|'.join(marks)}){_MARKED_AMOUNT}"
+    rows = docs.select(F.col(key), flat.alias("_t"))
+    rows = rows.withColumn("_hits", F.regexp_extract_all("_t", F.lit(pattern), F.lit(0))).filter(F.size("_hits") >= len(marks)).withColumn("_gaps", F.split("_t", pattern, -1))
+    placed = rows.select(key, "_t", F.posexplode(F.arrays_zip("_hits", "_gaps")).alias("_k", "_z")).filter("_z._hits IS NOT NULL")
+    w = W.partitionBy(key).orderBy("_k")
+    kind = F.when(F.col("_z._hits").startswith(marks[0]), "a").when(F.col("_z._hits").startswith(marks[1]), "b").otherwise("c")
+    placed = placed.withColumn("kind", kind).withColumn("amount", F.translate(F.regexp_extract("_z._hits", _MARKED_AMOUNT + "$", 1), ",", "").try_cast("bigint"))
+    at = F.sum(F.length("_z._gaps") + F.length("_z._hits")).over(w) - F.length("_z._hits")  # characters before the mark
+    pre = fx.strip(F.substr("_t", F.greatest(at - HEADING_FROM, F.lit(0)) + 1, F.least(at, F.lit(HEADING_FROM))))
+    heading = F.element_at(F.split(pre, r"\."), 1)
+    placed = placed.withColumn("heading", F.when(F.col("kind") == "a", fx.strip(F.substr(heading, F.greatest(F.length(heading) - HEADING, F.lit(0)) + 1, F.lit(HEADING))))).select(key, "_k", "kind", "amount", "heading")
+    after = w.rowsBetween(1, W.unboundedFollowing)
+    placed = placed.withColumn("c", F.first(F.when(F.col("kind") == "c", F.struct("_k", "amount")), ignorenulls=True).over(after))
+    placed = placed.withColumn("b", F.first(F.when((F.col("kind") == "b") & F.col("c").isNotNull(), F.struct("amount", F.col("c").alias("c"))), ignorenulls=True).over(after))
+    # Each beginning with its end; those with one end are a group. A group whose beginnings all lie before the end of the group before is left out if that one is taken.
+    begins = placed.filter("kind = 'a' AND b IS NOT NULL").select(key, F.col("_k").alias("begin"), F.col("b.c._k").alias("end"), "heading", F.col("amount").alias("x"), F.col("b.amount").alias("y"), F.col("b.c.amount").alias("z"))
+    one = F.struct("begin", "heading", "x", "y", "z")
+    groups = begins.groupBy(key, "end").agg(F.sort_array(F.collect_list(one)).alias("from"))
+    v = W.partitionBy(key).orderBy("end")
+    groups = groups.withColumn("last", F.coalesce(F.lag("end").over(v), F.lit(-1))).withColumn("later", F.filter("from", lambda x: x["begin"] > F.col("last")))
+    groups = groups.withColumn("_free", F.size("later") > 0).withColumn("_island", F.sum(F.col("_free").cast("int")).over(v))
+    nth = F.row_number().over(W.partitionBy(key, "_island").orderBy("end"))  # the free group itself is the first, and taken
+    groups = groups.withColumn("_taken", nth % 2 == 1).withColumn("_after", F.coalesce(F.lag("_taken").over(v), F.lit(False))).filter("_taken")
+    found = groups.withColumn("t", F.when(F.col("_after"), F.col("later")[0]).otherwise(F.col("from")[0])).withColumn("triple_id", F.row_number().over(v))
+    return found.select(key, "triple_id", "t.heading", F.col("t.x").alias(LEVELS[0]), F.col("t.y").alias(LEVELS[1]), F.col("t.z").alias(LEVELS[2]))
+
+
 def matched_triples(rows: DataFrame, triples: DataFrame, key: str = "report_id") -> DataFrame:
-    """Independent triples (prior, estimate, recommendation with triple_id) against rows: EXACT, PARTIAL or MISSING, and the best row's score (equal amounts)."""
-    score = sum((F.col(f"t.{c}").eqNullSafe(F.col(f"r.{c}")) & F.col(f"t.{c}").isNotNull()).cast("int") for c in LEVELS)
-    # Rows meet a triple only on an equal amount, so no report is paired in full.
+    """Independent triples (prior, estimate, recommendation with triple_id) against rows: EXACT, PARTIAL or MISSING, and the best row's score (equal columns; two missing amounts are equal)."""
+    # Rows meet a triple only on an equal amount, so no report is paired in full; rows that share nothing but missing amounts stand for all with the same ones missing.
+    score = sum(F.col(f"t.{c}").eqNullSafe(F.col(f"r.{c}")).cast("int") for c in LEVELS)
     amounts = lambda d: d.withColumn("_v", F.explode(F.array_distinct(F.filter(F.array(*LEVELS), lambda x: x.isNotNull()))))
     met = amounts(triples).alias("t").join(amounts(rows.select(key, *LEVELS)).alias("r"), (F.col(f"t.{key}") == F.col(f"r.{key}")) & (F.col("t._v") == F.col("r._v")))
-    best = met.select(F.col(f"t.{key}").alias(key), F.col("t.triple_id").alias("triple_id"), score.alias("score")).groupBy(key, "triple_id").agg(F.max("score").alias("score"))
+    scored = met.select(F.col(f"t.{key}").alias(key), F.col("t.triple_id").alias("triple_id"), score.alias("score"))
+    absent = rows.select(key, *[F.col(c).isNull().alias(c) for c in LEVELS]).distinct()
+    both = sum((F.col(f"t.{c}").isNull() & F.col(f"r.{c}")).cast("int") for c in LEVELS)
+    by_absence = triples.alias("t").join(absent.alias("r"), key).select(key, "t.triple_id", both.alias("score"))
+    best = scored.unionByName(by_absence).groupBy(key, "triple_id").agg(F.max("score").alias("score"))
     out = triples.select(key, "triple_id").join(best, [key, "triple_id"], "left").withColumn("score", F.coalesce("score", F.lit(0)))
     return out.withColumn("verdict", F.when(F.col("score") == 3, "EXACT").when(F.col("score") >= 1, "PARTIAL").otherwise("MISSING"))

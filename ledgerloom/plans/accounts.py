@@ -150,7 +150,7 @@ def audit_text(spark, sf_dir):
 
 @register("matched_triples", """
 , t AS (SELECT report_id, row_ord AS triple_id, CASE WHEN pk % 3 = 2 THEN -prior_year_enacted ELSE prior_year_enacted END AS a, CASE WHEN pk % 3 = 0 THEN budget_estimate ELSE -budget_estimate END AS b, CASE WHEN pk % 3 = 2 THEN -7 ELSE committee_recommendation END AS c FROM ledger WHERE NOT is_subtotal AND is_memo)
-, s AS (SELECT t.report_id, triple_id, max((a = prior_year_enacted)::INT + (b = budget_estimate)::INT + coalesce((c = committee_recommendation)::INT, 0)) AS score FROM t JOIN ledger l ON l.report_id = t.report_id GROUP BY ALL)
+, s AS (SELECT t.report_id, triple_id, max((a IS NOT DISTINCT FROM prior_year_enacted)::INT + (b IS NOT DISTINCT FROM budget_estimate)::INT + (c IS NOT DISTINCT FROM committee_recommendation)::INT) AS score FROM t JOIN ledger l ON l.report_id = t.report_id GROUP BY ALL)
 SELECT report_id, triple_id, score, CASE WHEN score = 3 THEN 'EXACT' WHEN score >= 1 THEN 'PARTIAL' ELSE 'MISSING' END AS verdict FROM s""")
 def matched_triples(spark, sf_dir):
     rows = ledger(spark, sf_dir)
@@ -162,6 +162,44 @@ def matched_triples(spark, sf_dir):
     return verify.matched_triples(rows, triples)
 
 
+_PROSE = """
+, t AS (SELECT report_id, row_ord, prior_year_enacted AS a, CASE WHEN blk % 4 = 1 THEN NULL ELSE budget_estimate END AS b, committee_recommendation AS c, trim(right(repeat('plain words ', 12) || 'Works of ' || subcommittee || ' ' || blk, 70)) AS heading FROM ledger WHERE is_subtotal AND committee_recommendation IS NOT NULL)
+, p AS (SELECT report_id, row_number() OVER (PARTITION BY report_id ORDER BY row_ord) AS triple_id, heading, a AS prior_year_enacted, b AS budget_estimate, c AS committee_recommendation FROM t)"""
+
+
+def _prose(spark, sf_dir) -> DataFrame:
+    """Reports as running text with markup: triples with words and repeated or lonely marks in between, and a document's text around them."""
+    rows = ledger(spark, sf_dir).filter("is_subtotal AND committee_recommendation IS NOT NULL")
+    n = F.col("blk")
+    money = lambda c: F.format_number(F.col(c), 0)
+    request = F.when(n % 4 == 1, "- - -").otherwise(F.concat(F.lit("$"), money("budget_estimate")))
+    said = F.concat(
+        F.lit("<p>Words. "), F.lit("plain words " * 12), F.lit("Works of<b> "), "subcommittee", F.lit(" "), n.cast("string"), F.lit("</b>\n Appropriation, fiscal\tyear 1996....... $"), money("prior_year_enacted"),
+        F.when(n % 3 == 0, " Appropriation, fiscal year 1996 .. 5, which is said again, and Recommended in the bill without an amount").otherwise(" and more"),
+        F.lit("<br>Budget request, fiscal year 1997 ... "), request, F.when(n % 5 == 0, " Budget request, fiscal year 1997 .. 9").otherwise(""), F.lit(" &amp; then Recommended in the bill....."), money("committee_recommendation"),
+        F.when(n % 6 == 0, " Recommended in the bill 3. Budget request, fiscal year 1997 $4").otherwise("."), F.lit("</p>"),
+    )
+    parts = F.transform(F.array_sort(F.collect_list(F.struct("row_ord", said.alias("said")))), lambda x: x["said"])
+    return rows.groupBy("report_id").agg(F.array_join(parts, "\n").alias("text"))
+
+
+@register("prose_triples", _PROSE + " SELECT * FROM p")
+def prose_triples(spark, sf_dir):
+    """Triples read out of running text, as they were stated."""
+    return verify.prose_triples(_prose(spark, sf_dir), 1997)
+
+
+@register("prose_verdicts", _PROSE + """
+, l AS (SELECT report_id, prior_year_enacted AS a, CASE WHEN row_ord % 5 = 0 THEN NULL ELSE budget_estimate END AS b, CASE WHEN is_subtotal AND blk % 7 = 3 THEN -committee_recommendation ELSE committee_recommendation END AS c FROM ledger WHERE blk % 8 <> 2)
+, s AS (SELECT p.report_id, triple_id, max((a IS NOT DISTINCT FROM prior_year_enacted)::INT + (b IS NOT DISTINCT FROM budget_estimate)::INT + (c IS NOT DISTINCT FROM committee_recommendation)::INT) AS score FROM p LEFT JOIN l ON l.report_id = p.report_id GROUP BY ALL)
+SELECT report_id, triple_id, score, CASE WHEN score = 3 THEN 'EXACT' WHEN score >= 1 THEN 'PARTIAL' ELSE 'MISSING' END AS verdict FROM s""")
+def prose_verdicts(spark, sf_dir):
+    """Those triples against rows of which some are spoilt and some are missing."""
+    rows = ledger(spark, sf_dir).filter("blk % 8 <> 2").withColumn("budget_estimate", F.when(F.col("row_ord") % 5 != 0, F.col("budget_estimate")))
+    rows = rows.withColumn("committee_recommendation", F.when(F.col("is_subtotal") & (F.col("blk") % 7 == 3), -F.col("committee_recommendation")).otherwise(F.col("committee_recommendation")))
+    return verify.matched_triples(rows, verify.prose_triples(_prose(spark, sf_dir), 1997))
+
+
 _STATUS = "CASE WHEN (committee_recommendation - prior_year_enacted = delta_vs_enacted) IS NULL AND (committee_recommendation - budget_estimate = delta_vs_estimate) IS NULL THEN 'unverifiable' WHEN coalesce(committee_recommendation - prior_year_enacted = delta_vs_enacted, true) AND coalesce(committee_recommendation - budget_estimate = delta_vs_estimate, true) THEN 'pass' ELSE 'fail' END"
 
 

@@ -536,3 +536,19 @@ def test_names_above_typeset_accounts(spark):
         ("Title III", None, None, "LESS REIMBURSABLES", "value"),
         ("Title III", None, None, "Boat", "value"),
     ]
+
+
+def test_prose_triples_against_one_pattern(spark):
+    """Marks in any order, against a backtracking pattern over the whole text."""
+    rng = random.Random(6)
+    say = ["Appropriation, fiscal year 1996 .. $", "Budget request, fiscal year 1997 ", "Recommended in the bill...", "words. ", "- - - ", "Recommended in the bill none "]
+    texts = [(k, "".join(rng.choice(say[:3]) + str(rng.randrange(99)) + rng.choice([" ", ",", ". Land  "]) if rng.random() < 0.8 else rng.choice(say[3:]) for _ in range(rng.randrange(30)))) for k in range(200)] + [(999, None), (1000, "<p>x</p>" * 50)]
+    one = re.compile(r"Appropriation, fiscal year 1996[ .]*\$?([\d,]+|- - -).*?Budget request, fiscal year 1997[ .]*\$?([\d,]+|- - -).*?Recommended in the bill[ .]*\$?([\d,]+|- - -)")
+    want = []
+    for k, t in texts:
+        t = re.sub(r"\s+", " ", re.sub(r"<[^>]+>", " ", t or ""))
+        for n, m in enumerate(one.finditer(t), 1):
+            amount = lambda x: int(x.replace(",", "")) if x.strip("-, ") else None
+            want.append((k, n, t[max(0, m.start() - 120) : m.start()].strip().split(".")[0][-70:].strip(), *map(amount, m.groups())))
+    got = verify.prose_triples(spark.createDataFrame(texts, "report_id int, text string"), 1997).collect()
+    assert sorted(map(tuple, got), key=str) == sorted(want, key=str) and len(want) > 100
