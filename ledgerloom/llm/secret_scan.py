@@ -2,9 +2,9 @@
 
 Three base rules give spans (assign, access, hex). Labelled credentials (the values that base rules find, or a given
 table) train one probabilistic automaton for each kind with TRAIN_LEAST distinct credentials or more: a prefix tree of the credentials, written in character
-classes, whose states merge while their outgoing frequencies are statistically compatible (red-blue order, a
-Hoeffding bound on every symbol, down the whole subtree). Every other candidate of a text, a run of credential
-characters that mixes letters and digits, is scored by its likelihood per character under each automaton; above the
+classes, whose states merge while their outgoing frequencies are statistically compatible (a Hoeffding bound on every symbol, down the whole subtree): first
+states of one depth, then, with evidence, states of different depths. Every other candidate of a text, a run of LEAST or more credential
+characters, is scored by its likelihood per character under each automaton; above the
 kind's threshold (a low quantile of labelled credentials' scores by automata that haven't seen them) it becomes a span of kind "format". A run has
 no greatest length. If it is not accepted as a whole, what lies between any two of its ends and separators ("=", "/") is a
 candidate too: all of them are scored in one pass backwards over the run, which keeps for each state of the automaton the
@@ -38,9 +38,13 @@ KINDS = ("assign", "access", "hex")
 TRAIN_MOST, TRAIN_LENGTH = 400, 64
 #: A kind with fewer distinct credentials gets no automaton: with so little evidence all states merge, and what is left accepts any order of the symbols seen.
 TRAIN_LEAST = 8
+#: How often a state must have been seen for its frequencies to count across depths, and for an end that never came to be none; the log likelihood of what was never seen.
+EVIDENCE, UNSEEN = 20, -50.0
 
 _CLASS = {c: ("h" if c in "abcdef" else "l") if c.islower() else "H" if c in "ABCDEF" else "U" if c.isupper() else "d" if c.isdigit() else c for c in map(chr, range(33, 127))}
 
+_SIZE = Counter(_CLASS.values()) | Counter({"?": 1})
+
 
 def classes(text: str) -> str:
     return "".join(_CLASS.get(c, "?") for c in text)
@@ -55,49 +59,71 @@ def base_spans(text: str) -> list[tuple[int, int, str, str]]:
 
 
 class Automaton:
-    """A deterministic probabilistic automaton, inferred from strings; of one longer than `length` only so much is seen, and no end after it."""
+    """A deterministic probabilistic automaton, inferred from strings; of one longer than `length` only so much is seen, and no end after it.
+
+    It steps by character classes; within a class all characters count as equal. States of the prefix tree merge in two rounds. First those
+    of one depth, from the root down, unless their frequencies differ: a place in the format gathers the evidence of all strings, which a
+    single branch of the tree never has. Then those of different depths, only where both have been seen EVIDENCE times and all that follows is alike as far
+    as there is evidence. So a fixed length, a prefix and what is special about a place stay, and repetition without a fixed number becomes a loop.
+    """
 
     def __init__(self, strings: list[str], alpha: float = 0.05, length: int | None = None):
         self.length = length
         self.bound = sqrt(0.5 * log(2 / alpha))
         self.next: list[dict[str, int]] = [{}]
-        self.count: list[Counter] = [Counter()]  # how often each symbol, or "" for the end, follows
+        self.count: list[Counter] = [Counter()]  # how often each class, or "" for the end, follows
+        layers: list[list[int]] = [[0]]
         for s in strings:
             q = 0
-            for c in s[:length]:
-                self.count[q][c] += 1
-                if c not in self.next[q]:
-                    self.next[q][c] = len(self.next)
-                    self.next.append({})
-                    self.count.append(Counter())
-                q = self.next[q][c]
+            for depth, form in enumerate(classes(s[:length]), 1):
+                self.count[q][form] += 1
+                if form not in self.next[q]:
+                    self.next[q][form] = len(self.next)
+                    if depth == len(layers):
+                        layers.append([])
+                    layers[depth].append(len(self.next))
+                    self.next.append({}), self.count.append(Counter())
+                q = self.next[q][form]
             if s == s[:length]:
                 self.count[q][""] += 1
-        self._infer()
+        self.same = list(range(len(self.next)))
+        self._merge_layers(layers)
+        self._merge_depths()
         self._compact()
         self.total = [sum(c.values()) for c in self.count]
+        self.lengths = self._lengths()
         self.low = min(map(self.seen_score, strings), default=0.0)
 
-    def _alike(self, a: int, b: int) -> bool:
-        todo = [(a, b)]
+    def _of(self, q: int) -> int:
+        while self.same[q] != q:
+            self.same[q] = q = self.same[self.same[q]]
+        return q
+
+    def _alike(self, a: int, b: int, evidence: int) -> bool:
+        """No pair of states below a and b differs in a frequency; pairs of which one was seen less than `evidence` times say nothing."""
+        todo, met = [(self._of(a), self._of(b))], set()
         while todo:
             x, y = todo.pop()
-            if x == y:
+            if x == y or (x, y) in met:
                 continue
+            met.add((x, y))
             n, m = sum(self.count[x].values()), sum(self.count[y].values())
-            if not n or not m:
+            if min(n, m) < evidence:
                 continue
             limit = self.bound * (1 / sqrt(n) + 1 / sqrt(m))
             if any(abs(self.count[x][c] / n - self.count[y][c] / m) > limit for c in {*self.count[x], *self.count[y]}):
                 return False
-            todo += [(self.next[x][c], self.next[y][c]) for c in self.next[x].keys() & self.next[y].keys()]
+            todo += [(self._of(self.next[x][c]), self._of(self.next[y][c])) for c in self.next[x].keys() & self.next[y].keys()]
         return True
 
-    def _fold(self, a: int, b: int) -> None:
-        """Adds the tree below b to a."""
+    def _join(self, a: int, b: int) -> None:
+        """Makes one state of a and b, and of what follows both on the same symbol."""
         todo = [(a, b)]
         while todo:
-            x, y = todo.pop()
+            x, y = map(self._of, todo.pop())
+            if x == y:
+                continue
+            self.same[y] = x
             self.count[x] += self.count[y]
             for c, z in self.next[y].items():
                 if c in self.next[x]:
@@ -105,88 +131,126 @@ class Automaton:
                 else:
                     self.next[x][c] = z
 
-    def _infer(self) -> None:
+    def _merge_layers(self, layers: list[list[int]]) -> None:
+        size = lambda q: sum(self.count[q].values())
+        for layer in layers:
+            kept: list[int] = []
+            for q in sorted({self._of(q) for q in layer}, key=lambda q: (-size(q), q)):
+                if self._of(q) != q:
+                    continue
+                if match := next((k for k in kept if self._alike(k, q, 1)), None):
+                    self._join(match, q)
+                else:
+                    kept.append(q)
+
+    def _merge_depths(self) -> None:
         red, blue = [0], deque((0, c) for c in sorted(self.next[0]))
         while blue:
             q, c = blue.popleft()
-            b = self.next[q][c]
-            if b in red:
+            b = self._of(self.next[self._of(q)][c])
+            if b in map(self._of, red):
                 continue
-            for r in red if self.count[b] else [q]:  # where a string was cut nothing is known, so it goes on as before
-                if self._alike(r, b):
-                    self.next[q][c] = r
-                    self._fold(r, b)
-                    blue.extend((x, s) for x in red for s in sorted(self.next[x]) if self.next[x][s] not in red and (x, s) not in blue)
-                    break
+            n = sum(self.count[b].values())
+            if not n:  # where strings were cut nothing is known, so it goes on as before
+                self._join(q, b)
+            elif n >= EVIDENCE and (r := next((r for r in red if sum(self.count[self._of(r)].values()) >= EVIDENCE and self._alike(r, b, EVIDENCE)), None)) is not None:
+                self._join(r, b)
             else:
                 red.append(b)
-                blue.extend((b, s) for s in sorted(self.next[b]))
+            red = sorted({self._of(r) for r in red})
+            known = set(red)
+            blue = deque((r, x) for r in red for x in sorted(self.next[r]) if self._of(self.next[r][x]) not in known)
 
     def _compact(self) -> None:
         """Numbers the states that can be reached, and drops the others."""
         place, order = {0: 0}, [0]
+        if self._of(0) != 0:
+            place, order = {self._of(0): 0}, [self._of(0)]
         for q in order:
-            for z in self.next[q].values():
+            for z in map(self._of, self.next[q].values()):
                 if z not in place:
                     place[z] = len(order)
                     order.append(z)
-        self.next = [{c: place[z] for c, z in self.next[q].items()} for q in order]
+        self.next = [{c: place[self._of(z)] for c, z in self.next[q].items()} for q in order]
         self.count = [self.count[q] for q in order]
+        del self.same
+
+    def _lengths(self) -> set[int] | None:
+        """The lengths of strings with an end; none if they are without number."""
+        states, found = {0}, set()
+        for n in range(len(self.next) + 1):
+            if any(self.log_end(q) > UNSEEN for q in states):
+                found.add(n)
+            states = {z for q in states for z in self.next[q].values()}
+            if not states:
+                return found
+        return None
+
+    def log_step(self, q: int, char: str) -> float:
+        """Log likelihood of a character: of its class in the state, and one of as many as the class has; UNSEEN if the state has no such step."""
+        form = _CLASS.get(char, "?")
+        if form not in self.next[q]:
+            return UNSEEN
+        return log(max(self.count[q][form], 0.5) / (self.total[q] + 1)) - log(_SIZE[form])
+
+    def log_end(self, q: int) -> float:
+        """Log likelihood of the end; UNSEEN in a state that went on EVIDENCE times and never ended."""
+        k = self.count[q].get("", 0)
+        return UNSEEN if not k and self.total[q] >= EVIDENCE else log(max(k, 0.5) / (self.total[q] + 1))
 
     def score(self, text: str, end: bool = True) -> float:
-        """Mean log likelihood of a symbol, the end included if asked for; symbols that a state never saw count as half an observation."""
+        """Mean log likelihood of a symbol, the end included if asked for; with anything UNSEEN it is no better than that."""
         q, total = 0, 0.0
-        for c in [*text, *[""] * end]:
-            n = sum(self.count[q].values()) if not hasattr(self, "total") else self.total[q]
-            total += log((self.count[q].get(c, 0) or 0.5) / (n + 1))
-            if c:
-                if c not in self.next[q]:
-                    return total / (len(text) + end) - 10
-                q = self.next[q][c]
+        for c in text:
+            step = self.log_step(q, c)
+            if step <= UNSEEN:
+                return UNSEEN
+            total += step
+            q = self.next[q][_CLASS.get(c, "?")]
+        if end:
+            if (last := self.log_end(q)) <= UNSEEN:
+                return UNSEEN
+            total += last
         return total / max(1, len(text) + end)
 
     def seen_score(self, text: str) -> float:
         """The score of what training sees of a string."""
         return self.score(text[: self.length], text == text[: self.length])
 
-
     def best_ends(self, text: str, low: float) -> dict[int, tuple[float, int]]:
         """For each start between separators the excess over low (score - low, times symbols) and the place of its best end, if that is accepted.
 
-        Ends are before separators or at the end; what lies between has LEAST characters or more, letters and digits. Of equal ends the latest is taken.
+        Ends are before separators or at the end; what lies between has LEAST characters or more. Of equal ends the latest is taken.
         """
-        form, size = classes(text), len(self.next)
+        size = len(self.next)
         cuts = [m.start() for m in SEPARATOR.finditer(text)]
         starts, ends = {0, *(c + 1 for c in cuts)}, {*cuts, len(text)}
-        seen = [(c.isalpha() * 1) | (c.isdigit() * 2) for c in text]
         if not hasattr(self, "steps"):
             self.steps = {}
-        stop = np.array([log((c.get("", 0) or 0.5) / (n + 1)) for c, n in zip(self.count, self.total, strict=True)]) - low
-        best, at, out = np.full((4, size), -np.inf), np.zeros((4, size), np.int64), {}
+        seen = lambda x: np.where(x <= UNSEEN, -np.inf, x)
+        stop = seen(np.array([self.log_end(q) for q in range(size)])) - low
+        best, at, out = np.full(size, -np.inf), np.zeros(size, np.int64), {}
         for i in range(len(text), -1, -1):
             if i < len(text):
-                c = form[i]
+                c = text[i]
                 if c not in self.steps:
-                    known = [c in following for following in self.next]
-                    step = [log((n.get(c, 0) or 0.5) / (t + 1)) if k else -np.inf for n, t, k in zip(self.count, self.total, known, strict=True)]
-                    self.steps[c] = np.array(step), np.array([following.get(c, 0) for following in self.next])
+                    self.steps[c] = seen(np.array([self.log_step(q, c) for q in range(size)])), np.array([following.get(_CLASS.get(c, "?"), 0) for following in self.next])
                 step, to = self.steps[c]
-                flags = [f | seen[i] for f in range(4)]
-                best, at = best[flags][:, to] + (step - low), at[flags][:, to]
+                best, at = best[to] + (step - low), at[to]
             if i in ends:
-                better = stop > best[3]
-                best[3][better], at[3][better] = stop[better], i
+                better = stop > best
+                best[better], at[better] = stop[better], i
             start = i - LEAST
             if start in starts:
-                q, total, flags = 0, 0.0, 0
+                q, total = 0, 0.0
                 for k in range(start, i):
-                    if form[k] not in self.next[q]:
+                    if (step := self.log_step(q, text[k])) <= UNSEEN:
                         break
-                    total += log(self.count[q][form[k]] / (self.total[q] + 1)) - low
-                    q, flags = self.next[q][form[k]], flags | seen[k]
+                    total += step - low
+                    q = self.next[q][_CLASS.get(text[k], "?")]
                 else:
-                    if total + best[flags, q] >= 0:
-                        out[start] = float(total + best[flags, q]), int(at[flags, q])
+                    if total + best[q] >= 0:
+                        out[start] = float(total + best[q]), int(at[q])
         return out
 
 
@@ -196,27 +260,31 @@ class Grammar:
     def __init__(self, labelled: dict[str, list[str]], quantile: float = 0.02, distinct: bool = False):
         self.kinds = {}
         for kind, found in sorted(labelled.items()):
-            strings = [classes(s[: TRAIN_LENGTH + 1]) for s in sorted(found if distinct else set(found))][:TRAIN_MOST]
+            strings = [s[: TRAIN_LENGTH + 1] for s in sorted(found if distinct else set(found), key=lambda s: blake2b(s.encode()).digest())][:TRAIN_MOST]
             if len(strings) >= TRAIN_LEAST:
                 automaton = Automaton(strings, length=TRAIN_LENGTH)
                 # strings that an automaton has seen score better than others of their format: each half is scored by one trained on the other
                 halves = strings[::2], strings[1::2]
                 scores = sorted(x for k in (0, 1) for x in map(Automaton(halves[1 - k], length=TRAIN_LENGTH).seen_score, halves[k]))
-                self.kinds[kind] = (automaton, scores[int(quantile * len(scores))])
+                known = [x for x in scores if x > UNSEEN] or [automaton.low]  # rare ends or steps that one half lacks say nothing about likelihood
+                self.kinds[kind] = (automaton, known[int(quantile * len(known))])
+        each = [a.lengths for a, _ in self.kinds.values()]
+        self.lengths = None if None in each else set().union(*each)
         self.known: dict[str | bytes, bool] = {}
 
     def accepts(self, text: str) -> bool:
-        form = classes(text)
-        key = form if len(form) <= TRAIN_LENGTH else blake2b(form.encode()).digest()
+        if self.lengths is not None and len(text) not in self.lengths:
+            return False
+        key = text if len(text) <= TRAIN_LENGTH else blake2b(text.encode()).digest()
         if key not in self.known:
             if len(self.known) > 100_000:
                 self.known.clear()
-            self.known[key] = any(a.score(form) >= low for a, low in self.kinds.values())
+            self.known[key] = any(a.score(text) >= low for a, low in self.kinds.values())
         return self.known[key]
 
     def parts(self, run: str) -> list[tuple[int, int]]:
         """The accepted candidates of a run, from left to right without overlap: the whole, or those between its ends and separators."""
-        if len(run) < LEAST or not any(c.isdigit() for c in run) or not any(c.isalpha() for c in run):
+        if len(run) < LEAST:
             return []
         if self.accepts(run):
             return [(0, len(run))]
@@ -241,7 +309,10 @@ class Grammar:
                 taken[-1] = taken[-1][0], max(b, taken[-1][1])
             else:
                 taken.append((a, b))
+        lengths, cut = self.lengths, SEPARATOR.search
         for m in CANDIDATE.finditer(text):
+            if lengths is not None and m.end() - m.start() not in lengths and not cut(m[0]):
+                continue  # no automaton has strings of that length
             for start, end in _free(text, m.start(), m.end(), taken):
                 found += [(start + x, start + y, "format", text[start + x : start + y]) for x, y in self.parts(text[start:end])]
         return sorted(found, key=lambda s: (s[0], (*KINDS, "format").index(s[2])))
