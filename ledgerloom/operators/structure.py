@@ -117,6 +117,76 @@ def oversum_blocks(df: DataFrame, report: str = "report_id", ord_col: str = "row
     return _chain(blocks, report, True).select(report, F.col("_block").alias("block"), F.col("_name").alias("name"), F.col("_delta").alias("excess"))
 
 
+#: Characters of a label in a question.
+SHOWN = 60
+
+
+def indent_leaves(df: DataFrame, page: str = "page", report: str = "report_id", ord_col: str = "row_ord") -> DataFrame:
+    """The line items of blocks that sum to more than their total: report, page, letter, leaf (from 1), ord_col, block, name, label, account, account_inferred, line item values and total of each column.
+
+    A block is on the page of its total. The blocks of a page have letters from A on, in order, and a block's line items are numbered; memos by their label
+    are among them, without values. df: the ledger with a page column.
+    """
+    own, blocks = _blocks(df, report, ord_col, F.lit(False))
+    over = _chain(blocks, report, True).join(blocks.select(report, "_block", *[f"t_{c}" for c in BLOCK_ORDER]), [report, "_block"])
+    of_total = own.filter("_roll").select(report, "_block", F.col(page).alias("_page"))
+    over = over.join(of_total, [report, "_block"]).withColumn("letter", F.char(64 + F.row_number().over(W.partitionBy(report, "_page").orderBy("_block"))))
+    text = F.coalesce(F.col("line_item_text"), F.lit(""))
+    known = F.col("account_inferred") if "account_inferred" in df.columns else F.lit(None).cast("string")
+    counted = ~fx.is_memo_label(text)
+    items = own.filter(~F.col("_roll") & (fx.strip(text) != "")).select(report, "_block", ord_col, fx.strip(text).alias("label"), "account", known.alias("account_inferred"), *[F.when(counted, F.col(c)).alias(c) for c in BLOCK_ORDER])
+    items = items.withColumn("leaf", F.row_number().over(W.partitionBy(report, "_block").orderBy(ord_col)))
+    return items.join(over, [report, "_block"]).select(report, F.col("_page").alias(page), "letter", "leaf", ord_col, F.col("_block").alias("block"), F.col("_name").alias("name"), "label", "account", "account_inferred", *BLOCK_ORDER, *[f"t_{c}" for c in BLOCK_ORDER])
+
+
+def indent_questions(leaves: DataFrame, page: str = "page", report: str = "report_id") -> DataFrame:
+    """One question a page (report, page, question), of indent_leaves(): which of the numbered lines of each lettered block are parts of the line above them."""
+    column = F.coalesce(*[F.when(F.col(f"t_{c}").isNotNull(), c) for c in BLOCK_ORDER])
+    of = lambda prefix: F.coalesce(*[F.when(column == c, F.col(f"{prefix}{c}")) for c in BLOCK_ORDER])
+    line = F.concat(F.lit("  "), "leaf", F.lit(". "), F.left("label", F.lit(SHOWN)), F.lit(": "), F.coalesce(of("").cast("string"), F.lit("no amount")))
+    head = F.concat(F.lit("Block "), "letter", F.lit(", total of "), "name", F.lit(" = "), of("t_").cast("string"))
+    listed = lambda c: F.array_join(F.transform(F.sort_array(F.collect_list(c)), lambda x: x["said"]), "\n")
+    blocks = leaves.groupBy(report, page, "block", head.alias("head")).agg(listed(F.struct("leaf", line.alias("said"))).alias("lines"))
+    asked = blocks.groupBy(report, page).agg(listed(F.struct("block", F.concat("head", F.lit("\n"), "lines").alias("said"))).alias("blocks"))
+    task = "Some lines of the blocks below are indented on the page: they break down the line above and must not be added. For each block give the numbers of such lines, as JSON only: letters with lists of numbers."
+    return asked.select(report, page, F.concat(F.lit(f"{task}\n"), "blocks").alias("question"))
+
+
+def indent_flags(answers: DataFrame, page: str = "page", report: str = "report_id") -> DataFrame:
+    """answers (report, page, answer) as report, page, state and flags (letter to distinct line numbers).
+
+    state: failed without an answer, malformed without a JSON object of lists in it, else read. Only numbers count, cut to whole ones; text around the object doesn't matter.
+    """
+    found = F.from_json(F.regexp_extract("answer", r"(?s)\{.*\}", 0), "map<string,array<variant>>")
+    numbers = lambda xs: F.array_distinct(F.transform(F.filter(xs, lambda x: F.schema_of_variant(x).rlike("^(BIGINT|DOUBLE|DECIMAL)")), lambda x: F.try_variant_get(x, "$", "double").cast("int")))
+    state = F.when(F.col("answer").isNull(), "failed").when(found.isNull(), "malformed").otherwise("read")
+    return answers.select(report, page, state.alias("state"), F.transform_values(found, lambda _, xs: numbers(F.coalesce(xs, F.array().cast("array<variant>")))).alias("flags"))
+
+
+def indent_accepted(leaves: DataFrame, flags: DataFrame, page: str = "page", report: str = "report_id", ord_col: str = "row_ord") -> DataFrame:
+    """The second gate: of blocks with flags, those whose other line items sum exactly to the total on some column. report, ord_col, block, is_memo (flagged), account_inferred (the rest, where it has no account)."""
+    said = flags.select(report, page, "flags")
+    own = leaves.join(said, [report, page]).withColumn("_flags", F.coalesce(F.col("flags")[F.col("letter")], F.array().cast("array<int>"))).filter(F.size("_flags") > 0).withColumn("_out", F.array_contains("_flags", F.col("leaf")))
+    w = W.partitionBy(report, "block")
+    fits = F.lit(False)
+    for c in BLOCK_ORDER:
+        kept = F.when(~F.col("_out"), F.col(c))
+        fits |= F.coalesce((F.count(kept).over(w) > 0) & (F.sum(kept).over(w) == F.col(f"t_{c}")), F.lit(False))
+    blank = lambda c: fx.strip(F.coalesce(F.col(c), F.lit(""))) == ""
+    label = F.when(~F.col("_out") & blank("account") & (F.coalesce(F.col("account_inferred"), F.lit("")) == ""), F.col("name"))
+    return own.withColumn("_fits", fits).filter("_fits").select(report, ord_col, "block", F.col("_out").alias("is_memo"), label.alias("account_inferred"))
+
+
+def indent_stats(leaves: DataFrame, flags: DataFrame, accepted: DataFrame, page: str = "page", report: str = "report_id") -> DataFrame:
+    """One row: blocks that over-sum, pages asked about, of which failed and malformed, blocks recovered, rows labelled, lines marked. A page without an answer has failed."""
+    pages = leaves.select(report, page).distinct().join(flags.select(report, page, "state"), [report, page], "left")
+    one = leaves.agg(F.count_distinct(report, "block").alias("oversum_blocks"))
+    two = pages.agg(F.count(F.lit(1)).alias("pages"), F.count_if(F.coalesce("state", F.lit("failed")) == "failed").alias("pages_failed"), F.count_if(F.col("state") == "malformed").alias("pages_malformed"))
+    three = accepted.agg(F.count_distinct(report, "block").alias("blocks_recovered"), F.count("account_inferred").alias("rows_labeled"), F.count_if("is_memo").alias("lines_marked"))
+    single = lambda d: d.withColumn("_k", F.lit(1))  # noqa: E731  one row each
+    return single(one).join(single(two), "_k").join(single(three), "_k").drop("_k")
+
+
 def recover_indent(df: DataFrame, flags: DataFrame, report: str = "report_id", ord_col: str = "row_ord", column: str = "committee_recommendation") -> DataFrame:
     """flags (report, row_ord): line items said to be non-adding. They are accepted for a block only if the rest sums to its total; then the rest gets the total's name and the flagged become memos."""
     own, _ = _blocks(df, report, ord_col, F.lit(False))

@@ -342,6 +342,49 @@ def recover_indent(spark, sf_dir):
     return done.filter("account_inferred IS NOT NULL OR is_memo").select("report_id", "row_ord", "is_memo", "account_inferred")
 
 
+#: Totals print the recommendation only, a page is forty rows, and what a reader answers depends on the page: nothing, no JSON, the first line of each block, or the lines that are memos.
+_INDENT = _CHAIN.format(paren="NULL").replace("max(CASE WHEN is_subtotal THEN budget_estimate END) AS t2", "CAST(NULL AS BIGINT) AS t2").replace("max(CASE WHEN is_subtotal THEN prior_year_enacted END) AS t3", "CAST(NULL AS BIGINT) AS t3") + """
+, o AS (SELECT x.report_id, x.k, x.blk, max(CASE WHEN l.is_subtotal THEN l.row_ord END) // 40 AS page, max(CASE WHEN l.is_subtotal THEN l.committee_recommendation END) AS t FROM x JOIN l ON l.report_id = x.report_id AND l.k = x.k WHERE x.named AND NOT x.good AND x.excess > 0 GROUP BY x.report_id, x.k, x.blk)
+, g AS (SELECT *, page % 7 AS answer, chr(CAST(64 + row_number() OVER (PARTITION BY report_id, page ORDER BY k) AS INTEGER)) AS letter FROM o)
+, f AS (SELECT l.report_id, l.row_ord, g.page, g.letter, g.k, g.t, 'Order ' || CAST(g.blk AS VARCHAR) AS name, g.answer, l.committee_recommendation AS v, l.line_item_text AS label, row_number() OVER (PARTITION BY l.report_id, l.k ORDER BY l.row_ord) AS leaf, l.is_memo FROM g JOIN l ON l.report_id = g.report_id AND l.k = g.k WHERE NOT l.is_subtotal)
+, e AS (SELECT *, CASE WHEN answer = 2 THEN leaf = 1 WHEN answer > 2 THEN is_memo ELSE false END AS outside FROM f)
+, d AS (SELECT *, bool_or(outside) OVER b AND coalesce(sum(CASE WHEN NOT outside THEN v END) OVER b = t, false) AS fits FROM e WINDOW b AS (PARTITION BY report_id, k))
+"""
+
+
+def _indent(spark, sf_dir):
+    """The line items of over-summing blocks, and the answers to their questions."""
+    rows = ledger(spark, sf_dir).withColumns({c: F.when(~F.col("is_subtotal"), F.col(c)) for c in ("budget_estimate", "prior_year_enacted")}).withColumn("page", F.expr("row_ord div 40")).withColumn("account", F.lit(None).cast("string"))
+    leaves = structure.indent_leaves(rows)
+    marked = leaves.join(rows.select("report_id", "row_ord", "is_memo"), ["report_id", "row_ord"])
+    each = marked.groupBy("report_id", "page", "letter").agg(F.sort_array(F.collect_list(F.when(F.when(F.col("page") % 7 == 2, F.col("leaf") == 1).otherwise(F.col("is_memo")), F.col("leaf")))).alias("lines"))
+    right = each.groupBy("report_id", "page").agg(F.to_json(F.map_from_entries(F.collect_list(F.struct("letter", "lines")))).alias("json"))
+    answer = F.when(F.col("page") % 7 == 0, None).when(F.col("page") % 7 == 1, "I see {A: [1, and more").otherwise(F.concat(F.lit("Here it is:\n"), "json", F.lit(" as asked")))
+    return leaves, structure.indent_flags(right.select("report_id", "page", answer.alias("answer")))
+
+
+@register("indent_accepted", _INDENT + " SELECT report_id, row_ord, outside AS is_memo, CASE WHEN NOT outside THEN name END AS account_inferred FROM d WHERE fits", recursive=True)
+def indent_accepted(spark, sf_dir):
+    """What the answers change: memos and names of the blocks that close without the lines said to be non-adding."""
+    return structure.indent_accepted(*_indent(spark, sf_dir)).select("report_id", "row_ord", "is_memo", "account_inferred")
+
+
+@register("indent_stats", _INDENT + """ SELECT count(DISTINCT (report_id, k)) AS oversum_blocks, count(DISTINCT (report_id, page)) AS pages, count(DISTINCT CASE WHEN answer = 0 THEN (report_id, page) END) AS pages_failed, count(DISTINCT CASE WHEN answer = 1 THEN (report_id, page) END) AS pages_malformed,
+ count(DISTINCT CASE WHEN fits THEN (report_id, k) END) AS blocks_recovered, count(*) FILTER (fits AND NOT outside) AS rows_labeled, count(*) FILTER (fits AND outside) AS lines_marked FROM d""", recursive=True)
+def indent_stats(spark, sf_dir):
+    leaves, flags = _indent(spark, sf_dir)
+    return structure.indent_stats(leaves, flags, structure.indent_accepted(leaves, flags))
+
+
+@register("indent_questions", _INDENT + """
+, q AS (SELECT report_id, page, k, 'Block ' || letter || ', total of ' || name || ' = ' || t || chr(10) || string_agg('  ' || leaf || '. ' || left(label, 60) || ': ' || coalesce(CAST(v AS VARCHAR), 'no amount'), chr(10) ORDER BY leaf) AS block FROM d GROUP BY report_id, page, k, letter, name, t)
+SELECT report_id, page, string_agg(block, chr(10) ORDER BY k) AS blocks FROM q GROUP BY report_id, page""", recursive=True)
+def indent_questions(spark, sf_dir):
+    """The questions, without their first line, which says what is asked."""
+    asked = structure.indent_questions(_indent(spark, sf_dir)[0])
+    return asked.select("report_id", "page", F.regexp_replace("question", r"^.*\n", "").alias("blocks"))
+
+
 # ---- reconciliation -------------------------------------------------------------------------------------------------
 
 #: The ledger as some printer might have spoilt it: totals of another view, and line items whose recommendation wasn't read.
