@@ -12,7 +12,7 @@ from ledgerloom.operators import crosswalk, extract, query, reconcile, verify
 from ledgerloom.plans.accounts import _PACKAGES, _reference, packages
 from ledgerloom.plans.base import amounts, register
 from ledgerloom.plans.extraction import _inline, _typeset
-from ledgerloom.sinks import writers
+from ledgerloom.sinks import versions, writers
 from ledgerloom.sources import ledger as sources
 from ledgerloom.sources.catalog_api import CatalogSource
 from ledgerloom.sources.ledger import ledger, table
@@ -136,15 +136,36 @@ def release_tracks(spark, sf_dir):
     return rows.groupBy("form", "track").agg(F.sum("committee_recommendation").alias("amount"), F.count(F.lit(1)).alias("n_rows"))
 
 
-@register("release_manifest", "SELECT 'csv' AS form, true AS complete UNION ALL SELECT 'parquet', true", on_ledger=False)
+@register("release_manifest", "SELECT DISTINCT fiscal_year, CASE WHEN fiscal_year IN (1995, 1996) THEN 'altered' WHEN fiscal_year = 1997 THEN 'missing' ELSE 'intact' END AS state FROM ledger UNION ALL SELECT 1997, 'unlisted'")
 def release_manifest(spark, sf_dir):
-    """Every released file is listed with its size and digest, which hold when the files are read again."""
-    path = _released(spark, sf_dir)
-    noted = writers.manifest(spark, path)
-    kept = new_folder(spark, "manifest")
-    noted.write.parquet(kept)
-    again = writers.manifest(spark, path).join(spark.read.parquet(kept), ["file", "bytes", "sha256"], "full_outer").withColumn("form", F.regexp_extract("file", r"^fact\.(\w+)/", 1))
-    return again.groupBy("form").agg((F.bool_and(F.length("sha256") == 64) & (F.count_distinct("file") == F.count(F.lit(1)))).alias("complete"))
+    """The checksums of a release after two files have changed places and one has another name; large files are hashed in pieces, which here are those over 10 kB."""
+    path = new_folder(spark, "release")
+    rows = ledger(spark, sf_dir).select("report_id", "row_ord", "committee_recommendation", "fiscal_year")
+    rows.repartition("fiscal_year").write.partitionBy("fiscal_year").option("header", True).csv(path)
+    writers.write_sums(spark, path, whole=10_000)
+    jvm = spark._jvm.org.apache.hadoop.fs
+    fs = jvm.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    a, b, c = (fs.globStatus(jvm.Path(f"{path}/fiscal_year={y}/part-*"))[0].getPath() for y in (1995, 1996, 1997))
+    aside = jvm.Path(f"{path}/aside")
+    for x, y in ((a, aside), (b, a), (aside, b), (c, c.suffix("-again"))):
+        fs.rename(x, y)
+    found = writers.checked_sums(spark, path, whole=10_000)
+    return found.select(F.regexp_extract("file", r"fiscal_year=(\d+)", 1).cast("int").alias("fiscal_year"), "state")
+
+
+@register("release_in_order", """
+, o AS (SELECT report_id, row_ord, row_number() OVER (ORDER BY report_id, row_ord) - 1 AS place, CASE WHEN stage = 'enacted' THEN 'enacted' ELSE chamber END AS track FROM ledger)
+SELECT 'csv' AS form, * FROM o UNION ALL SELECT 'parquet', * FROM o""")
+def release_in_order(spark, sf_dir):
+    """Both copies of a release of many files, each row with its place in document order."""
+    path = new_folder(spark, "ordered")
+    rows = ledger(spark, sf_dir).select("report_id", "row_ord", "chamber", "stage").orderBy("report_id", "row_ord")
+    rows.write.option("header", True).option("maxRecordsPerFile", 5000).csv(f"{path}/fact.csv")
+    rows.write.option("maxRecordsPerFile", 5000).parquet(f"{path}/fact.parquet")
+    columns = ["report_id", "row_ord", "stage", "chamber"]
+    csv = sources.release(spark, f"{path}/fact.csv", columns, ("row_ord",), place="place").withColumn("form", F.lit("csv"))
+    both = csv.unionByName(sources.release(spark, f"{path}/fact.parquet", columns, place="place").withColumn("row_ord", F.col("row_ord").cast("bigint")).withColumn("form", F.lit("parquet")))
+    return both.select("form", "report_id", "row_ord", "place", "track")
 
 
 @register("inline_csv", "SELECT report_id, subcommittee || ' OFFICE' AS heading, prior_year_enacted AS prior_year, committee_recommendation FROM ledger WHERE is_subtotal")
@@ -194,6 +215,29 @@ def write_back(spark, sf_dir):
     return writers.changed_rows(before, spark.read.parquet(two), ["report_id", "row_ord"], ["committee_recommendation"])
 
 
+@register("write_back_versions", _FIXES + """
+, y AS (SELECT report_id, row_ord, fiscal_year FROM ledger)
+, c AS (SELECT fiscal_year, count(*) FILTER (fiscal_year % 3 = 0 AND pe + de = be + dt AND pe + de IS DISTINCT FROM cr) AS n_changed, count(*) AS n_rows FROM b JOIN y USING (report_id, row_ord) GROUP BY 1)
+SELECT fiscal_year, CASE WHEN n_changed > 0 THEN 2 ELSE 1 END AS written_in, n_changed, n_rows, 'refused' AS second_writer FROM c""")
+def write_back_versions(spark, sf_dir):
+    """Repairs of some years as a second version: the years' files that stay, the rows that changed, and a second writer who had read the first version."""
+    path, keys = new_folder(spark, "versions"), ["report_id", "row_ord"]
+    versions.create(_spoilt(spark, sf_dir), path, "fiscal_year")
+    before = versions.read(spark, path, "fiscal_year", 1)
+    fixed = verify.verify(before).select(*keys, F.col("committee_recommendation").alias("_fixed"))
+    after = before.join(fixed, keys).withColumn("committee_recommendation", F.when(F.col("fiscal_year") % 3 == 0, F.col("_fixed")).otherwise(F.col("committee_recommendation"))).drop("_fixed")
+    versions.change(after, path, "fiscal_year", keys, ["committee_recommendation"], base=1)
+    try:
+        versions.change(after, path, "fiscal_year", keys, ["committee_recommendation"], base=1)
+        second = "written"
+    except versions.Refused:
+        second = "refused"
+    now = versions.read(spark, path, "fiscal_year", with_version=True)
+    differ = writers.changed_rows(before, now, keys, ["committee_recommendation"]).withColumn("_differs", F.lit(1))
+    counts = now.join(differ, keys, "left").groupBy("fiscal_year").agg(F.max("written_in").cast("int").alias("written_in"), F.count("_differs").alias("n_changed"), F.count(F.lit(1)).alias("n_rows"))
+    return counts.withColumn("second_writer", F.lit(second))
+
+
 @register("typeset_deliverables", """
 , x AS (SELECT report_id, count(DISTINCT blk) AS accounts FROM ledger WHERE NOT is_subtotal GROUP BY 1)
 SELECT x.report_id, accounts, (SELECT count(*) FROM ledger l WHERE l.report_id = x.report_id AND NOT l.is_subtotal) + accounts AS n_rows, accounts AS n_marks FROM x""")

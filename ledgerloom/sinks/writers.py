@@ -45,11 +45,62 @@ def write_named_json(df: DataFrame, path: str, name: str) -> None:
     fs.delete(jvm.Path(part), True)
 
 
-def manifest(spark: SparkSession, path: str) -> DataFrame:
-    """file, bytes and SHA-256 of every released file."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    name = F.regexp_replace("path", r"^.*?(?=[^/]+\.(csv|parquet)/)", "")
-    return files.filter(~F.col("path").rlike(r"/[_.][^/]*$")).select(name.alias("file"), F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
+#: Files above this size are hashed in pieces of CHUNK bytes, smaller ones as one value.
+WHOLE, CHUNK = 256 << 20, 4 << 20
+
+
+def _hashed(frames):
+    """path -> SHA-256 of a file that a task reads piece by piece."""
+    import hashlib
+
+    from pyarrow.fs import FileSystem
+
+    for frame in frames:
+        found = []
+        for path in frame["path"]:
+            files, at = FileSystem.from_uri(path)
+            digest = hashlib.sha256()
+            with files.open_input_stream(at) as f:
+                while piece := f.read(CHUNK):
+                    digest.update(piece)
+            found.append((path, digest.hexdigest()))
+        yield pd.DataFrame(found, columns=["path", "sha256"])
+
+
+def manifest(spark: SparkSession, path: str, whole: int = WHOLE) -> DataFrame:
+    """file, bytes and SHA-256 of every released file below the path; files whose names begin with _ or . don't count, nor do checksums.
+
+    A file of more than `whole` bytes is read piece by piece in its task, so memory doesn't depend on its size.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).filter(~F.col("path").rlike(r"/[_.][^/]*$|/SHA256SUMS$"))
+    small = files.filter(F.col("length") <= whole).select("path", "length", F.sha2("content", 256).alias("sha256"))
+    large = files.filter(F.col("length") > whole).select("path", "length")
+    read = large.select("path").repartition(F.col("path")).mapInPandas(_hashed, "path string, sha256 string")
+    every = small.unionByName(large.join(read, "path").select("path", "length", "sha256"))
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    base = at.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(at).toUri().getPath().rstrip("/") + "/"
+    plain = F.regexp_replace("path", r"^[a-z0-9]+:(//[^/]*)?(?=/)", "")
+    return every.select(F.substr(plain, F.lit(len(base) + 1)).alias("file"), F.col("length").alias("bytes"), "sha256")
+
+
+def write_sums(spark: SparkSession, path: str, whole: int = WHOLE) -> None:
+    """The file SHA256SUMS of a release: a line for each of its files, in the order of their names."""
+    lines = manifest(spark, path, whole).orderBy("file").select(F.concat("sha256", F.lit("  "), "file").alias("value"))
+    part = f"{path}/.sums"
+    lines.coalesce(1).write.mode("overwrite").text(part)  # a short line a file
+    jvm = spark._jvm.org.apache.hadoop.fs
+    fs = jvm.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    found = [f.getPath() for f in fs.globStatus(jvm.Path(f"{part}/part-*"))]
+    fs.delete(jvm.Path(f"{path}/SHA256SUMS"), False)
+    fs.rename(found[0], jvm.Path(f"{path}/SHA256SUMS"))
+    fs.delete(jvm.Path(part), True)
+
+
+def checked_sums(spark: SparkSession, path: str, whole: int = WHOLE) -> DataFrame:
+    """file and state of each file of a release or of its SHA256SUMS: intact, altered, missing or unlisted."""
+    noted = spark.read.text(f"{path}/SHA256SUMS").select(F.substr("value", F.lit(67)).alias("file"), F.left("value", F.lit(64)).alias("noted"))
+    both = noted.join(manifest(spark, path, whole), "file", "full_outer")
+    return both.select("file", fx.first_of((F.col("noted").isNull(), "unlisted"), (F.col("sha256").isNull(), "missing"), (F.col("noted") == F.col("sha256"), "intact"), otherwise="altered").alias("state"))
 
 
 def append_metrics(row: DataFrame, path: str) -> None:

@@ -78,17 +78,41 @@ def extracted_json(spark: SparkSession, path: str, schema: str, intermediate: tu
     return rows.withColumn("_stem", stem).filter(keep)
 
 
-def csv_fact(spark: SparkSession, path: str, integers: tuple[str, ...], booleans: tuple[str, ...] = (), floats: tuple[str, ...] = ()) -> DataFrame:
-    """A CSV fact, read as text and coerced: '' and 'None' are null, whole numbers may be written as floats."""
-    df = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
-    kind = {**dict.fromkeys(integers, fx.to_int), **dict.fromkeys(booleans, fx.to_bool), **dict.fromkeys(floats, fx.to_float)}
-    return df.select(*[kind.get(c, fx.to_text)(F.col(c)).alias(c) for c in df.columns])
+def in_file_order(rows: DataFrame, name: str = "row_ord") -> DataFrame:
+    """rows, straight from files that Spark has read, with their place (from 0) in the order of the files and of the rows within each.
+
+    Files come in the order of their part numbers and names. Parquet knows a row's place in its file; other formats are numbered in two passes: rows of one split
+    of a file are read one after another, so a row's place is that within its split after the splits before. Only a row for each split is put in order
+    as a whole; the rows stay where they were read.
+    """
+    meta = rows.select("*", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_block_start").alias("_start"), F.monotonically_increasing_id().alias("_id"))
+    part = F.coalesce(F.regexp_extract("_file", r"^part-(\d+)", 1).try_cast("bigint"), F.lit(-1))
+    splits = meta.groupBy("_path", "_start").agg(F.min(part).alias("part"), F.min("_file").alias("file"), F.count(F.lit(1)).alias("n"), F.min("_id").alias("_first"))
+    order = W.orderBy("part", "file", "_path", "_start")
+    splits = splits.withColumn("_before", F.sum("n").over(order) - F.col("n")).select("_path", "_start", "_first", "_before")
+    out = meta.join(splits, ["_path", "_start"]).withColumn(name, F.col("_before") + F.col("_id") - F.col("_first"))
+    return out.drop("_file", "_path", "_start", "_id", "_first", "_before")
 
 
-def release(spark: SparkSession, path: str, columns: list[str], integers: tuple[str, ...] = (), booleans: tuple[str, ...] = ()) -> DataFrame:
-    """Only the needed columns of a released fact, Parquet or (by the end of its name) CSV, with its track."""
-    rows = csv_fact(spark, path, integers, booleans) if path.rstrip("/").endswith(".csv") else spark.read.parquet(path)
-    return rows.select(*columns).withColumn("track", F.when(F.col("stage") == "enacted", "enacted").otherwise(F.col("chamber")))
+def csv_fact(spark: SparkSession, path: str, integers: tuple[str, ...], booleans: tuple[str, ...] = (), floats: tuple[str, ...] = (), place: str | None = None, multiline: bool = True) -> DataFrame:
+    """A CSV fact, read as text and coerced: '' and 'None' are null, whole numbers may be written as floats. place: a column for the row's place in the files.
+
+    multiline: values may hold line breaks, and a file is read by one task; without it large files are split.
+    """
+    read = spark.read.option("header", True).option("multiLine", multiline).option("escape", '"').csv(path)
+    kind = {**dict.fromkeys(integers, fx.to_int), **dict.fromkeys(booleans, fx.to_bool), **dict.fromkeys(floats, fx.to_float)}
+    df = in_file_order(read, place) if place else read
+    return df.select(*[kind.get(c, fx.to_text)(F.col(c)).alias(c) for c in read.columns], *([place] if place else []))
+
+
+def release(spark: SparkSession, path: str, columns: list[str], integers: tuple[str, ...] = (), booleans: tuple[str, ...] = (), place: str | None = None) -> DataFrame:
+    """Only the needed columns of a released fact, Parquet or (by the end of its name) CSV, with its track. place: a column for the row's place in the files, by which a report's rows are in order."""
+    if path.rstrip("/").endswith(".csv"):
+        rows = csv_fact(spark, path, integers, booleans, place=place)
+    else:
+        rows = spark.read.parquet(path)
+        rows = in_file_order(rows, place) if place else rows
+    return rows.select(*columns, *([place] if place else [])).withColumn("track", F.when(F.col("stage") == "enacted", "enacted").otherwise(F.col("chamber")))
 
 
 def deflators(spark: SparkSession) -> DataFrame:

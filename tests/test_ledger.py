@@ -19,7 +19,7 @@ from ledgerloom.functions import text as fx
 from ledgerloom.operators import crosswalk, extract, query, reconcile, similar, structure, trace, verify
 from ledgerloom.plans import registry
 from ledgerloom.schema import AMOUNTS
-from ledgerloom.sinks import writers
+from ledgerloom.sinks import versions, writers
 from ledgerloom.sources import catalog_api, workspace
 from ledgerloom.sources import ledger as sources
 from ledgerloom.streaming import refresh
@@ -552,3 +552,64 @@ def test_prose_triples_against_one_pattern(spark):
             want.append((k, n, t[max(0, m.start() - 120) : m.start()].strip().split(".")[0][-70:].strip(), *map(amount, m.groups())))
     got = verify.prose_triples(spark.createDataFrame(texts, "report_id int, text string"), 1997).collect()
     assert sorted(map(tuple, got), key=str) == sorted(want, key=str) and len(want) > 100
+
+
+def test_rows_in_file_order(spark, tmp_path):
+    """Several files, each read in many splits, in the order in which they were written."""
+    rows = spark.range(20_000).select(F.concat(F.lit("r"), F.expr("lpad(id div 100, 4, '0')")).alias("report_id"), F.col("id").alias("row_ord"), F.repeat(F.lit("x"), (F.col("id") % 50).cast("int")).alias("pad"))
+    rows.repartitionByRange(5, "row_ord").sortWithinPartitions("row_ord").write.option("header", True).option("maxRecordsPerFile", 3000).csv(str(tmp_path / "fact.csv"))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+        got = sources.csv_fact(spark, str(tmp_path / "fact.csv"), ("row_ord",), place="place", multiline=False)
+        assert got.rdd.getNumPartitions() > 20
+        found = got.agg(F.count_if(F.col("place") == F.col("row_ord")), F.count(F.lit(1)), F.count_distinct("place")).first()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert tuple(found) == (20_000, 20_000, 20_000)
+
+
+def test_checksums_by_pieces(spark, tmp_path, monkeypatch):
+    """A file of many pieces, hashed in a task; the sums file, an altered file, a missing one and one that isn't listed."""
+    import hashlib
+
+    monkeypatch.setattr(writers, "CHUNK", 1000)
+    (tmp_path / "a").mkdir()
+    contents = {"a/large.bin": bytes(range(256)) * 300, "small.csv": b"x\n", "_hidden": b"no"}
+    for name, content in contents.items():
+        (tmp_path / name).write_bytes(content)
+    for whole in (0, 100, 1 << 30):
+        got = {r["file"]: (r["bytes"], r["sha256"]) for r in writers.manifest(spark, str(tmp_path), whole).collect()}
+        assert got == {n: (len(c), hashlib.sha256(c).hexdigest()) for n, c in contents.items() if n[0] != "_"}
+    writers.write_sums(spark, str(tmp_path))
+    assert (tmp_path / "SHA256SUMS").read_text().splitlines() == [f"{hashlib.sha256(contents[n]).hexdigest()}  {n}" for n in ("a/large.bin", "small.csv")]
+    assert {r["state"] for r in writers.checked_sums(spark, str(tmp_path)).collect()} == {"intact"}
+    (tmp_path / "small.csv").write_bytes(b"y\n")
+    (tmp_path / "a/large.bin").rename(tmp_path / "new.bin")
+    assert {r["file"]: r["state"] for r in writers.checked_sums(spark, str(tmp_path)).collect()} == {"small.csv": "altered", "a/large.bin": "missing", "new.bin": "unlisted"}
+
+
+def test_versions_of_a_table(spark, tmp_path):
+    path = str(tmp_path / "table")
+    rows = spark.createDataFrame([(g, k, 10 * k) for g in (1, 2, None) for k in range(5)], "g int, k int, v int")
+    keys = ["g", "k"]
+    assert versions.latest(spark, path) == 0 and versions.create(rows.withColumn("g", F.coalesce("g", F.lit(3))), path, "g") == 1
+    first = versions.read(spark, path, "g")
+    old = first.collect()
+    files = {p: p.stat().st_mtime_ns for p in (tmp_path / "table" / "parts").rglob("*.parquet")}
+    after = first.withColumn("v", F.when((F.col("g") == 2) & (F.col("k") == 1), -1).otherwise(F.col("v")))
+    changed, version = versions.change(after, path, "g", keys, ["v"], base=1, dry_run=True)
+    assert changed.collect() == [(2, 1)] and version == 1 == versions.latest(spark, path)
+    assert versions.change(after, path, "g", keys, ["v"], base=1)[1] == 2
+    with pytest.raises(versions.Refused):
+        versions.change(after.withColumn("v", F.lit(0)), path, "g", keys, ["v"], base=1)
+    assert {p: p.stat().st_mtime_ns for p in files} == files  # what the first version wrote is still there
+    assert {(r["g"], r["written_in"]) for r in versions.read(spark, path, "g", with_version=True).collect()} == {(1, 1), (2, 2), (3, 1)}
+    assert sorted(versions.read(spark, path, "g", 1).collect()) == sorted(old) and sorted(versions.read(spark, path, "g").collect()) == sorted(after.collect())
+    assert versions.change(versions.read(spark, path, "g"), path, "g", keys, ["v"], base=2)[1] == 2  # nothing changes
+    (tmp_path / "table" / "log" / "3").write_bytes(b"")  # a writer that was stopped
+    assert versions.latest(spark, path) == 2
+    with pytest.raises(versions.Refused):
+        versions.change(first, path, "g", keys, ["v"], base=2)
+    versions.abandon(spark, path)
+    assert versions.change(first, path, "g", keys, ["v"], base=2)[1] == 3 and sorted(versions.read(spark, path, "g").collect()) == sorted(old)
