@@ -347,25 +347,15 @@ def report_status(spark, sf_dir):
     return writers.status_counts(listed, rows.filter("is_memo AND NOT is_subtotal"))
 
 
-@register("work_order", "SELECT report_id, pages, row_number() OVER (ORDER BY pages, report_id) AS turn FROM (SELECT report_id, count(DISTINCT blk) AS pages FROM ledger GROUP BY report_id) ORDER BY turn LIMIT 100")
+@register("work_order", "SELECT report_id, stage, pages, row_number() OVER (PARTITION BY stage ORDER BY pages, report_id) AS turn FROM (SELECT report_id, stage, count(DISTINCT blk) AS pages FROM ledger GROUP BY ALL)")
 def work_order(spark, sf_dir):
-    """The first hundred reports to work on."""
-    first = query.smallest_first(ledger(spark, sf_dir).groupBy("report_id").agg(F.count_distinct("blk").alias("pages"))).limit(100)
-    return first.withColumn("turn", F.row_number().over(Window.orderBy("pages", "report_id")))
+    """The turn of every report within its stage, the smallest first."""
+    sizes = ledger(spark, sf_dir).groupBy("report_id", "stage").agg(F.count_distinct("blk").alias("pages"))
+    return query.smallest_first(sizes).withColumn("turn", F.row_number().over(Window.partitionBy("stage").orderBy("pages", "report_id")))
 
 
-@register("blank_first", "SELECT report_id, row_ord, row_number() OVER (ORDER BY coalesce(account, ''), report_id, CAST(row_ord AS VARCHAR)) AS place FROM ledger QUALIFY place <= 500")
+@register("blank_first", "SELECT report_id, row_ord, row_number() OVER (PARTITION BY report_id ORDER BY coalesce(account, ''), CAST(row_ord AS VARCHAR)) AS place FROM ledger")
 def blank_first(spark, sf_dir):
-    """The first 500 rows by account, where no account counts as an empty one."""
-    rows = query.ordered_blank_first(ledger(spark, sf_dir).select("report_id", "row_ord", "account"), "account", "report_id", "row_ord").limit(500)
-    return rows.select("report_id", "row_ord", F.row_number().over(Window.orderBy(F.coalesce("account", F.lit("")), "report_id", F.col("row_ord").cast("string"))).alias("place"))
-
-
-@register("audit_by_track", """
-, k AS (SELECT CASE WHEN stage = 'enacted' THEN 'enacted' ELSE chamber END AS track, 114 + floor((fiscal_year + 22 - 2016) / 2) AS congress, is_subtotal, committee_recommendation FROM ledger)
-SELECT track, CAST(congress AS INTEGER) AS congress, count(*) AS totals FROM k WHERE is_subtotal AND committee_recommendation IS NOT NULL GROUP BY ROLLUP (track, congress)""")
-def audit_by_track(spark, sf_dir):
-    """Audited totals by track and congress, with the rows for all."""
-    rows = ledger(spark, sf_dir)
-    place = rows.select("report_id", "row_ord", F.expr("CASE WHEN stage = 'enacted' THEN stage ELSE chamber END AS track"), fx.congress_of_year(F.col("fiscal_year") + 22).alias("congress"))
-    return reconcile.audit(rows).join(place, ["report_id", "row_ord"]).rollup("track", "congress").agg(F.count(F.lit(1)).alias("totals"))
+    """Every row's place within its report by account, where no account counts as an empty one."""
+    rows = query.ordered_blank_first(ledger(spark, sf_dir).select("report_id", "row_ord", "account"), "report_id", "account", "row_ord")
+    return rows.select("report_id", "row_ord", F.row_number().over(Window.partitionBy("report_id").orderBy(F.coalesce("account", F.lit("")), F.col("row_ord").cast("string"))).alias("place"))

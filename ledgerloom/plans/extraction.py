@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import latex
 from ledgerloom.functions import text as fx
-from ledgerloom.operators import extract, structure, verify
+from ledgerloom.operators import extract, rounds, structure, verify
 from ledgerloom.plans.base import register
 from ledgerloom.schema import AMOUNTS
 from ledgerloom.sources.ledger import ledger, lines_of, table
+from ledgerloom.sources.workspace import new_folder, stored
 
 _SHORT = dict(zip(("pe", "be", "cr", "de", "dt"), AMOUNTS, strict=True))
 
@@ -324,6 +326,37 @@ def page_kinds(spark, sf_dir):
     return raw.groupBy(extract.page_kind(said).alias("kind")).agg(F.count(F.lit(1)).alias("pages"))
 
 
+def _reader(attempt: int):
+    """A reader that gives what the page holds from its own attempt on, and before that nothing or no answer at all."""
+
+    def read(frames):
+        for frame in frames:
+            known = frame[frame["blk"] % 9 != attempt + 3] if attempt < 3 else frame
+            fits = known["first"] <= attempt
+            yield pd.DataFrame({"report_id": known["report_id"], "page": known["page"], "answer": known["raw"].where(fits, "I cannot read this page")})
+
+    return read
+
+
+@register("page_rounds", """
+, g AS (SELECT report_id, blk AS page, CASE blk % 6 WHEN 0 THEN 2 WHEN 1 THEN 3 WHEN 2 THEN 9 ELSE 1 END AS first, CASE WHEN blk % 7 = 3 THEN 'non_comparative' ELSE 'rows' END AS kind FROM ledger WHERE is_subtotal)
+, e AS (SELECT *, CASE WHEN first > 3 THEN NULL WHEN first = 1 AND blk9 <> 4 THEN 1 WHEN first <= 2 AND blk9 <> 5 THEN 2 ELSE 3 END AS attempt FROM (SELECT *, page % 9 AS blk9 FROM g))
+, r AS (SELECT report_id, bool_and(attempt IS NOT NULL) AS whole, max(attempt) AS latest FROM e GROUP BY 1)
+SELECT report_id, page, CASE WHEN attempt IS NULL THEN 'quarantine' ELSE kind END AS outcome, coalesce(attempt, 3) AS attempts, coalesce(whole AND latest <= 1, false) AS after_first FROM e JOIN r USING (report_id)""")
+def page_rounds(spark, sf_dir):
+    """Pages that succeed at the first, second or third attempt, or never. The run is stopped after one round and goes on; after_first: the report was through by then."""
+    head = F.concat(F.lit(r"Item & 1996 Enacted & "), F.when(F.col("blk") % 7 == 3, "Projection of outlays").otherwise("Request"), F.lit(r" & Bill \\ \hline "))
+    raw = _latex(spark, sf_dir, head, F.concat_ws(" & ", "line_item_text", _money("pe"), _money("be"), F.coalesce(_money("cr"), F.lit(""))), "lrrr")
+    first = F.when(F.col("page") % 6 == 0, 2).when(F.col("page") % 6 == 1, 3).when(F.col("page") % 6 == 2, 9).otherwise(1)
+    pages = stored(raw.withColumn("first", first).withColumn("blk", F.col("page")), "pages")
+    readers, path = [_reader(k) for k in (1, 2, 3)], new_folder(spark, "rounds")
+    early = rounds.read_in_rounds(pages, readers, path, rounds=1).reports.withColumn("_early", F.lit(True))
+    done = rounds.read_in_rounds(pages, readers, path)
+    found = done.answers.select("report_id", "page", F.col("kind").alias("outcome"), F.col("attempt").alias("attempts"))
+    found = found.unionByName(done.quarantine.select("report_id", "page", F.lit("quarantine").alias("outcome"), "attempts"))
+    return found.join(done.reports, "report_id", "left_semi").join(early, "report_id", "left").select("report_id", "page", "outcome", "attempts", F.coalesce("_early", F.lit(False)).alias("after_first"))
+
+
 @register("routes", """
 , r AS (SELECT report_id, max(stage) AS stage, max(chamber) AS chamber, bool_or(blk % 11 = 0) AS is_text FROM ledger GROUP BY report_id)
 SELECT CASE WHEN stage = 'enacted' THEN 'enacted' WHEN chamber = 'senate' THEN 'fixed_width' WHEN is_text THEN 'typeset' ELSE 'pages' END AS route, count(*) AS reports FROM r GROUP BY 1""")

@@ -125,9 +125,16 @@ _SPLIT = "pe <> 0 AND be <> 0 AND pe + be = cr AND de = pe AND dt = be"
 
 
 @register("column_layout", """
-SELECT column_layout, count(*) AS n_rows FROM (SELECT CASE WHEN regexp_full_match(trim(line_item_text), '[0-9]{1,3}\\.?') THEN 'procurement_qty' WHEN coalesce(prior_year_enacted <> 0 AND budget_estimate <> 0 AND prior_year_enacted + budget_estimate = committee_recommendation AND delta_vs_enacted = prior_year_enacted AND delta_vs_estimate = budget_estimate, false) THEN 'category_split' ELSE 'standard' END AS column_layout FROM ledger) GROUP BY 1""")
+, k AS (SELECT CASE WHEN pk % 43 = 9 THEN ' ' || (pk % 200) || CASE WHEN pk % 2 = 0 THEN '.' ELSE '' END WHEN pk % 43 = 10 THEN '1234' ELSE line_item_text END AS label, prior_year_enacted AS pe, CASE WHEN pk % 47 = 4 THEN 0 ELSE budget_estimate END AS be,
+ CASE WHEN pk % 47 IN (3, 4) THEN prior_year_enacted + CASE WHEN pk % 47 = 4 THEN 0 ELSE budget_estimate END ELSE committee_recommendation END AS cr, CASE WHEN pk % 47 IN (3, 4) THEN prior_year_enacted ELSE delta_vs_enacted END AS de, CASE WHEN pk % 47 = 3 THEN budget_estimate WHEN pk % 47 = 4 THEN 0 ELSE delta_vs_estimate END AS dt FROM ledger)
+SELECT column_layout, count(*) AS n_rows FROM (SELECT CASE WHEN regexp_full_match(trim(label), '[0-9]{1,3}\\.?') THEN 'procurement_qty' WHEN coalesce(pe <> 0 AND be <> 0 AND pe + be = cr AND de = pe AND dt = be, false) THEN 'category_split' ELSE 'standard' END AS column_layout FROM k) GROUP BY 1""")
 def column_layout(spark, sf_dir):
-    return ledger(spark, sf_dir).groupBy(fx.column_layout(F.col("line_item_text"), *_amounts()).alias("column_layout")).agg(F.count(F.lit(1)).alias("n_rows"))
+    """Some labels are bare numbers; some rows have the sum of two columns as the third, of which those with a zero don't count."""
+    rows, n = ledger(spark, sf_dir), F.col("pk")
+    label = F.when(n % 43 == 9, F.concat(F.lit(" "), (n % 200).cast("string"), F.when(n % 2 == 0, ".").otherwise(""))).when(n % 43 == 10, "1234").otherwise(F.col("line_item_text"))
+    pe, be, split = F.col("prior_year_enacted"), F.when(n % 47 == 4, 0).otherwise(F.col("budget_estimate")), (n % 47).isin(3, 4)
+    cr, de, dt = (F.when(split, x).otherwise(F.col(c)) for x, c in ((pe + be, "committee_recommendation"), (pe, "delta_vs_enacted"), (be, "delta_vs_estimate")))
+    return rows.groupBy(fx.column_layout(label, pe, be, cr, de, dt).alias("column_layout")).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 # ---- accounts over time ---------------------------------------------------------------------------------------------
@@ -458,13 +465,16 @@ def reconcile_checks(spark, sf_dir):
     return reconcile.reconcile(_statement(spark, sf_dir)).filter("checks IS NOT NULL").select("report_id", "row_ord", c["printed"].alias("printed"), c["computed"].alias("computed"), c["complete"].alias("complete"))
 
 
-@register("blind_reports", _STATEMENT + " SELECT report_id, count(*) AS n_rows, count(*) FILTER (tot) AS totals FROM p GROUP BY report_id HAVING count(*) FILTER (tot AND v IS NOT NULL) = 0", recursive=True)
+@register("blind_reports", _STATEMENT.replace("CASE WHEN NOT is_subtotal AND pk % 37 = 9 THEN NULL", "CASE WHEN (NOT is_subtotal AND pk % 37 = 9) OR (is_subtotal AND substr(md5(report_id), 1, 1) < '4') THEN NULL") + " SELECT report_id, count(*) AS n_rows, count(*) FILTER (tot) AS totals FROM p GROUP BY report_id HAVING count(*) FILTER (tot AND v IS NOT NULL) = 0", recursive=True)
 def blind_reports(spark, sf_dir):
+    """About a quarter of the reports has totals of which no amount was read."""
+    blank = F.col("is_subtotal") & (F.substring(F.md5("report_id"), 1, 1) < "4")
     rows = _statement(spark, sf_dir)
+    rows = rows.withColumns({c: F.when(~blank, F.col(c)) for c in ("committee_recommendation", "delta_vs_enacted", "delta_vs_estimate")})
     return reconcile.blind_reports(reconcile.reconcile(rows), rows)
 
 
-@register("audit_blocks", _STATEMENT + """
+_AUDIT = _STATEMENT + """
 , s(report_id, i, vals, hit, nearest) AS (
  SELECT DISTINCT report_id, CAST(0 AS BIGINT), CAST([] AS BIGINT[]), CAST(NULL AS BIGINT), CAST(NULL AS BIGINT) FROM p
  UNION ALL SELECT report_id, i + 1, CASE WHEN v IS NULL THEN vals WHEN hit IS NULL THEN list_append(vals, v) ELSE list_append(vals[1:len(vals) - hit], v) END, hit, nearest
@@ -472,12 +482,26 @@ def blind_reports(spark, sf_dir):
    CASE WHEN is_subtotal AND p.v IS NOT NULL THEN list_min(list_transform(range(1, len(vals) + 1), lambda j: abs(CAST(list_sum(vals[len(vals) - j + 1:]) AS BIGINT) - p.v))) END AS nearest FROM s JOIN p ON p.report_id = s.report_id AND p.row_ord = s.i + 1))
 , t AS (SELECT *, coalesce(lag(row_ord) OVER (PARTITION BY report_id ORDER BY row_ord), 0) AS since FROM p WHERE is_subtotal AND v IS NOT NULL)
 , w AS (SELECT t.report_id, t.row_ord, t.v, bool_or(p.label LIKE '%available this fiscal%') AS views, bool_or(NOT p.is_subtotal AND p.v IS NULL AND coalesce(p.pe, p.be, p.de, p.dt) IS NOT NULL) AS part FROM t JOIN p ON p.report_id = t.report_id AND p.row_ord > t.since AND p.row_ord <= t.row_ord GROUP BY ALL)
-SELECT w.report_id, w.row_ord, w.v AS printed, CASE WHEN hit IS NOT NULL THEN 'ok' WHEN views THEN 'structural' WHEN part THEN 'partial_read' WHEN w.v <> 0 AND nearest / CAST(abs(w.v) AS DOUBLE) <= 0.02 THEN 'off_by_small' ELSE 'structural' END AS verdict
-FROM w JOIN s ON s.report_id = w.report_id AND s.i = w.row_ord""", recursive=True)
+, audited AS (SELECT w.report_id, w.row_ord, w.v AS printed, CASE WHEN hit IS NOT NULL THEN 'ok' WHEN views THEN 'structural' WHEN part THEN 'partial_read' WHEN w.v <> 0 AND nearest / CAST(abs(w.v) AS DOUBLE) <= 0.02 THEN 'off_by_small' ELSE 'structural' END AS verdict
+FROM w JOIN s ON s.report_id = w.report_id AND s.i = w.row_ord)"""
+
+
+@register("audit_blocks", _AUDIT + " SELECT * FROM audited", recursive=True)
 def audit_blocks(spark, sf_dir):
     return reconcile.audit(_statement(spark, sf_dir))
 
 
+@register("audit_by_track", _AUDIT + """
+, k AS (SELECT CASE WHEN p.stage = 'enacted' THEN 'enacted' ELSE p.chamber END AS track, CAST(114 + floor((p.fiscal_year + 22 - 2016) / 2) AS INTEGER) AS congress, verdict FROM audited JOIN p ON p.report_id = audited.report_id AND p.row_ord = audited.row_ord)
+SELECT track, congress, count(*) AS totals, count(*) FILTER (verdict = 'ok') AS ok, count(*) FILTER (verdict = 'structural') AS structural, count(*) FILTER (verdict = 'partial_read') AS partial_read, count(*) FILTER (verdict = 'off_by_small') AS off_by_small FROM k GROUP BY ROLLUP (track, congress)""", recursive=True)
+def audit_by_track(spark, sf_dir):
+    """The audit's verdicts by track and congress, with the rows for all."""
+    rows = _statement(spark, sf_dir)
+    place = rows.select("report_id", "row_ord", F.expr("CASE WHEN stage = 'enacted' THEN stage ELSE chamber END AS track"), fx.congress_of_year(F.col("fiscal_year") + 22).alias("congress"))
+    counts = [F.count_if(F.col("verdict") == v).alias(v) for v in ("ok", "structural", "partial_read", "off_by_small")]
+    return reconcile.audit(rows).join(place, ["report_id", "row_ord"]).rollup("track", "congress").agg(F.count(F.lit(1)).alias("totals"), *counts)
+
+
 @register("typeset_reconcile", """
 , b AS (SELECT report_id, row_ord, is_subtotal, sum(CASE WHEN is_subtotal THEN 1 ELSE 0 END) OVER (PARTITION BY report_id ORDER BY row_ord) - CASE WHEN is_subtotal THEN 1 ELSE 0 END AS k, coalesce(budget_estimate, 0) AS req, coalesce(committee_recommendation, 0) AS rec FROM ledger)
 , g AS (SELECT report_id, k, max(CASE WHEN is_subtotal THEN row_ord END) AS row_ord, count(*) FILTER (NOT is_subtotal) AS n, coalesce(sum(req) FILTER (NOT is_subtotal), 0) AS q, coalesce(sum(rec) FILTER (NOT is_subtotal), 0) AS c, max(CASE WHEN is_subtotal THEN req END) AS tq, max(CASE WHEN is_subtotal THEN rec END) AS tc FROM b GROUP BY ALL)
@@ -587,6 +611,21 @@ def clean_labels(spark, sf_dir):
     return _values(spark, _LABELS).select("id", fx.clean_account_label(F.col("v")).alias("c")).select("id", "c.*")
 
 
+_PRINTED = "CASE p_partkey % 10 WHEN 0 THEN p_name || ' 1,250,000' WHEN 1 THEN p_name || ' (emergency)' WHEN 2 THEN p_name || ', Base' WHEN 3 THEN 'and ' || p_name WHEN 4 THEN upper(p_name) || ' [OCO]  450 000' WHEN 5 THEN 'Works)' WHEN 6 THEN upper(p_name) || ' built in 1907' WHEN 7 THEN upper(p_name) || ' (disaster relief), rescission of 3' WHEN 8 THEN upper(p_name) || ',' ELSE 'Operations of ' || p_name || ' $12' END"
+
+
+@register("label_parts", f"""
+WITH d AS (SELECT p_partkey, {_PRINTED} AS v FROM part), s AS (SELECT p_partkey, v, trim(regexp_replace(v, '(\\s+\\$?[0-9]{{1,3}}([ ,][0-9]{{3}})*)+\\s*$', '')) AS k FROM d)
+SELECT p_partkey, k AS stripped, trim(regexp_replace(regexp_replace(lower(regexp_replace(regexp_replace(k, '[(\\[][^)\\]]*[)\\]]', '', 'g'), ',\\s*(base|emergency|oco|disaster|rescission)\\b.*$', '', 'i')), '[^a-z0-9 ]', ' ', 'g'), '\\s+', ' ', 'g')) AS normalized,
+ CASE WHEN contains(v, '[OCO]') THEN 'OCO' WHEN contains(v, '(emergency)') THEN 'emergency' WHEN contains(v, '(disaster relief)') THEN 'disaster' ELSE 'base' END AS designation,
+ length(k) < 4 OR regexp_matches(k, '^[a-z]') OR length(replace(k, ')', '')) < length(replace(k, '(', '')) OR regexp_matches(k, '[,/-]$') OR regexp_matches(k, '(?i)^(and|or|the|of|operations|relief|appropriation)\\b') AS is_fragment FROM s""", on_ledger=False)
+def label_parts(spark, sf_dir):
+    """Names of parts printed with leaked amounts, qualifiers, years and broken ends."""
+    v = F.col("v")
+    printed = table(spark, sf_dir, "part").select("p_partkey", F.expr(_PRINTED).alias("v"))
+    return printed.select("p_partkey", fx.strip_number_leakage(v).alias("stripped"), fx.clean_account_label(v).alias("c")).select("p_partkey", "stripped", "c.*")
+
+
 _TITLES = ["A bill for Agriculture and kindred matters, Appropriations Bill, 2031", "Second DEFENSE APPROPRIATIONS ACT, 2030", "Housing and Urban Development, yearly AP- PROPRIATIONS Act, 2033", "Resolution providing for CONSIDERATION of appropriations for fiscal year 2029", "Conference report, Energy and Water works, September 30, 2028", "A museum of clocks", "Department of State, and Related Programs and their Appropriations, 2027"]
 
 
