@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions import text as fx
 from ledgerloom.schema import FLOW_LEVELS
+from ledgerloom.sources.workspace import stored
 
 UNSPECIFIED, OTHER = "(unspecified)", "(other)"
 
@@ -84,13 +85,13 @@ def flow(df: DataFrame, metric: str = "committee_recommendation", levels: tuple[
     """Nodes (level, name, total) and links (source_level, source, target_level, target, value) of a layered flow, at account grain.
 
     Blank names are unspecified. A level with 60 % or more of the money unspecified goes, except for the two least sparse. Of each level the `top`
-    names by absolute money stay, ties by name; the rest is one node. Which levels and names stay are two scalar subqueries (at most seven levels,
-    of 50 names each), so that the rows themselves are mapped in place.
+    names by absolute money stay, ties by name; the rest is one node. The account grain is stored once. Which levels and names stay are two scalar
+    subqueries over it (at most seven levels, of 50 names each), so that the rows themselves are mapped in place.
     """
     if len(levels) < 2 or not set(levels) <= set(FLOW_LEVELS) or not 2 <= top <= 50:
         raise ValueError("a flow takes two or more known levels, and top from 2 to 50")
     value = lambda c: F.coalesce(F.nullif(fx.strip(F.col("account_effective") if c == "account" else F.col(c)), F.lit("")), F.lit(UNSPECIFIED))
-    grain = account_grain(df, metric).select(F.col(metric).alias("amount"), F.array(*map(value, levels)).alias("names"))
+    grain = stored(account_grain(df, metric).select(F.col(metric).alias("amount"), F.array(*map(value, levels)).alias("names")), "grain")
     sizes = grain.select("amount", F.posexplode("names").alias("place", "name")).groupBy("place", "name").agg(F.sum(F.abs("amount")).alias("size"))
     shares = sizes.groupBy("place").agg(F.coalesce(F.try_divide(F.sum(F.when(F.col("name") == UNSPECIFIED, F.col("size")).otherwise(0)), F.sum("size")), F.lit(0.0)).alias("share"))
     order = F.array_sort(F.collect_list(F.struct("share", "place")))  # the least sparse first
@@ -137,7 +138,7 @@ def coverage_matrix(df: DataFrame) -> DataFrame:
 def histogram(df: DataFrame, column: str) -> DataFrame:
     """Rows and percent by value."""
     counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("n_rows"))
-    total = counts.agg(F.sum("n_rows")).scalar()
+    total = F.sum("n_rows").over(W.partitionBy())  # over a row a value
     return counts.withColumn("percent", F.round(F.col("n_rows") * 100.0 / total, 4))
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions import text as fx
 from ledgerloom.operators import crosswalk, query, reconcile, structure, trace, verify
-from ledgerloom.plans.base import amounts, full, register
+from ledgerloom.plans.base import amounts, full, kept, register
 from ledgerloom.sinks import writers
 from ledgerloom.sources.ledger import catalog, ledger, table
 
@@ -34,7 +34,7 @@ _CASCADE = """
 
 def _items(spark, sf_dir) -> DataFrame:
     """Line items whose account is a fragment or missing, some with an inferred one, so that the cascade goes through all of its candidates."""
-    rows = ledger(spark, sf_dir).withColumn("account_inferred", F.when(F.col("pk") % 3 == 0, F.initcap(F.concat_ws(" ", "line_item_text", "account"))))
+    rows = kept(spark, sf_dir).withColumn("account_inferred", F.when(F.col("pk") % 3 == 0, F.initcap(F.concat_ws(" ", "line_item_text", "account"))))
     rows = rows.withColumn("line_item_text", F.when(F.col("is_subtotal"), F.col("line_item_text")).otherwise(F.initcap("line_item_text")))
     rows = rows.withColumn("account", F.when(F.col("pk") % 2 == 0, "operations)")).withColumn("department", F.when(F.col("pk") % 5 < 2, "Alpha bureau").otherwise("Beta bureau")).withColumn("agency", F.lit(None).cast("string"))
     return crosswalk.enrich_accounts(rows, _reference(spark, sf_dir))
@@ -49,7 +49,7 @@ def enrich_accounts(spark, sf_dir):
 @register("crosswalk_stats", _CASCADE + " SELECT match, count(*) AS entities, match <> 'ambiguous' AS trusted FROM (SELECT DISTINCT sub, name, match FROM tried) GROUP BY match")
 def crosswalk_stats(spark, sf_dir):
     """Distinct (subcommittee, name) entities by how they match."""
-    rows = ledger(spark, sf_dir).filter("NOT is_subtotal")
+    rows = kept(spark, sf_dir).filter("NOT is_subtotal")
     context = F.when(F.col("pk") % 5 < 2, "Alpha bureau").otherwise("Beta bureau")
     names = F.array(F.when(F.col("pk") % 3 == 0, F.lower(F.concat_ws(" ", "line_item_text", "account"))), F.lower("line_item_text"))
     tried = rows.select("report_id", "row_ord", F.coalesce("subcommittee", F.lit("")).alias("sub"), context.alias("context"), F.posexplode(names).alias("pos", "name")).filter("name IS NOT NULL")
@@ -92,7 +92,7 @@ SELECT t.report_id, t.account_id, t.name, CASE WHEN v.value IS NOT NULL THEN 'va
 FROM t LEFT JOIN v ON v.report_id = t.report_id AND v.value = t.value LEFT JOIN p ON p.report_id = t.report_id AND p.account_id = t.account_id""")
 def recall_audit(spark, sf_dir):
     """Enacted line items, under other names, sought among a report's rows of other stages."""
-    rows = ledger(spark, sf_dir)
+    rows = kept(spark, sf_dir)
     one, two = F.split("line_item_text", " ")[0], F.split("line_item_text", " ")[1]
     k = F.col("pk") % 4
     name = F.when(k == 0, F.concat(F.lit("Total, "), "line_item_text")).when(k == 1, F.concat("line_item_text", F.lit(" annex"))).when(k == 2, F.concat(F.lit("big annex near "), two)).otherwise(F.upper(F.concat_ws(" ", two, one)))

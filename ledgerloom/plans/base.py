@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ledgerloom.operators import query
 from ledgerloom.schema import AMOUNTS
 from ledgerloom.sources.ledger import LEDGER_SQL, ledger
+from ledgerloom.sources.workspace import stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -34,3 +35,8 @@ def register(name: str, sql: str | None = None, on_ledger: bool = True, recursiv
 
 def full(spark: SparkSession, sf_dir: str) -> DataFrame:
     return query.with_defaults(ledger(spark, sf_dir))
+
+
+def kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ledger, derived once and stored, for queries that start from it several times."""
+    return stored(ledger(spark, sf_dir), "ledger")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.operators import crosswalk, extract, query, reconcile, verify
 from ledgerloom.plans.accounts import _PACKAGES, _reference, packages
-from ledgerloom.plans.base import amounts, register
+from ledgerloom.plans.base import amounts, kept, register
 from ledgerloom.plans.extraction import _inline, _typeset
 from ledgerloom.sinks import versions, writers
 from ledgerloom.sources import ledger as sources
@@ -85,15 +85,16 @@ def text_files(spark, sf_dir):
     return lines.groupBy(F.col("report_id").alias("nation")).agg(F.count(F.lit(1)).cast("int").alias("n_lines"), F.max(F.when(F.col("row_ord") == 0, F.col("line"))).alias("first_line"))
 
 
-@register("extracted_tree", ", r AS (SELECT chamber, count(*) AS n FROM ledger GROUP BY 1) SELECT chamber, n AS n_rows FROM r")
+@register("extracted_tree", ", r AS (SELECT chamber, report_id, count(*) AS n_rows, CAST(sum(committee_recommendation) AS BIGINT) AS amount FROM ledger GROUP BY ALL) SELECT * FROM r")
 def extracted_tree(spark, sf_dir):
-    """A tree of reports as JSON with intermediate files beside them, which don't count."""
+    """A tree of reports as JSON, a number of reports a file, with intermediate files beside them that don't count."""
     path = new_folder(spark, "extracted")
-    docs = ledger(spark, sf_dir).groupBy("chamber", "report_id").agg(F.count(F.lit(1)).alias("n")).agg(F.collect_list(F.struct("chamber", "report_id", "n")).alias("reports"))
-    for name in ("118", "118_nemotron", "118_hybrid"):
-        writers.write_named_json(docs, path, name)
-    rows = sources.extracted_json(spark, path, "reports array<struct<chamber:string,report_id:string,n:bigint>>")
-    return rows.select(F.explode("reports").alias("r")).groupBy("r.chamber").agg(F.sum("r.n").alias("n_rows"))
+    docs = ledger(spark, sf_dir).groupBy("chamber", "report_id").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("committee_recommendation").alias("amount"))
+    writers.write_report_files(docs, f"{path}/done", "chamber", "report_id")
+    for end in ("_nemotron", "_hybrid"):
+        writers.write_report_files(docs.withColumn("amount", F.lit(-1).cast("bigint")), f"{path}/pass{end}", "chamber", "report_id", end=end)
+    rows = sources.extracted_json(spark, path, "reports array<struct<chamber:string,report_id:string,n_rows:bigint,amount:bigint>>")
+    return rows.select(F.explode("reports").alias("r")).select("r.*")
 
 
 @register("reports_as_json", "SELECT chamber, report_id, count(*) AS n_rows, CAST(sum(committee_recommendation) AS BIGINT) AS amount FROM ledger GROUP BY ALL")
@@ -289,7 +290,7 @@ def first_pass(spark, sf_dir):
 SELECT report_id, count(*) AS sheet_rows, count(*) FILTER (is_subtotal) AS formulas, CAST(sum(CASE WHEN is_subtotal THEN committee_recommendation END) AS BIGINT) AS rollups FROM ledger GROUP BY report_id""")
 def proof_sheets(spark, sf_dir):
     """Spreadsheet files with a live sum for each total, opened again."""
-    rows = ledger(spark, sf_dir)
+    rows = kept(spark, sf_dir)
     books = writers.workbooks(writers.proof_rows(rows, reconcile.reconcile(rows)))
 
     def opened(frames):
@@ -313,7 +314,7 @@ def proof_sheets(spark, sf_dir):
 SELECT report_id, place AS row_ord, CASE WHEN a = z THEN '=SUM(C' || (a + 1) || ')' ELSE '=SUM(C' || (a + 1) || ':C' || (z + 1) || ')' END AS formula FROM b WHERE NOT memo AND t = s AND t <> 0""")
 def proof_formulas(spark, sf_dir):
     """The formulas of totals over blocks without memos that close exactly."""
-    rows = ledger(spark, sf_dir)
+    rows = kept(spark, sf_dir)
     proof = writers.proof_rows(rows, reconcile.reconcile(rows).filter("status = 'ok'"))
     plain = rows.groupBy("report_id", "blk").agg(F.max(F.when(F.col("is_subtotal"), F.col("row_ord"))).alias("row_ord"), F.bool_or("is_memo").alias("memo"), F.max(F.when(F.col("is_subtotal"), F.col("committee_recommendation"))).alias("t"), F.sum(F.when(~F.col("is_subtotal"), F.col("committee_recommendation"))).alias("s")).filter("NOT memo AND t = s AND t <> 0")
     return proof.join(plain.select("report_id", "row_ord"), ["report_id", "row_ord"]).select("report_id", "row_ord", "formula")

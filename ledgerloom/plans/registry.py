@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions import text as fx
 from ledgerloom.operators import crosswalk, query, reconcile, structure, trace, verify
-from ledgerloom.plans.base import ORACLES, QUERIES, register
+from ledgerloom.plans.base import ORACLES, QUERIES, kept, register
 from ledgerloom.plans.base import amounts as _amounts
 from ledgerloom.plans.base import full as _full
 from ledgerloom.schema import CPI
@@ -330,21 +330,21 @@ _CHAIN = """
 @register("block_inference", _CHAIN.format(paren="is_memo") + """
 SELECT l.report_id, l.row_ord, 'Order ' || CAST(x.blk AS VARCHAR) AS account_inferred FROM x JOIN l ON l.report_id = x.report_id AND l.k = x.k WHERE NOT l.is_subtotal AND x.good""", recursive=True)
 def block_inference(spark, sf_dir):
-    rows = ledger(spark, sf_dir).withColumn("account", F.lit(None).cast("string"))
+    rows = kept(spark, sf_dir).withColumn("account", F.lit(None).cast("string"))
     return structure.infer_block_accounts(rows).filter("account_inferred IS NOT NULL").select("report_id", "row_ord", "account_inferred")
 
 
 @register("oversum_blocks", _CHAIN.format(paren="NULL") + """
 SELECT report_id, k AS block, 'Order ' || CAST(blk AS VARCHAR) AS name, excess FROM x WHERE named AND NOT good AND excess > 0""", recursive=True)
 def oversum_blocks(spark, sf_dir):
-    return structure.oversum_blocks(ledger(spark, sf_dir))
+    return structure.oversum_blocks(kept(spark, sf_dir))
 
 
 @register("recover_indent", """
 , b AS (SELECT report_id, blk, sum(CASE WHEN NOT is_subtotal AND NOT is_memo THEN committee_recommendation END) AS s, max(CASE WHEN is_subtotal THEN committee_recommendation END) AS t, bool_or(is_memo) AS f FROM ledger GROUP BY ALL)
 SELECT l.report_id, l.row_ord, l.is_memo, CASE WHEN NOT l.is_memo THEN 'Order ' || CAST(l.blk AS VARCHAR) END AS account_inferred FROM ledger l JOIN b ON l.report_id = b.report_id AND l.blk = b.blk WHERE b.f AND b.s = b.t AND NOT l.is_subtotal""")
 def recover_indent(spark, sf_dir):
-    rows = ledger(spark, sf_dir)
+    rows = kept(spark, sf_dir)
     done = structure.recover_indent(rows.withColumn("is_memo", F.lit(False)), rows.filter("is_memo"))
     return done.filter("account_inferred IS NOT NULL OR is_memo").select("report_id", "row_ord", "is_memo", "account_inferred")
 
@@ -361,7 +361,7 @@ _INDENT = _CHAIN.format(paren="NULL").replace("max(CASE WHEN is_subtotal THEN bu
 
 def _indent(spark, sf_dir):
     """The line items of over-summing blocks, and the answers to their questions."""
-    rows = ledger(spark, sf_dir).withColumns({c: F.when(~F.col("is_subtotal"), F.col(c)) for c in ("budget_estimate", "prior_year_enacted")}).withColumn("page", F.expr("row_ord div 40")).withColumn("account", F.lit(None).cast("string"))
+    rows = kept(spark, sf_dir).withColumns({c: F.when(~F.col("is_subtotal"), F.col(c)) for c in ("budget_estimate", "prior_year_enacted")}).withColumn("page", F.expr("row_ord div 40")).withColumn("account", F.lit(None).cast("string"))
     leaves = structure.indent_leaves(rows)
     marked = leaves.join(rows.select("report_id", "row_ord", "is_memo"), ["report_id", "row_ord"])
     each = marked.groupBy("report_id", "page", "letter").agg(F.sort_array(F.collect_list(F.when(F.when(F.col("page") % 7 == 2, F.col("leaf") == 1).otherwise(F.col("is_memo")), F.col("leaf")))).alias("lines"))
@@ -566,13 +566,13 @@ def crosswalk_prefix(spark, sf_dir):
 
 
 @register("inline_corroboration", """
-, i AS (SELECT report_id, account AS label, max(committee_recommendation) AS a, min(prior_year_enacted) AS b FROM ledger WHERE NOT is_subtotal GROUP BY ALL)
+, i AS (SELECT report_id, account AS label, committee_recommendation AS a, prior_year_enacted AS b FROM ledger WHERE NOT is_subtotal AND pk % 5 = 0)
 , m AS (SELECT l.report_id, l.row_ord, concat_ws(' ', l.account, l.line_item_text) AS x, i.label FROM ledger l JOIN i ON l.report_id = i.report_id WHERE NOT l.is_subtotal AND (l.prior_year_enacted IN (i.a, i.b) OR l.budget_estimate IN (i.a, i.b) OR l.committee_recommendation IN (i.a, i.b)))
 SELECT DISTINCT report_id, row_ord FROM m WHERE len(list_intersect(list_filter(regexp_extract_all(lower(x), '[a-z]+'), lambda w: length(w) > 3), list_filter(regexp_extract_all(lower(label), '[a-z]+'), lambda w: length(w) > 3))) > 0""")
 def inline_corroboration(spark, sf_dir):
-    """Rows against one inline record for each account of a report: its largest recommendation and smallest prior year."""
-    rows = ledger(spark, sf_dir).filter("NOT is_subtotal")
-    inline = rows.groupBy("report_id", F.col("account").alias("label")).agg(F.array(F.max("committee_recommendation"), F.min("prior_year_enacted")).alias("amounts"))
+    """Rows against the inline records of a report: every fifth part's rows, with recommendation and prior year."""
+    rows = kept(spark, sf_dir).filter("NOT is_subtotal")
+    inline = rows.filter("pk % 5 = 0").select("report_id", F.col("account").alias("label"), F.array("committee_recommendation", "prior_year_enacted").alias("amounts"))
     return crosswalk.corroborated(rows, inline)
 
 

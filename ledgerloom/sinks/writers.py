@@ -34,15 +34,22 @@ def write_release(df: DataFrame, path: str, name: str) -> None:
     df.write.mode("overwrite").option("compression", "zstd").option("maxRecordsPerFile", FILE_ROWS).parquet(f"{path}/{name}.parquet")
 
 
-def write_named_json(df: DataFrame, path: str, name: str) -> None:
-    """One small JSON document under a name of its own: path/name.json."""
-    spark, part = df.sparkSession, f"{path}/.{name}"
-    df.coalesce(1).write.mode("overwrite").json(part)
-    jvm = spark._jvm.org.apache.hadoop.fs
-    fs = jvm.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
-    found = [f.getPath() for f in fs.globStatus(jvm.Path(f"{part}/part-*.json"))]
-    fs.rename(found[0], jvm.Path(f"{path}/{name}.json"))
-    fs.delete(jvm.Path(part), True)
+#: Reports in one file of a tree.
+REPORTS = 200
+
+
+def write_report_files(reports: DataFrame, path: str, *key: str, end: str = "", most: int = REPORTS) -> None:
+    """A tree of JSON files, one document a file: {"reports": [...]} with about `most` rows of reports each. end: what the names of intermediate files end in."""
+    spark = reports.sparkSession
+    bucket = F.pmod(F.xxhash64(*key), F.lit(max(1, -(-reports.count() // most))))
+    rows = reports.groupBy(bucket.alias("bucket")).agg(F.sort_array(F.collect_list(F.struct(*reports.columns))).alias("reports"))
+    rows.write.partitionBy("bucket").json(path)
+    if end:
+        jvm = spark._jvm.org.apache.hadoop.fs
+        fs = jvm.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+        for f in fs.globStatus(jvm.Path(f"{path}/bucket=*/part-*.json")):
+            at = f.getPath()
+            fs.rename(at, jvm.Path(at.getParent(), f"{at.getName().removesuffix('.json')}{end}.json"))
 
 
 #: Files above this size are hashed in pieces of CHUNK bytes, smaller ones as one value.

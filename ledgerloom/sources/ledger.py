@@ -11,7 +11,8 @@ from ledgerloom.schema import CPI, REAL_BASE
 from ledgerloom.sources.workspace import exists
 
 #: The ledger as SQL over lineitem, orders, customer, nation and part. It runs in Spark and DuckDB alike.
-#: A report is a month of a region, of 150,000 order keys at most, so that reports keep their size at any scale.
+#: A report is a month of a region, of 150,000 order keys at most, so that reports keep their size at any scale. Year and chamber follow from the report; rows
+#: are numbered within all three, so that conditions on year and chamber are pushed below the numbering.
 LEDGER_SQL = """
 WITH li AS (
  SELECT l_orderkey, l_partkey, l_returnflag, l_linestatus,
@@ -38,7 +39,7 @@ u AS (
  SELECT report_id,fiscal_year,chamber,stage,subcommittee,agency,account,line_item_text,code,blk,ln,is_subtotal,is_memo,committee_recommendation,prior_year_enacted,budget_estimate,pk FROM leaf
  UNION ALL SELECT report_id,fiscal_year,chamber,stage,subcommittee,agency,NULL,concat('Total, Order ',CAST(blk AS STRING)),NULL,blk,1000000,true,false,committee_recommendation,prior_year_enacted,budget_estimate,0 FROM tot),
 ledger AS (
-SELECT *, row_number() OVER (PARTITION BY report_id ORDER BY blk,ln) AS row_ord,
+SELECT *, row_number() OVER (PARTITION BY report_id, fiscal_year, chamber ORDER BY blk,ln) AS row_ord,
  committee_recommendation - prior_year_enacted + CASE WHEN pk%17=1 THEN 1 ELSE 0 END AS delta_vs_enacted,
  committee_recommendation - budget_estimate AS delta_vs_estimate FROM u)
 """
