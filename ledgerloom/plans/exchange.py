@@ -21,18 +21,29 @@ from ledgerloom.sources.workspace import made_once, new_folder
 # ---- catalogs -----------------------------------------------------------------------------------------------------------
 
 
-@register("catalog_pages", "SELECT CAST(c AS VARCHAR) AS congress, 30 + c - 110 AS packages, count(*) AS titled FROM range(114, 119) AS t(c), range(0, 200) AS n(i) WHERE i < 30 + c - 110 GROUP BY c", on_ledger=False)
+@register("catalog_pages", _PACKAGES + " SELECT package_id, title, doc_class, CAST(114 + s_suppkey % 5 AS VARCHAR) AS congress FROM s", on_ledger=False)
 def catalog_pages(spark, sf_dir):
-    """The paged source with its example transport, whose first call for each page fails."""
+    """The paged source over a stored listing of packages, seven a page; a congress without packages has none."""
+    path = new_folder(spark, "listing")
+    found = packages(spark, sf_dir).withColumn("congress", F.expr("114 + cast(regexp_extract(package_id, '(\\\\d+)$', 1) as int) % 5"))
+    found.repartition("congress").sortWithinPartitions("congress", "package_id").write.partitionBy("congress").json(path)
     spark.dataSource.register(CatalogSource)
-    rows = spark.read.format("ledgerloom_catalog").option("transport", "ledgerloom.sources.catalog_api:example").option("congresses", "114,115,116,117,118").option("page_size", "10").option("wait", "0.01").load()
-    return rows.groupBy("congress").agg(F.count_distinct("package_id").cast("int").alias("packages"), F.count("title").alias("titled"))
+    uri = path if "://" in path or path.startswith("file:") else f"file://{path}"
+    read = spark.read.format("ledgerloom_catalog").option("transport", "ledgerloom.sources.catalog_api:stored_listing").option("source", uri)
+    return read.option("congresses", "113,114,115,116,117,118").option("page_size", "7").option("wait", "0.01").load().drop("date_issued")
 
 
-@register("enacted_registry", """
-SELECT 'CPRT-' || c || 'HPRT' || n AS package_id, c AS congress, n AS report_number, y AS fiscal_year, 'enacted' AS stage FROM (VALUES (115, 25289, 2017), (115, 29456, 2018), (115, 29457, 2018), (116, 35160, 2019), (116, 38678, 2020), (116, 38679, 2020), (117, 43749, 2021), (117, 43750, 2021), (117, 47047, 2022), (117, 47048, 2022), (117, 50347, 2023), (117, 50348, 2023)) AS t(c, n, y)""", on_ledger=False)
+_PRINTS = "(VALUES " + ", ".join(f"('{k}', {y})" for k, y in sources.ENACTED_PRINTS.items()) + ") AS e(package_id, fiscal_year)"
+
+
+@register("enacted_registry", f"""
+, y AS (SELECT fiscal_year + 22 AS fiscal_year, count(*) FILTER (stage = 'enacted') AS enacted_rows FROM ledger GROUP BY 1)
+SELECT package_id, CAST(regexp_extract(package_id, '^CPRT-([0-9]+)', 1) AS INTEGER) AS congress, CAST(regexp_extract(package_id, 'HPRT([0-9]+)$', 1) AS INTEGER) AS report_number, e.fiscal_year, 'enacted' AS stage, enacted_rows
+FROM {_PRINTS} JOIN y ON y.fiscal_year = e.fiscal_year WHERE CAST(regexp_extract(package_id, '^CPRT-([0-9]+)', 1) AS INTEGER) BETWEEN 115 AND 117""")
 def enacted_registry(spark, sf_dir):
-    return sources.enacted_prints(spark, 115, 117).select("package_id", "congress", "report_number", "fiscal_year", "stage")
+    """The prints of three congresses whose years the ledger has, with its enacted rows of the year."""
+    years = ledger(spark, sf_dir).groupBy((F.col("fiscal_year") + 22).alias("fiscal_year")).agg(F.count_if(F.col("stage") == "enacted").alias("enacted_rows"))
+    return sources.enacted_prints(spark, 115, 117).join(years, "fiscal_year").select("package_id", "congress", "report_number", "fiscal_year", "stage", "enacted_rows")
 
 
 @register("catalog_round_trip", _PACKAGES + " SELECT stage, count(*) AS reports, count(subcommittee) AS named FROM (SELECT stage, subcommittee FROM c UNION ALL SELECT 'enacted', NULL FROM range(16)) GROUP BY stage", on_ledger=False)

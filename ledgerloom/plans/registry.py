@@ -17,14 +17,6 @@ FLAGSHIP = "compare_by_year"
 __all__ = ["FLAGSHIP", "ORACLES", "QUERIES"]
 
 
-def _values(spark: SparkSession, rows: list[str]) -> DataFrame:
-    return spark.createDataFrame([(i, r) for i, r in enumerate(rows)], "id int, v string")
-
-
-def _values_sql(rows: list[str]) -> str:
-    return "WITH d(id, v) AS (VALUES " + ", ".join(f"({i}, '" + r.replace("'", "''") + "')" for i, r in enumerate(rows)) + ") "
-
-
 # ---- filters, dedupe, flows -----------------------------------------------------------------------------------------
 
 
@@ -65,9 +57,11 @@ def compare_real(spark, sf_dir):
     return query.compare(rows, account="bolt", factors=deflators(spark))
 
 
-@register("inflation_factors", f"SELECT y AS fiscal_year, CAST(round_even({CPI[2024]}::DOUBLE / v::DOUBLE, 4) AS DOUBLE) AS real_factor FROM (VALUES {_CPI_SQL}) AS t(y, v)", on_ledger=False)
+@register("inflation_factors", f", y AS (SELECT DISTINCT fiscal_year + 20 AS fiscal_year FROM ledger) SELECT CAST(y.fiscal_year AS INTEGER) AS fiscal_year, CAST(round_even({CPI[2024]}::DOUBLE / v::DOUBLE, 4) AS DOUBLE) AS real_factor FROM y LEFT JOIN (VALUES {_CPI_SQL}) AS t(c, v) ON c = y.fiscal_year")
 def inflation_factors(spark, sf_dir):
-    return deflators(spark).select("fiscal_year", "real_factor")
+    """The factor of every year of the ledger; some years have none."""
+    years = ledger(spark, sf_dir).select((F.col("fiscal_year") + 20).cast("int").alias("fiscal_year")).distinct()
+    return years.join(deflators(spark), "fiscal_year", "left").select("fiscal_year", "real_factor")
 
 
 _GRAIN = """
@@ -585,62 +579,60 @@ def page_replace(spark, sf_dir):
     return crosswalk.replace_pages(rows, again)
 
 
-# ---- scalar functions on stated values ------------------------------------------------------------------------------
+# ---- scalar functions on what the tables hold, printed in every form ---------------------------------------------------
 
-_DOLLARS = ["$2,718,281,000", "       314,159,000", "-86,400,000", "+27,300", "(660,000)", "(+42,000)", "(-7,007)", "---", "- - -", "..........", "", "365", "9.75", ",,"]
+_AMOUNT_FORMS = """CASE l_orderkey % 12 WHEN 0 THEN '$' || n WHEN 1 THEN '       ' || n || ' ' WHEN 2 THEN '-' || n WHEN 3 THEN '+' || n WHEN 4 THEN '(' || n || ')' WHEN 5 THEN '(+' || n || ')' WHEN 6 THEN '(-' || n || ')' WHEN 7 THEN '---' WHEN 8 THEN '- - -' WHEN 9 THEN '..........' WHEN 10 THEN '' ELSE n END"""
 
 
-@register("parse_dollar", _values_sql(_DOLLARS) + r"""
-, p AS (SELECT id, v, trim(v) AS t FROM d), m AS (SELECT *, regexp_extract(t, '(\()?([+\-])?\$?([0-9,]+)(\))?', 3) AS n, regexp_extract(t, '(\()?([+\-])?\$?([0-9,]+)(\))?', 2) AS s, starts_with(t, '(') AS o FROM p)
-SELECT id, TRY_CAST(nullif(replace(n, ',', ''), '') AS BIGINT) * (CASE WHEN s = '-' THEN -1 ELSE 1 END) AS memo_value, TRY_CAST(nullif(replace(n, ',', ''), '') AS BIGINT) * 1000 * (CASE WHEN s = '-' OR (s = '' AND o) THEN -1 ELSE 1 END) AS accounting_value,
- coalesce(o AND s <> '-' AND NOT contains(t, '-') AND TRY_CAST(nullif(replace(n, ',', ''), '') AS BIGINT) > 0, false) AS is_memo FROM m""", on_ledger=False)
+@register("parse_dollar", f"""
+WITH d AS (SELECT l_orderkey, l_linenumber, format('{{:,}}', CAST(l_partkey * 1000 + l_linenumber AS BIGINT)) AS n FROM lineitem)
+, p AS (SELECT l_orderkey, l_linenumber, trim({_AMOUNT_FORMS}) AS t FROM d), m AS (SELECT *, regexp_extract(t, '(\\()?([+\\-])?\\$?([0-9,]+)(\\))?', 3) AS digits, regexp_extract(t, '(\\()?([+\\-])?\\$?([0-9,]+)(\\))?', 2) AS s, starts_with(t, '(') AS o FROM p)
+SELECT l_orderkey, l_linenumber, TRY_CAST(nullif(replace(digits, ',', ''), '') AS BIGINT) * (CASE WHEN s = '-' THEN -1 ELSE 1 END) AS memo_value, TRY_CAST(nullif(replace(digits, ',', ''), '') AS BIGINT) * 1000 * (CASE WHEN s = '-' OR (s = '' AND o) THEN -1 ELSE 1 END) AS accounting_value,
+ coalesce(o AND s <> '-' AND NOT contains(t, '-') AND TRY_CAST(nullif(replace(digits, ',', ''), '') AS BIGINT) > 0, false) AS is_memo FROM m""", on_ledger=False)
 def parse_dollar(spark, sf_dir):
+    """Numbers of line items as amounts in every printed form."""
+    rows = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.format_number((F.col("l_partkey") * 1000 + F.col("l_linenumber")).cast("bigint"), 0).alias("n"))
+    rows = rows.select("l_orderkey", "l_linenumber", F.expr(_AMOUNT_FORMS).alias("v"))
     a, b = fx.parse_dollar(F.col("v"), paren_negative=False), fx.parse_dollar(F.col("v"), True, paren_negative=True)
-    return _values(spark, _DOLLARS).select("id", a["value"].alias("memo_value"), b["value"].alias("accounting_value"), fx.is_paren_memo(a).alias("is_memo"))
-
-
-_LABELS = ["River Basin Surveys (emergency) 2,500,000", "Library built in 1907", "maintenance)", "Harbours and Ferries, Base", "and bridges", "Observatory [OCO]  450 000", "dam", "Flood Barrier Fund (disaster relief)", "Ferries,", "Office of Maps (rescission of balances)"]
-
-
-@register("clean_labels", _values_sql(_LABELS) + r"""
-, s AS (SELECT id, v, trim(regexp_replace(v, '(\s+\$?[0-9]{1,3}([ ,][0-9]{3})*)+\s*$', '')) AS k FROM d)
-SELECT id, trim(regexp_replace(regexp_replace(lower(regexp_replace(regexp_replace(k, '[(\[][^)\]]*[)\]]', '', 'g'), ',\s*(base|emergency|oco|disaster|rescission)\b.*$', '', 'i')), '[^a-z0-9 ]', ' ', 'g'), '\s+', ' ', 'g')) AS normalized,
- CASE WHEN regexp_matches(v, '(?i)[(\[][^)\]]*\boco') THEN 'OCO' WHEN regexp_matches(v, '(?i)[(\[][^)\]]*\bemergenc') THEN 'emergency' WHEN regexp_matches(v, '(?i)[(\[][^)\]]*\bdisaster relief') THEN 'disaster' WHEN regexp_matches(v, '(?i)[(\[][^)\]]*\brescis') THEN 'rescission' ELSE 'base' END AS designation,
- length(k) < 4 OR regexp_matches(k, '^[a-z]') OR length(replace(k, ')', '')) < length(replace(k, '(', '')) OR regexp_matches(k, '[,/-]$') OR regexp_matches(k, '(?i)^(and|or|the|of|operations|relief|appropriation)\b') AS is_fragment FROM s""", on_ledger=False)
-def clean_labels(spark, sf_dir):
-    return _values(spark, _LABELS).select("id", fx.clean_account_label(F.col("v")).alias("c")).select("id", "c.*")
+    return rows.select("l_orderkey", "l_linenumber", a["value"].alias("memo_value"), b["value"].alias("accounting_value"), fx.is_paren_memo(a).alias("is_memo"))
 
 
 _PRINTED = "CASE p_partkey % 10 WHEN 0 THEN p_name || ' 1,250,000' WHEN 1 THEN p_name || ' (emergency)' WHEN 2 THEN p_name || ', Base' WHEN 3 THEN 'and ' || p_name WHEN 4 THEN upper(p_name) || ' [OCO]  450 000' WHEN 5 THEN 'Works)' WHEN 6 THEN upper(p_name) || ' built in 1907' WHEN 7 THEN upper(p_name) || ' (disaster relief), rescission of 3' WHEN 8 THEN upper(p_name) || ',' ELSE 'Operations of ' || p_name || ' $12' END"
 
 
-@register("label_parts", f"""
+@register("clean_labels", f"""
 WITH d AS (SELECT p_partkey, {_PRINTED} AS v FROM part), s AS (SELECT p_partkey, v, trim(regexp_replace(v, '(\\s+\\$?[0-9]{{1,3}}([ ,][0-9]{{3}})*)+\\s*$', '')) AS k FROM d)
 SELECT p_partkey, k AS stripped, trim(regexp_replace(regexp_replace(lower(regexp_replace(regexp_replace(k, '[(\\[][^)\\]]*[)\\]]', '', 'g'), ',\\s*(base|emergency|oco|disaster|rescission)\\b.*$', '', 'i')), '[^a-z0-9 ]', ' ', 'g'), '\\s+', ' ', 'g')) AS normalized,
  CASE WHEN contains(v, '[OCO]') THEN 'OCO' WHEN contains(v, '(emergency)') THEN 'emergency' WHEN contains(v, '(disaster relief)') THEN 'disaster' ELSE 'base' END AS designation,
  length(k) < 4 OR regexp_matches(k, '^[a-z]') OR length(replace(k, ')', '')) < length(replace(k, '(', '')) OR regexp_matches(k, '[,/-]$') OR regexp_matches(k, '(?i)^(and|or|the|of|operations|relief|appropriation)\\b') AS is_fragment FROM s""", on_ledger=False)
-def label_parts(spark, sf_dir):
+def clean_labels(spark, sf_dir):
     """Names of parts printed with leaked amounts, qualifiers, years and broken ends."""
     v = F.col("v")
     printed = table(spark, sf_dir, "part").select("p_partkey", F.expr(_PRINTED).alias("v"))
     return printed.select("p_partkey", fx.strip_number_leakage(v).alias("stripped"), fx.clean_account_label(v).alias("c")).select("p_partkey", "stripped", "c.*")
 
 
-_TITLES = ["A bill for Agriculture and kindred matters, Appropriations Bill, 2031", "Second DEFENSE APPROPRIATIONS ACT, 2030", "Housing and Urban Development, yearly AP- PROPRIATIONS Act, 2033", "Resolution providing for CONSIDERATION of appropriations for fiscal year 2029", "Conference report, Energy and Water works, September 30, 2028", "A museum of clocks", "Department of State, and Related Programs and their Appropriations, 2027"]
+_PHRASES = [(name, phrase) for name, phrases in fx.SUBCOMMITTEES.items() for phrase in phrases]
+_PHRASE_SQL = "CASE c_custkey % " + str(len(_PHRASES) + 1) + " " + " ".join(f"WHEN {k} THEN '{p}'" for k, (_, p) in enumerate(_PHRASES)) + " ELSE 'a museum of clocks' END"
+#: A phrase that holds another one is of the first subcommittee that has one of its phrases.
+_FOUND = [next(n for n, phrases in fx.SUBCOMMITTEES.items() if any(q in p for q in phrases)) for _, p in _PHRASES]
+_NAME_SQL = "CASE c_custkey % " + str(len(_PHRASES) + 1) + " " + " ".join(f"WHEN {k} THEN '{n}'" for k, n in enumerate(_FOUND)) + " END"
+_TITLE_SQL = f"""CASE c_custkey % 5 WHEN 0 THEN 'A bill for ' || {_PHRASE_SQL} || ', AP- PROPRIATIONS Bill, ' || (2010 + c_nationkey) WHEN 1 THEN upper({_PHRASE_SQL}) || ' Act, ' || (2010 + c_nationkey) || ' of 1999' WHEN 2 THEN 'Conference report on ' || {_PHRASE_SQL} || ' appropriations, September 30, ' || (2010 + c_nationkey)
+ WHEN 3 THEN 'Resolution for consideration of ' || {_PHRASE_SQL} || ' appropriation for fiscal year ' || (2010 + c_nationkey) ELSE 'Joint explanatory words on ' || {_PHRASE_SQL} END"""
 
 
-@register("classify_titles", _values_sql(_TITLES) + r"""
-, l AS (SELECT id, v, lower(v) AS t FROM d)
-SELECT id, CASE WHEN contains(t, 'agriculture') THEN 'Agriculture' WHEN contains(t, 'defense appropriations') THEN 'Defense' WHEN contains(t, 'energy and water') THEN 'Energy-Water' WHEN contains(t, 'department of state, and related programs') THEN 'State-Foreign-Ops' WHEN contains(t, 'urban development') THEN 'THUD' END AS subcommittee,
- TRY_CAST(regexp_extract(t, '([0-9]{4})', 1) AS INTEGER) AS fiscal_year, CASE WHEN contains(t, 'conference') THEN 'conference' ELSE 'committee' END AS stage, contains(replace(t, '- ', ''), 'appropriation') AND NOT contains(t, 'consideration') AS is_report FROM l""", on_ledger=False)
+@register("classify_titles", f"SELECT c_custkey, {_NAME_SQL} AS subcommittee, CASE WHEN c_custkey % 5 < 4 THEN CAST(2010 + c_nationkey AS INTEGER) END AS fiscal_year, CASE WHEN c_custkey % 5 IN (2, 4) THEN 'conference' ELSE 'committee' END AS stage, c_custkey % 5 IN (0, 2) OR (c_custkey % 5 IN (1, 4) AND contains({_PHRASE_SQL}, 'appropriation')) AS is_report FROM customer", on_ledger=False)
 def classify_titles(spark, sf_dir):
+    """A title for each customer, with every phrase of every subcommittee."""
     t = F.col("v")
-    return _values(spark, _TITLES).select("id", fx.classify_subcommittee(t).alias("subcommittee"), fx.extract_fiscal_year(t).alias("fiscal_year"), fx.classify_stage(t).alias("stage"), fx.is_report_title(t).alias("is_report"))
+    titles = table(spark, sf_dir, "customer").select("c_custkey", F.expr(_TITLE_SQL).alias("v"))
+    return titles.select("c_custkey", fx.classify_subcommittee(t).alias("subcommittee"), fx.extract_fiscal_year(t).alias("fiscal_year"), fx.classify_stage(t).alias("stage"), fx.is_report_title(t).alias("is_report"))
 
 
-@register("congress_years", "SELECT fy AS fiscal_year, CAST(114 + floor((fy - 2016) / 2.0) AS INTEGER) AS congress FROM range(2009, 2030) AS t(fy)", on_ledger=False)
+@register("congress_years", "SELECT o_orderkey, CAST(114 + floor((year(o_orderdate) + o_orderkey % 30 - 2016) / 2.0) AS INTEGER) AS congress FROM orders", on_ledger=False)
 def congress_years(spark, sf_dir):
-    return spark.range(2009, 2030).select(F.col("id").alias("fiscal_year"), fx.congress_of_year(F.col("id")).alias("congress"))
+    """The congress of each order's year, and of years around it."""
+    return table(spark, sf_dir, "orders").select("o_orderkey", fx.congress_of_year(F.year("o_orderdate") + F.col("o_orderkey") % 30).alias("congress"))
 
 
 @register("event_props", "SELECT event_type, count(*) AS n, count(*) FILTER (props IS NOT NULL AND json_valid(props)) AS valid FROM events GROUP BY event_type", on_ledger=False)

@@ -7,6 +7,7 @@ spark.read.format("ledgerloom_catalog").option("transport", "package.module:func
 from __future__ import annotations
 
 import importlib
+import json
 import time
 
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
@@ -16,7 +17,7 @@ ATTEMPTS = 3
 
 
 class CatalogSource(DataSource):
-    """transport(congress, offset, page_size) gives (list of dicts, whether there is a next page). A partition reads one congress."""
+    """transport(congress, offset, page_size) gives (list of dicts, whether there is a next page); with an option `source` it gets that as well. A partition reads one congress."""
 
     @classmethod
     def name(cls) -> str:
@@ -32,7 +33,7 @@ class CatalogSource(DataSource):
 class CatalogReader(DataSourceReader):
     def __init__(self, options):
         self.transport, self.page_size = options["transport"], int(options.get("page_size", "100"))
-        self.congresses, self.wait = options["congresses"].split(","), float(options.get("wait", "1"))
+        self.congresses, self.wait, self.source = options["congresses"].split(","), float(options.get("wait", "1")), options.get("source")
 
     def partitions(self) -> list[InputPartition]:
         return [InputPartition(c) for c in self.congresses]
@@ -51,21 +52,21 @@ class CatalogReader(DataSourceReader):
     def _page(self, fetch, congress: str, offset: int):
         for attempt in range(ATTEMPTS):
             try:
-                return fetch(congress, offset, self.page_size)
+                return fetch(congress, offset, self.page_size, *([self.source] if self.source else []))
             except OSError:
                 if attempt + 1 == ATTEMPTS:
                     raise
                 time.sleep(self.wait * 2**attempt)
 
 
-_failed: set = set()
+def stored_listing(congress: str, offset: int, page_size: int, folder: str) -> tuple[list[dict], bool]:
+    """A transport over a listing that was fetched before: JSON lines in folder/congress=C, a package a line, in order."""
+    from pyarrow.fs import FileSelector, FileSystem
 
-
-def example(congress: str, offset: int, page_size: int) -> tuple[list[dict], bool]:
-    """A transport for tests: 30 packages and one for each congress beyond 110; the first call for each page fails."""
-    if (congress, offset) not in _failed:
-        _failed.add((congress, offset))
-        raise OSError("not yet")
-    total = 30 + int(congress) - 110
-    rows = [{"package_id": f"CRPT-{congress}hrpt{i}", "title": f"Defense Appropriations Bill, {2016 + i % 9}", "doc_class": "HRPT", "congress": congress, "date_issued": None} for i in range(offset, min(total, offset + page_size))]
-    return rows, offset + page_size < total
+    files, at = FileSystem.from_uri(folder)
+    lines = []
+    for f in sorted(files.get_file_info(FileSelector(f"{at}/congress={congress}", allow_not_found=True)), key=lambda f: f.path):
+        if f.base_name.endswith(".json"):
+            with files.open_input_stream(f.path) as opened:
+                lines += opened.read().decode().splitlines()
+    return [json.loads(line) | {"congress": congress} for line in lines[offset : offset + page_size]], offset + page_size < len(lines)

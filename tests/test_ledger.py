@@ -422,6 +422,24 @@ def test_first_pass_after_a_failed_write(spark, tmp_path):
     assert not list(tmp_path.glob("pass.*"))
 
 
+_PLANNED: set = set()
+
+
+def flaky_listing(congress, offset, page_size):
+    """A transport whose first call for each page fails; 30 packages and one for each congress beyond 110."""
+    if (congress, offset) not in _PLANNED:
+        _PLANNED.add((congress, offset))
+        raise OSError("not yet")
+    total = 30 + int(congress) - 110
+    return [{"package_id": f"p{i}"} for i in range(offset, min(total, offset + page_size))], offset + page_size < total
+
+
+def test_catalog_tries_again():
+    reader = catalog_api.CatalogReader({"transport": "test_ledger:flaky_listing", "congresses": "117,118", "wait": "0", "page_size": "10"})
+    found = [[r[0] for r in reader.read(p)] for p in reader.partitions()]
+    assert [len(f) for f in found] == [37, 38] and found[0] == [f"p{i}" for i in range(37)]
+
+
 def test_workbook_and_catalog(spark, tmp_path):
     rows = statement(spark, [("oak <1>", False, False, 10), ("of which", False, True, 5), ("Total, x", True, False, 10), ("ash", False, False, 7), ("Total", True, False, 17), ("Total, y", True, False, None)])
     proof = writers.proof_rows(rows, reconcile.reconcile(rows)).orderBy("row_ord").collect()
