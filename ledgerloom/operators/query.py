@@ -142,11 +142,15 @@ def histogram(df: DataFrame, column: str) -> DataFrame:
     return counts.withColumn("percent", F.round(F.col("n_rows") * 100.0 / total, 4))
 
 
-def unverified_profile(df: DataFrame, category: Column, top: int = 8) -> DataFrame:
-    """By category of unverified rows with an amount: count, and the `top` reports with their counts."""
-    rows = df.withColumn("category", category).groupBy("category", "report_id").agg(F.count(F.lit(1)).alias("n"))
+def unverified_profile(df: DataFrame, category: Column, top: int = 8, samples: int = 4) -> DataFrame:
+    """By category of unverified rows with an amount: count, the `top` reports with the most of them, and the labels of the first `samples` rows in document order."""
+    own = df.withColumn("category", category)
+    rows = own.groupBy("category", "report_id").agg(F.count(F.lit(1)).alias("n"))
     ranked = rows.withColumn("rank", F.row_number().over(W.partitionBy("category").orderBy(F.desc("n"), "report_id")))
-    return ranked.groupBy("category").agg(F.sum("n").alias("n_rows"), F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("rank") <= top, F.struct("rank", "report_id")))), lambda x: x["report_id"]), ",").alias("top_reports"))
+    listed = lambda c, k: F.array_join(F.transform(F.array_sort(F.collect_list(c)), lambda x: x[k]), ",")
+    counts = ranked.groupBy("category").agg(F.sum("n").alias("n_rows"), listed(F.when(F.col("rank") <= top, F.struct("rank", "report_id")), "report_id").alias("top_reports"))
+    first = own.select("category", F.coalesce("line_item_text", F.lit("")).alias("label"), F.row_number().over(W.partitionBy("category").orderBy("report_id", "row_ord")).alias("rank")).filter(F.col("rank") <= samples)
+    return counts.join(first.groupBy("category").agg(listed(F.struct("rank", "label"), "label").alias("samples")), "category")
 
 
 def smallest_first(sizes: DataFrame, size: str = "pages", key: str = "report_id") -> DataFrame:

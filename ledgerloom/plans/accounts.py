@@ -238,7 +238,8 @@ _CATEGORY = "CASE WHEN regexp_matches(line_item_text, '(?i)advance|available|cur
 @register("unverified_profile", f"""
 , c AS (SELECT {_CATEGORY} AS category, report_id, count(*) AS n FROM ledger WHERE {_STATUS} <> 'pass' GROUP BY ALL)
 , r AS (SELECT *, row_number() OVER (PARTITION BY category ORDER BY n DESC, report_id) AS k FROM c)
-SELECT category, CAST(sum(n) AS BIGINT) AS n_rows, string_agg(CASE WHEN k <= 8 THEN report_id END, ',' ORDER BY k) AS top_reports FROM r GROUP BY category""")
+, f AS (SELECT category, string_agg(line_item_text, ',' ORDER BY k) AS samples FROM (SELECT {_CATEGORY} AS category, line_item_text, row_number() OVER (PARTITION BY {_CATEGORY} ORDER BY report_id, row_ord) AS k FROM ledger WHERE {_STATUS} <> 'pass') WHERE k <= 4 GROUP BY category)
+SELECT r.category, CAST(sum(n) AS BIGINT) AS n_rows, string_agg(CASE WHEN k <= 8 THEN report_id END, ',' ORDER BY k) AS top_reports, any_value(samples) AS samples FROM r JOIN f ON f.category = r.category GROUP BY r.category""")
 def unverified_profile(spark, sf_dir):
     rows = ledger(spark, sf_dir).filter(verify.row_status(*amounts()) != "pass")
     return query.unverified_profile(rows, fx.unverified_category(F.col("line_item_text"), F.lit(""), *amounts()))

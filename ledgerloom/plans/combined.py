@@ -33,7 +33,7 @@ def _lines(spark, sf_dir) -> DataFrame:
         "report_id", "row_ord", fx.congress_of_year(F.col("fiscal_year") + 22).alias("congress"), "chamber", (F.col("fiscal_year") + 22).cast("int").alias("fiscal_year"), "subcommittee", "stage",
         F.concat(F.lit("TITLE "), (n % 4).cast("string")).alias("title_name"), F.when(n % 5 < 2, "Alpha bureau").otherwise("Beta bureau").alias("department"), F.lit(None).cast("string").alias("agency"),
         F.when(n % 2 == 0, "operations)").alias("account"), F.when(item & (n % 3 == 0), F.initcap(F.concat_ws(" ", "line_item_text", "account"))).alias("account_inferred"), (F.col("is_memo") & (n % 2 == 0)).alias("is_memo"),
-        F.when(n % 6 == 0, "Works").alias("program"), label.alias("line_item_text"), *[_amount(v, raw, n).alias(c) for c, v in value.items()], "is_subtotal", (n % 4).cast("int").alias("hierarchy_depth"), (n % 2 == 0).alias("in_thousands"),
+        F.when(n % 6 == 0, "Surveys").alias("program"), label.alias("line_item_text"), *[_amount(v, raw, n).alias(c) for c, v in value.items()], "is_subtotal", (n % 4).cast("int").alias("hierarchy_depth"), (n % 2 == 0).alias("in_thousands"),
         F.when(n % 2 == 0, "llm").otherwise("text").alias("extraction_method"), verified.alias("verified"), fx.gate_of(verified, F.col("stage"), F.col("chamber"), F.when(n % 2 == 0, "llm").otherwise("text")).alias("verification_method"),
     )
 
@@ -78,7 +78,7 @@ _FACT_SQL = _CASCADE.replace("lower(line_item_text) FROM ledger WHERE NOT is_sub
 , own AS (SELECT report_id, row_ord, pe, be, cr, unnest(list_distinct(list_filter(regexp_extract_all(lower(label || ' ' || coalesce(inferred, '')), '[a-z]+'), lambda w: length(w) > 3))) AS w FROM v)
 , said AS (SELECT DISTINCT own.report_id, own.row_ord FROM own JOIN word ON own.report_id = word.report_id AND own.w = word.w AND most IN (pe, be, cr))
 , f AS (SELECT k.report_id, CAST(114 + floor((fy - 2016) / 2) AS INTEGER) AS congress, chamber, CAST(fy AS INTEGER) AS fiscal_year, subcommittee, stage, 'TITLE ' || (pk % 4) AS title_name, CASE WHEN pk % 5 < 2 THEN 'Alpha bureau' ELSE 'Beta bureau' END AS department, CAST(NULL AS VARCHAR) AS agency,
-  CASE WHEN pk % 2 = 0 THEN 'operations)' END AS account, inferred AS account_inferred, (is_memo AND pk % 2 = 0) OR (NOT is_subtotal AND pk % 29 = 1 AND cr IS NOT NULL) AS is_memo, CASE WHEN pk % 6 = 0 THEN 'Works' END AS program, label AS line_item_text,
+  CASE WHEN pk % 2 = 0 THEN 'operations)' END AS account, inferred AS account_inferred, (is_memo AND pk % 2 = 0) OR (NOT is_subtotal AND pk % 29 = 1 AND cr IS NOT NULL) AS is_memo, CASE WHEN pk % 6 = 0 THEN 'Surveys' END AS program, label AS line_item_text,
   pe AS prior_year_enacted, be AS budget_estimate, cr AS committee_recommendation, de AS delta_vs_enacted, dt AS delta_vs_estimate, is_subtotal, CAST(pk % 4 AS INTEGER) AS hierarchy_depth, pk % 2 = 0 AS in_thousands, CASE WHEN pk % 2 = 0 THEN 'llm' ELSE 'text' END AS extraction_method, checked AS verified,
   CASE WHEN NOT checked THEN 'none' WHEN stage = 'enacted' THEN 'verbatim_page' WHEN chamber = 'senate' THEN 'string_match' WHEN pk % 2 = 0 THEN 'delta_arithmetic' ELSE 'verbatim_page' END AS verification_method,
   CASE WHEN label = '29' THEN 'procurement_qty' WHEN split AND NOT bare AND pe <> 0 AND be <> 0 THEN 'category_split' ELSE 'standard' END AS column_layout,

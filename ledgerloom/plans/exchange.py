@@ -12,11 +12,12 @@ from ledgerloom.operators import crosswalk, extract, query, reconcile, verify
 from ledgerloom.plans.accounts import _PACKAGES, _reference, packages
 from ledgerloom.plans.base import amounts, kept, register
 from ledgerloom.plans.extraction import _inline, _typeset
+from ledgerloom.plans.registry import _VERDICTS, _statement
 from ledgerloom.sinks import versions, writers
 from ledgerloom.sources import ledger as sources
 from ledgerloom.sources.catalog_api import CatalogSource
 from ledgerloom.sources.ledger import ledger, table
-from ledgerloom.sources.workspace import made_once, new_folder
+from ledgerloom.sources.workspace import made_once, new_folder, stored
 
 # ---- catalogs -----------------------------------------------------------------------------------------------------------
 
@@ -297,12 +298,14 @@ def first_pass(spark, sf_dir):
     return made_once(spark, path, lambda: ledger(spark, sf_dir).limit(0)).groupBy("stage").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-@register("proof_sheets", """
-SELECT report_id, count(*) AS sheet_rows, count(*) FILTER (is_subtotal) AS formulas, CAST(sum(CASE WHEN is_subtotal THEN committee_recommendation END) AS BIGINT) AS rollups FROM ledger GROUP BY report_id""")
+@register("proof_sheets", _VERDICTS + """
+, q AS (SELECT report_id, count(*) AS sheet_rows, count(*) FILTER (tot) AS formulas, CAST(sum(CASE WHEN tot THEN cr END) AS BIGINT) AS rollups FROM p GROUP BY report_id)
+SELECT q.*, count(*) AS listed, count(*) FILTER (status = 'ok') AS agree, count(*) FILTER (status <> 'unchecked' AND n_children > 0) AS checks FROM q JOIN verdicts v ON v.report_id = q.report_id GROUP BY ALL""", recursive=True)
 def proof_sheets(spark, sf_dir):
-    """Spreadsheet files with a live sum for each total, opened again."""
-    rows = kept(spark, sf_dir)
-    books = writers.workbooks(writers.proof_rows(rows, reconcile.reconcile(rows)))
+    """Spreadsheet files opened again: the proof with a live sum for each total, the list of totals with their checks, and the notes' count of those that agree."""
+    rows = stored(_statement(spark, sf_dir), "ledger")
+    totals = stored(reconcile.reconcile(rows), "totals")
+    books = writers.workbooks(writers.proof_rows(rows, totals), totals)
 
     def opened(frames):
         import re
@@ -310,14 +313,17 @@ def proof_sheets(spark, sf_dir):
         for frame in frames:
             found = []
             for report, content in zip(frame["report_id"], frame["content"], strict=True):
-                sheet = zipfile.ZipFile(io.BytesIO(content)).read("xl/worksheets/sheet1.xml").decode()
-                rollups = [int(v) for v in re.findall(r'<c r="D\d+"><v>(-?\d+)</v>', sheet)]
-                found.append((report, sheet.count("<row ") - 1, sheet.count("<f>"), sum(rollups) if rollups else None))
-            made = pd.DataFrame(found, columns=["report_id", "sheet_rows", "formulas", "rollups"])
+                book = zipfile.ZipFile(io.BytesIO(content))
+                proof, listed, notes = (book.read(f"xl/worksheets/sheet{k}.xml").decode() for k in (1, 2, 3))
+                rollups = [int(v) for v in re.findall(r'<c r="D\d+"><v>(-?\d+)</v>', proof)]
+                agree = int(re.search(r"Agree: (\d+)", notes)[1])
+                checks = len(re.findall(r"<f>C\d+-D\d+</f>", listed))
+                found.append((report, proof.count("<row ") - 1, proof.count("<f>"), sum(rollups) if rollups else None, listed.count("<row ") - 1, agree, checks))
+            made = pd.DataFrame(found, columns=["report_id", "sheet_rows", "formulas", "rollups", "listed", "agree", "checks"])
             made["rollups"] = pd.array(made["rollups"].tolist(), "Int64")
             yield made
 
-    return books.mapInPandas(opened, "report_id string, sheet_rows bigint, formulas bigint, rollups bigint")
+    return books.mapInPandas(opened, "report_id string, sheet_rows bigint, formulas bigint, rollups bigint, listed bigint, agree bigint, checks bigint")
 
 
 @register("proof_formulas", """

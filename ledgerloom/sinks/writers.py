@@ -192,34 +192,77 @@ def proof_rows(rows: DataFrame, totals: DataFrame, first_row: int = 2) -> DataFr
     return out.select("report_id", "row_ord", F.col("line_item_text").alias("label"), leaf.alias("leaf"), F.when(F.col("is_total"), amount).alias("rollup"), F.when(F.col("is_total"), F.coalesce("formula", F.lit("=0"))).alias("formula"))
 
 
-_PACKAGE = {
-    "[Content_Types].xml": '<Types xmlns="http://schemas.openxmlformats.org/package/2006/content-types"><Default Extension="rels" ContentType="application/vnd.openxmlformats-package.relationships+xml"/><Default Extension="xml" ContentType="application/xml"/><Override PartName="/xl/workbook.xml" ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.sheet.main+xml"/><Override PartName="/xl/worksheets/sheet1.xml" ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.worksheet+xml"/></Types>',
-    "_rels/.rels": '<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships"><Relationship Id="rId1" Type="http://schemas.openxmlformats.org/officeDocument/2006/relationships/officeDocument" Target="xl/workbook.xml"/></Relationships>',
-    "xl/workbook.xml": '<workbook xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main" xmlns:r="http://schemas.openxmlformats.org/officeDocument/2006/relationships"><sheets><sheet name="Proof" sheetId="1" r:id="rId1"/></sheets></workbook>',
-    "xl/_rels/workbook.xml.rels": '<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships"><Relationship Id="rId1" Type="http://schemas.openxmlformats.org/officeDocument/2006/relationships/worksheet" Target="worksheets/sheet1.xml"/></Relationships>',
-}
-
+_SHEETS = ("Proof", "Reconciliation", "Notes")
+_MAIN = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
+_DOCUMENT = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
+
+
+def _package(sheets: dict[str, list[str]]) -> bytes:
+    """A spreadsheet file of sheets, each a list of row elements."""
+    names, count = list(sheets), range(1, len(sheets) + 1)
+    kind = "application/vnd.openxmlformats-officedocument.spreadsheetml"
+    parts = "".join(f'<Override PartName="/xl/worksheets/sheet{k}.xml" ContentType="{kind}.worksheet+xml"/>' for k in count)
+    files = {
+        "[Content_Types].xml": f'<Types xmlns="http://schemas.openxmlformats.org/package/2006/content-types"><Default Extension="rels" ContentType="application/vnd.openxmlformats-package.relationships+xml"/><Default Extension="xml" ContentType="application/xml"/><Override PartName="/xl/workbook.xml" ContentType="{kind}.sheet.main+xml"/>{parts}</Types>',
+        "_rels/.rels": f'<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships"><Relationship Id="rId1" Type="{_DOCUMENT}/officeDocument" Target="xl/workbook.xml"/></Relationships>',
+        "xl/workbook.xml": f'<workbook xmlns="{_MAIN}" xmlns:r="{_DOCUMENT}"><sheets>' + "".join(f'<sheet name="{n}" sheetId="{k}" r:id="rId{k}"/>' for k, n in zip(count, names, strict=True)) + "</sheets></workbook>",
+        "xl/_rels/workbook.xml.rels": '<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships">' + "".join(f'<Relationship Id="rId{k}" Type="{_DOCUMENT}/worksheet" Target="worksheets/sheet{k}.xml"/>' for k in count) + "</Relationships>",
+    }
+    files |= {f"xl/worksheets/sheet{k}.xml": f'<worksheet xmlns="{_MAIN}"><sheetData>{"".join(sheets[n])}</sheetData></worksheet>' for k, n in zip(count, names, strict=True)}
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for name, content in files.items():
+            z.writestr(zipfile.ZipInfo(name), '<?xml version="1.0" encoding="UTF-8"?>' + content)
+    return out.getvalue()
+
+
+def _row(r: int, cells: dict[str, tuple[str, object]]) -> str:
+    """A row of cells: column -> (kind, value), kind t for text, n for numbers, f for formulas; None is left out."""
+    shown = {"t": lambda at, v: f'<c r="{at}" t="inlineStr"><is><t xml:space="preserve">{escape(str(v))}</t></is></c>', "n": lambda at, v: f'<c r="{at}"><v>{v}</v></c>', "f": lambda at, v: f'<c r="{at}"><f>{escape(str(v))}</f></c>'}
+    return f'<row r="{r}">' + "".join(shown[k](f"{c}{r}", v) for c, (k, v) in cells.items() if v is not None) + "</row>"
+
+
+def _head(*names: str) -> str:
+    return _row(1, {c: ("t", n) for c, n in zip("ABCDEFG", names, strict=False)})
+
+
+def _notes(report: str, totals: pd.DataFrame) -> list[str]:
+    n = totals["_status"].value_counts()
+    checkable = len(totals) - n.get("unchecked", 0) - n.get("overlapping_view", 0)
+    rate = f"{n.get('ok', 0) / checkable:.1%}" if checkable else "none can be checked"
+    said = (
+        f"Report {report}", "Sums are formulas: what the sheet Proof shows in column E is added up when the file is opened.", "A total on the sheet Reconciliation points to its row on Proof; its check is printed less computed, and 0 where they agree.",
+        "A line item in parentheses is a memo. It has no amount on Proof unless a printed total takes it in.", "overlapping_view: the total counts money of another view again. unchecked: no amount was printed.",
+        f"Totals: {len(totals)}", f"Agree: {n.get('ok', 0)}", f"Fail: {sum(int(n.get(s, 0)) for s in ('off_by_small', 'partial_read', 'unreconciled'))}", f"Agree of those that can be checked: {rate}",
+    )
+    return [_row(r, {"A": ("t", line)}) for r, line in enumerate(said, 1)]
+
+
+def workbooks(proof: DataFrame, totals: DataFrame | None = None) -> DataFrame:
+    """(report_id, content): one spreadsheet file for each report, of proof_rows(); a report is a document, so one task makes its file.
+
+    With totals, as reconcile() gives them, the file has two further sheets: each total with links to its row, its check and status, and notes with the counts.
+    """
 
-def workbooks(proof: DataFrame) -> DataFrame:
-    """(report_id, content): one spreadsheet file for each report, of proof_rows(); a report is a document, so one task makes its file."""
+    listing = totals is not None
 
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        text = lambda at, v: f'<c r="{at}" t="inlineStr"><is><t xml:space="preserve">{escape(v)}</t></is></c>'
-        lines = ['<row r="1">' + "".join(text(f"{c}1", v) for c, v in zip("ABCDE", ("row", "label", "amount", "total", "proof"), strict=True)) + "</row>"]
+    def run(key: tuple, group: pd.DataFrame, checks: pd.DataFrame) -> pd.DataFrame:
+        lines, place = [_head("row", "label", "amount", "total", "proof")], {}
         for r, (at, label, leaf, rollup, formula) in enumerate(group.sort_values("row_ord")[["row_ord", "label", "leaf", "rollup", "formula"]].itertuples(index=False), 2):
-            cells = [f'<c r="A{r}"><v>{at}</v></c>', text(f"B{r}", label or "")]
-            cells += [f'<c r="{c}{r}"><v>{v}</v></c>' for c, v in (("C", leaf), ("D", rollup)) if v is not None]
-            cells += [f'<c r="E{r}"><f>{escape(formula[1:])}</f></c>'] if formula else []
-            lines.append(f'<row r="{r}">{"".join(cells)}</row>')
-        sheet = f'<worksheet xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"><sheetData>{"".join(lines)}</sheetData></worksheet>'
-        out = io.BytesIO()
-        with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
-            for name, content in (_PACKAGE | {"xl/worksheets/sheet1.xml": sheet}).items():
-                z.writestr(zipfile.ZipInfo(name), '<?xml version="1.0" encoding="UTF-8"?>' + content)
-        return pd.DataFrame({"report_id": [group["report_id"].iloc[0]], "content": [out.getvalue()]})
+            lines.append(_row(r, {"A": ("n", at), "B": ("t", label or ""), "C": ("n", leaf), "D": ("n", rollup), "E": ("f", formula[1:] if formula else None)}))
+            place[at] = r
+        sheets = {"Proof": lines}
+        if listing:
+            listed = [_head("total", "row", "printed", "computed", "check", "children", "status")]
+            for r, (at, label, status, n) in enumerate(checks.sort_values("_row_ord")[["_row_ord", "_label", "_status", "_n_children"]].itertuples(index=False), 2):
+                link, live = f"Proof!{{}}{place[at]}", status != "unchecked" and n
+                listed.append(_row(r, {"A": ("t", label or ""), "B": ("f", link.format("A")), "C": ("f", link.format("D")), "D": ("f", link.format("E") if live else None), "E": ("f", f"C{r}-D{r}" if live else None), "F": ("n", n), "G": ("t", status)}))
+            sheets |= {"Reconciliation": listed, "Notes": _notes(str(key[0]), checks)}
+        return pd.DataFrame({"report_id": [key[0]], "content": [_package(sheets)]})
 
     shown = proof.withColumns({c: F.col(c).cast("string") for c in ("leaf", "rollup")})  # whole numbers stay whole
-    return shown.groupBy("report_id").applyInPandas(run, "report_id string, content binary")
+    checks = (totals if listing else proof.select("report_id", "row_ord", "label", F.lit("").alias("status"), F.lit(0).alias("n_children")).limit(0)).select(*[F.col(c).alias(f"_{c}") for c in ("report_id", "row_ord", "label", "status", "n_children")])
+    return shown.groupBy("report_id").cogroup(checks.groupBy("_report_id")).applyInPandas(run, "report_id string, content binary")
 
 
 def status_counts(catalog: DataFrame, extracted: DataFrame) -> DataFrame:

@@ -444,6 +444,15 @@ def test_workbook_and_catalog(spark, tmp_path):
     rows = statement(spark, [("oak <1>", False, False, 10), ("of which", False, True, 5), ("Total, x", True, False, 10), ("ash", False, False, 7), ("Total", True, False, 17), ("Total, y", True, False, None)])
     proof = writers.proof_rows(rows, reconcile.reconcile(rows)).orderBy("row_ord").collect()
     assert [(r["leaf"], r["rollup"], r["formula"]) for r in proof] == [(10, None, None), (None, None, None), (None, 10, "=SUM(C1)"), (7, None, None), (None, 17, "=SUM(C4,D3)"), (None, None, "=0")]
+    totals = reconcile.reconcile(rows)
+    three = zipfile.ZipFile(io.BytesIO(writers.workbooks(writers.proof_rows(rows, totals), totals).first()["content"]))
+    listed, notes = (ElementTree.fromstring(three.read(f"xl/worksheets/sheet{k}.xml")) for k in (2, 3))
+    ns = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
+    formulas = [[f.text for f in r.iter(f"{ns}f")] for r in listed.iter(f"{ns}row")][1:]
+    assert formulas == [["Proof!A4", "Proof!D4", "Proof!E4", "C2-D2"], ["Proof!A6", "Proof!D6", "Proof!E6", "C3-D3"], ["Proof!A7", "Proof!D7"]]
+    said = [t.text for t in notes.iter(f"{ns}t")]
+    assert "Totals: 3" in said and "Agree: 2" in said and "Agree of those that can be checked: 100.0%" in said
+    assert [e.get("name") for e in ElementTree.fromstring(three.read("xl/workbook.xml")).iter(f"{ns}sheet")] == ["Proof", "Reconciliation", "Notes"]
     book = writers.workbooks(writers.proof_rows(rows, reconcile.reconcile(rows))).first()
     with zipfile.ZipFile(io.BytesIO(book["content"])) as z:
         sheet = ElementTree.fromstring(z.read("xl/worksheets/sheet1.xml"))
