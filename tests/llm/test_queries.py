@@ -1,5 +1,6 @@
 """The registered queries on the smallest tables, against brute force."""
 
+import base64
 import hashlib
 import re
 import zlib
@@ -11,14 +12,14 @@ from conftest import SMALL
 from pyspark.sql import functions as F
 from test_operators import brute_components, brute_kneser_ney, shingles_of
 
-from ledgerloom.llm import langid, quality, secret_scan
-from ledgerloom.llm.queries import ORACLES, QUERIES, vocabulary
+from ledgerloom.llm import fingerprint, langid, quality, secret_scan
+from ledgerloom.llm.queries import ORACLES, QUERIES, trusted_ids, vocabulary
 
 
 @pytest.fixture(scope="module")
 def tables():
     con = duckdb.connect()
-    for t in ("documents", "conversations", "labels"):
+    for t in ("documents", "conversations", "labels", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SMALL}/{t}.parquet'")
     return con
 
@@ -63,6 +64,38 @@ def test_fingerprint_query(spark, tables):
     assert np.mean([r["near_edited"] for r in got.values()]) > 0.4 > 0.1 > np.mean([r["near_next"] for r in got.values()])
 
 
+def test_fingerprint_strings(spark, tables):
+    """Strings and likenesses of the query, from bottom-128 sketches made in Python of the same shingle hashes."""
+    docs = tables.execute("SELECT doc_id, coalesce(text, '') FROM documents ORDER BY doc_id").fetchall()
+    edited = [(i, t[: len(t) - len(t) // 4] + n[: len(t) // 4]) for (i, t), (_, n) in zip(docs, docs[1:] + docs[:1], strict=True)]
+
+    def sketches(rows):
+        df = spark.createDataFrame(rows, "i bigint, t string").select("i", fingerprint.shingle_hashes(F.col("t")).alias("h"))
+        return {r["i"]: sorted(set(r["h"]))[:128] for r in df.collect()}
+
+    def likeness(a, b):
+        union = sorted({*a, *b})[:128]
+        return len({*union} & {*a} & {*b}) / len(union) if union else 1.0
+
+    own, other = sketches(docs), sketches(edited)
+    encoded = lambda a: base64.b64encode(b"".join(int(x).to_bytes(6, "big") for x in a)).decode()
+    got = {r["doc_id"]: r for r in QUERIES["op10_fingerprint"](spark, SMALL).collect()}
+    for (i, _), (n, _) in zip(docs, docs[1:] + docs[:1], strict=True):
+        r = got[i]
+        assert (r["fingerprint"], r["edited_fingerprint"]) == (encoded(own[i]), encoded(other[i]))
+        assert (r["near_edited"], r["near_next"]) == (likeness(own[i], other[i]), likeness(own[i], own[n]))
+
+
+def test_quality_query(spark, tables):
+    """The registered query on the whole table: a row a document, and what it keeps is what the filter lets through."""
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    rows = {r["doc_id"]: r for r in QUERIES["op7_quality"](spark, SMALL).collect()}
+    assert len(rows) == docs.count()
+    passed = {r["doc_id"] for r in quality.accepted(docs.withColumn("kept", F.lit(None).cast("string")), trusted_ids(spark, SMALL)).select("doc_id").collect()}
+    assert {i for i, r in rows.items() if r["kept"]} == passed
+    assert all(r["kept"] == (r["log_perplexity"] is None or r["limit"] is None or r["log_perplexity"] <= r["limit"]) for r in rows.values())
+
+
 def test_language_query(spark, tables):
     truth = dict(tables.execute("SELECT doc_id, lang FROM documents").fetchall())
     rows = QUERIES["op8_language"](spark, SMALL).collect()
