@@ -110,66 +110,68 @@ def is_memo_row(label: Column, raw: Column) -> Column:
 # ---- labels --------------------------------------------------------------------------------------------------------
 
 
+# How the five kinds of totals begin, and what follows the word in a name.
+_LINE_TOTAL = r"^(sub)?total(,| |--|$)"
+_MARKED_TOTAL = r"(?i)^\s*(?:sub)?total\b[.,:]"
+_ANY_TOTAL = r"(?i)^\s*\(?(sub)?total\b"
+_BARE_TOTAL = r"(?i)^(sub)?total\b"
+_TYPESET_TOTAL = r"^TOTAL.*?(\s+[+-]?[\d,]+){3,}\s*$"
+_TOTAL_OF = r"(?is)^\s*(?:sub)?total\b[.,:]?\s*(.*?)\s*$"
+
+
 def is_subtotal_line(text: Column) -> Column:
     """T1."""
-    return F.lower(strip(text)).rlike(r"^(sub)?total(,| |--|$)")
+    return F.lower(strip(text)).rlike(_LINE_TOTAL)
 
 
 def is_rollup(flag: Column, text: Column) -> Column:
     """T2: flagged, or total followed by punctuation."""
-    return F.coalesce(flag, F.lit(False)) | F.coalesce(text, F.lit("")).rlike(r"(?i)^\s*(?:sub)?total\b[.,:]")
+    return F.coalesce(flag, F.lit(False)) | F.coalesce(text, F.lit("")).rlike(_MARKED_TOTAL)
 
 
 def is_total(flag: Column, text: Column) -> Column:
     """T3: flagged, or begins with total, also in parentheses."""
-    return F.coalesce(flag, F.lit(False)) | F.coalesce(text, F.lit("")).rlike(r"(?i)^\s*\(?(sub)?total\b")
+    return F.coalesce(flag, F.lit(False)) | F.coalesce(text, F.lit("")).rlike(_ANY_TOTAL)
 
 
 def is_enacted_total(label: Column) -> Column:
     """T4."""
-    return label.rlike(r"(?i)^(sub)?total\b")
+    return label.rlike(_BARE_TOTAL)
 
 
 def is_typeset_total(text: Column) -> Column:
     """T5: TOTAL with at least three trailing amounts."""
-    return text.rlike(r"^TOTAL.*?(\s+[+-]?[\d,]+){3,}\s*$")
+    return text.rlike(_TYPESET_TOTAL)
 
 
 def rollup_name(text: Column) -> Column:
     """The name after (sub)total; null for a bare one."""
-    return F.nullif(F.btrim(F.regexp_extract(F.coalesce(text, F.lit("")), r"(?is)^\s*(?:sub)?total\b[.,:]?\s*(.*?)\s*$", 1), F.lit(" .:,")), F.lit(""))
-
-
-def strip_number_leakage(text: Column) -> Column:
-    """Without amounts that leaked in at the end; years within a name stay."""
-    return strip(F.regexp_replace(text, r"(?:\s+\$?\d{1,3}(?:[ ,]\d{3})*)+\s*$", ""))
-
+    return F.nullif(F.btrim(F.regexp_extract(F.coalesce(text, F.lit("")), _TOTAL_OF, 1), F.lit(" .:,")), F.lit(""))
 
-def is_fragment(text: Column) -> Column:
-    s = strip_number_leakage(text)
-    count = lambda c: F.length(s) - F.length(F.replace(s, F.lit(c), F.lit("")))
-    lower_first = s.rlike(r"^\p{Ll}")
-    return (F.length(s) < 4) | lower_first | (count(")") > count("(")) | (count("]") > count("[")) | s.rlike(r"[,/\-]$") | s.rlike(r"(?i)^(and|or|the|of|operations|relief|appropriation)\b")
 
-
-# Where a label's qualifiers stand.
+# Amounts that have leaked into the end of a label, what a piece of a label begins or ends with and how short it is, and where qualifiers stand.
+_LEAKED = r"(?:\s+\$?\d{1,3}(?:[ ,]\d{3})*)+\s*$"
+_PIECE = (r"^\p{Ll}", r"[,/\-]$", r"(?i)^(and|or|the|of|operations|relief|appropriation)\b")
+_SHORT = 4
 _PARENS = r"[(\[][^)\]]*[)\]]"
 _TRAILING = r"(?i),\s*(base|emergency|oco|disaster|rescission)\b.*$"
 
 
-def extract_designation(raw: Column) -> Column:
-    """Read from parentheses and trailing qualifiers only."""
-    zones = F.concat_ws(" ", F.array_join(F.regexp_extract_all(raw, F.lit(f"({_PARENS})"), 1), " "), F.regexp_extract(raw, _TRAILING, 0))
-    return first_of(*[(zones.rlike(p), name) for name, p in DESIGNATIONS], otherwise="base")
-
-
-def normalize_account(text: Column) -> Column:
-    s = F.regexp_replace(F.regexp_replace(strip_number_leakage(text), _PARENS, ""), _TRAILING, "")
-    return strip(F.regexp_replace(F.regexp_replace(F.lower(s), "[^a-z0-9 ]", " "), r"\s+", " "))
-
-
-def clean_account_label(raw: Column) -> Column:
-    return F.struct(normalize_account(raw).alias("normalized"), extract_designation(raw).alias("designation"), is_fragment(raw).alias("is_fragment"))
+def label_parts(raw: Column) -> Column:
+    """What a printed label says: struct<stripped, normalized, designation, is_fragment>.
+
+    stripped: without leaked amounts; years within a name stay. normalized: the name to match by, without qualifiers, in small letters, digits and single spaces.
+    designation: what its parentheses and trailing qualifier say of the money. is_fragment: only a piece of a label, by its length, its ends or an unopened bracket.
+    """
+    stripped = strip(F.regexp_replace(raw, _LEAKED, ""))
+    name = F.lower(F.regexp_replace(F.regexp_replace(stripped, _PARENS, ""), _TRAILING, ""))
+    normalized = strip(F.regexp_replace(F.regexp_replace(name, "[^a-z0-9 ]", " "), r"\s+", " "))
+    said = F.concat_ws(" ", F.array_join(F.regexp_extract_all(raw, F.lit(f"({_PARENS})"), 1), " "), F.regexp_extract(raw, _TRAILING, 0))
+    designation = first_of(*[(said.rlike(pattern), kind) for kind, pattern in DESIGNATIONS], otherwise="base")
+    without = lambda c: F.length(F.replace(stripped, F.lit(c), F.lit("")))
+    unopened = (without(")") < without("(")) | (without("]") < without("["))
+    piece = reduce(lambda a, b: a | b, [stripped.rlike(p) for p in _PIECE], unopened | (F.length(stripped) < _SHORT))
+    return F.struct(stripped.alias("stripped"), normalized.alias("normalized"), designation.alias("designation"), piece.alias("is_fragment"))
 
 
 def tokens(text: Column, kind: str) -> Column:

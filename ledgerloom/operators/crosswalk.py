@@ -82,7 +82,7 @@ def enrich_accounts(df: DataFrame, reference: DataFrame, context: tuple[str, ...
     cand = F.posexplode(F.array("account", "account_inferred", "line_item_text")).alias("pos", "label")
     base = df.filter(~F.coalesce(F.col("is_subtotal"), F.lit(False)))
     tried = base.select("report_id", "row_ord", "subcommittee", F.concat_ws(" ", *context).alias("context"), cand)
-    tried = tried.filter((fx.strip(F.coalesce("label", F.lit(""))) != "") & ~fx.is_fragment(F.col("label"))).withColumn("name", fx.normalize_account(F.col("label"))).filter("name <> ''")
+    tried = tried.filter((fx.strip(F.coalesce("label", F.lit(""))) != "") & ~fx.label_parts(F.col("label"))["is_fragment"]).withColumn("name", fx.label_parts(F.col("label"))["normalized"]).filter("name <> ''")
     first = tried.groupBy(F.coalesce("subcommittee", F.lit("")).alias("sub"), "name").agg(F.min_by("context", F.struct("report_id", "row_ord", "pos")).alias("context"))
     found = first.alias("f").join(match_accounts(first, reference).alias("m"), F.expr("f.name = m.name AND f.context <=> m.context")).select("f.sub", "f.name", "m.match", "m.code", "m.title")
     scored = tried.withColumn("sub", F.coalesce("subcommittee", F.lit(""))).join(found, ["sub", "name"])

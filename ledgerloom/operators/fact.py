@@ -51,7 +51,7 @@ def combined(lines: DataFrame, inline: DataFrame, reference: DataFrame, accounts
     """
     memo = F.coalesce("is_memo", F.lit(False)) | fx.is_paren_memo(F.col("committee_recommendation"))
     flat = lines.withColumn("is_memo", memo).withColumns({c: F.col(c)["value"] for c in AMOUNTS})
-    flat = flat.withColumn("designation", fx.extract_designation(fx.strip(F.coalesce(_first_filled("account", "account_inferred", "line_item_text"), F.lit("")))))
+    flat = flat.withColumn("designation", fx.label_parts(fx.strip(F.coalesce(_first_filled("account", "account_inferred", "line_item_text"), F.lit(""))))["designation"])
     flat = flat.withColumn("column_layout", fx.column_layout(F.col("line_item_text"), *map(F.col, AMOUNTS)))
     flat = stored(flat, "lines")
     keyed = federal_accounts(crosswalk.enrich_accounts(flat, reference, CONTEXT), accounts)

@@ -34,7 +34,7 @@ def catalog_pages(spark, sf_dir):
     return read.option("congresses", "113,114,115,116,117,118").option("page_size", "7").option("wait", "0.01").load().drop("date_issued")
 
 
-_PRINTS = "(VALUES " + ", ".join(f"('{k}', {y})" for k, y in sources.ENACTED_PRINTS.items()) + ") AS e(package_id, fiscal_year)"
+_PRINTS = "(VALUES " + ", ".join(f"('{k}', {y})" for k, y in sources.STATEMENT_PRINTS.items()) + ") AS e(package_id, fiscal_year)"
 
 
 @register("enacted_registry", f"""

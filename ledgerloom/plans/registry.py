@@ -609,7 +609,7 @@ def clean_labels(spark, sf_dir):
     """Names of parts printed with leaked amounts, qualifiers, years and broken ends."""
     v = F.col("v")
     printed = table(spark, sf_dir, "part").select("p_partkey", F.expr(_PRINTED).alias("v"))
-    return printed.select("p_partkey", fx.strip_number_leakage(v).alias("stripped"), fx.clean_account_label(v).alias("c")).select("p_partkey", "stripped", "c.*")
+    return printed.select("p_partkey", fx.label_parts(v).alias("c")).select("p_partkey", "c.*")
 
 
 _PHRASES = [(name, phrase) for name, phrases in fx.SUBCOMMITTEES.items() for phrase in phrases]

@@ -123,7 +123,7 @@ def deflators(spark: SparkSession) -> DataFrame:
 
 
 # Prints of explanatory statements with their fiscal years; no search by title finds them.
-ENACTED_PRINTS = {
+STATEMENT_PRINTS = {
     "CPRT-114HPRT98155": 2016, "CPRT-114HPRT98369": 2016, "CPRT-115HPRT25289": 2017, "CPRT-115HPRT29456": 2018, "CPRT-115HPRT29457": 2018, "CPRT-116HPRT35160": 2019, "CPRT-116HPRT38678": 2020, "CPRT-116HPRT38679": 2020,
     "CPRT-117HPRT43749": 2021, "CPRT-117HPRT43750": 2021, "CPRT-117HPRT47047": 2022, "CPRT-117HPRT47048": 2022, "CPRT-117HPRT50347": 2023, "CPRT-117HPRT50348": 2023, "CPRT-118HPRT55008": 2024, "CPRT-118HPRT56550": 2024,
 }
@@ -131,7 +131,7 @@ ENACTED_PRINTS = {
 
 def enacted_prints(spark: SparkSession, first: int | None = None, last: int | None = None) -> DataFrame:
     """Report metadata of the enacted prints, of congresses from first to last where given."""
-    rows = spark.createDataFrame(list(ENACTED_PRINTS.items()), "package_id string, fiscal_year int")
+    rows = spark.createDataFrame(list(STATEMENT_PRINTS.items()), "package_id string, fiscal_year int")
     part = lambda g: F.regexp_extract("package_id", r"^CPRT-(\d+)HPRT(\d+)$", g).try_cast("int")
     none = F.lit(None).cast("string")
     out = rows.select("package_id", part(1).alias("congress"), F.lit("house").alias("chamber"), part(2).alias("report_number"), F.concat(F.lit("Consolidated appropriations, explanatory statement for "), "fiscal_year").alias("title"), none.alias("subcommittee"), "fiscal_year", F.lit("enacted").alias("stage"), none.alias("date_issued"))
