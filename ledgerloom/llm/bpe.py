@@ -299,7 +299,8 @@ def read_spec(path: str, most: int = 64 << 20) -> str:
 def encode(df: DataFrame, vocab_path: str, id_col: str = "doc_id", text_col: str = "text", decoded: bool = False) -> DataFrame:
     """One row for each row of df: id_col, n_tokens, ids (binary: little-endian unsigned 32-bit) and, if asked for, `decoded`.
 
-    Null text: no ids, empty binary. Other columns are ignored; an empty df gives no rows.
+    Null text: no ids, empty binary. Repeated rows are encoded alike. Other columns are ignored; an empty df gives no rows. id_col is not
+    named as an output.
     """
     shared = df.sparkSession.sparkContext.broadcast(read_spec(vocab_path))
     id_type = dict(df.dtypes)[id_col]
@@ -318,7 +319,7 @@ def encode(df: DataFrame, vocab_path: str, id_col: str = "doc_id", text_col: str
 
 
 def decode(df: DataFrame, vocab_path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
-    """The texts of packed ids, as `decoded`: tokens with one space between; null ids give null."""
+    """The texts of packed ids, as `decoded`: tokens with one space between; null ids give null. Repeated rows are decoded alike; other columns are ignored."""
     shared = df.sparkSession.sparkContext.broadcast(read_spec(vocab_path))
 
     def run(batches):

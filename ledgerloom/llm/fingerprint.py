@@ -78,7 +78,7 @@ def encoded(a: Column) -> Column:
 
 
 def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = SKETCH_SIZE, words: int = SHINGLE) -> DataFrame:
-    """One row for each row of df: doc_id, n_chars, sketch, n_shingles (estimate). Null text is empty; an empty df gives no rows; other columns are ignored."""
+    """One row for each row of df: doc_id, n_chars, sketch, n_shingles (estimate). Null text is empty; repeated rows have the same sketch; an empty df gives no rows; other columns are ignored."""
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     return df.select(F.col(f"`{id_col}`").alias("doc_id"), F.length(text).cast("long").alias("n_chars"), sketch(text, k, words).alias("sketch")).withColumn("n_shingles", distinct_shingles(F.col("sketch"), k))
 
