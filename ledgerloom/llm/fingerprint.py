@@ -88,7 +88,8 @@ def with_next(df: DataFrame, id_col: str, columns: list[str], derive=lambda d: d
 
     The id range is cut at quantiles into buckets; each bucket is one window group, and a copy of the first row of
     the next bucket closes it, so no task sees more than a bucket. At most spread x shuffle partitions bounds and as
-    many bucket heads are collected. Ties are ordered by `columns`; null ids come first. derive must keep all rows.
+    many bucket heads are collected. Ties are ordered by `columns`; null ids come first. derive must keep all rows. Identifiers are
+    numbers, as quantiles are taken of them; a column named next is overwritten.
     """
     spark = df.sparkSession
     bucket, ghost, head, to = (free_name(df, n) for n in ("bucket", "ghost", "head", "to"))

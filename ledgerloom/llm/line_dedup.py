@@ -170,7 +170,7 @@ def dedup_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", m
 
     A line is what newlines separate; its words are what white space separates. Null text stays null and has no lines;
     a text that loses all its lines becomes empty. Rows that repeat identifier and text are one document, and all of
-    them stay as they are. Columns of any other name pass through; an empty df gives no rows.
+    them stay as they are. Columns of any other name pass through, those named n_lines and n_removed are overwritten; an empty df gives no rows.
     """
     doc, version, removed, own_version = (free_name(df, n) for n in ("gone_doc", "gone_version", "gone_lines", "own_version"))
     gone = repeated_lines(df, id_col, text_col, min_words).select(F.col("doc").alias(doc), F.col("version").alias(version), F.col("removed").alias(removed))

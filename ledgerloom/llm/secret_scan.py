@@ -364,7 +364,7 @@ def learn(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Gram
 def scan(df: DataFrame, grammar: Grammar, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row for each row of df: id_col and spans (array of start, end, kind, value). Null text is empty; other columns are ignored.
 
-    Spans are ordered by start, then kind as listed, with "format" last. Repeated rows have the same spans; an empty df gives no rows.
+    Spans are ordered by start, then kind as listed, with "format" last. Repeated rows have the same spans; an empty df gives no rows. id_col isn't named spans.
     """
     shared = df.sparkSession.sparkContext.broadcast(grammar)
     return _scanned(df, id_col, text_col, lambda t: shared.value.spans(t), "spans")
