@@ -720,8 +720,9 @@ def test_hex_is_learnt(spark):
     rows = [(i, f"key {make(rng.choice([32, 40, 64]))} end", "en") for i in range(60)] + [(60 + i, f"password=ab{i}cdefgh99", "en") for i in range(secret_scan.TRAIN_LEAST - 1)]
     grammar = secret_scan.learn(frame(spark, rows))
     assert list(grammar.kinds) == ["hex"]  # too few of the others
-    found = [[s[2] for s in grammar.spans(f"see {make(24)} end")] for _ in range(50)]
-    assert np.mean([f == ["format"] for f in found]) > 0.5
+    # a length is part of a format: those seen are accepted, and another one is left alone
+    assert np.mean([grammar.accepts(make(n)) for n in (32, 40, 64) for _ in range(30)]) > 0.9
+    assert not any(grammar.spans(f"see {make(24)} end") for _ in range(50))
     assert grammar.spans("see internationalization2 end") == []
 
 
@@ -732,7 +733,7 @@ def test_best_ends_equal_brute_force():
         automaton, low = grammar.kinds["assign"]
         if kind:  # an automaton that takes separators inside
             strings = ["".join(rng.choice("abc019/=") for _ in range(rng.randrange(16, 40))) for _ in range(60)]
-            automaton = secret_scan.Automaton([secret_scan.classes(s) for s in strings])
+            automaton = secret_scan.Automaton(strings)
             low = automaton.low
         for _ in range(40):
             text = "".join(rng.choice(["sk_", "/", "=", "a", "7", "abc0", "12ef", "9Z"]) for _ in range(40))
@@ -741,8 +742,8 @@ def test_best_ends_equal_brute_force():
             for a in {0, *(c + 1 for c in cuts)}:
                 for b in {*cuts, len(text)}:
                     part = text[a:b]
-                    if b - a >= secret_scan.LEAST and any(c.isdigit() for c in part) and any(c.isalpha() for c in part):
-                        excess = (automaton.score(secret_scan.classes(part)) - low) * (b - a + 1)
+                    if b - a >= secret_scan.LEAST:
+                        excess = (automaton.score(part) - low) * (b - a + 1)
                         if excess >= 0:
                             want[a] = max(want.get(a, 0.0), excess)
             got = automaton.best_ends(text, low)
