@@ -581,6 +581,22 @@ def test_prose_triples_against_one_pattern(spark):
     assert sorted(map(tuple, got), key=str) == sorted(want, key=str) and len(want) > 100
 
 
+def test_prose_headings_across_marks(spark):
+    """A heading that reaches over several marks right before it, each of the least length."""
+    mark = "Recommended in the bill 1"
+    text = "far words near " + mark * 6 + "Appropriation, fiscal year 1996 $2Budget request, fiscal year 1997 3" + mark
+    (row,) = verify.prose_triples(spark.createDataFrame([(1, text)], "report_id int, text string"), 1997).collect()
+    assert tuple(row) == (1, 1, (mark * 6)[-120:].split(".")[0][-70:].strip(), 2, 3, 1)
+
+
+def test_prose_marks_leave_the_text_behind(spark):
+    """What a mark carries doesn't grow with its text: no shuffle, sort or window has the whole text, and no frame runs to the end."""
+    docs = spark.createDataFrame([(1, "x")], "report_id int, text string")
+    plan = verify.prose_triples(docs, 1997)._jdf.queryExecution().optimizedPlan().toString()
+    windows = [line for line in plan.splitlines() if re.match(r"[\s:+-]*Window ", line)]
+    assert windows and not [line for line in windows if "_t#" in line or "unboundedfollowing" in line]
+
+
 def test_rows_in_file_order(spark, tmp_path):
     """Several files, each read in many splits, in the order in which they were written."""
     rows = spark.range(20_000).select(F.concat(F.lit("r"), F.expr("lpad(id div 100, 4, '0')")).alias("report_id"), F.col("id").alias("row_ord"), F.repeat(F.lit("x"), (F.col("id") % 50).cast("int")).alias("pad"))
