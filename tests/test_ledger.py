@@ -581,6 +581,35 @@ def test_prose_triples_against_one_pattern(spark):
     assert sorted(map(tuple, got), key=str) == sorted(want, key=str) and len(want) > 100
 
 
+def test_titles_in_many_rows(spark):
+    """A title that many reference rows share meets a name once for each agency, and its rows still count."""
+    agency = lambda k: f"alpha{k % 3} works"
+    ref = spark.createDataFrame([(k, f"c{k}", "Old bolt steel", agency(k)) for k in range(3000)] + [(9000, "x", "Red gear", "alpha7 works"), (9001, "y", "Red gear wheel", "beta works")], "ref_ord int, code string, title string, agency string")
+    labels = spark.createDataFrame([("old bolt", "alpha1 works"), ("old bolt steel", None), ("red gear", "beta works"), ("old bolt steol", "")], "name string, context string")
+    found = crosswalk.match_accounts(labels, ref)
+    got = {r["name"]: (r["match"], r["code"], r["title"]) for r in found.collect()}
+    assert got == {"old bolt": ("ambiguous", None, None), "old bolt steel": ("ambiguous", None, None), "red gear": ("agency_scoped", "y", "Red gear wheel"), "old bolt steol": ("needs_review", "c0", "Old bolt steel")}
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert not re.search(r"^[\s:+-]*Window ", plan, re.M)  # a window would hold all rows of one name in a task
+
+
+def test_titles_of_many_references_are_met_once(spark, monkeypatch):
+    """Containment compares names with distinct titles, in both passes."""
+    sizes, real = [], similar.contained_in
+    monkeypatch.setattr(similar, "contained_in", lambda own, ref, a, b: sizes.append((own.count(), ref.count())) or real(own, ref, a, b))
+    ref = spark.createDataFrame([(k, "s1", "Old bolt steel", f"a{k % 2}") for k in range(500)] + [(900, "s2", "Old bolt brass", "a5")], "ref_ord int, federal_account_symbol string, account_title string, agency string")
+    labels = spark.createDataFrame([(n, b) for n in ("bolt steel", "old bolt") for b in ("p", "q")], "name string, bucket string")
+    got = sorted(map(tuple, crosswalk.contained_twice(labels, ref).collect()))
+    assert got == [(n, b, "s1", "Old bolt steel", "a0", k) for n, k in (("bolt steel", 1), ("old bolt", 2)) for b in ("p", "q")]
+    assert sizes == [(2, 2), (1, 2)]
+
+
+def test_corroboration_has_every_item_as_a_record(spark):
+    """Each line item is an inline record, so each is found at least by its own."""
+    rows = sources.ledger(spark, SMALL).filter("NOT is_subtotal")
+    assert registry.QUERIES["inline_corroboration"](spark, SMALL).count() == rows.count()
+
+
 def test_prose_headings_across_marks(spark):
     """A heading that reaches over several marks right before it, each of the least length."""
     mark = "Recommended in the bill 1"
