@@ -560,13 +560,13 @@ def crosswalk_prefix(spark, sf_dir):
 
 
 @register("inline_corroboration", """
-, i AS (SELECT report_id, account AS label, committee_recommendation AS a, prior_year_enacted AS b FROM ledger WHERE NOT is_subtotal AND pk % 5 = 0)
+, i AS (SELECT report_id, account AS label, committee_recommendation AS a, prior_year_enacted AS b FROM ledger WHERE NOT is_subtotal)
 , m AS (SELECT l.report_id, l.row_ord, concat_ws(' ', l.account, l.line_item_text) AS x, i.label FROM ledger l JOIN i ON l.report_id = i.report_id WHERE NOT l.is_subtotal AND (l.prior_year_enacted IN (i.a, i.b) OR l.budget_estimate IN (i.a, i.b) OR l.committee_recommendation IN (i.a, i.b)))
 SELECT DISTINCT report_id, row_ord FROM m WHERE len(list_intersect(list_filter(regexp_extract_all(lower(x), '[a-z]+'), lambda w: length(w) > 3), list_filter(regexp_extract_all(lower(label), '[a-z]+'), lambda w: length(w) > 3))) > 0""")
 def inline_corroboration(spark, sf_dir):
-    """Rows against the inline records of a report: every fifth part's rows, with recommendation and prior year."""
+    """Rows against the inline records of a report: every line item's account, with recommendation and prior year."""
     rows = kept(spark, sf_dir).filter("NOT is_subtotal")
-    inline = rows.filter("pk % 5 = 0").select("report_id", F.col("account").alias("label"), F.array("committee_recommendation", "prior_year_enacted").alias("amounts"))
+    inline = rows.select("report_id", F.col("account").alias("label"), F.array("committee_recommendation", "prior_year_enacted").alias("amounts"))
     return crosswalk.corroborated(rows, inline)
 
 
