@@ -30,10 +30,11 @@ def federal_accounts(rows: DataFrame, accounts: DataFrame) -> DataFrame:
     """
     name, bucket = _first_filled("account_inferred", "line_item_text"), F.coalesce("subcommittee", F.lit(""))
     is_open = ~F.coalesce("is_subtotal", F.lit(False)) & F.col("account_key").isNull() & F.coalesce(*AMOUNTS).isNotNull()
-    labels = rows.filter(is_open).select(name.alias("name"), bucket.alias("bucket"))
+    labels = stored(rows.filter(is_open).select(name.alias("name"), bucket.alias("bucket")).distinct(), "open-names")  # several branches start from them
     found = crosswalk.contained_twice(labels, accounts)
     bureaus = accounts.groupBy(F.col("federal_account_symbol").alias("symbol"), F.col("account_title").alias("title"), "agency").agg(F.min_by("bureau", "ref_ord").alias("bureau"))
     found = found.join(bureaus, ["symbol", "title", "agency"], "left").select("name", "bucket", F.struct("symbol", "title", "agency", "bureau", "pass").alias("_f"))
+    found = stored(found, "federal-accounts")  # of a known size: few of them go to the rows
     out = rows.withColumn("name", F.when(is_open, name)).withColumn("bucket", bucket).join(found, ["name", "bucket"], "left").drop("name", "bucket")
     hit = F.col("_f").isNotNull()
     # How such a match is called.
@@ -53,9 +54,11 @@ def combined(lines: DataFrame, inline: DataFrame, reference: DataFrame, accounts
     flat = lines.withColumn("is_memo", memo).withColumns({c: F.col(c)["value"] for c in AMOUNTS})
     flat = flat.withColumn("designation", fx.label_parts(fx.strip(F.coalesce(_first_filled("account", "account_inferred", "line_item_text"), F.lit(""))))["designation"])
     flat = flat.withColumn("column_layout", fx.column_layout(F.col("line_item_text"), *map(F.col, AMOUNTS)))
-    flat = stored(flat, "lines")
+    flat = stored(crosswalk.with_names(flat), "lines")
     keyed = federal_accounts(crosswalk.enrich_accounts(flat, reference, CONTEXT), accounts)
-    said = crosswalk.corroborated(flat, inline, ("line_item_text", "account_inferred")).withColumn("_said", F.lit(True))
+    # restatements count only where no other tier comes first
+    lone = flat.filter(~F.coalesce("verified", F.lit(False)) & F.coalesce(*AMOUNTS).isNotNull() & (fx.strip(F.coalesce("account_inferred", F.lit(""))) == ""))
+    said = crosswalk.corroborated(lone, inline, ("line_item_text", "account_inferred")).withColumn("_said", F.lit(True))
     tier = verify.verification_tier(F.col("verified"), F.col("verification_method"), F.coalesce(*AMOUNTS).isNotNull(), F.col("account_inferred"), F.col("_said"))
     out = keyed.join(said, ["report_id", "row_ord"], "left").withColumn("verification_tier", tier)
     out = out.join(F.broadcast(factors.select("fiscal_year", F.col("real_factor").alias("real_factor_2024"))), "fiscal_year", "left")  # a row a year

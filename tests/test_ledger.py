@@ -604,6 +604,18 @@ def test_titles_of_many_references_are_met_once(spark, monkeypatch):
     assert sizes == [(2, 2), (1, 2)]
 
 
+def test_accounts_are_looked_up_where_rows_are(spark):
+    """Few verdicts go to the rows: no row is exploded, shuffled and joined back for its account, and names are taken along where they are given."""
+    rows = sources.ledger(spark, SMALL).withColumn("account_inferred", F.lit("Fund of x")).withColumn("department", F.lit("d"))
+    rows = workspace.stored(crosswalk.with_names(rows), "named")
+    ref = spark.createDataFrame([(1, "c1", "fund of x", "d")], "ref_ord int, code string, title string, agency string")
+    out = crosswalk.enrich_accounts(rows, ref)
+    assert not set(crosswalk.ADDED) & set(out.columns)
+    assert out.filter("NOT is_subtotal AND account_key = 'c1'").count() == rows.filter("NOT is_subtotal").count()
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "Generate" not in plan
+
+
 def test_corroboration_has_every_item_as_a_record(spark):
     """Each line item is an inline record, so each is found at least by its own."""
     rows = sources.ledger(spark, SMALL).filter("NOT is_subtotal")
