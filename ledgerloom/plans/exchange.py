@@ -66,7 +66,7 @@ def cached_files(spark, sf_dir):
     """Stored texts with their digests, against those noted when they were stored: some are other ones, some are missing."""
     path = new_folder(spark, "raw")
     s = table(spark, sf_dir, "supplier").select(F.concat(F.lit("s"), "s_suppkey").alias("report_id"), F.when(F.col("s_suppkey") % 2 == 0, "house").otherwise("senate").alias("chamber"), F.lit(118).alias("congress"), "s_name", "s_suppkey")
-    s.select("congress", "chamber", "report_id", "s_name").write.partitionBy("congress", "chamber", "report_id").text(path)
+    writers.write_packs(s.withColumn("content", F.encode(F.concat("s_name", F.lit("\n")), "UTF-8")), path, "txt")
     noted = s.filter("s_suppkey % 4 <> 2").select("report_id", F.when(F.col("s_suppkey") % 4 == 1, "another").otherwise(F.sha2(F.concat("s_name", F.lit("\n")), 256)).alias("noted"))
     return sources.verified_files(sources.cached_files(spark, path, "txt"), noted).select("report_id", "chamber", "sha256", F.col("length").cast("int").alias("length"), "intact")
 
