@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.text import first_of, strip
+from ledgerloom.functions.text import first_of, once, strip
 
 ITEM = "array<struct<text:string,indent:int,is_subtotal:boolean,col1:string,col2:string,col3:string,col4:string,col5:string>>"
 _TABULAR = r"(?s)\\begin\{tabular\}\{[^}]*\}(.*?)\\end\{tabular\}"
@@ -21,29 +21,38 @@ def tables(raw: Column) -> Column:
 
 def header_slot(cell: Column) -> Column:
     """Which of the five amounts a header cell names, 0 to 4; null for none."""
-    low = F.lower(cell)
-    versus = low.contains("vs") | low.contains("compared")
-    return first_of((versus & low.contains("enacted"), F.lit(3)), (versus & (low.contains("request") | low.contains("estimate")), F.lit(4)), (low.contains("enacted"), F.lit(0)), (low.contains("request") | low.contains("estimate"), F.lit(1)), (low.contains("bill") | low.contains("recommend"), F.lit(2)))
+
+    def slot(low: Column) -> Column:
+        versus = low.contains("vs") | low.contains("compared")
+        return first_of((versus & low.contains("enacted"), F.lit(3)), (versus & (low.contains("request") | low.contains("estimate")), F.lit(4)), (low.contains("enacted"), F.lit(0)), (low.contains("request") | low.contains("estimate"), F.lit(1)), (low.contains("bill") | low.contains("recommend"), F.lit(2)))
+
+    return once(F.lower(cell), slot)
 
 
 def is_comparative(table: Column) -> Column:
     """Its header names both an enacted and a bill column, and it is none of the summary tables."""
-    head = F.transform(F.element_at(table, 1), header_slot)
+    names = once(F.transform(F.element_at(table, 1), header_slot), lambda head: F.array_contains(head, 0) & F.array_contains(head, 2))
     text = F.lower(F.array_join(F.flatten(table), " "))
-    return F.array_contains(head, 0) & F.array_contains(head, 2) & ~text.rlike(r"302\s*\(b\)|budget authority|projection of outlays")
+    return names & ~text.rlike(r"302\s*\(b\)|budget authority|projection of outlays")
 
 
 def table_items(table: Column) -> Column:
     """The rows of a comparative table as items; the last cells are the values, by the header's order."""
-    slots = F.filter(F.transform(F.element_at(table, 1), header_slot), lambda s: s.isNotNull())
+    # an expression is evaluated wherever it stands: the header is read once a table, the values are cut once a row
+    header = F.filter(F.transform(F.element_at(table, 1), header_slot), lambda s: s.isNotNull())
 
-    def item(row: Column) -> Column:
-        values = F.slice(row, F.greatest(F.size(row) - F.size(slots) + 1, F.lit(2)), F.size(slots))
+    def item(row: Column, slots: Column) -> Column:
+        cut = F.slice(row, F.greatest(F.size(row) - F.size(slots) + 1, F.lit(2)), F.size(slots))
+        column = lambda values, n: F.nullif(F.get(values, F.array_position(slots, F.lit(n)).cast("int") - 1), F.lit(""))
         label = F.element_at(row, 1)
-        column = lambda n: F.nullif(F.get(values, F.array_position(slots, F.lit(n)).cast("int") - 1), F.lit(""))
-        return F.struct(label.alias("text"), F.lit(0).alias("indent"), F.coalesce(F.lower(label).rlike(r"^(sub)?total\b"), F.lit(False)).alias("is_subtotal"), *[column(n).alias(f"col{n + 1}") for n in range(5)])
+        return once(cut, lambda values: F.struct(label.alias("text"), F.lit(0).alias("indent"), F.coalesce(F.lower(label).rlike(r"^(sub)?total\b"), F.lit(False)).alias("is_subtotal"), *[column(values, n).alias(f"col{n + 1}") for n in range(5)]))
+
+    return once(header, lambda slots: F.transform(F.slice(table, 2, F.greatest(F.size(table) - 1, F.lit(0))), lambda row: item(row, slots)))
+
 
-    return F.transform(F.slice(table, 2, F.greatest(F.size(table) - 1, F.lit(0))), item)
+def has_items(found: Column) -> Column:
+    """Whether tables() has found a comparative table with a row below its header."""
+    return F.coalesce(F.exists(found, lambda t: (F.size(t) > 1) & is_comparative(t)), F.lit(False))
 
 
 def comparative_items(raw: Column) -> Column:

@@ -15,9 +15,10 @@ from ledgerloom.operators import structure
 from ledgerloom.schema import AMOUNTS
 
 # What lines of these documents look like.
-_FUNDING = r"^(\s*)([A-Za-z][\w\s,()\\/*]+?)\.{3,}\s*(.+?)\s*$"
+_FUNDING = r"^\s*[A-Za-z][\w\s,()\\/*]+?\.{3,}\s*.+?\s*$"
+_AFTER_DOTS = r"^\.{3,}\s*(.+?)\s*$"
 _START = r"^\s*Appropriations?,\s*\d{4}\s*\.{3,}|^\s*Appropriation,\s*fiscal\s+year\s+\d{4}"
-_COMPARED = r"^\s*Bill compared with:\s*$"
+_COMPARED = "Bill compared with:"
 _THOUSANDS = r"(?i)\[In thousands of dollars\]"
 _RULE = r"^\s*[-=]{20,}\s*$"
 
@@ -34,7 +35,7 @@ def inline_tables(lines: DataFrame) -> DataFrame:
     """
     line, w = F.col("line"), _w("report_id")
     blank = fx.strip(line) == ""
-    rows = lines.withColumn("funding", line.rlike(_FUNDING)).withColumn("compared", line.rlike(_COMPARED)).withColumn("start", line.rlike(_START)).withColumn("blank", blank)
+    rows = lines.withColumn("funding", line.contains("...") & line.rlike(_FUNDING)).withColumn("compared", fx.strip(line) == _COMPARED).withColumn("start", line.contains("ppropriation") & line.rlike(_START)).withColumn("blank", blank)
     ahead = lambda n: (F.coalesce(F.lead("blank", n).over(w), F.lit(True)), F.coalesce(F.lead("funding", n).over(w), F.lit(False)))
     (b1, f1), (_, f2) = ahead(1), ahead(2)
     rows = rows.withColumn("inside", F.col("funding") | F.col("compared") | (F.col("blank") & (f1 | (b1 & f2))))
@@ -42,9 +43,11 @@ def inline_tables(lines: DataFrame) -> DataFrame:
     # A stretch of inside lines is one island; a block opens at its first start line.
     rows = rows.withColumn("island", F.sum(F.when(F.col("inside"), 0).otherwise(1)).over(w)).filter("inside")
     rows = rows.withColumn("opened", F.min(F.when(F.col("start"), F.col("row_ord"))).over(W.partitionBy("report_id", "island"))).filter("row_ord >= opened")
+    # no label of a funding line has a dot, so it ends at the first
+    rows = rows.withColumn("label", F.when(F.col("funding"), F.substring_index(line, "...", 1)))
+    rows = rows.withColumn("low", F.lower(fx.strip(F.col("label")))).withColumn("indent", fx.detect_indent(F.col("label"))).withColumn("raw", F.regexp_extract(F.substr(line, F.length("label") + 1), _AFTER_DOTS, 1)).drop("label", "line")
     rows = rows.withColumn("below", F.max("compared").over(_w("report_id", "island")))
-    part = lambda g: F.regexp_extract(line, _FUNDING, g)
-    rows = rows.withColumn("kind", F.when(F.col("funding"), fx.label_type(part(2), F.length(part(1)), F.col("below")))).withColumn("amount", F.when(F.col("funding"), fx.parse_dollar(part(3), paren_negative=False)))
+    rows = rows.withColumn("kind", F.when(F.col("funding"), fx.kind_of_label(F.col("low"), F.col("indent"), F.col("below")))).withColumn("amount", F.when(F.col("funding"), fx.parse_dollar(F.col("raw"), paren_negative=False)))
     last = lambda k: F.max_by("amount", F.when(F.col("kind") == k, F.col("row_ord"))).alias(k)
     kinds = ("prior_year", "budget_estimate", "committee_recommendation", "delta_vs_enacted", "delta_vs_estimate")
     head = F.max(F.when(F.col("row_ord") == F.col("opened"), F.col("heading")))
@@ -61,24 +64,25 @@ def fixed_width(lines: DataFrame, strict: bool = False) -> DataFrame:
     """
     line, w = F.col("line"), _w("report_id")
     whole = W.partitionBy("report_id")
-    mark = line.rlike(_THOUSANDS)
+    mark = line.contains("[") & line.rlike(_THOUSANDS)
     rows = lines.withColumn("near", F.max(mark).over(w.rowsBetween(0, 7)))
-    rows = rows.withColumn("begin", F.min(F.when(line.rlike(r"(?i)comparative statement of new budget") & F.col("near"), F.col("row_ord"))).over(whole)).filter("begin IS NOT NULL AND row_ord >= begin")
+    rows = rows.withColumn("begin", F.min(F.when(F.col("near") & line.rlike(r"(?i)comparative statement of new budget"), F.col("row_ord"))).over(whole)).filter("begin IS NOT NULL AND row_ord >= begin")
     views = fx.strip(line).isin("MINORITY VIEWS", "DISSENTING VIEWS", "ADDITIONAL VIEWS") & (F.col("row_ord") >= F.col("begin") + 20)
     rows = rows.withColumn("end", F.coalesce(F.min(F.when(views, F.col("row_ord"))).over(whole), F.lit(1 << 31))).filter("row_ord < end")
     rows = rows.withColumn("thousands", F.max(mark & (F.col("row_ord") < F.col("begin") + 10)).over(whole))
-    rules = F.sum(F.when(line.rlike(_RULE) & (F.col("row_ord") < F.col("begin") + 20), 1).otherwise(0)).over(w)
+    rules = F.sum(F.when((F.col("row_ord") < F.col("begin") + 20) & line.rlike(_RULE), 1).otherwise(0)).over(w)
     rows = rows.withColumn("rules", rules)
     rows = rows.withColumn("data", F.coalesce(F.min(F.when(F.col("rules") >= 3, F.col("row_ord"))).over(whole) + 1, F.col("begin"))).filter("row_ord >= data")
-    header = (line.contains("Item") & F.lower(line).contains("appropriation")) | (line.contains("Committee recommendation") & (line.contains("recommendation") | F.lower(line).contains("compared with"))) | (line.contains("Budget estimate") & F.lower(line).contains("compared with")) | line.rlike(_THOUSANDS) | line.rlike(_RULE)
-    rows = rows.filter(~header & line.rlike(r"[\d,]{3,}|\([\d,]+\)|[+\-][\d,]+|\.{4,}") & line.contains("..."))
-    label, rest = F.regexp_extract(line, r"^(.*?)\.{3,}", 1), F.regexp_replace(line, r"^.*?\.{3,}", "")
+    header = (line.contains("Item") & F.lower(line).contains("appropriation")) | (line.contains("Committee recommendation") & (line.contains("recommendation") | F.lower(line).contains("compared with"))) | (line.contains("Budget estimate") & F.lower(line).contains("compared with")) | mark | line.rlike(_RULE)
+    rows = rows.filter(line.contains("...") & ~header & line.rlike(r"[\d,]{3,}|\([\d,]+\)|[+\-][\d,]+|\.{4,}"))
+    label = F.substring_index(line, "...", 1)
+    rest = F.ltrim(F.substr(line, F.length(label) + 1), F.lit("."))
     tokens = F.regexp_extract_all(rest, F.lit(r"(\(\+?[\d,]+\)|[+\-][\d,]+|[\d,]{3,}|\.{4,})"), 1)
     rows = rows.withColumn("label", F.rtrim(label)).withColumn("tokens", tokens).withColumn("indent", fx.detect_indent(line))
     rows = rows.withColumn("level", fx.hierarchy_level(F.col("label"), F.col("indent"))).withColumn("line_item_text", fx.strip(F.col("label")))
     at = lambda n: F.when(F.col("level") == n, F.col("line_item_text"))
     rows = structure.fill_context(rows, [("title_name", at(fx.TITLE)), ("department", at(fx.DEPARTMENT)), ("agency", at(fx.AGENCY)), ("account", at(fx.ACCOUNT))])
-    amounts = {c: fx.parse_dollar(F.coalesce(F.get("tokens", i), F.lit("")), F.col("thousands"), paren_negative=False) for i, c in enumerate(AMOUNTS)}
+    amounts = {c: fx.token_amount(F.coalesce(F.get("tokens", i), F.lit("")), F.col("thousands")) for i, c in enumerate(AMOUNTS)}
     out = rows.withColumns(amounts).withColumn("is_subtotal", (F.col("level") != fx.ACCOUNT) & fx.is_subtotal_line(F.col("line_item_text")) | fx.is_subtotal_line(F.col("line_item_text")) & ~F.col("line_item_text").endswith(":"))
     out = out.withColumn("is_memo", fx.is_paren_memo(F.col("committee_recommendation"))).withColumn("program", F.when(F.col("level") >= fx.PROGRAM, F.col("line_item_text")))
     if strict:
@@ -149,7 +153,7 @@ def _filled(lines: DataFrame) -> DataFrame:
 
 def _heads(line: Column) -> Column:
     """A line in capitals that may be (part of) a name: no total, no amounts at its end."""
-    return line.rlike(_CAPITALS) & ~line.startswith("TOTAL") & (F.size(fx.trailing_amounts(line)) == 0)
+    return ~line.startswith("TOTAL") & line.rlike(_CAPITALS) & (F.size(fx.trailing_amounts(line)) == 0)
 
 
 def account_above(lines: DataFrame) -> tuple[DataFrame, Column]:
@@ -203,15 +207,15 @@ def typeset_statement(lines: DataFrame, anchor: str = ANCHOR, offsets: tuple[str
     """
     w = _w("report_id")
     rows = structure.merge_wrapped_totals(_filled(lines.withColumn("line", fx.typeset_minus(F.col("line")))))
+    # before the windows, so that what comes after reads columns and evaluates nothing again
+    rows = rows.withColumn("tail", fx.trailing_run(F.col("line")))
+    rows = rows.withColumn("nums", fx.amounts_of_run(F.col("tail"))).withColumn("label", fx.strip(fx.without_leader(F.left("line", F.length("line") - F.length("tail"))))).drop("tail")
     rows, name = account_above(rows)
     opens = F.col("line").rlike(anchor)
     # one row of the window after another: F.struct keeps a missing name apart from no sentence
-    rows = rows.withColumn("_opens", F.when(opens, F.struct(name.alias("name")))).withColumn("account_no", F.count("_opens").over(w)).withColumn("account", F.last("_opens", ignorenulls=True).over(w)["name"])
+    rows = rows.withColumn("_opens", F.when(opens, F.struct(name.alias("name")))).withColumn("account_no", F.count_if(opens).over(w)).withColumn("account", F.last("_opens", ignorenulls=True).over(w)["name"])
     title = F.when(F.col("line").rlike(_TITLE_LINE) & (F.length("line") < 60), F.concat(F.lit("Title "), F.regexp_extract("line", _TITLE_LINE, 1)))
     rows = rows.withColumn("title", F.last(title, ignorenulls=True).over(w)).withColumn("title", F.last(F.when(opens, F.struct("title")), ignorenulls=True).over(w)["title"])
-    nums = fx.trailing_amounts(F.col("line"))
-    label = fx.strip(F.regexp_replace(F.regexp_replace("line", r"((?:\s+[+-]?[\d,]*\d[\d,]*)+)\s*$", ""), r"[.\s]+$", ""))
-    rows = rows.withColumn("nums", nums).withColumn("label", label)
     n, is_offset = F.size("nums"), F.col("label").isin(*offsets)
     prose = F.lower("label").startswith("the ") | F.lower("label").startswith("section ")
     kind = F.when(opens | F.col("line").rlike(_LEADER), None).when((n >= 3) & F.col("label").rlike("^TOTAL"), "total").when((n >= 3) & ~prose, "value").when((n == 2) & is_offset, "value").when((n == 1) & ~fx.is_upper(F.col("label")) & (F.col("label") != ""), "mark")
@@ -254,8 +258,7 @@ def has_large_image(images: Column) -> Column:
 
 def page_kind(raw: Column) -> Column:
     """What an answer holds: rows of a comparative table, another table only (non_comparative), or none (empty_failed)."""
-    found = latex.tables(F.coalesce(raw, F.lit("")))
-    return F.when(F.size(latex.comparative_items(raw)) > 0, "rows").when(F.size(found) > 0, "non_comparative").otherwise("empty_failed")
+    return fx.once(latex.tables(F.coalesce(raw, F.lit(""))), lambda found: F.when(latex.has_items(found), "rows").when(F.size(found) > 0, "non_comparative").otherwise("empty_failed"))
 
 
 def is_text_layer(pages: DataFrame) -> DataFrame:

@@ -224,8 +224,12 @@ def nearest_heading(df: DataFrame, report: str = "report_id", ord_col: str = "ro
     """Adds heading: the last title-case line of the 15 before, else the last all-caps line of the 30 before."""
     line = F.col("line")
     title, caps = line.rlike(TITLE_LINE), line.rlike(CAPS_LINE)
-    back = lambda cond, n: F.last(F.when(cond, fx.strip(line)), ignorenulls=True).over(_order(report, ord_col).rowsBetween(-n, -1))
-    return df.withColumn("heading", F.coalesce(back(title, 15), back(caps, 30)))
+    # the last such line of all before, if it is near enough: the frame only grows, so one pass does
+    w = _order(report, ord_col)
+    before = lambda cond: F.last(F.when(cond, F.struct("_at", fx.strip(line).alias("text"))), ignorenulls=True).over(w.rowsBetween(W.unboundedPreceding, -1))
+    out = df.withColumn("_at", F.row_number().over(w)).withColumn("_title", before(title)).withColumn("_caps", before(caps))
+    near = lambda c, n: F.when(F.col("_at") - F.col(f"{c}._at") <= n, F.col(f"{c}.text"))
+    return out.withColumn("heading", F.coalesce(near("_title", 15), near("_caps", 30))).drop("_at", "_title", "_caps")
 
 
 def keep_first(df: DataFrame, *keys: str, ord_col: str = "row_ord") -> DataFrame:
@@ -235,9 +239,10 @@ def keep_first(df: DataFrame, *keys: str, ord_col: str = "row_ord") -> DataFrame
 def merge_wrapped_totals(df: DataFrame, report: str = "report_id", ord_col: str = "row_ord") -> DataFrame:
     """A TOTAL line with fewer than three amounts takes in the line after it, which goes. In a chain every second line is taken in."""
     short = F.col("line").rlike("^TOTAL") & (F.size(fx.trailing_amounts(F.col("line"))) < 3)
-    out = df.withColumn("_short", short).withColumn("_run", F.sum(F.when(short, 0).otherwise(1)).over(_order(report, ord_col)))
-    place = F.row_number().over(W.partitionBy(report, "_run").orderBy(ord_col)) - F.when(F.first("_short").over(W.partitionBy(report, "_run").orderBy(ord_col)), 1).otherwise(2)
+    w = _order(report, ord_col)
+    out = df.withColumn("_short", short).withColumn("_at", F.row_number().over(w))
+    place = F.col("_at") - F.coalesce(F.max(F.when(~F.col("_short"), F.col("_at"))).over(w), F.lit(0)) - 1  # within the run of short ones
     out = out.withColumn("_takes", F.col("_short") & (place % 2 == 0))
-    out = out.withColumn("_taken", F.coalesce(F.lag("_takes").over(_order(report, ord_col)), F.lit(False)))
-    joined = F.concat_ws(" ", F.rtrim("line"), fx.strip(F.lead("line").over(_order(report, ord_col))))
-    return out.withColumn("line", F.when(F.col("_takes"), joined).otherwise(F.col("line"))).filter(~F.col("_taken")).drop("_short", "_run", "_takes", "_taken")
+    out = out.withColumn("_taken", F.coalesce(F.lag("_takes").over(w), F.lit(False)))
+    joined = F.concat_ws(" ", F.rtrim("line"), fx.strip(F.lead("line").over(w)))
+    return out.withColumn("line", F.when(F.col("_takes"), joined).otherwise(F.col("line"))).filter(~F.col("_taken")).drop("_short", "_at", "_takes", "_taken")

@@ -6,6 +6,9 @@ from pathlib import Path
 from conftest import SMALL
 from pyspark.sql import functions as F
 
+from ledgerloom.functions import latex
+from ledgerloom.functions import text as fx
+from ledgerloom.operators import extract, structure
 from ledgerloom.plans import exchange
 from ledgerloom.sinks import writers
 from ledgerloom.sources import ledger as sources
@@ -29,3 +32,54 @@ def test_packs_and_single_files(spark, tmp_path):
     got = sources.cached_files(spark, str(tmp_path), "pdf").orderBy("report_id").select("congress", "chamber", "report_id", "length", F.sha2("content", 256) == F.col("sha256")).collect()
     assert [tuple(r) for r in got] == [("118", "house", "a", 8, True), ("118", "senate", "b", 9, True)]
     assert Path(tmp_path / "packs-pdf").is_dir()
+
+
+def plan(rows) -> str:
+    """The optimized plan."""
+    return rows._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_page_kinds_read_a_table_once(spark):
+    """An answer is taken apart once, whatever is asked of it; kinds stay those of the items."""
+    table = r"\begin{tabular}{lrr} Item & 1996 Enacted & Bill \\ "
+    raws = [table + r"a & 1 & 2 \\ \end{tabular}", table + r"\end{tabular}", r"\begin{tabular}{lr} Item & Count \\ a & 1 \\ \end{tabular}", "", None, table + r"302(b) & 1 & 2 \\ \end{tabular}"]
+    rows = spark.createDataFrame(list(enumerate(raws)), "k int, raw string")
+    kinds = rows.select("k", extract.page_kind(F.col("raw")).alias("kind"), F.size(latex.comparative_items(F.coalesce("raw", F.lit("")))).alias("n"))
+    assert [(r["kind"], r["n"]) for r in kinds.orderBy("k").collect()] == [("rows", 1), ("non_comparative", 0), ("non_comparative", 0), ("empty_failed", 0), ("empty_failed", 0), ("non_comparative", 0)]
+    assert plan(rows.select(extract.page_kind(F.col("raw")).alias("kind"))).count("regexp_extract_all") == 1
+
+
+def test_header_is_read_once_a_table(spark):
+    rows = spark.createDataFrame([(r"\begin{tabular}{lrrr} Item & 1996 Enacted & Request & Bill \\ a & 1 & & 3 \\ \end{tabular}",)], "raw string")
+    items = rows.select(F.explode(latex.comparative_items(F.col("raw"))).alias("i")).select("i.*")
+    assert [tuple(r) for r in items.collect()] == [("a", 0, False, "1", None, "3", None, None)]
+    assert plan(items).count("compared") <= 6  # twice a reading of the header, which was read some twenty times
+
+
+def test_amounts_are_matched_once(spark):
+    cases = [("(1,234)", True, -1234), ("(1,234)", False, 1234), ("(+5)", True, 5), ("-$7", True, -7), ("($12)", True, -12), ("(3", True, 3), ("- - -", True, None), ("....", True, None), ("", True, None), (None, True, None), (" x +1,0 2", False, 10), (",", False, None)]
+    for raw, negative, value in cases:
+        rows = spark.createDataFrame([(raw,)], "raw string").select(fx.parse_dollar(F.col("raw"), True, paren_negative=negative).alias("a"))
+        assert rows.first()["a"]["value"] == (None if value is None else 1000 * value), raw
+    rows = spark.createDataFrame([("1",)], "raw string").filter("raw <> ''").select(fx.parse_dollar(F.col("raw"), paren_negative=False).alias("a"))
+    assert plan(rows).lower().count("regexp_extract") + plan(rows).count("RLIKE") <= 1
+
+
+def test_nearest_heading_in_one_pass(spark):
+    lines = [(0, "     Salaries and expenses"), (1, "OFFICE OF WORKS"), *[(k, "x") for k in range(2, 40)]]
+    rows = spark.createDataFrame([("r", *x) for x in lines], "report_id string, row_ord int, line string")
+    got = structure.nearest_heading(rows)
+    found = {r["row_ord"]: r["heading"] for r in got.collect()}
+    assert found[0] is None and found[15] == "Salaries and expenses" and found[16] == "OFFICE OF WORKS" and found[31] == "OFFICE OF WORKS" and found[32] is None
+    assert "RowFrame, -15" not in plan(got) and "RowFrame, -30" not in plan(got)
+
+
+def test_typeset_rows_without_names(spark):
+    """What no one asks for isn't made: rows without accounts' names don't collect the lines above them. Wrapped totals need one order only."""
+    text = ["WATER,", "AND WORKS", f"The committee {extract.ANCHOR} all:", "Pumps 1,000 2,000 +1,000", "Minor change 5", "TOTAL, WATER 1", "2 3", "TOTAL, A", "TOTAL, B", "TOTAL, C 7 8 9"]
+    rows = spark.createDataFrame([("r", k, line) for k, line in enumerate(text)], "report_id string, row_ord int, line string")
+    found = extract.typeset_statement(rows)
+    got = [(r["row_ord"], r["account"], r["kind"], r["label"], r["amounts"]) for r in found.orderBy("row_ord").collect()]
+    assert got == [(3, "WATER, AND WORKS", "value", "Pumps", [1000, 2000, 1000]), (4, "WATER, AND WORKS", "mark", "Minor change", [5]), (9, "WATER, AND WORKS", "total", "TOTAL, C", [7, 8, 9])]
+    assert "collect_list" not in plan(found.select("report_id", "account_no", "kind", "label", "amounts"))
+    assert plan(structure.merge_wrapped_totals(rows)).count("+- Sort") <= 1 and "_run" not in plan(structure.merge_wrapped_totals(rows))
