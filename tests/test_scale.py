@@ -83,3 +83,13 @@ def test_typeset_rows_without_names(spark):
     assert got == [(3, "WATER, AND WORKS", "value", "Pumps", [1000, 2000, 1000]), (4, "WATER, AND WORKS", "mark", "Minor change", [5]), (9, "WATER, AND WORKS", "total", "TOTAL, C", [7, 8, 9])]
     assert "collect_list" not in plan(found.select("report_id", "account_no", "kind", "label", "amounts"))
     assert plan(structure.merge_wrapped_totals(rows)).count("+- Sort") <= 1 and "_run" not in plan(structure.merge_wrapped_totals(rows))
+
+
+def test_routes_and_turns_need_no_totals(spark):
+    """Neither a sort of all rows for a largest text nor the aggregation of totals, whose pages are those of their line items."""
+    from ledgerloom.plans.registry import QUERIES
+
+    for name in ("routes", "work_order"):
+        rows = QUERIES[name](spark, SMALL)
+        assert "SortAggregate" not in rows._jdf.queryExecution().executedPlan().toString()
+        assert "Union" not in plan(rows)
