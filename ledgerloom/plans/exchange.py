@@ -237,8 +237,8 @@ def write_back_versions(spark, sf_dir):
     path, keys = new_folder(spark, "versions"), ["report_id", "row_ord"]
     versions.create(_spoilt(spark, sf_dir), path, "fiscal_year")
     before = versions.read(spark, path, "fiscal_year", 1)
-    fixed = verify.verify(before).select(*keys, F.col("committee_recommendation").alias("_fixed"))
-    after = before.join(fixed, keys).withColumn("committee_recommendation", F.when(F.col("fiscal_year") % 3 == 0, F.col("_fixed")).otherwise(F.col("committee_recommendation"))).drop("_fixed")
+    fixed = verify.verify(before.withColumn("_read", F.col("committee_recommendation")))  # row by row, so what was read stays beside it
+    after = fixed.withColumn("committee_recommendation", F.when(F.col("fiscal_year") % 3 == 0, F.col("committee_recommendation")).otherwise(F.col("_read"))).select(before.columns)
     versions.change(after, path, "fiscal_year", keys, ["committee_recommendation"], base=1)
     try:
         versions.change(after, path, "fiscal_year", keys, ["committee_recommendation"], base=1)

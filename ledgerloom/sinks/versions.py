@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.sinks import writers
+from ledgerloom.sources.workspace import stored
 
 
 class Refused(RuntimeError):
@@ -66,7 +67,8 @@ def _write(rows: DataFrame, path: str, by: str, base: int, kept: DataFrame | Non
     attempt = uuid.uuid4().hex
     folder = f"{path}/.parts-{attempt}"
     rows.write.partitionBy(by).parquet(folder)
-    new = rows.select(F.col(by).cast("string").alias("_by")).distinct().withColumn("_version", F.lit(version).cast("bigint"))
+    # the partitions are those that were written: asked of the folder, not of the rows, which would be made again
+    new = spark.read.schema(rows.schema).parquet(folder).select(F.col(by).cast("string").alias("_by")).distinct().withColumn("_version", F.lit(version).cast("bigint"))
     (new if kept is None else new.unionByName(kept)).write.parquet(f"{path}/lists/{attempt}")
     files, at = _files(spark, path)
     files.mkdirs(at(f"{path}/parts"))
@@ -98,7 +100,10 @@ def change(after: DataFrame, path: str, by: str, keys: list[str], columns: list[
     changed = writers.changed_rows(before, after, keys, columns)
     if dry_run:
         return changed, base
-    touched = before.select(*keys, by).join(changed, keys, "left_semi").select(F.col(by).cast("string").alias("_by")).distinct()
+    if latest(spark, path) != base:  # before anything is compared
+        raise Refused(f"version {base} isn't the latest of {path}")
+    # one row a partition, asked for several times; the comparison is made once
+    touched = stored(writers.changed_rows(before, after, keys, columns, by).select(F.col(by).cast("string").alias("_by")).distinct(), "touched")
     if touched.isEmpty():
         return changed, base
     rows = after.join(touched, F.col(by).cast("string").eqNullSafe(F.col("_by")), "left_semi")
