@@ -138,3 +138,12 @@ def test_proof_formula_has_ranges_by_column(spark):
     rows = spark.createDataFrame([([1, 2, 4, 6, 5], [False, False, True, True, True]), ([3], [False]), ([], [])], "children array<bigint>, rollups array<boolean>")
     got = [r[0] for r in rows.select(writers.proof_formula(F.col("children"), F.col("rollups"))).collect()]
     assert got == ["=SUM(C2:C3,D5:D7)", "=SUM(C4)", "=0"]
+
+
+def test_proof_rows_move_rows_once(spark):
+    """Rows were joined three times to what totals say of them; one pass over each report finds it, and totals without rows of their own change nothing."""
+    rows = spark.createDataFrame([("r", 1, "(oak)", False, True, 5), ("r", 2, "(ash)", False, True, 7), ("r", 3, "Total", True, False, 12), ("r", 4, "(elm)", False, True, 9)], "report_id string, row_ord int, line_item_text string, is_subtotal boolean, is_memo boolean, committee_recommendation bigint")
+    totals = spark.createDataFrame([("r", 3, "included", [1, 2], [False, False])], "report_id string, row_ord bigint, memo_mode string, children array<bigint>, rollups array<boolean>")
+    proof = writers.proof_rows(rows, totals)
+    assert [(r["leaf"], r["rollup"], r["formula"]) for r in proof.orderBy("row_ord").collect()] == [(5, None, None), (7, None, None), (None, 12, "=SUM(C2:C3)"), (None, None, None)]
+    assert "Join" not in plan(proof)
