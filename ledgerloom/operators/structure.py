@@ -47,8 +47,8 @@ def next_rollup_account(df: DataFrame, report: str = "report_id", ord_col: str =
     return df.withColumn("account_recovered", F.when(bare, after["name"]))
 
 
-def _blocks(df: DataFrame, report: str, ord_col: str, paren: Column) -> tuple[DataFrame, DataFrame]:
-    """The rows with their block, and one row for each block: its total's name and values, and for each column the count and sum of its line items, with and without those in parentheses."""
+def _blocks(df: DataFrame, report: str, ord_col: str, paren: Column, *more: Column) -> tuple[DataFrame, DataFrame]:
+    """The rows with their block, and one row for each block: its total's name and values, and for each column the count and sum of its line items, with and without those in parentheses. more: further aggregates."""
     text = F.coalesce(F.col("line_item_text"), F.lit(""))
     roll = fx.is_rollup(F.col("is_subtotal"), text)
     own = df.withColumn("_roll", roll).withColumn("_block", F.sum(F.when(roll, 1).otherwise(0)).over(_order(report, ord_col)) - F.when(roll, 1).otherwise(0))
@@ -58,15 +58,15 @@ def _blocks(df: DataFrame, report: str, ord_col: str, paren: Column) -> tuple[Da
         for tag, cond in (("all", leaf), ("net", leaf & ~paren)):
             parts += [F.count(F.when(cond, F.col(c))).alias(f"n_{tag}_{c}"), F.sum(F.when(cond, F.col(c))).alias(f"s_{tag}_{c}")]
         parts.append(F.max(F.when(F.col("_roll"), F.col(c))).alias(f"t_{c}"))
-    return own, own.groupBy(report, "_block").agg(*parts, F.max(F.when(F.col("_roll"), fx.rollup_name(text))).alias("name"), F.max("_roll").alias("closed"))
+    return own, own.groupBy(report, "_block").agg(*parts, F.max(F.when(F.col("_roll"), fx.rollup_name(text))).alias("name"), F.max("_roll").alias("closed"), *more)
 
 
-def _chain(blocks: DataFrame, report: str, keep_over: bool) -> DataFrame:
+def _chain(blocks: DataFrame, report: str, keep_over: bool, *more: str) -> DataFrame:
     """The blocks that close, in order: report, _block, _name, _delta. A block that closes hands its total to the next as one addend; any other is a barrier.
 
     keep_over: instead the blocks that sum to more than their total, with the excess. Whether a block closes depends on the one before only, by
     one yes or no. So each block either settles that by itself, or passes on what it gets, or turns it round; a block's state is that of the
-    last one settled, turned round as often as blocks since then do.
+    last one settled, turned round as often as blocks since then do. more: further columns of the blocks to keep.
     """
     w = W.partitionBy(report).orderBy("_block")
     rows = blocks
@@ -98,7 +98,7 @@ def _chain(blocks: DataFrame, report: str, keep_over: bool) -> DataFrame:
     over = F.when(F.coalesce(F.lag("_good").over(w), F.lit(False)), F.col("_over_after")).otherwise(F.col("_over_alone"))
     rows = rows.withColumn("_delta", over.cast("bigint"))
     rows = rows.filter(named & ~F.col("_good") & (F.col("_delta") > 0)) if keep_over else rows.filter("_good")
-    return rows.select(report, "_block", F.col("name").alias("_name"), "_delta")
+    return rows.select(report, "_block", F.col("name").alias("_name"), "_delta", *more)
 
 
 def infer_block_accounts(df: DataFrame, report: str = "report_id", ord_col: str = "row_ord", raw: Column | None = None) -> DataFrame:
@@ -121,22 +121,24 @@ def oversum_blocks(df: DataFrame, report: str = "report_id", ord_col: str = "row
 SHOWN = 60
 
 
-def indent_leaves(df: DataFrame, page: str = "page", report: str = "report_id", ord_col: str = "row_ord") -> DataFrame:
-    """The line items of blocks that sum to more than their total: report, page, letter, leaf (from 1), ord_col, block, name, label, account, account_inferred, line item values and total of each column.
+def indent_leaves(df: DataFrame, page: str = "page", report: str = "report_id", ord_col: str = "row_ord", carry: tuple[str, ...] = ()) -> DataFrame:
+    """The line items of blocks that sum to more than their total: report, page, letter, leaf (from 1), ord_col, block, name, label, account, account_inferred, line item values and total of each column, and the columns `carry` of the line item's row.
 
     A block is on the page of its total. The blocks of a page have letters from A on, in order, and a block's line items are numbered; memos by their label
     are among them, without values. df: the ledger with a page column.
     """
-    own, blocks = _blocks(df, report, ord_col, F.lit(False))
-    over = _chain(blocks, report, True).join(blocks.select(report, "_block", *[f"t_{c}" for c in BLOCK_ORDER]), [report, "_block"])
-    of_total = own.filter("_roll").select(report, "_block", F.col(page).alias("_page"))
-    over = over.join(of_total, [report, "_block"]).withColumn("letter", F.char(64 + F.row_number().over(W.partitionBy(report, "_page").orderBy("_block"))))
     text = F.coalesce(F.col("line_item_text"), F.lit(""))
     known = F.col("account_inferred") if "account_inferred" in df.columns else F.lit(None).cast("string")
     counted = ~fx.is_memo_label(text)
-    items = own.filter(~F.col("_roll") & (fx.strip(text) != "")).select(report, "_block", ord_col, fx.strip(text).alias("label"), "account", known.alias("account_inferred"), *[F.when(counted, F.col(c)).alias(c) for c in BLOCK_ORDER])
-    items = items.withColumn("leaf", F.row_number().over(W.partitionBy(report, "_block").orderBy(ord_col)))
-    return items.join(over, [report, "_block"]).select(report, F.col("_page").alias(page), "letter", "leaf", ord_col, F.col("_block").alias("block"), F.col("_name").alias("name"), "label", "account", "account_inferred", *BLOCK_ORDER, *[f"t_{c}" for c in BLOCK_ORDER])
+    item = F.when(~F.col("_roll") & (fx.strip(text) != ""), F.struct(F.col(ord_col), fx.strip(text).alias("label"), "account", known.alias("account_inferred"), *[F.when(counted, F.col(c)).alias(c) for c in BLOCK_ORDER], *carry))
+    # A block is one row with its line items inside, so they go along where blocks are judged and needn't be joined again.
+    _, blocks = _blocks(df, report, ord_col, F.lit(False), F.collect_list(item).alias("_items"), F.max(F.when(F.col("_roll"), F.col(page))).alias("_page"))
+    over = _chain(blocks, report, True, "_items", "_page", *[f"t_{c}" for c in BLOCK_ORDER])
+    over = over.withColumn("letter", F.char(64 + F.row_number().over(W.partitionBy(report, "_page").orderBy("_block"))))
+    items = over.select("*", F.posexplode(F.array_sort("_items")).alias("_pos", "_item"))
+    of_item = [f"_item.{c}" for c in (ord_col, "label", "account", "account_inferred", *BLOCK_ORDER, *carry)]
+    found = items.select(report, F.col("_page").alias(page), "letter", (F.col("_pos") + 1).alias("leaf"), F.col("_block").alias("block"), F.col("_name").alias("name"), *of_item, *[f"t_{c}" for c in BLOCK_ORDER])
+    return found.select(report, page, "letter", "leaf", ord_col, "block", "name", "label", "account", "account_inferred", *BLOCK_ORDER, *[f"t_{c}" for c in BLOCK_ORDER], *carry)
 
 
 def indent_questions(leaves: DataFrame, page: str = "page", report: str = "report_id") -> DataFrame:

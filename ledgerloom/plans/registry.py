@@ -12,6 +12,7 @@ from ledgerloom.plans.base import amounts as _amounts
 from ledgerloom.plans.base import full as _full
 from ledgerloom.schema import CPI
 from ledgerloom.sources.ledger import deflators, ledger, ledger_by_report, table
+from ledgerloom.sources.workspace import stored
 
 FLAGSHIP = "compare_by_year"
 __all__ = ["FLAGSHIP", "ORACLES", "QUERIES"]
@@ -355,9 +356,9 @@ _INDENT = _CHAIN.format(paren="NULL").replace("max(CASE WHEN is_subtotal THEN bu
 
 def _indent(spark, sf_dir):
     """The line items of over-summing blocks, and the answers to their questions."""
-    rows = kept(spark, sf_dir).withColumns({c: F.when(~F.col("is_subtotal"), F.col(c)) for c in ("budget_estimate", "prior_year_enacted")}).withColumn("page", F.expr("row_ord div 40")).withColumn("account", F.lit(None).cast("string"))
-    leaves = structure.indent_leaves(rows)
-    marked = leaves.join(rows.select("report_id", "row_ord", "is_memo"), ["report_id", "row_ord"])
+    rows = ledger_by_report(spark, sf_dir).withColumns({c: F.when(~F.col("is_subtotal"), F.col(c)) for c in ("budget_estimate", "prior_year_enacted")}).withColumn("page", F.expr("row_ord div 40")).withColumn("account", F.lit(None).cast("string"))
+    marked = stored(structure.indent_leaves(rows, carry=("is_memo",)), "leaves")  # answers, gates and counts start from them
+    leaves = marked.drop("is_memo")
     each = marked.groupBy("report_id", "page", "letter").agg(F.sort_array(F.collect_list(F.when(F.when(F.col("page") % 7 == 2, F.col("leaf") == 1).otherwise(F.col("is_memo")), F.col("leaf")))).alias("lines"))
     right = each.groupBy("report_id", "page").agg(F.to_json(F.map_from_entries(F.collect_list(F.struct("letter", "lines")))).alias("json"))
     answer = F.when(F.col("page") % 7 == 0, None).when(F.col("page") % 7 == 1, "I see {A: [1, and more").otherwise(F.concat(F.lit("Here it is:\n"), "json", F.lit(" as asked")))

@@ -147,3 +147,13 @@ def test_proof_rows_move_rows_once(spark):
     proof = writers.proof_rows(rows, totals)
     assert [(r["leaf"], r["rollup"], r["formula"]) for r in proof.orderBy("row_ord").collect()] == [(5, None, None), (7, None, None), (None, 12, "=SUM(C2:C3)"), (None, None, None)]
     assert "Join" not in plan(proof)
+
+
+def test_indent_leaves_come_with_their_blocks(spark):
+    """Line items were joined to their blocks, and those to their totals; carried columns come along."""
+    rows = spark.createDataFrame([("r", 1, "oak", False, 5, True), ("r", 2, "ash", False, 7, None), ("r", 3, "Total, wood", True, 7, False)], "report_id string, row_ord int, line_item_text string, is_subtotal boolean, committee_recommendation bigint, is_memo boolean")
+    rows = rows.selectExpr("*", "1 AS page", "CAST(NULL AS string) AS account", "CAST(NULL AS bigint) AS budget_estimate", "CAST(NULL AS bigint) AS prior_year_enacted")
+    leaves = structure.indent_leaves(rows, carry=("is_memo",))
+    got = leaves.orderBy("leaf").select("letter", "leaf", "row_ord", "name", "label", "committee_recommendation", "t_committee_recommendation", "is_memo").collect()
+    assert [tuple(r) for r in got] == [("A", 1, 1, "wood", "oak", 5, 7, True), ("A", 2, 2, "wood", "ash", 7, 7, None)]
+    assert "Join" not in plan(leaves)
