@@ -157,3 +157,15 @@ def test_indent_leaves_come_with_their_blocks(spark):
     got = leaves.orderBy("leaf").select("letter", "leaf", "row_ord", "name", "label", "committee_recommendation", "t_committee_recommendation", "is_memo").collect()
     assert [tuple(r) for r in got] == [("A", 1, 1, "wood", "oak", 5, 7, True), ("A", 2, 2, "wood", "ash", 7, 7, None)]
     assert "Join" not in plan(leaves)
+
+
+def test_recall_meets_names_not_accounts(spark):
+    """Accounts of one name met each row's name on their own, with both lists of words in the groups' keys."""
+    from ledgerloom.operators import crosswalk
+
+    rows = spark.createDataFrame([("r", "Total, oak wood", 5), ("r", "red ash tree", None)], "report_id string, line_item_text string, committee_recommendation bigint")
+    accounts = spark.createDataFrame([("r", 1, "oak wood", None), ("r", 2, "oak wood", 5), ("r", 3, "ASH tree", None), ("r", 4, "elm", 6), ("s", 5, "oak wood", 5)], "report_id string, account_id int, name string, value bigint")
+    found = crosswalk.audit_recall(rows, accounts)
+    assert [tuple(r) for r in found.orderBy("account_id").select("account_id", "found_by").collect()] == [(1, "name"), (2, "value"), (3, "contained"), (4, "missing"), (5, "missing")]
+    pairs = next(line for line in plan(found).splitlines() if "Aggregate" in line and "both#" in line)
+    assert "account_id" not in pairs and "words#" not in pairs
