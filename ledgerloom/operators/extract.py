@@ -90,38 +90,51 @@ def fixed_width(lines: DataFrame, strict: bool = False) -> DataFrame:
     return out.select("report_id", "row_ord", (F.col("row_ord") + 1).alias("line_number"), "title_name", "department", "agency", "account", "program", F.col("level").alias("hierarchy_depth"), "line_item_text", *AMOUNTS, "is_subtotal", "is_memo", F.col("thousands").alias("in_thousands"))
 
 
-def enacted_statement(lines: DataFrame) -> DataFrame:
+def enacted_statement(lines: DataFrame, with_page: bool = False) -> DataFrame:
     """Rows of enacted statements: (report_id, page, row_ord, line) to division, account, label, request, enacted, in_thousands, verified.
 
     A units header holds from its line to the page's end; a division holds until the next, over pages. A caps line (with 85 %
     or more in capitals, no amount) is a heading of what follows until a blank. Where the two-column header was seen, a row of
     70 % or more capitals has the request first and the enacted amount last; else dot leaders or a total give the amount.
+    with_page adds page_text, the lines of the row's page as they were printed. Windows over a report in one order.
     """
-    line = fx.join_split_numbers(F.col("line"))
-    rows = lines.withColumn("line", line)
+    amount = r"(\$?\d{1,3}(?:,\d{3})+)"
+    line = F.col("line")
+    rows = lines.select("report_id", "page", "row_ord", fx.join_split_numbers(line).alias("line"), line.alias("_printed"))
+    rows = rows.withColumn("_printed", F.when(line != F.col("_printed"), F.col("_printed")))  # seldom
     p, r = _w("report_id", "page"), W.partitionBy("report_id").orderBy("page", "row_ord")
-    stripped = fx.strip(F.col("line"))
-    rows = rows.withColumn("s", stripped).withColumn("nums", F.regexp_extract_all("line", F.lit(r"(\$?\d{1,3}(?:,\d{3})+)"), 1))
-    rows = rows.withColumn("thousands", F.max(fx.is_thousands_marker(F.col("s"))).over(p))
-    rows = rows.withColumn("division", F.last(F.nullif(F.regexp_extract("s", r"^DIVISION\s+([A-Z])\b", 1), F.lit("")), ignorenulls=True).over(r))
-    rows = rows.withColumn("two", F.max(F.col("s").rlike("(?i)in thousands of dollars") & F.lower(F.concat_ws(" ", *[F.lead("s", k).over(p) for k in (1, 2, 3)])).contains("final bill")).over(p))
-    label = fx.strip(F.regexp_replace(F.regexp_replace("s", r"\$?\d{1,3}(?:,\d{3})+.*$", ""), r"[.\s]+$", ""))
-    rows = rows.withColumn("label", label)
-    heading = (F.size("nums") == 0) & F.col("s").rlike(r"^[A-Z][A-Z0-9\s,&()'./\-]{3,58}$") & (fx.caps_fraction(F.col("s")) >= 0.85) & ~F.col("s").rlike("^DIVISION")
-    rows = rows.withColumn("gap", F.sum(F.when(F.col("s") == "", 1).otherwise(0)).over(p))
-    heads = F.filter(F.collect_list(F.when(heading, F.col("s"))).over(_w("report_id", "page", "gap")), lambda x: x.isNotNull())
-    rows = rows.withColumn("account", F.nullif(F.array_join(F.slice(heads, F.greatest(F.size(heads) - 2, F.lit(1)), F.lit(3)), " / "), F.lit("")))
-    single = F.col("line").rlike(r"\.{3,}") | fx.is_enacted_total(F.col("label"))
-    two = F.col("two") & (fx.caps_fraction(F.col("label")) >= 0.7) & (F.length("label") > 3)
-    rows = rows.filter((F.size("nums") > 0) & (two | single))
-    rows = rows.withColumn("request_raw", F.when(two & (F.size("nums") >= 2), F.get("nums", 0))).withColumn("enacted_raw", F.element_at("nums", -1))
-    out = rows.withColumn("request", fx.dollars(F.col("request_raw"), F.col("thousands"))).withColumn("enacted", fx.dollars(F.col("enacted_raw"), F.col("thousands")))
-    return out.select("report_id", "page", "row_ord", "division", "account", "label", "request", "enacted", F.col("thousands").alias("in_thousands"), fx.is_enacted_total(F.col("label")).alias("is_subtotal"), "request_raw", "enacted_raw")
-
-
-def verbatim(rows: DataFrame, pages: DataFrame) -> DataFrame:
-    """Adds verified: both raw amounts are printed on their page (report_id, page, page_text)."""
-    out = rows.join(pages, ["report_id", "page"], "left")
+    s, low, any_ = F.col("s"), F.col("low"), F.col("any")
+    # what the windows read, as flags; only rows with amounts are taken apart, after them
+    rows = rows.withColumn("s", fx.strip(line)).withColumn("any", line.contains(",") & line.rlike(amount)).withColumn("low", F.lower("s"))
+    heading = ~any_ & s.rlike(r"^[A-Z][A-Z0-9\s,&()'./\-]{3,58}$") & ~s.rlike("^DIVISION") & (fx.caps_fraction(s) >= 0.85)
+    column = F.when(low.contains("final") | low.contains("bill"), low).otherwise(F.when(low.isNotNull(), F.lit("")))  # of other lines only that they stand between
+    rows = rows.select(
+        "report_id", "page", "row_ord", "line", "_printed", "any", F.when(heading, s).alias("heading"), fx.is_thousands_marker(s).alias("marker"), low.contains("in thousands of dollars").alias("units"), column.alias("column"),
+        (s == "").alias("blank"), F.when(s.startswith("DIVISION"), F.nullif(F.regexp_extract(s, r"^DIVISION\s+([A-Z])\b", 1), F.lit(""))).alias("division"),
+    )
+    rows = rows.withColumns({"thousands": F.max("marker").over(p), "gap": F.count_if("blank").over(p), **{f"_{k}": F.lead("column", k).over(p) for k in (1, 2, 3)}})
+    rows = rows.withColumn("two", F.col("units") & F.concat_ws(" ", "_1", "_2", "_3").contains("final bill")).withColumn("division", F.last("division", ignorenulls=True).over(r))
+    rows = rows.drop("marker", "units", "column", "blank", "_1", "_2", "_3")
+    # before the last window, so that the filter after it reads columns and evaluates nothing again
+    rows = rows.withColumn("nums", F.when(any_, F.regexp_extract_all("line", F.lit(amount), 1)))
+    rows = rows.withColumn("label", F.when(any_, fx.label_before(fx.strip(line), F.get("nums", 0), r"\$?\d{1,3}(?:,\d{3})+.*$")))
+    rows = rows.withColumn("capitals", F.when(any_, (F.length("label") > 3) & (fx.caps_fraction(F.col("label")) >= 0.7))).withColumn("single", F.when(any_, line.contains("...") | fx.is_enacted_total(F.col("label"))))
+    above = F.collect_list(F.when(F.col("heading").isNotNull(), F.struct("gap", "heading"))).over(p)
+    seen = {"two": F.max("two").over(p), "heads": above}
+    if with_page:
+        seen["_printed"] = F.collect_list(F.coalesce("_printed", "line")).over(p.rowsBetween(W.unboundedPreceding, W.unboundedFollowing))
+    rows = rows.withColumns(seen).withColumn("two", F.col("two") & F.col("capitals")).filter(any_ & (F.col("two") | F.col("single")))
+    rows = rows.withColumn("heads", F.transform(F.filter("heads", lambda x: x["gap"] == F.col("gap")), lambda x: x["heading"]))
+    rows = rows.withColumn("request_raw", F.when(F.col("two") & (F.size("nums") >= 2), F.get("nums", 0))).withColumn("enacted_raw", F.element_at("nums", -1))
+    out = rows.withColumn("account", F.nullif(F.array_join(F.slice("heads", F.greatest(F.size("heads") - 2, F.lit(1)), F.lit(3)), " / "), F.lit("")))
+    out = out.withColumn("request", fx.dollars(F.col("request_raw"), F.col("thousands"))).withColumn("enacted", fx.dollars(F.col("enacted_raw"), F.col("thousands")))
+    page = [F.array_join("_printed", "\n").alias("page_text")] if with_page else []
+    return out.select("report_id", "page", "row_ord", "division", "account", "label", "request", "enacted", F.col("thousands").alias("in_thousands"), fx.is_enacted_total(F.col("label")).alias("is_subtotal"), "request_raw", "enacted_raw", *page)
+
+
+def verbatim(rows: DataFrame, pages: DataFrame | None = None) -> DataFrame:
+    """Adds verified: both raw amounts are printed on their page (report_id, page, page_text); without pages, rows bring their page_text."""
+    out = rows.join(pages, ["report_id", "page"], "left") if pages is not None else rows
     seen = fx.on_page(F.col("request_raw"), F.col("page_text")) & fx.on_page(F.col("enacted_raw"), F.col("page_text"))
     return out.withColumn("verified", F.coalesce(seen, F.lit(False))).drop("page_text")
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ledgerloom.functions import latex
 from ledgerloom.functions import text as fx
 from ledgerloom.operators import extract, reconcile, structure
-from ledgerloom.plans import exchange
+from ledgerloom.plans import exchange, extraction
 from ledgerloom.sinks import versions, writers
 from ledgerloom.sources import ledger as sources
 from ledgerloom.sources import workspace
@@ -171,6 +171,31 @@ def test_workbooks_of_rows_beside_their_verdicts(spark):
     assert found.count("FlatMapGroupsInArrow") == 2 and "CoGroup" not in found
 
 
+def test_enacted_statements_in_one_order(spark):
+    """Line items were derived twice, pages printed twice and joined to their rows, and labels taken off by patterns; now a report's lines stay in place in one order."""
+    found = plan(extraction.enacted_statements(spark, SMALL))
+    assert found.count("lineitem.parquet") <= 1 and found.count("posexplode") == 1 and "LeftOuter" not in found and found.count("l_linenumber#") > 0
+    lines = ["DIVISION B--ACTS", "[In thousands of dollars]", "Request   Final", "Bill", "OLD OFFICE", "", "FIRST OFFICE", "SECOND OFFICE", "OAKS 1 ,500 $2,000", "oaks 7,000", "ASHES. . .. 3,000", "Total, wood..... 4,500", "ELMS\r1,000 2,000", "12"]
+    pages = spark.createDataFrame([("r", 1, i, t) for i, t in enumerate(lines)] + [("r", 2, 0, "Total 9,000")], "report_id string, page int, row_ord int, line string")
+    rows = extract.enacted_statement(pages, with_page=True)
+    text = spark.createDataFrame([("r", 1, "\n".join(lines)), ("r", 2, "Total 9,000")], "report_id string, page int, page_text string")
+    one, two = (r.orderBy("page", "row_ord").select("division", "account", "label", "request", "enacted", "is_subtotal", "verified") for r in (extract.verbatim(rows), extract.verbatim(extract.enacted_statement(pages), text)))
+    got = [tuple(r) for r in one.collect()]
+    office = "FIRST OFFICE / SECOND OFFICE"
+    assert got == [tuple(r) for r in two.collect()]
+    assert got[0] == ("B", office, "OAKS", 1_500_000, 2_000_000, False, False) and got[1] == ("B", office, "ASHES", None, 3_000_000, False, True)
+    assert got[2][2:] == ("Total, wood", None, 4_500_000, True, True) and got[3][2:5] == ("ELMS", 1_000_000, 2_000_000) and got[4] == ("B", None, "Total", None, 9_000, True, True) and len(got) == 5
+
+
+def test_label_before_is_what_the_patterns_leave(spark):
+    odd = ["OAK TREE 1,000 2,000", "Total, x..... $1,000", "1,234", "a . 12,345,678 b", "a\r1,000\rb", "b. 1,000\u2028c", "x\u2028 9,000", "tab\t. 5,000 ", "no 1", "12,34 51,234 1,234", "b .\u0085 1,000"]
+    amount, rest = r"(\$?\d{1,3}(?:,\d{3})+)", r"\$?\d{1,3}(?:,\d{3})+.*$"
+    rows = spark.createDataFrame([(t,) for t in odd], "t string").withColumn("s", fx.strip(F.col("t"))).withColumn("nums", F.regexp_extract_all("s", F.lit(amount), 1)).filter("size(nums) > 0")
+    want = fx.strip(F.regexp_replace(F.regexp_replace("s", rest, ""), r"[.\s]+$", ""))
+    got = rows.select("t", fx.label_before(F.col("s"), F.get("nums", 0), rest).alias("got"), want.alias("want")).collect()
+    assert len(got) == 10 and [r["got"] for r in got] == [r["want"] for r in got]
+
+
 def test_indent_leaves_come_with_their_blocks(spark):
     """Line items were joined to their blocks, and those to their totals; carried columns come along."""
     rows = spark.createDataFrame([("r", 1, "oak", False, 5, True), ("r", 2, "ash", False, 7, None), ("r", 3, "Total, wood", True, 7, False)], "report_id string, row_ord int, line_item_text string, is_subtotal boolean, committee_recommendation bigint, is_memo boolean")
