@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import text as fx
@@ -43,10 +45,11 @@ def federal_accounts(rows: DataFrame, accounts: DataFrame) -> DataFrame:
     return out.withColumns(new | {"account_key_agency": F.col("_f.agency"), "account_key_bureau": F.col("_f.bureau")}).drop("_f")
 
 
-def combined(lines: DataFrame, inline: DataFrame, reference: DataFrame, accounts: DataFrame, factors: DataFrame) -> DataFrame:
+def combined(lines: DataFrame, inline: DataFrame | Callable[[DataFrame], DataFrame], reference: DataFrame, accounts: DataFrame, factors: DataFrame) -> DataFrame:
     """The fact: row_ord and the columns of FACT in their order.
 
-    lines: a row for each line item and total, its amounts as records (value, raw_text, in_thousands), and row_ord. inline: report_id, amounts, label.
+    lines: a row for each line item and total, its amounts as records (value, raw_text, in_thousands), and row_ord. inline: report_id, amounts, label, or what makes
+    that of the stored lines, where amounts are plain.
     reference: ref_ord, code, title, agency. accounts: see federal_accounts(). factors: fiscal_year, real_factor; a year without one has none.
     The lines are stored once, and every step starts from there. Missing amounts stay missing; memos in parentheses are marked.
     """
@@ -58,9 +61,14 @@ def combined(lines: DataFrame, inline: DataFrame, reference: DataFrame, accounts
     keyed = federal_accounts(crosswalk.enrich_accounts(flat, reference, CONTEXT), accounts)
     # restatements count only where no other tier comes first
     lone = flat.filter(~F.coalesce("verified", F.lit(False)) & F.coalesce(*AMOUNTS).isNotNull() & (fx.strip(F.coalesce("account_inferred", F.lit(""))) == ""))
-    said = crosswalk.corroborated(lone, inline, ("line_item_text", "account_inferred")).withColumn("_said", F.lit(True))
+    said = crosswalk.corroborated(lone, inline(flat) if callable(inline) else inline, ("line_item_text", "account_inferred"))
+    # The rows move once, into the order in which they are written, and a report's restated ones come before them as one row.
+    marks = stored(said.groupBy("report_id").agg(F.collect_list("row_ord").alias("_rows")), "restated")  # the order's sampling reads them too
+    out = keyed.unionByName(marks, allowMissingColumns=True).repartitionByRange("report_id")
+    found = F.last("_rows", ignorenulls=True).over(Window.partitionBy("report_id").orderBy("row_ord"))
+    out = out.withColumn("_said", F.when(F.array_contains(found, F.col("row_ord")), True)).filter("_rows IS NULL")
     tier = verify.verification_tier(F.col("verified"), F.col("verification_method"), F.coalesce(*AMOUNTS).isNotNull(), F.col("account_inferred"), F.col("_said"))
-    out = keyed.join(said, ["report_id", "row_ord"], "left").withColumn("verification_tier", tier)
+    out = out.withColumn("verification_tier", tier)
     out = out.join(F.broadcast(factors.select("fiscal_year", F.col("real_factor").alias("real_factor_2024"))), "fiscal_year", "left")  # a row a year
     return out.select("row_ord", *FACT)
 

@@ -11,7 +11,7 @@ from ledgerloom.plans.accounts import _CASCADE, _reference
 from ledgerloom.plans.base import register
 from ledgerloom.schema import AMOUNTS, CPI, FACT, REAL_BASE
 from ledgerloom.sources import ledger as sources
-from ledgerloom.sources.ledger import ledger, table
+from ledgerloom.sources.ledger import ledger_by_report, table
 from ledgerloom.sources.workspace import new_folder
 
 
@@ -21,7 +21,7 @@ def _amount(value, raw, n):
 
 def _lines(spark, sf_dir) -> DataFrame:
     """The ledger as extracted lines in which every outcome occurs: fragments as accounts, inferred accounts, memos in parentheses, rows without amounts, designations, split and quantity tables."""
-    rows, n = ledger(spark, sf_dir), F.col("pk")
+    rows, n = ledger_by_report(spark, sf_dir), F.col("pk")
     item = ~F.col("is_subtotal")
     split, bare = item & (n % 47 == 3), item & (n % 41 == 7)
     pe, be, cr, de, dt = (F.when(~bare, F.col(c)) for c in AMOUNTS)
@@ -40,7 +40,7 @@ def _lines(spark, sf_dir) -> DataFrame:
 
 def _inline(lines: DataFrame) -> DataFrame:
     """Each label of a report with its largest recommendation, as the report's prose would restate it."""
-    own = lines.filter("NOT is_subtotal").groupBy("report_id", "line_item_text").agg(F.max("committee_recommendation.value").alias("v"))
+    own = lines.filter("NOT is_subtotal").groupBy("report_id", "line_item_text").agg(F.max("committee_recommendation").alias("v"))
     return own.select("report_id", F.col("line_item_text").alias("label"), F.array("v").alias("amounts"))
 
 
@@ -51,7 +51,7 @@ def _accounts(spark, sf_dir) -> DataFrame:
 
 def _fact(spark, sf_dir) -> DataFrame:
     lines = _lines(spark, sf_dir)
-    return fact.combined(lines, _inline(lines), _reference(spark, sf_dir), _accounts(spark, sf_dir), sources.deflators(spark))
+    return fact.combined(lines, _inline, _reference(spark, sf_dir), _accounts(spark, sf_dir), sources.deflators(spark))
 
 
 _FACTORS = ", ".join(f"({y}, {v})" for y, v in CPI.items())

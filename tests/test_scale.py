@@ -216,3 +216,53 @@ def test_recall_meets_names_not_accounts(spark):
     assert [tuple(r) for r in found.orderBy("account_id").select("account_id", "found_by").collect()] == [(1, "name"), (2, "value"), (3, "contained"), (4, "missing"), (5, "missing")]
     pairs = next(line for line in plan(found).splitlines() if "Aggregate" in line and "both#" in line)
     assert "account_id" not in pairs and "words#" not in pairs
+
+
+def executed(rows) -> str:
+    """The physical plan, before it is adapted."""
+    return rows._jdf.queryExecution().executedPlan().toString()
+
+
+def test_ledger_by_report_moves_what_is_read(spark):
+    """Every column of a line item went to its report; names that no one reads now stay where they are, and orders meet customers before their lines."""
+    rows = sources.ledger_by_report(spark, SMALL).select("report_id", "row_ord", "pk", "committee_recommendation")
+    found = executed(rows)
+    assert not [c for c in ("p_name", "p_type", "p_brand", "l_tax") if c in found] and "l_discount" not in found
+    orders = next(x for x in found.splitlines() if "Join" in x and "o_custkey" in x)  # lines don't move to their customers
+    assert "l_orderkey" not in orders
+
+
+def test_ledger_by_report_of_odd_rows(spark, tmp_path):
+    """Prices of no whole cents, missing values, orders, parts and nations that stand twice or not at all."""
+    li = [(1, 1, 7, 1, 2.0, 10.004, 0.05, 0.02, "R"), (1, 1, 7, 1, 2.0, 10.001, 0.05, 0.02, "R"), (1, 9, 7, 2, 1.0, 3.0, 0.0, 0.0, "N"), (1, 3, 8, 3, 1.0, 5.5, None, 0.08, None), (2, 2, 7, 1, 4.0, None, 0.1, 0.0, "A"), (2, 3, 7, 2, 4.0, 0.0, 0.1, 0.0, "R"), (9, 1, 7, 1, 1.0, 1.0, 0.0, 0.0, "A"), (150001, 2, 7, 1, 1.0, 77.77, 0.01, 0.01, "R")]
+    tables = {
+        "lineitem": spark.createDataFrame([(*x, "O") for x in li], "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string").withColumn("l_shipdate", F.lit("1996-01-02").cast("timestamp")),
+        "orders": spark.createDataFrame([(1, 5, "F", "1996-12-31"), (2, 6, None, "1997-10-01"), (2, 5, "O", "1997-09-30"), (150001, 5, "F", "1996-01-01")], "o_orderkey bigint, o_custkey bigint, o_orderstatus string, d string").withColumn("o_orderdate", F.col("d").cast("timestamp")),
+        "customer": spark.createDataFrame([(5, 1, "WATER"), (6, 2, None)], "c_custkey bigint, c_nationkey int, c_mktsegment string"),
+        "nation": spark.createDataFrame([(1, "A", 0), (2, "B", 1), (2, "C", 3)], "n_nationkey int, n_name string, n_regionkey int"),
+        "part": spark.createDataFrame([(1, "oak", "x", "b"), (2, "ash", "y", "b"), (3, "elm", "x", "c"), (3, "fir", "z", None)], "p_partkey bigint, p_name string, p_type string, p_brand string"),
+    }
+    for name, rows in tables.items():
+        rows.write.parquet(f"{tmp_path}/{name}.parquet")
+    a, b = ([tuple(r) for r in f(spark, str(tmp_path)).drop("row_ord", "account", "line_item_text", "code").collect()] for f in (sources.ledger, sources.ledger_by_report))
+    assert len(a) > 12 and sorted(map(repr, a)) == sorted(map(repr, b))
+
+
+def test_fact_moves_its_rows_once(spark):
+    """The fact's rows went to their restatements and then into their order, and its inline records derived the ledger again."""
+    from ledgerloom.plans import combined
+
+    found = executed(combined._fact(spark, SMALL).orderBy("report_id", "row_ord"))
+    assert found.count("rangepartitioning") == 1 and "lineitem.parquet" not in found
+    assert not [x for x in found.splitlines() if "Join" in x and "row_ord#" in x]
+
+
+def test_corroborated_without_pairs(spark):
+    """Rows and records of a frequent amount met one by one."""
+    from ledgerloom.operators import crosswalk
+
+    rows = spark.createDataFrame([("r", 1, "Water works", 5, None, None), ("r", 2, "water", None, 5, 5), ("r", 3, "fire", 5, 5, 5), ("s", 1, "water", 5, 5, 5), ("r", 4, "water", 6, None, None), (None, 5, "water", 5, 5, 5)], "report_id string, row_ord int, line_item_text string, prior_year_enacted bigint, budget_estimate bigint, committee_recommendation bigint")
+    inline = spark.createDataFrame([("r", "Water", [5, None, 5]), ("r", "of it", [6]), (None, "water", [5]), ("s", "fire", [5])], "report_id string, label string, amounts array<bigint>")
+    found = crosswalk.corroborated(rows, inline, ("line_item_text",))
+    assert sorted(map(tuple, found.collect())) == [("r", 1), ("r", 2)]
+    assert "Join" not in plan(found)
