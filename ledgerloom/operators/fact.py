@@ -74,7 +74,7 @@ def combined(lines: DataFrame, inline: DataFrame | Callable[[DataFrame], DataFra
 
 
 def write_fact(fact: DataFrame, path: str) -> dict[str, int]:
-    """Writes the fact as CSV in document order, and gives its counts, which the writing job itself takes."""
+    """Writes the fact as compressed CSV in document order, and gives its counts, which the writing job itself takes."""
     seen = Observation("fact")
     has = F.coalesce(*map(F.col, LEVELS)).isNotNull()
     counts = {
@@ -82,5 +82,5 @@ def write_fact(fact: DataFrame, path: str) -> dict[str, int]:
         "keyed": F.count("account_key"), "verified": F.count_if("verified"), "memos": F.count_if("is_memo"), "untiered": F.count_if(F.col("verification_tier") == "none"),
     }
     ordered = fact.orderBy("report_id", "row_ord")  # counts are taken after the sort, whose sampling reads the rows too
-    writers.write_csv(ordered.observe(seen, *[v.alias(k) for k, v in counts.items()]).select(*FACT), path)
+    writers.write_csv(ordered.observe(seen, *[v.alias(k) for k, v in counts.items()]).select(*FACT), path, compression="gzip")
     return seen.get

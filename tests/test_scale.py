@@ -266,3 +266,15 @@ def test_corroborated_without_pairs(spark):
     found = crosswalk.corroborated(rows, inline, ("line_item_text",))
     assert sorted(map(tuple, found.collect())) == [("r", 1), ("r", 2)]
     assert "Join" not in plan(found)
+
+
+def test_fact_is_written_compressed(spark, tmp_path):
+    from ledgerloom.operators import fact
+    from ledgerloom.plans import combined
+    from ledgerloom.schema import FACT
+
+    counts = fact.write_fact(combined._fact(spark, SMALL), str(tmp_path / "fact"))
+    files = [f for f in os.listdir(tmp_path / "fact") if f.startswith("part-")]
+    assert files and all(f.endswith(".csv.gz") for f in files)
+    back = sources.csv_fact(spark, str(tmp_path / "fact"), fact.WHOLE, place="place").orderBy("place").select("place", *FACT).collect()
+    assert len(back) == counts["n_rows"] and [r["report_id"] for r in back] == sorted(r["report_id"] for r in back)
