@@ -36,22 +36,27 @@ def inline_tables(lines: DataFrame) -> DataFrame:
     line, w = F.col("line"), _w("report_id")
     blank = fx.strip(line) == ""
     rows = lines.withColumn("funding", line.contains("...") & line.rlike(_FUNDING)).withColumn("compared", fx.strip(line) == _COMPARED).withColumn("start", line.contains("ppropriation") & line.rlike(_START)).withColumn("blank", blank)
+    rows = structure.nearest_heading(rows)
+    # No label of a funding line has a dot, so it ends at the first. Windows move on over short rows in one order: of a line stays what funding says.
+    label = F.when(F.col("funding"), F.substring_index(line, "...", 1))
+    rows = rows.withColumn("label", label).withColumn("raw", F.regexp_extract(F.substr(line, F.length("label") + 1), _AFTER_DOTS, 1)).drop("line")
     ahead = lambda n: (F.coalesce(F.lead("blank", n).over(w), F.lit(True)), F.coalesce(F.lead("funding", n).over(w), F.lit(False)))
     (b1, f1), (_, f2) = ahead(1), ahead(2)
-    rows = rows.withColumn("inside", F.col("funding") | F.col("compared") | (F.col("blank") & (f1 | (b1 & f2))))
-    rows = structure.nearest_heading(rows)
-    # A stretch of inside lines is one island; a block opens at its first start line.
-    rows = rows.withColumn("island", F.sum(F.when(F.col("inside"), 0).otherwise(1)).over(w)).filter("inside")
-    rows = rows.withColumn("opened", F.min(F.when(F.col("start"), F.col("row_ord"))).over(W.partitionBy("report_id", "island"))).filter("row_ord >= opened")
-    # no label of a funding line has a dot, so it ends at the first
-    rows = rows.withColumn("label", F.when(F.col("funding"), F.substring_index(line, "...", 1)))
-    rows = rows.withColumn("low", F.lower(fx.strip(F.col("label")))).withColumn("indent", fx.detect_indent(F.col("label"))).withColumn("raw", F.regexp_extract(F.substr(line, F.length("label") + 1), _AFTER_DOTS, 1)).drop("label", "line")
-    rows = rows.withColumn("below", F.max("compared").over(_w("report_id", "island")))
-    rows = rows.withColumn("kind", F.when(F.col("funding"), fx.kind_of_label(F.col("low"), F.col("indent"), F.col("below")))).withColumn("amount", F.when(F.col("funding"), fx.parse_dollar(F.col("raw"), paren_negative=False)))
-    last = lambda k: F.max_by("amount", F.when(F.col("kind") == k, F.col("row_ord"))).alias(k)
+    rows = rows.withColumn("inside", F.coalesce(F.col("funding") | F.col("compared") | (F.col("blank") & (f1 | (b1 & f2))), F.lit(False))).drop("blank")
+    # A stretch of inside lines is one island; a block opens at its first start line, that before which the last other line or start is no start.
+    event = F.when(~F.col("inside"), False).when(F.col("start"), True)
+    opens = F.col("inside") & F.col("start") & ~F.coalesce(F.last(event, ignorenulls=True).over(w.rowsBetween(W.unboundedPreceding, -1)), F.lit(False))
+    rows = rows.withColumn("opens", opens).drop("start")
+    opened = F.when(~F.col("inside"), F.struct(F.lit(None).cast(lines.schema["row_ord"].dataType).alias("at"))).when(F.col("opens"), F.struct(F.col("row_ord").alias("at")))
+    rows = rows.withColumn("opened", F.last(opened, ignorenulls=True).over(w)["at"]).withColumn("below", F.last(F.when(F.col("compared"), F.col("row_ord")), ignorenulls=True).over(w))
+    rows = rows.filter(F.col("inside") & F.col("opened").isNotNull()).withColumn("below", F.coalesce(F.col("below") >= F.col("opened"), F.lit(False)))
+    kind = F.when(F.col("funding"), fx.kind_of_label(F.lower(fx.strip(F.col("label"))), fx.detect_indent(F.col("label")), F.col("below")))
+    rows = rows.select("report_id", "opened", "row_ord", kind.alias("kind"), "raw", F.when(F.col("row_ord") == F.col("opened"), F.col("heading")).alias("heading"))
+    # of each kind the last line; its amount is read when that is known
+    last = lambda k: F.max(F.when(F.col("kind") == k, F.struct("row_ord", "raw"))).alias(k)
     kinds = ("prior_year", "budget_estimate", "committee_recommendation", "delta_vs_enacted", "delta_vs_estimate")
-    head = F.max(F.when(F.col("row_ord") == F.col("opened"), F.col("heading")))
-    out = rows.groupBy("report_id", "opened").agg(F.count(F.lit(1)).alias("n"), fx.repair_dropcap(head).alias("heading"), *map(last, kinds))
+    out = rows.groupBy("report_id", "opened").agg(F.count(F.lit(1)).alias("n"), F.max("heading").alias("heading"), *map(last, kinds))
+    out = out.withColumns({k: F.when(F.col(k).isNotNull(), fx.parse_dollar(F.col(k)["raw"], paren_negative=False)) for k in kinds} | {"heading": fx.repair_dropcap(F.col("heading"))})
     out = out.filter("n >= 2 AND (prior_year IS NOT NULL OR committee_recommendation IS NOT NULL)")
     return out.select("report_id", (F.col("opened") + 1).alias("line_number"), "heading", *kinds)
 

@@ -278,3 +278,25 @@ def test_fact_is_written_compressed(spark, tmp_path):
     assert files and all(f.endswith(".csv.gz") for f in files)
     back = sources.csv_fact(spark, str(tmp_path / "fact"), fact.WHOLE, place="place").orderBy("place").select("place", *FACT).collect()
     assert len(back) == counts["n_rows"] and [r["report_id"] for r in back] == sorted(r["report_id"] for r in back)
+
+
+def in_place(rows) -> bool:
+    """The ledger is derived once, and what follows works on its reports where they are."""
+    found = executed(rows)
+    return found.count("lineitem.parquet") == 1 and "Exchange hashpartitioning(report_id#" not in found
+
+
+def test_inline_tables_read_lines_in_place(spark):
+    """Whole texts were gathered, sorted and cut again, moved and put into three orders with all of their lines."""
+    rows = extraction.inline_tables(spark, SMALL)
+    assert in_place(rows) and "collect_list" not in plan(rows) and "island" not in plan(rows)
+
+
+def test_inline_tables_blocks(spark):
+    """A second start goes on with its block, lines before a start don't count, and what interrupts a block ends it."""
+    a, b, c, d = "Recommended in the bill....... 7", "Appropriation, fiscal year 1996.... $1,000", "Bill compared with:", "    Appropriation, fiscal year 1996..... +5"
+    text = ["OLD OFFICE", a, b, a, c, d, "", "", d, "words", d, b, b, a, None, c, b, "words", b]
+    rows = spark.createDataFrame([("r", k, t) for k, t in enumerate(text)], "report_id string, row_ord int, line string")
+    kinds = ("prior_year", "committee_recommendation", "delta_vs_enacted")
+    got = extract.inline_tables(rows).orderBy("line_number").select("line_number", "heading", *[F.col(k)["value"] for k in kinds]).collect()
+    assert [tuple(r) for r in got] == [(3, "OLD OFFICE", 1000, 7, 5), (11, "OLD OFFICE", 1000, 7, None)]
