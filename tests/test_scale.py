@@ -300,3 +300,7 @@ def test_inline_tables_blocks(spark):
     kinds = ("prior_year", "committee_recommendation", "delta_vs_enacted")
     got = extract.inline_tables(rows).orderBy("line_number").select("line_number", "heading", *[F.col(k)["value"] for k in kinds]).collect()
     assert [tuple(r) for r in got] == [(3, "OLD OFFICE", 1000, 7, 5), (11, "OLD OFFICE", 1000, 7, None)]
+
+
+def test_inline_csv_reads_lines_in_place(spark):
+    assert in_place(extract.inline_tables(exchange._inline(spark, SMALL)))
