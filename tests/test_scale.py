@@ -304,3 +304,7 @@ def test_inline_tables_blocks(spark):
 
 def test_inline_csv_reads_lines_in_place(spark):
     assert in_place(extract.inline_tables(exchange._inline(spark, SMALL)))
+
+
+def test_typeset_accounts_in_place(spark):
+    assert in_place(extraction.typeset_accounts(spark, SMALL))
