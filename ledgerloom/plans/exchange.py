@@ -259,7 +259,7 @@ def typeset_deliverables(spark, sf_dir):
     """Accounts with nested rows and marks, written as JSON and read back: every account has one closing total and one mark."""
     path = new_folder(spark, "typeset")
     nested, _, _ = writers.typeset_deliverables(extract.typeset_statement(_typeset(spark, sf_dir)))
-    writers.write_json(nested, path)
+    writers.write_json(nested, path, compression="gzip")
     back = spark.read.schema("report_id string, account_no bigint, rows array<struct<label:string,marks:array<struct<label:string,amount:bigint>>>>").json(path)
     marks = F.aggregate("rows", F.lit(0), lambda n, r: n + F.size(r["marks"]))
     return back.groupBy("report_id").agg(F.count(F.lit(1)).alias("accounts"), F.sum(F.size("rows")).alias("n_rows"), F.sum(marks).alias("n_marks"))

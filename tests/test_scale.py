@@ -314,3 +314,13 @@ def test_typeset_marks_in_place(spark):
     """Marks were joined to their rows, for which all was derived and read twice."""
     rows = extraction.typeset_marks(spark, SMALL)
     assert in_place(rows) and "marks_row" not in "".join(x for x in executed(rows).splitlines() if "Join" in x)
+
+
+def test_typeset_deliverables_in_place(spark):
+    """Marks were joined to their rows; a row keeps all of its marks, and a mark without a row goes nowhere."""
+    assert in_place(writers.typeset_deliverables(extract.typeset_statement(exchange._typeset(spark, SMALL)))[0])
+    rows = [("r", 1, 1, "A", "value", "x", None, [1, 2, 3]), ("r", 2, 1, "A", "mark", "m2", 1, [5]), ("r", 3, 1, "A", "mark", "m1", 1, [6]), ("r", 4, 1, "A", "total", "t", None, [7]), ("r", 9, 1, "A", "mark", "lost", 8, [1]), ("r", 10, 1, "A", "mark", "none", None, [1]), ("r", 5, 2, None, "value", "y", None, [4])]
+    found = spark.createDataFrame(rows, "report_id string, row_ord int, account_no bigint, account string, kind string, label string, marks_row int, amounts array<bigint>").withColumn("code", F.lit(None).cast("string"))
+    nested, items, marks = writers.typeset_deliverables(found)
+    got = {r["account_no"]: [(x["row_ord"], [tuple(m) for m in x["marks"]]) for x in r["rows"]] for r in nested.collect()}
+    assert got == {1: [(1, [("m1", 6), ("m2", 5)]), (4, [])], 2: [(5, [])]} and items.count() == 3 and marks.count() == 4
