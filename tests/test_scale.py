@@ -329,3 +329,18 @@ def test_typeset_deliverables_in_place(spark):
 def test_pages_are_made_in_place(spark):
     """Pages were gathered from a ledger that was derived twice, and moved for that."""
     assert in_place(extraction._latex(spark, SMALL, F.lit(""), F.col("line_item_text"), "l"))
+
+
+def test_triples_meet_no_rows(spark):
+    """Rows and triples of an equal amount met one by one, each moved with every amount; now groups by one, two and three amounts say it, missing ones too."""
+    from ledgerloom.operators import verify
+    from ledgerloom.plans import accounts
+
+    assert in_place(accounts.matched_triples(spark, SMALL))
+    schema = "report_id string, {}prior_year_enacted bigint, budget_estimate bigint, committee_recommendation bigint"
+    rows = spark.createDataFrame([("r", 1, 2, 3), ("r", 1, 5, 6), ("r", 4, None, 6), ("s", 7, 8, 9)], schema.format(""))
+    triples = [("r", 1, 1, 2, 3), ("r", 2, 1, 9, 6), ("r", 3, 3, 1, 2), ("r", 4, None, None, None), ("r", 5, 4, None, 6), ("s", 6, 1, 2, 3), ("t", 7, None, None, None), ("r", 8, 1, 2, 6), (None, 9, 1, 2, 3)]
+    found = verify.matched_triples(rows, spark.createDataFrame(triples, schema.format("triple_id int, ")))
+    got = {r["triple_id"]: (r["score"], r["verdict"]) for r in found.collect()}
+    assert got == {1: (3, "EXACT"), 2: (2, "PARTIAL"), 3: (0, "MISSING"), 4: (1, "PARTIAL"), 5: (3, "EXACT"), 6: (0, "MISSING"), 7: (0, "MISSING"), 8: (2, "PARTIAL"), 9: (0, "MISSING")}
+    assert "Join" not in plan(found)
