@@ -344,3 +344,15 @@ def test_triples_meet_no_rows(spark):
     got = {r["triple_id"]: (r["score"], r["verdict"]) for r in found.collect()}
     assert got == {1: (3, "EXACT"), 2: (2, "PARTIAL"), 3: (0, "MISSING"), 4: (1, "PARTIAL"), 5: (3, "EXACT"), 6: (0, "MISSING"), 7: (0, "MISSING"), 8: (2, "PARTIAL"), 9: (0, "MISSING")}
     assert "Join" not in plan(found)
+
+
+@pytest.mark.parametrize("name, most", [("prose_verdicts", 9)])
+def test_kept_columns(spark, monkeypatch, name, most):
+    """The whole ledger was stored, and derived twice for that; now it is the columns that the query reads."""
+    from ledgerloom.plans import base
+    from ledgerloom.plans.registry import QUERIES
+
+    seen = []
+    monkeypatch.setattr(base, "stored", lambda df, what: seen.append(df) or workspace.stored(df, what))
+    QUERIES[name](spark, SMALL)
+    assert len(seen) == 1 and len(seen[0].columns) <= most and executed(seen[0]).count("lineitem.parquet") == 1
