@@ -10,7 +10,7 @@ from ledgerloom.operators import crosswalk, query, reconcile, structure, trace,
 from ledgerloom.plans.base import ORACLES, QUERIES, kept, register
 from ledgerloom.plans.base import amounts as _amounts
 from ledgerloom.plans.base import full as _full
-from ledgerloom.schema import CPI
+from ledgerloom.schema import CPI, LEVELS
 from ledgerloom.sources.ledger import deflators, ledger, ledger_by_report, table
 from ledgerloom.sources.workspace import stored
 
@@ -566,7 +566,7 @@ def crosswalk_prefix(spark, sf_dir):
 SELECT DISTINCT report_id, row_ord FROM m WHERE len(list_intersect(list_filter(regexp_extract_all(lower(x), '[a-z]+'), lambda w: length(w) > 3), list_filter(regexp_extract_all(lower(label), '[a-z]+'), lambda w: length(w) > 3))) > 0""")
 def inline_corroboration(spark, sf_dir):
     """Rows against the inline records of a report: every line item's account, with recommendation and prior year."""
-    rows = kept(spark, sf_dir).filter("NOT is_subtotal")
+    rows = kept(spark, sf_dir, "report_id", "row_ord", "is_subtotal", "account", "line_item_text", *LEVELS).filter("NOT is_subtotal")
     inline = rows.select("report_id", F.col("account").alias("label"), F.array("committee_recommendation", "prior_year_enacted").alias("amounts"))
     return crosswalk.corroborated(rows, inline)
 

@@ -346,7 +346,7 @@ def test_triples_meet_no_rows(spark):
     assert "Join" not in plan(found)
 
 
-@pytest.mark.parametrize("name, most", [("prose_verdicts", 9), ("enrich_accounts", 7)])
+@pytest.mark.parametrize("name, most", [("prose_verdicts", 9), ("enrich_accounts", 7), ("inline_corroboration", 8)])
 def test_kept_columns(spark, monkeypatch, name, most):
     """The whole ledger was stored, and derived twice for that; now it is the columns that the query reads."""
     from ledgerloom.plans import base
